@@ -283,7 +283,7 @@ def q_ingest_stream(spark, sf):
 
 def q_gold_clustered(spark, sf):
     path = scratch_path(spark, "gold")
-    tables.upsert_gold(spark, current_gold(spark, sf), path, cluster_by=CFG.gold_cluster_cols)
+    tables.upsert_gold(spark, current_gold(spark, sf), path, [RUN_DATE], cluster_by=CFG.gold_cluster_cols)
     return spark.read.parquet(path).select(*GOLD_OUT)
 
 

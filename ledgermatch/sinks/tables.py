@@ -50,7 +50,7 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def upsert_gold(spark: SparkSession, rows: DataFrame, path: str,
+def upsert_gold(spark: SparkSession, rows: DataFrame, path: str, run_dates: Sequence[str] | None = None,
                 cluster_by: Sequence[str] | None = None) -> None:
     """MERGE-like upsert of today's gold rows on (business_key, _run_date).
 
@@ -63,8 +63,9 @@ def upsert_gold(spark: SparkSession, rows: DataFrame, path: str,
     if target is None:
         overwrite_partitions(rows, path, cluster_by=cluster_by)
         return
-    dates = [r[0] for r in rows.select("_run_date").distinct().collect()]  # one value per run
-    touched = target.filter(F.col("_run_date").isin(dates))
+    if run_dates is None:  # normally passed in: finding them costs a pass over ``rows``
+        run_dates = [str(r[0]) for r in rows.select("_run_date").distinct().collect()]
+    touched = target.filter(F.col("_run_date").isin([F.lit(d).cast("date") for d in run_dates]))
     merged = replace_groups(touched.select(*rows.columns), rows)
     overwrite_partitions(merged, path, cluster_by=cluster_by)
 
