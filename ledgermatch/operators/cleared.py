@@ -24,8 +24,9 @@ def snapshot_cutoff(run_date: str | dt.date, lookback_days: int) -> tuple[Column
     return F.to_timestamp(day), day
 
 
-def previous_unmatched_keys(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> DataFrame:
-    """Distinct keys UNMATCHED in the as-of snapshot.
+def snapshot_open_keys(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> DataFrame:
+    """Business keys of the UNMATCHED rows in the as-of snapshot (one row per
+    snapshot row; a key open on several runs repeats).
 
     The ``_run_date`` bound only prunes partitions: a run is never stamped
     before its own run date, so no row it drops could pass the ``_run_ts`` test.
@@ -33,7 +34,12 @@ def previous_unmatched_keys(gold: DataFrame, run_date: str | dt.date, lookback_d
     cutoff_ts, cutoff_day = snapshot_cutoff(run_date, lookback_days)
     return (gold.filter((F.col("_run_date") <= cutoff_day) & (F.col("_run_ts") <= cutoff_ts)
                         & (F.col("recon_status") == UNMATCHED))
-            .select("business_key").distinct())
+            .select("business_key"))
+
+
+def previous_unmatched_keys(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> DataFrame:
+    """Distinct keys UNMATCHED in the as-of snapshot."""
+    return snapshot_open_keys(gold, run_date, lookback_days).distinct()
 
 
 def cleared_keys(current: DataFrame, gold: DataFrame, run_date: str | dt.date,
@@ -60,10 +66,15 @@ def detect_cleared(current: DataFrame, gold: DataFrame | None, run_date: str | d
     cleared and every unmatched row stays open. ``still_unmatched`` removes
     cleared keys from today's unmatched rows; by construction no cleared key
     is unmatched today, so it equals today's unmatched rows.
+
+    This standalone form reads today's classification twice (rows and keys);
+    ``match.classify(..., previous_open=snapshot_open_keys(...))`` computes
+    the same CLEARED rows inside the single matching pass.
     """
     open_rows = current.filter(F.col("recon_status") == UNMATCHED)
     if gold is None:
-        empty = current.sparkSession.createDataFrame([], "business_key string, recon_status string")
+        # an empty frame the optimizer can see is empty, so unions drop it
+        empty = current.select("business_key", F.lit(CLEARED).alias("recon_status")).filter(F.lit(False))
         return empty, open_rows
     keys = cleared_keys(current, gold, run_date, cfg)
     cleared = keys.withColumn("recon_status", F.lit(CLEARED))

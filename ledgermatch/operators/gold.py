@@ -35,14 +35,15 @@ def union_results(*frames: DataFrame) -> DataFrame:
     return merged.select(*cols, *extra)
 
 
-def assemble(classified: DataFrame, cleared: DataFrame, run_ts: str | dt.datetime,
+def assemble(classified: DataFrame, cleared: DataFrame | None, run_ts: str | dt.datetime,
              run_date: str | dt.date) -> DataFrame:
     """Today's gold rows: every classified row plus one row per cleared key.
 
     The classified rows already carry today's UNMATCHED set; cleared keys are
-    by construction absent from it, so no row has to be removed.
+    by construction absent from it, so no row has to be removed. Pass
+    ``cleared=None`` when the classification already holds its CLEARED rows.
     """
-    rows = union_results(classified, cleared)
+    rows = classified if cleared is None else union_results(classified, cleared)
     return rows.withColumns(run_stamps(run_ts, run_date)).select(*GOLD_COLUMNS)
 
 

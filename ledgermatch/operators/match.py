@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from ..config import (AMOUNT_MISMATCH, CASH, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
+from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
                       REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
 
 CASH_PAYLOAD = ("account_number", "trade_reference", "settlement_date", "currency", "swift_bic", "debit_credit")
@@ -58,15 +58,22 @@ MISMATCH_COLUMNS = tuple(c for c in MATCHED_COLUMNS if c != "swift_bic")
 _SIDE, _ID, _AMT, _PAIR = "_side", "_rid", "_amt", "_pair"
 
 
-def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str) -> DataFrame:
-    """Both ledgers in one narrow frame: side 0 = cash, 1 = RADA."""
+def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str,
+           previous_open: DataFrame | None = None) -> DataFrame:
+    """Both ledgers in one narrow frame: side 0 = cash, 1 = RADA, and
+    optionally 2 = keys that were UNMATCHED in the earlier snapshot."""
     c = cash.select("business_key", F.lit(0).alias(_SIDE), F.col(cash_id).alias(_ID),
                     F.col("amount").alias(_AMT), *CASH_PAYLOAD,
                     F.lit(None).cast("string").alias("rada_status"))
     null_payload = [F.lit(None).cast(cash.schema[c].dataType).alias(c) for c in CASH_PAYLOAD]
     r = rada.select("business_key", F.lit(1).alias(_SIDE), F.col(rada_id).alias(_ID),
                     F.col("amount").alias(_AMT), *null_payload, F.col("status").alias("rada_status"))
-    return c.unionByName(r)
+    out = c.unionByName(r)
+    if previous_open is not None:
+        out = out.unionByName(previous_open.select(
+            "business_key", F.lit(2).alias(_SIDE), F.lit(None).cast("string").alias(_ID),
+            F.lit(None).cast("double").alias(_AMT), *null_payload, F.lit(None).cast("string").alias("rada_status")))
+    return out
 
 
 def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
@@ -88,19 +95,40 @@ def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
     return [r["business_key"] for r in rows]
 
 
-def _rank_by_window(stacked: DataFrame) -> DataFrame:
-    """Pair number per (key, side); one hash exchange on the key serves this and the pairing."""
+def _side_count(side: int) -> Column:
+    return F.sum(F.when(F.col(_SIDE) == side, 1).otherwise(0))
+
+
+def _pair_number(rank: Column) -> Column:
+    """Snapshot rows (side 2) all share pair 0; ledger rows are numbered from 1."""
+    return F.when(F.col(_SIDE) == 2, F.lit(0)).otherwise(rank).cast("int")
+
+
+def _still_open(cash_n: Column, rada_n: Column) -> Column:
+    """One-to-one pairing leaves a cash record unpartnered exactly when the
+    key has more cash than RADA records, so the key is UNMATCHED today iff this holds."""
+    return cash_n > rada_n
+
+
+def _rank_by_window(stacked: DataFrame, with_snapshot: bool) -> DataFrame:
+    """Pair number per (key, side); one hash exchange on the key serves this,
+    the per-key counts and the pairing."""
     w = Window.partitionBy("business_key", _SIDE).orderBy(F.col(_AMT).asc_nulls_first(), F.col(_ID).asc_nulls_first())
-    return stacked.repartition("business_key").withColumn(_PAIR, F.row_number().over(w))
+    ranked = stacked.repartition("business_key").withColumn(_PAIR, _pair_number(F.row_number().over(w)))
+    if with_snapshot:
+        # same partitioning and a prefix of the same sort: no further exchange or sort
+        per_key = Window.partitionBy("business_key")
+        ranked = ranked.withColumn("_open_now", _still_open(_side_count(0).over(per_key), _side_count(1).over(per_key)))
+    return ranked
 
 
-def _rank_by_range(stacked: DataFrame, partitions: int) -> DataFrame:
+def _rank_by_range(stacked: DataFrame, partitions: int, with_snapshot: bool) -> DataFrame:
     """Same pair numbers as ``_rank_by_window``, for keys too large for one task.
 
-    The numbered rows are read twice (segment sizes, then the rank), so they
-    are checkpointed to the shared checkpoint folder first: range bounds come
-    from a sample, and a second evaluation (or a recomputation after a lost
-    executor) could otherwise cut the partitions differently.
+    The numbered rows are read more than once (segment sizes, then the rank),
+    so they are checkpointed to the shared checkpoint folder first: range
+    bounds come from a sample, and a second evaluation (or a recomputation
+    after a lost executor) could otherwise cut the partitions differently.
     """
     checkpoint_root(stacked.sparkSession)
     order = ["business_key", _SIDE, F.col(_AMT).asc_nulls_first(), F.col(_ID).asc_nulls_first()]
@@ -114,15 +142,23 @@ def _rank_by_range(stacked: DataFrame, partitions: int) -> DataFrame:
                 .agg(F.min("_gid").alias("_g0"), F.count(F.lit(1)).alias("_n"))
                 .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))))
     # one row per (hot key, side, partition) it touches: bounded by partitions + hot keys
-    return (ranged.join(F.broadcast(segments.select(*seg_keys, "_g0", "_off")), seg_keys)
-            .withColumn(_PAIR, (F.col("_off") + F.col("_gid") - F.col("_g0") + 1).cast("int"))
-            .drop("_part", "_gid", "_g0", "_off"))
-
-
-def _pairs(ranked: DataFrame) -> DataFrame:
-    """Fold each (key, pair) group (one cash and/or one RADA row) into one row."""
+    ranked = (ranged.join(F.broadcast(segments.select(*seg_keys, "_g0", "_off")), seg_keys)
+              .withColumn(_PAIR, _pair_number(F.col("_off") + F.col("_gid") - F.col("_g0") + 1))
+              .drop("_part", "_gid", "_g0", "_off"))
+    if with_snapshot:
+        # one row per hot key: bounded by the hot-key list
+        counts = ranged.groupBy("business_key").agg(_side_count(0).alias("_cn"), _side_count(1).alias("_rn"))
+        ranked = (ranked.join(F.broadcast(counts), "business_key")
+                  .withColumn("_open_now", _still_open(F.col("_cn"), F.col("_rn"))).drop("_cn", "_rn"))
+    return ranked
+
+
+def _pairs(ranked: DataFrame, with_snapshot: bool) -> DataFrame:
+    """Fold each (key, pair) group into one row: one cash and/or one RADA
+    record, or (pair 0) the key's snapshot rows."""
     is_cash = F.col(_SIDE) == 0
     is_rada = F.col(_SIDE) == 1
+    extra = [F.max("_open_now").alias("_open_now")] if with_snapshot else []
     return ranked.groupBy("business_key", _PAIR).agg(
         F.max(is_cash.cast("int")).alias("_in_cash"),
         F.max(is_rada.cast("int")).alias("_in_rada"),
@@ -132,6 +168,7 @@ def _pairs(ranked: DataFrame) -> DataFrame:
         F.max(F.when(is_rada, F.col(_AMT))).alias("_rada_amount"),
         *[F.max(c).alias(c) for c in CASH_PAYLOAD],
         F.max("rada_status").alias("rada_status"),
+        *extra,
     )
 
 
@@ -145,10 +182,14 @@ def status_expr(in_cash: Column, in_rada: Column, cash_amount: Column, rada_amou
             .otherwise(F.lit(AMOUNT_MISMATCH)))
 
 
-def _label(pairs: DataFrame, tolerance: float) -> DataFrame:
+def _label(pairs: DataFrame, tolerance: float, with_snapshot: bool) -> DataFrame:
     in_cash = F.col("_in_cash") == 1
     in_rada = F.col("_in_rada") == 1
     status = status_expr(in_cash, in_rada, F.col("_cash_amount"), F.col("_rada_amount"), tolerance)
+    if with_snapshot:
+        # a snapshot key is CLEARED unless it is still UNMATCHED today
+        pairs = pairs.filter((F.col(_PAIR) != 0) | ~F.coalesce(F.col("_open_now"), F.lit(False)))
+        status = F.when(F.col(_PAIR) == 0, F.lit(CLEARED)).otherwise(status)
     both = in_cash & in_rada
     s = F.col("recon_status")
     return (pairs.withColumn("recon_status", status)
@@ -169,22 +210,27 @@ def _label(pairs: DataFrame, tolerance: float) -> DataFrame:
 
 def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = ReconConfig(),
              *, cash_id: str = CASH.id_col, rada_id: str = RADA.id_col,
-             hot: list[str] | None = None) -> DataFrame:
+             previous_open: DataFrame | None = None, hot: list[str] | None = None) -> DataFrame:
     """Every record of both keyed ledgers, paired and labelled, in the gold row shape.
 
+    ``previous_open``: business keys UNMATCHED in the earlier snapshot (one
+    row per snapshot row; repeats are fine). When given, the same single pass
+    also emits one CLEARED row per such key that is not UNMATCHED today, so
+    CLEARED detection costs no second pass over the classification.
     ``hot`` overrides hot-key detection (tests use it to force either path).
     """
-    stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id)
+    snap = previous_open is not None
+    stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id, previous_open)
     if hot is None:
         hot = hot_keys(stacked, cfg)
     if not hot:
-        return _label(_pairs(_rank_by_window(stacked)), cfg.amount_tolerance)
+        return _label(_pairs(_rank_by_window(stacked, snap), snap), cfg.amount_tolerance, snap)
     spark = stacked.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.col("business_key").isin(hot)
-    cold = _pairs(_rank_by_window(stacked.filter(~is_hot)))
-    warm = _pairs(_rank_by_range(stacked.filter(is_hot), partitions))
-    return _label(cold.unionByName(warm), cfg.amount_tolerance)
+    cold = _pairs(_rank_by_window(stacked.filter(~is_hot), snap), snap)
+    warm = _pairs(_rank_by_range(stacked.filter(is_hot), partitions, snap), snap)
+    return _label(cold.unionByName(warm), cfg.amount_tolerance, snap)
 
 
 # --- per-class views (the public four-way split) -------------------------

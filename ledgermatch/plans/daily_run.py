@@ -19,7 +19,7 @@ from ..config import CASH, RADA, Ledger, ReconConfig
 from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
 from ..operators import kpis, quality
-from ..operators.cleared import detect_cleared
+from ..operators.cleared import detect_cleared, snapshot_open_keys
 from ..operators.match import classify
 from ..operators.standardise import standardise
 from ..sinks import tables
@@ -110,10 +110,17 @@ def run_daily(spark: SparkSession, layout: Layout, *, cash_landing: str, rada_la
                  .drop("_run_date"), fail_on_error=fail_on_dq)
 
     # match, CLEARED against the stored history, upsert today's partition
-    current = classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col), cfg)
+    cash_k, rada_k = prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col)
     history = tables.read_if_exists(spark, layout.gold)
-    cleared, _ = detect_cleared(current, history, run_date, cfg)
-    rows = gold_ops.assemble(current, cleared, run_ts, run_date)
+    if history is not None and not cfg.cleared_requires_match:
+        # one pass: the snapshot's open keys ride along with the match
+        current = classify(cash_k, rada_k, cfg,
+                           previous_open=snapshot_open_keys(history, run_date, cfg.lookback_days))
+        rows = gold_ops.assemble(current, None, run_ts, run_date)
+    else:
+        current = classify(cash_k, rada_k, cfg)
+        cleared, _ = detect_cleared(current, history, run_date, cfg)
+        rows = gold_ops.assemble(current, cleared, run_ts, run_date)
     tables.upsert_gold(spark, rows, layout.gold, [run_date], cluster_by=cfg.gold_cluster_cols)
 
     # KPIs and breakdown from the stored gold partition

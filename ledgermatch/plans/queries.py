@@ -17,7 +17,7 @@ from ..config import CASH, RADA, ReconConfig
 from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
 from ..operators import kpis, match, measures, quality
-from ..operators.cleared import detect_cleared
+from ..operators.cleared import detect_cleared, snapshot_open_keys
 from ..operators.standardise import latest_per_id, normalise, standardise, standardise_counts
 from ..schemas import landing_schema, type_contract
 from ..session import scratch_path
@@ -55,26 +55,31 @@ def keyed_rada(spark: SparkSession, sf: str, *, earlier: bool = False) -> DataFr
     return prepare_for_matching(silver_rada(spark, sf, earlier=earlier), RADA.id_col)
 
 
-def classified(spark: SparkSession, sf: str, *, earlier: bool = False) -> DataFrame:
-    return match.classify(keyed_cash(spark, sf), keyed_rada(spark, sf, earlier=earlier), CFG)
+def classified(spark: SparkSession, sf: str, *, earlier: bool = False,
+               previous_open: DataFrame | None = None) -> DataFrame:
+    return match.classify(keyed_cash(spark, sf), keyed_rada(spark, sf, earlier=earlier), CFG,
+                          previous_open=previous_open)
 
 
-def previous_gold(spark: SparkSession, sf: str) -> DataFrame:
+def previous_gold(spark: SparkSession, sf: str, early: DataFrame | None = None) -> DataFrame:
     """Gold rows of the earlier run (its first run: nothing to clear)."""
-    current = classified(spark, sf, earlier=True)
+    current = classified(spark, sf, earlier=True) if early is None else early
     cleared, _ = detect_cleared(current, None, PREV_RUN_DATE, CFG)
     return gold_ops.assemble(current, cleared, PREV_RUN_TS, PREV_RUN_DATE)
 
 
-def current_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Today's gold rows, CLEARED detected against the earlier run."""
-    current = classified(spark, sf)
-    cleared, _ = detect_cleared(current, previous_gold(spark, sf), RUN_DATE, CFG)
-    return gold_ops.assemble(current, cleared, RUN_TS, RUN_DATE)
+def current_gold(spark: SparkSession, sf: str, prev: DataFrame | None = None) -> DataFrame:
+    """Today's gold rows, CLEARED detected against the earlier run inside the
+    matching pass."""
+    prev = previous_gold(spark, sf) if prev is None else prev
+    current = classified(spark, sf, previous_open=snapshot_open_keys(prev, RUN_DATE, CFG.lookback_days))
+    return gold_ops.assemble(current, None, RUN_TS, RUN_DATE)
 
 
 def gold_history(spark: SparkSession, sf: str) -> DataFrame:
-    return previous_gold(spark, sf).unionByName(current_gold(spark, sf))
+    """Both runs' gold rows; the earlier run is built once and feeds both."""
+    prev = previous_gold(spark, sf)
+    return prev.unionByName(current_gold(spark, sf, prev=prev))
 
 
 def dirty_cash(spark: SparkSession, sf: str):
@@ -167,11 +172,11 @@ def q_gold_union(spark, sf):
 def q_gold_upsert(spark, sf):
     """Target: the earlier run plus a first attempt of today's run made with
     the earlier RADA extract; source: today's final rows."""
-    attempt = gold_ops.assemble(classified(spark, sf, earlier=True),
-                                spark.createDataFrame([], "business_key string, recon_status string"),
-                                RUN_TS, RUN_DATE)
-    target = previous_gold(spark, sf).unionByName(attempt)
-    return gold_ops.replace_groups(target, current_gold(spark, sf)).select(*GOLD_OUT)
+    early = classified(spark, sf, earlier=True)
+    prev = previous_gold(spark, sf, early)
+    attempt = gold_ops.assemble(early, None, RUN_TS, RUN_DATE)
+    target = prev.unionByName(attempt)
+    return gold_ops.replace_groups(target, current_gold(spark, sf, prev=prev)).select(*GOLD_OUT)
 
 
 def gold_day(spark, sf):

@@ -61,3 +61,25 @@ def test_kpi_row_always_present(spark):
     day = kpis.kpi_daily(gold, Q.RUN_DATE).first()
     assert day["total_records"] == day["matched"] + day["unmatched"] + day["new"] + day["cleared"] + \
         day["amount_mismatch"]
+
+
+def test_cleared_in_single_pass_equals_standalone(spark):
+    """CLEARED rows folded into the match equal the standalone anti-join form,
+    on the window path and on the forced hot-key path."""
+    from pyspark.sql import functions as F
+
+    from ledgermatch.operators import match
+    from ledgermatch.operators.cleared import snapshot_open_keys
+
+    prev = Q.previous_gold(spark, SF0001)
+    c, r = Q.keyed_cash(spark, SF0001), Q.keyed_rada(spark, SF0001)
+    standalone, _ = detect_cleared(match.classify(c, r), prev, Q.RUN_DATE)
+    snap = snapshot_open_keys(prev, Q.RUN_DATE, 5)
+    hot = [x[0] for x in snap.distinct().limit(40).collect()] + \
+          [x[0] for x in c.select("business_key").limit(40).collect()]
+    for forced in ([], hot):
+        folded = match.classify(c, r, previous_open=snap, hot=forced)
+        got = folded.filter(F.col("recon_status") == "CLEARED")
+        assert got.select("business_key", "recon_status").exceptAll(standalone).count() == 0
+        assert standalone.exceptAll(got.select("business_key", "recon_status")).count() == 0
+        assert folded.filter(F.col("recon_status") != "CLEARED").exceptAll(match.classify(c, r)).count() == 0
