@@ -70,7 +70,9 @@ def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str,
                     F.col("amount").alias(_AMT), *null_payload, F.col("status").alias("rada_status"))
     out = c.unionByName(r)
     if previous_open is not None:
-        out = out.unionByName(previous_open.select(
+        # distinct first (combined map-side), so a key open on many earlier runs is one row
+        keys = previous_open.select("business_key").distinct()
+        out = out.unionByName(keys.select(
             "business_key", F.lit(2).alias(_SIDE), F.lit(None).cast("string").alias(_ID),
             F.lit(None).cast("double").alias(_AMT), *null_payload, F.lit(None).cast("string").alias("rada_status")))
     return out
@@ -213,8 +215,8 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
              previous_open: DataFrame | None = None, hot: list[str] | None = None) -> DataFrame:
     """Every record of both keyed ledgers, paired and labelled, in the gold row shape.
 
-    ``previous_open``: business keys UNMATCHED in the earlier snapshot (one
-    row per snapshot row; repeats are fine). When given, the same single pass
+    ``previous_open``: business keys UNMATCHED in the earlier snapshot
+    (repeats are fine; they are made distinct). When given, the same single pass
     also emits one CLEARED row per such key that is not UNMATCHED today, so
     CLEARED detection costs no second pass over the classification.
     ``hot`` overrides hot-key detection (tests use it to force either path).
@@ -222,7 +224,8 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
     snap = previous_open is not None
     stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id, previous_open)
     if hot is None:
-        hot = hot_keys(stacked, cfg)
+        # snapshot keys are distinct, so only the ledgers can make a key hot
+        hot = hot_keys(_stack(cash_keyed, rada_keyed, cash_id, rada_id), cfg)
     if not hot:
         return _label(_pairs(_rank_by_window(stacked, snap), snap), cfg.amount_tolerance, snap)
     spark = stacked.sparkSession

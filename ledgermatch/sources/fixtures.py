@@ -19,7 +19,15 @@ INGESTED_AT = "2026-01-05 01:00:00"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One shared table. A table stored as a single unsplittable row group
+    would otherwise run all work up to the first shuffle in one task; such a
+    scan is spread over the session's cores (large inputs already have at
+    least that many splits and are left as they are)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _pad(c: Column, width: int) -> Column:
