@@ -67,6 +67,18 @@ class Layout:
     def audit(self) -> str:
         return self._p("gold", "run_audit")
 
+    def tables(self) -> list[tuple[str, str, str]]:
+        """``(database, table, path)`` of every dataset the run writes."""
+        out = []
+        for ledger in (CASH, RADA):
+            out += [("bronze", f"{ledger.name}_transactions", self.bronze(ledger)),
+                    ("silver", f"{ledger.name}_transactions", self.silver(ledger)),
+                    ("silver", f"{ledger.name}_quarantine", self.quarantine(ledger))]
+        out += [("silver", "dq_results", self.dq_results), ("gold", "reconciliation_results", self.gold),
+                ("gold", "reconciliation_kpis", self.kpis), ("gold", "recon_currency_breakdown", self.breakdown),
+                ("gold", "run_audit", self.audit)]
+        return out
+
 
 def local_run_date(cfg: ReconConfig, now: dt.datetime | None = None) -> dt.date:
     """Today's date in the business time zone (a 01:00 job is already on the new day)."""

@@ -22,6 +22,7 @@ from ..operators.standardise import latest_per_id, normalise, standardise, stand
 from ..schemas import landing_schema, type_contract
 from ..session import scratch_path
 from ..sinks import tables
+from ..sources import fixed_width
 from ..sources import fixtures as fx
 from ..streaming.ingest import ingest, validate_schema
 
@@ -286,6 +287,40 @@ def q_ingest_stream(spark, sf):
     return spark.read.parquet(bronze).select(*[f.name for f in landing_schema(CASH).fields])
 
 
+def q_ingest_rada_fixed_width(spark, sf):
+    """RADA delivered as fixed-width text with amounts in cents: land it,
+    stream-ingest it, standardise with the minor-unit scale; the result must
+    equal the RADA silver ledger built from the delimited extract."""
+    root = scratch_path(spark, "ingest-fw")
+    landing, bronze, ckpt = f"{root}/landing/rada", f"{root}/bronze/rada", f"{root}/checkpoints/rada"
+    layout = fixed_width.ledger_layout(RADA)
+    fixed_width.render(fx.rada_minor_units(spark, sf), layout).write.mode("overwrite").text(landing)
+    ingest(spark, landing, bronze, ckpt, RADA, fixed_width=layout)
+    std = standardise(spark.read.parquet(bronze), RADA, amount_scale=100.0)
+    return std.clean.select(RADA.id_col, *LEDGER_OUT[1:])
+
+
+def q_daily_run_kpis(spark, sf):
+    """Two full cycles from landing files: the earlier day with the early
+    RADA extract, then today after the late RADA records land. Returns the
+    stored KPI table."""
+    from .daily_run import Layout, run_daily
+
+    root = scratch_path(spark, "daily")
+    layout = Layout(f"{root}/lake")
+    cash_landing, rada_landing = f"{root}/landing/cash", f"{root}/landing/rada"
+    early = fx.rada_bronze(spark, sf, earlier=True).drop("_ingested_ts")
+    late = fx.rada_bronze(spark, sf).drop("_ingested_ts").join(early.select(RADA.id_col), RADA.id_col, "left_anti")
+    tables.write_csv(fx.cash_bronze(spark, sf).drop("_ingested_ts"), f"{cash_landing}/day1")
+    tables.write_csv(early, f"{rada_landing}/day1")
+    run_daily(spark, layout, cash_landing=f"{cash_landing}/*", rada_landing=f"{rada_landing}/*",
+              run_date=PREV_RUN_DATE, run_ts=PREV_RUN_TS, cfg=CFG)
+    tables.write_csv(late, f"{rada_landing}/day8")
+    run_daily(spark, layout, cash_landing=f"{cash_landing}/*", rada_landing=f"{rada_landing}/*",
+              run_date=RUN_DATE, run_ts=RUN_TS, cfg=CFG)
+    return spark.read.parquet(layout.kpis).select(*kpis.KPI_COLUMNS)
+
+
 def q_gold_clustered(spark, sf):
     path = scratch_path(spark, "gold")
     tables.upsert_gold(spark, current_gold(spark, sf), path, [RUN_DATE], cluster_by=CFG.gold_cluster_cols)
@@ -341,7 +376,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measure_total_variance": q_measure_total_variance,
     "validate_schema": q_validate_schema,
     "ingest_stream": q_ingest_stream,
+    "ingest_rada_fixed_width": q_ingest_rada_fixed_width,
     "gold_clustered": q_gold_clustered,
+    "daily_run_kpis": q_daily_run_kpis,
     "export_kpi": q_export_kpi,
     "export_exceptions": q_export_exceptions,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.gold import replace_groups
+from ..session import checkpoint_root
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -54,19 +55,26 @@ def upsert_gold(spark: SparkSession, rows: DataFrame, path: str, run_dates: Sequ
                 cluster_by: Sequence[str] | None = None) -> None:
     """MERGE-like upsert of today's gold rows on (business_key, _run_date).
 
-    Only the run dates present in ``rows`` are read and rewritten: the
-    partition filter prunes the target to them, the group replacement keeps
-    target rows whose key the new run did not produce, and the dynamic
-    overwrite swaps those partitions in after the job has succeeded.
+    Only the run dates present in ``rows`` are read and rewritten. When none
+    of them is stored yet (the normal first run of a day) the rows are
+    written straight away, so the classification behind them runs once.
+    Otherwise the rows are checkpointed to the shared checkpoint folder
+    (they feed both the key set and the union), the stored partitions are
+    pruned to those dates, the group replacement keeps stored rows whose key
+    the new run did not produce, and the dynamic overwrite swaps those
+    partitions in after the job has succeeded.
     """
     target = read_if_exists(spark, path)
-    if target is None:
-        overwrite_partitions(rows, path, cluster_by=cluster_by)
-        return
     if run_dates is None:  # normally passed in: finding them costs a pass over ``rows``
         run_dates = [str(r[0]) for r in rows.select("_run_date").distinct().collect()]
-    touched = target.filter(F.col("_run_date").isin([F.lit(d).cast("date") for d in run_dates]))
-    merged = replace_groups(touched.select(*rows.columns), rows)
+    dates = [F.lit(str(d)).cast("date") for d in run_dates]
+    touched = None if target is None else target.filter(F.col("_run_date").isin(dates))
+    if touched is None or not touched.limit(1).collect():
+        overwrite_partitions(rows, path, cluster_by=cluster_by)
+        return
+    checkpoint_root(spark)
+    staged = rows.checkpoint(eager=True)
+    merged = replace_groups(touched.select(*rows.columns), staged)
     overwrite_partitions(merged, path, cluster_by=cluster_by)
 
 

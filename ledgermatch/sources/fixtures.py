@@ -184,3 +184,9 @@ def repeated_key_ledgers(spark: SparkSession, sf_dir: str, *, skewed: bool = Fal
     rada = _lineitem_ledger(li.filter(F.col("l_partkey") % 11 != 3), RADA.id_col, "RADA", account, trade,
                             group, lineitem_rada_amount(price, F.col("l_partkey")))
     return cash, rada
+
+
+def rada_minor_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The RADA extract with amounts in minor units (whole cents, as text)."""
+    rada = rada_bronze(spark, sf_dir)
+    return rada.withColumn("amount", F.round(F.col("amount") * F.lit(100.0)).cast("bigint").cast("string"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import Ledger
 from ..schemas import landing_schema
+from ..sources.fixed_width import FieldSpec, parse
 
 
 @dataclass
@@ -25,33 +26,39 @@ class IngestResult:
 
 
 def landing_stream(spark: SparkSession, source_path: str, ledger: Ledger, *, sep: str = ",",
-                   amount_as_text: bool = False) -> DataFrame:
+                   amount_as_text: bool = False, fixed_width: FieldSpec | None = None) -> DataFrame:
     """Streaming read of the landing folder with lineage columns.
 
-    ``enforceSchema=false`` checks each file's header against the schema by
-    name, so a file with reordered columns fails instead of loading shifted
-    values.
+    Delimited files: ``enforceSchema=false`` checks each file's header
+    against the schema by name, so a file with reordered columns fails
+    instead of loading shifted values. ``fixed_width``: the files are plain
+    text cut at the given field widths (all fields arrive as text).
     """
-    return (spark.readStream.format("csv")
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("sep", sep)
-            .schema(landing_schema(ledger, amount_as_text=amount_as_text))
-            .load(source_path)
+    if fixed_width is not None:
+        raw = parse(spark.readStream.format("text").load(source_path), fixed_width)
+    else:
+        raw = (spark.readStream.format("csv")
+               .option("header", True)
+               .option("enforceSchema", False)
+               .option("sep", sep)
+               .schema(landing_schema(ledger, amount_as_text=amount_as_text))
+               .load(source_path))
+    return (raw
             .withColumn("_ingested_ts", F.current_timestamp())
             .withColumn("_source_file", F.col("_metadata.file_path"))
             .withColumn("_batch_date", F.current_date()))
 
 
 def ingest(spark: SparkSession, source_path: str, bronze_path: str, checkpoint_path: str, ledger: Ledger,
-           *, sep: str = ",", amount_as_text: bool = False) -> IngestResult:
+           *, sep: str = ",", amount_as_text: bool = False, fixed_width: FieldSpec | None = None) -> IngestResult:
     """Append every new landing file to the bronze dataset and wait for it.
 
     ``new_rows`` sums the input rows of this run's micro-batches (the
     progress history keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
     batches; an availableNow run without rate limits uses one or a few).
     """
-    stream = landing_stream(spark, source_path, ledger, sep=sep, amount_as_text=amount_as_text)
+    stream = landing_stream(spark, source_path, ledger, sep=sep, amount_as_text=amount_as_text,
+                            fixed_width=fixed_width)
     query = (stream.writeStream.format("parquet")
              .outputMode("append")
              .option("checkpointLocation", checkpoint_path)

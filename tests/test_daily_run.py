@@ -47,3 +47,16 @@ def test_two_cycles_and_rerun(spark, workdir):
     assert spark.read.parquet(layout.audit).count() == 2
     dq = spark.read.parquet(layout.dq_results)
     assert dq.filter(F.col("status") == "FAIL").count() == 0 and dq.count() == 16
+
+
+def test_register_tables_in_catalog(spark, workdir):
+    from ledgermatch.sinks import catalog, tables
+
+    layout = Layout(f"{workdir}/lake")
+    gold = Q.gold_history(spark, SF0001)
+    tables.overwrite_partitions(gold, layout.gold)
+    names = catalog.register(spark, layout.tables(), prefix="t_")
+    assert names == ["t_gold.reconciliation_results"]
+    assert spark.table("t_gold.reconciliation_results").count() == gold.count()
+    assert spark.sql("SELECT count(*) FROM t_gold.reconciliation_results "
+                     f"WHERE _run_date = DATE '{Q.RUN_DATE}'").first()[0] == Q.current_gold(spark, SF0001).count()
