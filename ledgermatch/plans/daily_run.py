@@ -95,13 +95,19 @@ def run_daily(spark: SparkSession, layout: Layout, *, cash_landing: str, rada_la
               cfg: ReconConfig = ReconConfig(), rada_sep: str = ",", fail_on_dq: bool = True) -> dict:
     """Run one cycle and return its KPI row and step counts as a dict."""
     run_date = str(run_date or local_run_date(cfg))
-    run_ts = str(run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
+    if run_ts is None:  # stamps are read in the session time zone
+        session_tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+        run_ts = dt.datetime.now(session_tz).replace(tzinfo=None, microsecond=0)
+    run_ts = str(run_ts)
     counts: dict[str, int] = {}
 
-    # bronze: exactly-once file pickup
+    # bronze: exactly-once file pickup, then the mandatory-column check
     for ledger, landing, sep in ((CASH, cash_landing, ","), (RADA, rada_landing, rada_sep)):
         res = ingest(spark, landing, layout.bronze(ledger), layout.checkpoint(ledger), ledger, sep=sep)
         counts[f"{ledger.name}_ingested"] = res.new_rows
+        missing = [c for c in ledger.required_cols if c not in spark.read.parquet(layout.bronze(ledger)).columns]
+        if missing:
+            raise ValueError(f"{layout.bronze(ledger)} lacks mandatory columns {missing}")
 
     # silver: rebuilt from all of bronze; quarantine replaced for this run date
     for ledger in (CASH, RADA):
