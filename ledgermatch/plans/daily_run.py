@@ -12,18 +12,10 @@ import datetime as dt
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from ..config import CASH, RADA, Ledger, ReconConfig
-from ..functions.keys import prepare_for_matching
-from ..operators import gold as gold_ops
-from ..operators import kpis, quality
-from ..operators.cleared import detect_cleared, snapshot_open_keys
-from ..operators.match import classify
-from ..operators.standardise import standardise
-from ..sinks import tables
-from ..streaming.ingest import ingest
+from . import steps
 
 
 @dataclass(frozen=True)
@@ -86,78 +78,44 @@ def local_run_date(cfg: ReconConfig, now: dt.datetime | None = None) -> dt.date:
     return now.astimezone(ZoneInfo(cfg.time_zone)).date()
 
 
-def _stamp(df: DataFrame, run_date: dt.date | str) -> DataFrame:
-    return df.withColumn("_run_date", F.lit(str(run_date)).cast("date"))
-
-
 def run_daily(spark: SparkSession, layout: Layout, *, cash_landing: str, rada_landing: str,
               run_date: dt.date | str | None = None, run_ts: dt.datetime | str | None = None,
-              cfg: ReconConfig = ReconConfig(), rada_sep: str = ",", fail_on_dq: bool = True) -> dict:
-    """Run one cycle and return its KPI row and step counts as a dict."""
+              cfg: ReconConfig = ReconConfig(), rada_sep: str = ",", rada_options: dict | None = None,
+              fail_on_dq: bool = True) -> dict:
+    """Run one cycle and return its KPI row and step counts as a dict.
+
+    ``rada_options`` are passed to the RADA ingest (e.g. ``fixed_width``);
+    ``rada_sep`` is the RADA delimiter for delimited extracts.
+    """
     run_date = str(run_date or local_run_date(cfg))
     if run_ts is None:  # stamps are read in the session time zone
         session_tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
         run_ts = dt.datetime.now(session_tz).replace(tzinfo=None, microsecond=0)
     run_ts = str(run_ts)
-    counts: dict[str, int] = {}
+    facts: dict[str, int] = {}
 
     # bronze: exactly-once file pickup, then the mandatory-column check
-    for ledger, landing, sep in ((CASH, cash_landing, ","), (RADA, rada_landing, rada_sep)):
-        res = ingest(spark, landing, layout.bronze(ledger), layout.checkpoint(ledger), ledger, sep=sep)
-        counts[f"{ledger.name}_ingested"] = res.new_rows
+    for ledger, landing, options in ((CASH, cash_landing, {}),
+                                     (RADA, rada_landing, {"sep": rada_sep, **(rada_options or {})})):
+        res = steps.ingest_ledger(spark, ledger, landing, layout.bronze(ledger), layout.checkpoint(ledger), **options)
+        facts[f"{ledger.name}_ingested"] = res.new_rows
         missing = [c for c in ledger.required_cols if c not in spark.read.parquet(layout.bronze(ledger)).columns]
         if missing:
             raise ValueError(f"{layout.bronze(ledger)} lacks mandatory columns {missing}")
 
-    # silver: rebuilt from all of bronze; quarantine replaced for this run date
+    # silver, then the data-quality gate on what was stored
     for ledger in (CASH, RADA):
-        scale = cfg.rada_amount_scale if ledger is RADA else 1.0
-        std = standardise(spark.read.parquet(layout.bronze(ledger)), ledger, amount_scale=scale,
-                          standardised_ts=F.lit(run_ts).cast("timestamp"))
-        tables.overwrite(std.clean, layout.silver(ledger))
-        tables.overwrite_partitions(_stamp(std.quarantine, run_date), layout.quarantine(ledger))
-
-    cash = spark.read.parquet(layout.silver(CASH))
-    rada = spark.read.parquet(layout.silver(RADA))
-
-    # data-quality gate on what was stored
-    dq = quality.run_suite([(cash, layout.silver(CASH), CASH), (rada, layout.silver(RADA), RADA)], cfg)
-    tables.overwrite_partitions(_stamp(dq.withColumn("run_ts", F.lit(run_ts).cast("timestamp")), run_date),
-                                layout.dq_results)
-    quality.gate(spark.read.parquet(layout.dq_results).filter(F.col("_run_date") == F.lit(run_date).cast("date"))
-                 .drop("_run_date"), fail_on_error=fail_on_dq)
-
-    # match, CLEARED against the stored history, upsert today's partition
-    cash_k, rada_k = prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col)
-    history = tables.read_if_exists(spark, layout.gold)
-    if history is not None and not cfg.cleared_requires_match:
-        # one pass: the snapshot's open keys ride along with the match
-        current = classify(cash_k, rada_k, cfg,
-                           previous_open=snapshot_open_keys(history, run_date, cfg.lookback_days))
-        rows = gold_ops.assemble(current, None, run_ts, run_date)
-    else:
-        current = classify(cash_k, rada_k, cfg)
-        cleared, _ = detect_cleared(current, history, run_date, cfg)
-        rows = gold_ops.assemble(current, cleared, run_ts, run_date)
-    tables.upsert_gold(spark, rows, layout.gold, [run_date], cluster_by=cfg.gold_cluster_cols)
-
-    # KPIs and breakdown from the stored gold partition
-    gold = spark.read.parquet(layout.gold)
-    day = kpis.for_run_date(gold, run_date)
-    tables.overwrite_partitions(_stamp(kpis.kpi_daily(gold, run_date), run_date), layout.kpis)
-    tables.overwrite_partitions(kpis.currency_breakdown(day, run_date), layout.breakdown)
-
-    kpi = spark.read.parquet(layout.kpis).filter(F.col("_run_date") == F.lit(run_date).cast("date"))
-    kpi_row = kpi.drop("_run_date").first().asDict()
-
-    # audit row: what this run read, rejected and produced
-    audit = spark.createDataFrame(
-        [(run_date, run_ts, counts["cash_ingested"], counts["rada_ingested"], kpi_row["total_records"],
-          kpi_row["match_rate_pct"])],
-        "run_date string, run_ts string, cash_ingested long, rada_ingested long, total_records long, "
-        "match_rate_pct double")
-    audit = audit.select(F.col("run_date").cast("date").alias("run_date"),
-                         F.col("run_ts").cast("timestamp").alias("run_ts"),
-                         "cash_ingested", "rada_ingested", "total_records", "match_rate_pct")
-    tables.overwrite_partitions(_stamp(audit, run_date), layout.audit)
-    return {"run_date": run_date, "run_ts": run_ts, **counts, "kpi": kpi_row}
+        out = steps.standardise_ledger(spark, ledger, layout.bronze(ledger), layout.silver(ledger),
+                                       layout.quarantine(ledger), run_date, run_ts, cfg)
+        facts[f"{ledger.name}_clean"] = out["clean_count"]
+        facts[f"{ledger.name}_quarantined"] = out["quarantine_count"]
+    steps.run_dq_suite(spark, [(layout.silver(CASH), CASH), (layout.silver(RADA), RADA)], layout.dq_results,
+                       run_date, run_ts, cfg, fail_on_error=fail_on_dq)
+
+    # match with CLEARED against the stored history, upsert today's partition, KPIs
+    steps.reconcile_to_gold(spark, layout.silver(CASH), layout.silver(RADA), layout.gold, run_date, run_ts, cfg)
+    kpi_row = steps.compute_kpis(spark, layout.gold, layout.kpis, layout.breakdown, run_date)
+
+    steps.record_run(spark, layout.audit, run_date, run_ts,
+                     {**facts, "total_records": kpi_row["total_records"], "match_rate_pct": kpi_row["match_rate_pct"]})
+    return {"run_date": run_date, "run_ts": run_ts, **facts, "kpi": kpi_row}
