@@ -80,4 +80,6 @@ class ReconConfig:
     # upper bound on the hot-key list; keys beyond it stay on the exact
     # window path, so the bound only affects speed, never results
     max_hot_keys: int = 1000
+    # target rows per task on the hot-key path (partitions follow the sampled size)
+    hot_rows_per_partition: int = 1_000_000
     gold_cluster_cols: tuple[str, ...] = field(default=("recon_status", "settlement_date", "currency"))

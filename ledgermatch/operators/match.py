@@ -78,15 +78,16 @@ def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str,
     return out
 
 
-def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
-    """Keys whose sampled frequency says they hold at least ``hot_key_rows`` rows.
+def hot_key_counts(stacked: DataFrame, cfg: ReconConfig) -> dict[str, int]:
+    """Keys whose sampled frequency says they hold at least ``hot_key_rows``
+    rows, with their estimated row counts.
 
     At most ``max_hot_keys`` are returned (a bounded list, so the collect is
     small); any key not returned is still matched exactly on the window path.
     """
     f = cfg.hot_key_sample_fraction
     if f <= 0:
-        return []
+        return {}
     min_hits = max(2, int(cfg.hot_key_rows * f))
     rows = (stacked.select("business_key").sample(withReplacement=False, fraction=f, seed=7)
             .groupBy("business_key").count()
@@ -94,7 +95,11 @@ def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
             .orderBy(F.desc("count"), "business_key")
             .limit(cfg.max_hot_keys)
             .collect())
-    return [r["business_key"] for r in rows]
+    return {r["business_key"]: int(r["count"] / f) for r in rows}
+
+
+def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
+    return list(hot_key_counts(stacked, cfg))
 
 
 def _side_count(side: int) -> Column:
@@ -225,11 +230,16 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
     stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id, previous_open)
     if hot is None:
         # snapshot keys are distinct, so only the ledgers can make a key hot
-        hot = hot_keys(_stack(cash_keyed, rada_keyed, cash_id, rada_id), cfg)
+        estimates = hot_key_counts(_stack(cash_keyed, rada_keyed, cash_id, rada_id), cfg)
+        hot = list(estimates)
+    else:
+        estimates = {}
     if not hot:
         return _label(_pairs(_rank_by_window(stacked, snap), snap), cfg.amount_tolerance, snap)
     spark = stacked.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many range partitions as the sampled hot rows need, never fewer than the session's default
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     -(-sum(estimates.values()) // max(1, cfg.hot_rows_per_partition)))
     is_hot = F.col("business_key").isin(hot)
     cold = _pairs(_rank_by_window(stacked.filter(~is_hot), snap), snap)
     warm = _pairs(_rank_by_range(stacked.filter(is_hot), partitions, snap), snap)
