@@ -448,7 +448,10 @@ ORACLE: dict[str, str] = {
     "validate_schema": _with([("cash_bronze", CASH_BRONZE)], f"""SELECT '{BRONZE_CASH}' AS "table",
         count(*) AS row_count, '' AS missing_mandatory_columns, TRUE AS schema_valid FROM cash_bronze"""),
     "ingest_stream": _with([("cash_bronze", CASH_BRONZE)], f"SELECT {LEDGER_OUT} FROM cash_bronze"),
-    "ingest_rada_fixed_width": _with(BASE_CTES, "SELECT rada_id, " + LEDGER_COLS + " FROM rada_silver"),
+    # the extract carries whole cents, so the expected amount is cents / 100
+    "ingest_rada_fixed_width": _with(BASE_CTES, "SELECT rada_id, " + LEDGER_COLS.replace(
+        "amount,", "CAST(CAST(round(amount * CAST(100 AS DOUBLE)) AS BIGINT) AS DOUBLE) / CAST(100 AS DOUBLE) "
+                   "AS amount,") + " FROM rada_silver"),
     "gold_clustered": _with(GOLD_CTES, f"SELECT {GOLD_OUT} FROM cur_gold"),
     "export_kpi": KPI_DAILY,
     "daily_run_kpis": KPI_TREND,
