@@ -30,11 +30,14 @@ partition plus one per hot key) that is broadcast back. Pairs then group on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import business_key
 from ..session import checkpoint_root
-from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
+from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, KEY_FIELDS, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
                       REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
 
 CASH_PAYLOAD = ("account_number", "trade_reference", "settlement_date", "currency", "swift_bic", "debit_credit")
@@ -78,28 +81,38 @@ def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str,
     return out
 
 
-def hot_key_counts(stacked: DataFrame, cfg: ReconConfig) -> dict[str, int]:
+def hot_key_counts(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig,
+                   key_fields: Sequence[str] = KEY_FIELDS) -> dict[str, int]:
     """Keys whose sampled frequency says they hold at least ``hot_key_rows``
     rows, with their estimated row counts.
 
-    At most ``max_hot_keys`` are returned (a bounded list, so the collect is
-    small); any key not returned is still matched exactly on the window path.
+    The sample groups on the fields the key is built from, so no row outside
+    the sample is hashed; only the hot groups (at most ``max_hot_keys``) get
+    their SHA-256 key. Frames without those fields are grouped on the key.
+    The list is bounded, so the collect is small; a key not returned is still
+    matched exactly on the window path.
     """
     f = cfg.hot_key_sample_fraction
     if f <= 0:
         return {}
+    fields = list(key_fields)
+    by_fields = all(c in cash_keyed.columns and c in rada_keyed.columns for c in fields)
+    cols = fields if by_fields else ["business_key"]
     min_hits = max(2, int(cfg.hot_key_rows * f))
-    rows = (stacked.select("business_key").sample(withReplacement=False, fraction=f, seed=7)
-            .groupBy("business_key").count()
-            .filter(F.col("count") >= min_hits)
-            .orderBy(F.desc("count"), "business_key")
-            .limit(cfg.max_hot_keys)
-            .collect())
-    return {r["business_key"]: int(r["count"] / f) for r in rows}
+    sample = (cash_keyed.select(*cols).unionByName(rada_keyed.select(*cols))
+              .sample(withReplacement=False, fraction=f, seed=7))
+    top = (sample.groupBy(*cols).count()
+           .filter(F.col("count") >= min_hits)
+           .orderBy(F.desc("count"), *cols)
+           .limit(cfg.max_hot_keys))
+    if by_fields:
+        top = top.select(business_key(fields).alias("business_key"), "count")
+    return {r["business_key"]: int(r["count"] / f) for r in top.collect()}
 
 
-def hot_keys(stacked: DataFrame, cfg: ReconConfig) -> list[str]:
-    return list(hot_key_counts(stacked, cfg))
+def hot_keys(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig,
+             key_fields: Sequence[str] = KEY_FIELDS) -> list[str]:
+    return list(hot_key_counts(cash_keyed, rada_keyed, cfg, key_fields))
 
 
 def _side_count(side: int) -> Column:
@@ -217,7 +230,8 @@ def _label(pairs: DataFrame, tolerance: float, with_snapshot: bool) -> DataFrame
 
 def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = ReconConfig(),
              *, cash_id: str = CASH.id_col, rada_id: str = RADA.id_col,
-             previous_open: DataFrame | None = None, hot: list[str] | None = None) -> DataFrame:
+             previous_open: DataFrame | None = None, hot: list[str] | None = None,
+             key_fields: Sequence[str] = KEY_FIELDS) -> DataFrame:
     """Every record of both keyed ledgers, paired and labelled, in the gold row shape.
 
     ``previous_open``: business keys UNMATCHED in the earlier snapshot
@@ -225,12 +239,14 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
     also emits one CLEARED row per such key that is not UNMATCHED today, so
     CLEARED detection costs no second pass over the classification.
     ``hot`` overrides hot-key detection (tests use it to force either path).
+    ``key_fields``: the fields the business keys were built from; hot-key
+    detection groups its sample on them instead of hashing every row.
     """
     snap = previous_open is not None
     stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id, previous_open)
     if hot is None:
         # snapshot keys are distinct, so only the ledgers can make a key hot
-        estimates = hot_key_counts(_stack(cash_keyed, rada_keyed, cash_id, rada_id), cfg)
+        estimates = hot_key_counts(cash_keyed, rada_keyed, cfg, key_fields)
         hot = list(estimates)
     else:
         estimates = {}
