@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AMOUNT_MISMATCH, CLEARED, MATCHED, NEW, STATUSES, UNMATCHED
-from ..functions.money import MONEY, money_sum, money_sum_or_zero, ratio
+from ..functions.money import MONEY, money_sum, ratio
 
 KPI_COLUMNS = ("run_date", "total_records", "matched", "unmatched", "new", "cleared", "amount_mismatch",
                "match_rate_pct", "unmatched_exposure", "avg_amount_variance")
@@ -23,20 +23,38 @@ def for_run_date(gold: DataFrame, run_date: str | dt.date) -> DataFrame:
     return gold.filter(F.col("_run_date") == F.lit(str(run_date)).cast("date"))
 
 
+def day_summary(gold_day: DataFrame, *by: str) -> DataFrame:
+    """One row per (currency, status) with exact sums: the single pass over a
+    day's gold rows that both the KPI row and the breakdown are read from.
+    Its size is bounded by currencies x statuses (x ``by`` values), not by
+    the data."""
+    s = F.col("recon_status")
+    abs_var = F.when(s.isin(MATCHED, AMOUNT_MISMATCH), F.abs(F.col("amount_variance")).cast(MONEY))
+    return gold_day.groupBy(*by, "currency", "recon_status").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col("amount").cast(MONEY)).alias("_amount"),
+        F.sum(abs_var).alias("_var_sum"),
+        F.count(abs_var).alias("_var_n"),
+    )
+
+
 def _kpi_aggs() -> list[Column]:
     s = F.col("recon_status")
-    paired = s.isin(MATCHED, AMOUNT_MISMATCH)
-    abs_var = F.when(paired, F.abs(F.col("amount_variance")).cast(MONEY))
+
+    def n_of(label: str) -> Column:
+        return F.coalesce(F.sum(F.when(s == label, F.col("_n"))), F.lit(0)).cast("bigint")
+
     return [
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(s == MATCHED).alias("matched"),
-        F.count_if(s == UNMATCHED).alias("unmatched"),
-        F.count_if(s == NEW).alias("new"),
-        F.count_if(s == CLEARED).alias("cleared"),
-        F.count_if(s == AMOUNT_MISMATCH).alias("amount_mismatch"),
-        F.round(money_sum_or_zero(F.when(s == UNMATCHED, F.col("amount"))), 2).alias("unmatched_exposure"),
-        F.sum(abs_var).cast("double").alias("_var_sum"),
-        F.count(abs_var).alias("_var_n"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
+        n_of(MATCHED).alias("matched"),
+        n_of(UNMATCHED).alias("unmatched"),
+        n_of(NEW).alias("new"),
+        n_of(CLEARED).alias("cleared"),
+        n_of(AMOUNT_MISMATCH).alias("amount_mismatch"),
+        F.round(F.coalesce(F.sum(F.when(s == UNMATCHED, F.col("_amount"))).cast("double"), F.lit(0.0)), 2)
+         .alias("unmatched_exposure"),
+        F.sum("_var_sum").cast("double").alias("_var_sum"),
+        F.coalesce(F.sum("_var_n"), F.lit(0)).alias("_var_n"),
     ]
 
 
@@ -50,6 +68,17 @@ def _kpi_finish(agg: DataFrame, run_date_col: Column) -> DataFrame:
     )
 
 
+def kpi_from_summary(summary: DataFrame, run_date: str | dt.date) -> DataFrame:
+    """Exactly one KPI row (zeros when the day is empty) from ``day_summary``."""
+    return _kpi_finish(summary.agg(*_kpi_aggs()), F.lit(str(run_date)).cast("date"))
+
+
+def breakdown_from_summary(summary: DataFrame, run_date: str | dt.date) -> DataFrame:
+    return summary.select("currency", "recon_status", F.col("_n").alias("count"),
+                          F.round(F.col("_amount").cast("double"), 2).alias("total_amount"),
+                          F.lit(str(run_date)).cast("date").alias("_run_date"))
+
+
 def kpi_daily(gold: DataFrame, run_date: str | dt.date) -> DataFrame:
     """Exactly one KPI row for the run date (zeros when the day is empty).
 
@@ -58,22 +87,19 @@ def kpi_daily(gold: DataFrame, run_date: str | dt.date) -> DataFrame:
     definition does. ``unmatched_exposure`` adds amounts across currencies
     as they stand (no FX conversion).
     """
-    agg = for_run_date(gold, run_date).agg(*_kpi_aggs())
-    return _kpi_finish(agg, F.lit(str(run_date)).cast("date"))
+    return kpi_from_summary(day_summary(for_run_date(gold, run_date)), run_date)
 
 
 def kpi_trend(gold: DataFrame) -> DataFrame:
     """One KPI row per run date present in gold, for cycle-over-cycle trends."""
-    agg = gold.groupBy("_run_date").agg(*_kpi_aggs())
+    agg = day_summary(gold, "_run_date").groupBy("_run_date").agg(*_kpi_aggs())
     return _kpi_finish(agg, F.col("_run_date")).orderBy("run_date")
 
 
 def currency_breakdown(gold_day: DataFrame, run_date: str | dt.date) -> DataFrame:
     """Count and amount per (currency, status). NEW and CLEARED rows carry no
     currency, so they form the NULL-currency group."""
-    return (gold_day.groupBy("currency", "recon_status")
-            .agg(F.count(F.lit(1)).alias("count"), F.round(money_sum(F.col("amount")), 2).alias("total_amount"))
-            .withColumn("_run_date", F.lit(str(run_date)).cast("date")))
+    return breakdown_from_summary(day_summary(gold_day), run_date)
 
 
 def status_counts(gold_day: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators import kpis, quality
 from ..operators.cleared import detect_cleared, snapshot_open_keys
 from ..operators.match import classify
 from ..operators.standardise import standardise
+from ..session import checkpoint_root
 from ..sinks import tables
 from ..streaming.ingest import IngestResult, ingest, validate_schema
 
@@ -106,9 +107,12 @@ def compute_kpis(spark: SparkSession, gold_path: str, kpi_path: str, breakdown_p
     """KPI row and currency breakdown of one run date, stored per run date;
     returns the KPI row."""
     gold = spark.read.parquet(gold_path)
-    tables.overwrite_partitions(_stamp(kpis.kpi_daily(gold, run_date), run_date), kpi_path)
-    tables.overwrite_partitions(kpis.currency_breakdown(kpis.for_run_date(gold, run_date), run_date),
-                                breakdown_path)
+    # one scan of the day's partition; the tiny summary (currencies x statuses
+    # rows) is checkpointed and both outputs are written from it
+    checkpoint_root(spark)
+    summary = kpis.day_summary(kpis.for_run_date(gold, run_date)).checkpoint(eager=True)
+    tables.overwrite_partitions(_stamp(kpis.kpi_from_summary(summary, run_date), run_date), kpi_path)
+    tables.overwrite_partitions(kpis.breakdown_from_summary(summary, run_date), breakdown_path)
     row = spark.read.parquet(kpi_path).filter(F.col("_run_date") == _day(run_date)).drop("_run_date").first()
     return row.asDict()
 
