@@ -22,6 +22,8 @@ KEY_SEPARATOR = "|"
 KEY_NULL_TOKEN = "NULL"
 
 DEBIT_CREDIT_CODES = ("D", "C")
+# amounts must fit DECIMAL(18,2), the type money is summed in
+MAX_AMOUNT = 1e16
 DATE_PATTERN = "yyyy-MM-dd"
 REJECTION_REASON = "mandatory_field_or_value_check_failed"
 

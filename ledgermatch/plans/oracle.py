@@ -99,7 +99,7 @@ def _flagged(src: str, id_col: str) -> str:
            AND trade_reference IS NOT NULL AND length(trade_reference) > 0
            AND currency IS NOT NULL AND length(currency) > 0
            AND settlement_date IS NOT NULL
-           AND amount IS NOT NULL AND NOT isnan(amount) AND amount >= 0
+           AND amount IS NOT NULL AND NOT isnan(amount) AND amount >= 0 AND amount < CAST(1e16 AS DOUBLE)
            AND debit_credit IN ('D', 'C'), FALSE) AS ok
     FROM {src}"""
 

@@ -63,6 +63,12 @@ def test_nan_and_blank_rejected(spark):
     assert not clean and len(rejected) == 3
 
 
+def test_amounts_beyond_money_type_rejected(spark):
+    clean, rejected = _split(spark, [_row(cid="C1", amount="1e20"), _row(cid="C2", amount="Infinity"),
+                                     _row(cid="C3", amount="9999999999999.99")])
+    assert [r["cash_id"] for r in clean] == ["C3"] and len(rejected) == 2
+
+
 def test_latest_copy_survives(spark):
     later = TS + dt.timedelta(hours=1)
     clean, _ = _split(spark, [_row(narrative="first"), _row(narrative="resent", ts=later)])
