@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CASH, RADA, Ledger, ReconConfig
@@ -55,12 +55,13 @@ def standardise_ledger(spark: SparkSession, ledger: Ledger, bronze_path: str, si
     scale = cfg.rada_amount_scale if ledger == RADA else 1.0
     std = standardise(spark.read.parquet(bronze_path), ledger, amount_scale=scale,
                       standardised_ts=F.lit(run_ts).cast("timestamp"))
-    tables.overwrite(std.clean, silver_path)
-    tables.overwrite_partitions(_stamp(std.quarantine, run_date), quarantine_path)
-    clean_n = spark.read.parquet(silver_path).count()
-    stored = tables.read_if_exists(spark, quarantine_path)  # absent while nothing was ever rejected
-    rejected = 0 if stored is None else stored.filter(F.col("_run_date") == _day(run_date)).count()
-    return {"silver_table": silver_path, "clean_count": clean_n, "quarantine_count": rejected}
+    # counted while writing: no extra pass over either output
+    clean_obs, rejected_obs = Observation(f"{ledger.name}_clean"), Observation(f"{ledger.name}_rejected")
+    tables.overwrite(std.clean.observe(clean_obs, F.count(F.lit(1)).alias("rows")), silver_path)
+    tables.overwrite_partitions(_stamp(std.quarantine, run_date).observe(rejected_obs, F.count(F.lit(1)).alias("rows")),
+                                quarantine_path)
+    return {"silver_table": silver_path, "clean_count": int(clean_obs.get["rows"]),
+            "quarantine_count": int(rejected_obs.get["rows"])}
 
 
 def run_dq_suite(spark: SparkSession, tables_to_check: Sequence[tuple[str, Ledger]], results_path: str,

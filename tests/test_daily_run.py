@@ -24,6 +24,8 @@ def test_two_cycles_and_rerun(spark, workdir):
     day1 = run_daily(spark, layout, cash_landing=f"{cash_landing}/*", rada_landing=f"{rada_landing}/*",
                      run_date=Q.PREV_RUN_DATE, run_ts=Q.PREV_RUN_TS, rada_sep="|")
     assert day1["cash_ingested"] == cash.count() and day1["kpi"]["cleared"] == 0
+    assert day1["cash_clean"] == cash.count() and day1["cash_quarantined"] == 0
+    assert day1["rada_clean"] == rada_early.count()
 
     # the late RADA records arrive; a week later they clear the old breaks
     _land(rada_all.join(rada_early, "rada_id", "left_anti"), f"{rada_landing}/d8", sep="|")
