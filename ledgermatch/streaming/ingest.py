@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..config import Ledger
 from ..schemas import landing_schema
@@ -26,7 +27,8 @@ class IngestResult:
 
 
 def landing_stream(spark: SparkSession, source_path: str, ledger: Ledger, *, sep: str = ",",
-                   amount_as_text: bool = False, fixed_width: FieldSpec | None = None) -> DataFrame:
+                   amount_as_text: bool = False, fixed_width: FieldSpec | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of the landing folder with lineage columns.
 
     Delimited files: ``enforceSchema=false`` checks each file's header
@@ -34,10 +36,13 @@ def landing_stream(spark: SparkSession, source_path: str, ledger: Ledger, *, sep
     instead of loading shifted values. ``fixed_width``: the files are plain
     text cut at the given field widths (all fields arrive as text).
     """
+    reader = spark.readStream
+    if max_files_per_trigger:  # bounded micro-batches; availableNow still drains everything
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if fixed_width is not None:
-        raw = parse(spark.readStream.format("text").load(source_path), fixed_width)
+        raw = parse(reader.format("text").load(source_path), fixed_width)
     else:
-        raw = (spark.readStream.format("csv")
+        raw = (reader.format("csv")
                .option("header", True)
                .option("enforceSchema", False)
                .option("sep", sep)
@@ -49,25 +54,33 @@ def landing_stream(spark: SparkSession, source_path: str, ledger: Ledger, *, sep
             .withColumn("_batch_date", F.current_date()))
 
 
+def _row_count(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet dataset (footer metadata only); 0 before its first file."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException:
+        return 0
+
+
 def ingest(spark: SparkSession, source_path: str, bronze_path: str, checkpoint_path: str, ledger: Ledger,
-           *, sep: str = ",", amount_as_text: bool = False, fixed_width: FieldSpec | None = None) -> IngestResult:
+           *, sep: str = ",", amount_as_text: bool = False, fixed_width: FieldSpec | None = None,
+           max_files_per_trigger: int | None = None) -> IngestResult:
     """Append every new landing file to the bronze dataset and wait for it.
 
-    ``new_rows`` sums the input rows of this run's micro-batches (the
-    progress history keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
-    batches; an availableNow run without rate limits uses one or a few).
+    ``new_rows`` is the growth of bronze over this run (exact for any number
+    of micro-batches; the ingest is the only writer of its bronze dataset).
     """
+    before = _row_count(spark, bronze_path)
     stream = landing_stream(spark, source_path, ledger, sep=sep, amount_as_text=amount_as_text,
-                            fixed_width=fixed_width)
+                            fixed_width=fixed_width, max_files_per_trigger=max_files_per_trigger)
     query = (stream.writeStream.format("parquet")
              .outputMode("append")
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True)
              .start(bronze_path))
     query.awaitTermination()
-    new_rows = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-    total = spark.read.parquet(bronze_path).count()
-    return IngestResult(bronze_path, new_rows, total)
+    total = _row_count(spark, bronze_path)
+    return IngestResult(bronze_path, total - before, total)
 
 
 def validate_schema(df: DataFrame, table: str, ledger: Ledger) -> DataFrame:

@@ -29,6 +29,13 @@ def test_exactly_once_and_new_files(spark, workdir):
     assert bronze.filter("_source_file IS NULL").count() == 0
 
 
+def test_bounded_micro_batches_count_every_row(spark, workdir):
+    cash = fx.cash_bronze(spark, SF0001)
+    cash.drop("_ingested_ts").repartition(6).write.option("header", True).csv(f"{workdir}/landing")
+    res = ingest(spark, f"{workdir}/landing", f"{workdir}/bronze", f"{workdir}/ckpt", CASH, max_files_per_trigger=1)
+    assert res.new_rows == res.total_rows == cash.count()
+
+
 def test_reordered_header_fails_instead_of_shifting(spark, workdir):
     cash = fx.cash_bronze(spark, SF0001).drop("_ingested_ts")
     cols = cash.columns
