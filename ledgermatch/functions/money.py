@@ -18,10 +18,6 @@ def money_sum(c: Column) -> Column:
     return F.sum(c.cast(MONEY)).cast("double")
 
 
-def money_sum_or_zero(c: Column) -> Column:
-    return F.coalesce(money_sum(c), F.lit(0.0))
-
-
 def ratio(num: Column, den: Column, digits: int, *, scale: float = 1.0) -> Column:
     """``round(num / den * scale, digits)``, 0.0 when the denominator is 0."""
     value = num.cast("double") / den.cast("double")

@@ -6,10 +6,6 @@ from pyspark.sql import types as T
 
 from .config import LEDGER_COLUMNS, Ledger
 
-_TYPES = {
-    "amount": T.DoubleType(),
-}
-
 
 def landing_schema(ledger: Ledger, *, amount_as_text: bool = False) -> T.StructType:
     """Schema of a landing extract (CSV): every field text except the amount.
@@ -20,7 +16,7 @@ def landing_schema(ledger: Ledger, *, amount_as_text: bool = False) -> T.StructT
     """
     fields = [T.StructField(ledger.id_col, T.StringType(), False)]
     for name in LEDGER_COLUMNS:
-        dtype = T.StringType() if (amount_as_text or name not in _TYPES) else _TYPES[name]
+        dtype = T.DoubleType() if (name == "amount" and not amount_as_text) else T.StringType()
         nullable = name not in ("account_number", "trade_reference")
         fields.append(T.StructField(name, dtype, nullable))
     return T.StructType(fields)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,12 +67,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/ledgermatch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs a plain OS path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
