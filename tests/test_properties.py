@@ -68,3 +68,24 @@ def test_classify_equals_brute_force(spark, cash, rada, open_before, force_hot):
     got = sorted(((key_to_acc[g["business_key"]], g["cash_id"], g["rada_id"], g["recon_status"]) for g in got),
                  key=repr)
     assert got == brute_force(cash_rows, rada_rows, set(open_before))
+
+
+rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.sampled_from([1, 2]),
+                          st.integers(0, 9)), max_size=10)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=rows, source=rows)
+def test_replace_groups_equals_model(spark, target, source):
+    """Every (key, date) group present in the source replaces the target's
+    rows of that group; all other target rows stay; applying it twice
+    changes nothing."""
+    from ledgermatch.operators.gold import replace_groups
+
+    schema = "business_key string, _run_date int, v int"
+    t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
+    touched = {(k, d) for k, d, _ in source}
+    expected = sorted([r for r in target if (r[0], r[1]) not in touched] + list(source))
+    once = replace_groups(t, s)
+    assert sorted(tuple(r) for r in once.collect()) == expected
+    assert sorted(tuple(r) for r in replace_groups(once, s).collect()) == expected
