@@ -9,6 +9,7 @@ output replaces only its own ``_run_date`` partition.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from zoneinfo import ZoneInfo
 
@@ -94,21 +95,26 @@ def run_daily(spark: SparkSession, layout: Layout, *, cash_landing: str, rada_la
     run_ts = str(run_ts)
     facts: dict[str, int] = {}
 
-    # bronze: exactly-once file pickup, then the mandatory-column check
-    for ledger, landing, options in ((CASH, cash_landing, {}),
-                                     (RADA, rada_landing, {"sep": rada_sep, **(rada_options or {})})):
+    def land_and_standardise(ledger: Ledger, landing: str, options: dict) -> dict[str, int]:
+        # bronze: exactly-once file pickup, then the mandatory-column check
         res = steps.ingest_ledger(spark, ledger, landing, layout.bronze(ledger), layout.checkpoint(ledger), **options)
-        facts[f"{ledger.name}_ingested"] = res.new_rows
         missing = [c for c in ledger.required_cols if c not in spark.read.parquet(layout.bronze(ledger)).columns]
         if missing:
             raise ValueError(f"{layout.bronze(ledger)} lacks mandatory columns {missing}")
-
-    # silver, then the data-quality gate on what was stored
-    for ledger in (CASH, RADA):
         out = steps.standardise_ledger(spark, ledger, layout.bronze(ledger), layout.silver(ledger),
                                        layout.quarantine(ledger), run_date, run_ts, cfg)
-        facts[f"{ledger.name}_clean"] = out["clean_count"]
-        facts[f"{ledger.name}_quarantined"] = out["quarantine_count"]
+        return {f"{ledger.name}_ingested": res.new_rows, f"{ledger.name}_clean": out["clean_count"],
+                f"{ledger.name}_quarantined": out["quarantine_count"]}
+
+    # the ledgers are independent until matching: their jobs are submitted
+    # from two threads and share the cluster
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        futures = [pool.submit(land_and_standardise, CASH, cash_landing, {}),
+                   pool.submit(land_and_standardise, RADA, rada_landing, {"sep": rada_sep, **(rada_options or {})})]
+        for f in futures:
+            facts.update(f.result())
+
+    # data-quality gate on what was stored
     steps.run_dq_suite(spark, [(layout.silver(CASH), CASH), (layout.silver(RADA), RADA)], layout.dq_results,
                        run_date, run_ts, cfg, fail_on_error=fail_on_dq)
 
