@@ -10,19 +10,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.gold import replace_groups
 from ..session import checkpoint_root
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet dataset can be read at ``path``."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except AnalysisException:
+    """True when ``path`` holds a dataset: a data file or a partition folder.
+
+    Asked of the file system (with the session's Hadoop settings) instead of
+    by a read that fails, so no query is expected to fail.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
         return False
+    for status in fs.listStatus(hpath):
+        name = status.getPath().getName()
+        if "=" in name or not name.startswith(("_", ".")):
+            return True
+    return False
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

@@ -12,10 +12,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..config import Ledger
 from ..schemas import landing_schema
+from ..sinks.tables import exists
 from ..sources.fixed_width import FieldSpec, parse
 
 
@@ -56,10 +56,7 @@ def landing_stream(spark: SparkSession, source_path: str, ledger: Ledger, *, sep
 
 def _row_count(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet dataset (footer metadata only); 0 before its first file."""
-    try:
-        return spark.read.parquet(path).count()
-    except AnalysisException:
-        return 0
+    return spark.read.parquet(path).count() if exists(spark, path) else 0
 
 
 def ingest(spark: SparkSession, source_path: str, bronze_path: str, checkpoint_path: str, ledger: Ledger,
