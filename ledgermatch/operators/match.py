@@ -19,13 +19,19 @@ into one frame with a side flag. Ordinary keys take one hash shuffle on the
 key: a per-(key, side) ``row_number`` and a per-(key, pair) aggregate both
 run on that partitioning, so the whole match costs a single exchange.
 
-Keys found hot in a Bernoulli sample (a bounded list) are ranked on a
-range-partitioned path instead, so one key holding a large share of all
-rows is spread over many tasks: rows are range-partitioned on (key, side,
-amount, id), numbered in partition order, and each (key, side, partition)
-segment gets its offset from a small per-segment table (at most one row per
-partition plus one per hot key) that is broadcast back. Pairs then group on
-(key, pair), which spreads the hot key evenly.
+CLEARED detection rides along: the earlier snapshot's open keys join the
+stack as a third side (pair 0), per-key record counts come from a window
+that reuses the same partitioning and sort, and a key is still open today
+exactly when it has more cash than RADA records.
+
+Keys found hot in a Bernoulli sample (grouped on the raw key fields, a
+bounded list) are ranked on a range-partitioned path instead, so one key
+holding a large share of all rows is spread over many tasks: rows are
+range-partitioned on (key, side, amount, id), numbered in partition order,
+checkpointed, and each (key, side, partition) segment gets its offset from
+a small per-segment table (at most one row per partition plus one per hot
+key) that is broadcast back. Pairs then group on (key, pair), which spreads
+the hot key evenly.
 """
 
 from __future__ import annotations
@@ -35,10 +41,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, KEY_FIELDS, MATCHED, NEW, RADA, REASON_AMOUNT,
+                      REASON_MISSING_IN_CASH, REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
 from ..functions.keys import business_key
 from ..session import checkpoint_root
-from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, KEY_FIELDS, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
-                      REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
 
 CASH_PAYLOAD = ("account_number", "trade_reference", "settlement_date", "currency", "swift_bic", "debit_credit")
 
