@@ -89,3 +89,30 @@ def test_replace_groups_equals_model(spark, target, source):
     once = replace_groups(t, s)
     assert sorted(tuple(r) for r in once.collect()) == expected
     assert sorted(tuple(r) for r in replace_groups(once, s).collect()) == expected
+
+
+copies = st.lists(st.tuples(st.sampled_from(["C1", "C2", "C3"]), st.sampled_from([1, 2, 3]),
+                            st.sampled_from([None, "a", "b"]), st.sampled_from([None, 1.0, 2.5])), max_size=10)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=copies)
+def test_latest_per_id_equals_model(spark, rows):
+    """Survivor per id: the greatest (_ingested_ts, narrative, amount), NULL lowest."""
+    import datetime as dt
+
+    from ledgermatch.operators.standardise import latest_per_id
+
+    base = dt.datetime(2026, 1, 1)
+    data = [(i, base + dt.timedelta(hours=h), n, a) for i, h, n, a in rows]
+    df = spark.createDataFrame(data, "cash_id string, _ingested_ts timestamp, narrative string, amount double")
+
+    def rank(r):
+        return tuple((0,) if v is None else (1, v) for v in r[1:])
+
+    expected = {}
+    for r in data:
+        if r[0] not in expected or rank(r) > rank(expected[r[0]]):
+            expected[r[0]] = r
+    got = {r["cash_id"]: tuple(r) for r in latest_per_id(df, "cash_id").collect()}
+    assert got == expected
