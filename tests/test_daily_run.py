@@ -87,3 +87,26 @@ def test_step_api_per_class_frames(spark, workdir):
     steps.ingest_ledger(spark, CASH, landing, f"{workdir}/bronze", f"{workdir}/ckpt")
     v = steps.validate_bronze(spark, CASH, f"{workdir}/bronze")
     assert v["schema_valid"] and v["row_count"] == Q.fx.cash_bronze(spark, SF0001).count()
+
+
+def test_command_line_with_fixed_width_minor_units(spark, workdir, capsys):
+    """`python -m ledgermatch run` on a fixed-width RADA extract in cents gives
+    the same status counts as the delimited, decimal extract."""
+    import json
+
+    from ledgermatch.__main__ import main
+    from ledgermatch.config import RADA
+    from ledgermatch.sources import fixed_width
+
+    _land(Q.fx.cash_bronze(spark, SF0001), f"{workdir}/landing/cash")
+    lines = fixed_width.render(Q.fx.rada_minor_units(spark, SF0001), fixed_width.ledger_layout(RADA))
+    lines.coalesce(1).write.text(f"{workdir}/landing/rada")
+    assert main(["run", "--root", f"{workdir}/lake", "--cash-landing", f"{workdir}/landing/cash",
+                 "--rada-landing", f"{workdir}/landing/rada", "--rada-format", "fixed",
+                 "--rada-amount-scale", "100", "--run-date", Q.RUN_DATE, "--run-ts", Q.RUN_TS]) == 0
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    counts = {r["recon_status"]: r["count"] for r in
+              Q.q_recon_classified(spark, SF0001).groupBy("recon_status").count().collect()}
+    kpi = summary["kpi"]
+    assert (kpi["matched"], kpi["unmatched"], kpi["new"], kpi["amount_mismatch"], kpi["cleared"]) == \
+        (counts["MATCHED"], counts["UNMATCHED"], counts["NEW"], counts["AMOUNT_MISMATCH"], 0)
