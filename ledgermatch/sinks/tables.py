@@ -49,8 +49,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "_run_da
     """Replace exactly the partitions present in ``df``; others are untouched.
 
     The partition mode is set on the write itself, not on the session.
+    Without clustering, a REBALANCE hint lets AQE size the write tasks, so
+    rows that come straight from a scan (e.g. a few rejected rows per scan
+    task) land in a few files of the advisory size instead of one per task.
     """
-    out = clustered(df, cluster_by) if cluster_by else df
+    out = clustered(df, cluster_by) if cluster_by else df.hint("rebalance", partition_col)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
