@@ -110,3 +110,15 @@ def test_command_line_with_fixed_width_minor_units(spark, workdir, capsys):
     kpi = summary["kpi"]
     assert (kpi["matched"], kpi["unmatched"], kpi["new"], kpi["amount_mismatch"], kpi["cleared"]) == \
         (counts["MATCHED"], counts["UNMATCHED"], counts["NEW"], counts["AMOUNT_MISMATCH"], 0)
+
+
+def test_run_date_is_taken_in_the_business_time_zone():
+    """A 01:00 job in Johannesburg (UTC+2) runs while UTC is still on the day before."""
+    import datetime as dt
+
+    from ledgermatch.config import ReconConfig
+    from ledgermatch.plans.daily_run import local_run_date
+
+    at = dt.datetime(2026, 1, 7, 23, 0, tzinfo=dt.timezone.utc)   # 01:00 on the 8th in Johannesburg
+    assert local_run_date(ReconConfig(), at) == dt.date(2026, 1, 8)
+    assert local_run_date(ReconConfig(time_zone="UTC"), at) == dt.date(2026, 1, 7)
