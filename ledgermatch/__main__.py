@@ -16,6 +16,7 @@ import sys
 from dataclasses import fields
 
 from .config import RADA, ReconConfig
+from .plans import steps
 from .plans.daily_run import Layout, run_daily
 from .session import build_session
 from .sinks import catalog
@@ -35,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--rada-sep", default=",")
     run.add_argument("--no-fail-on-dq", action="store_true", help="record failed checks but continue")
     run.add_argument("--register", action="store_true", help="register the tables in the catalog")
+    run.add_argument("--optimize", action="store_true",
+                     help="afterwards rewrite today's gold partition range-clustered on the filter columns")
     for f in fields(ReconConfig):
         if f.type in ("float", "int", "bool"):
             run.add_argument(f"--{f.name.replace('_', '-')}", type=str, default=None)
@@ -60,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     summary = run_daily(spark, layout, cash_landing=args.cash_landing, rada_landing=args.rada_landing,
                         run_date=args.run_date, run_ts=args.run_ts, cfg=cfg, rada_sep=args.rada_sep,
                         rada_options=rada_options, fail_on_dq=not args.no_fail_on_dq)
+    if args.optimize:
+        steps.optimize_gold(spark, layout.gold, summary["run_date"], cfg)
     if args.register:
         summary["registered"] = catalog.register(spark, layout.tables())
     print(json.dumps(summary, default=str))

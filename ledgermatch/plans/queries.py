@@ -324,6 +324,7 @@ def q_daily_run_kpis(spark, sf):
 def q_gold_clustered(spark, sf):
     path = scratch_path(spark, "gold")
     tables.upsert_gold(spark, current_gold(spark, sf), path, [RUN_DATE], cluster_by=CFG.gold_cluster_cols)
+    tables.optimize_layout(spark, path, [RUN_DATE], CFG.gold_cluster_cols)
     return spark.read.parquet(path).select(*GOLD_OUT)
 
 

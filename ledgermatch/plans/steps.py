@@ -104,6 +104,13 @@ def merge_to_gold(spark: SparkSession, frames: Sequence[DataFrame], gold_path: s
     tables.upsert_gold(spark, rows, gold_path, [str(run_date)], cluster_by=cfg.gold_cluster_cols)
 
 
+def optimize_gold(spark: SparkSession, gold_path: str, run_date: str | dt.date,
+                  cfg: ReconConfig = ReconConfig()) -> None:
+    """Maintenance: rewrite one stored run date range-clustered on the BI
+    filter columns, so filters skip whole files (run after the cycle)."""
+    tables.optimize_layout(spark, gold_path, [str(run_date)], cfg.gold_cluster_cols)
+
+
 def compute_kpis(spark: SparkSession, gold_path: str, kpi_path: str, breakdown_path: str,
                  run_date: str | dt.date) -> dict:
     """KPI row and currency breakdown of one run date, stored per run date;

@@ -38,9 +38,13 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Lay rows out by ``cols`` (range partitioned, sorted within files), so
-    Parquet min/max statistics let filters on those columns skip files and
-    row groups. AQE sizes the range partitions."""
+    """Lay rows out by ``cols`` across files (range partitioned) and within
+    them (sorted), so Parquet min/max statistics let filters on those columns
+    skip whole files as well as row groups. AQE sizes the range partitions.
+
+    Range bounds come from a sampling pass over the input, so apply this to
+    stored data (see ``optimize_layout``), not to an expensive computation.
+    """
     return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
 
 
@@ -49,15 +53,32 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "_run_da
     """Replace exactly the partitions present in ``df``; others are untouched.
 
     The partition mode is set on the write itself, not on the session.
-    Without clustering, a REBALANCE hint lets AQE size the write tasks, so
-    rows that come straight from a scan (e.g. a few rejected rows per scan
-    task) land in a few files of the advisory size instead of one per task.
+    ``cluster_by``: each written file is sorted by these columns (no extra
+    shuffle), so row-group statistics prune filters on them. Without it, a
+    REBALANCE hint lets AQE size the write tasks, so rows that come straight
+    from a scan (e.g. a few rejected rows per scan task) land in a few files
+    of the advisory size instead of one per task.
     """
-    out = clustered(df, cluster_by) if cluster_by else df.hint("rebalance", partition_col)
+    if cluster_by:
+        out = df.sortWithinPartitions(partition_col, *cluster_by)
+    else:
+        out = df.hint("rebalance", partition_col)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
+def optimize_layout(spark: SparkSession, path: str, run_dates: Sequence[str], cols: Sequence[str],
+                    partition_col: str = "_run_date") -> None:
+    """Rewrite stored partitions range-clustered on ``cols`` (a maintenance
+    step, like a clustering compaction): files then cover disjoint ranges, so
+    filters skip whole files. Reads only the given partitions; the rewrite
+    replaces them after the job has succeeded."""
+    dates = [F.lit(str(d)).cast("date") for d in run_dates]
+    stored = spark.read.parquet(path).filter(F.col(partition_col).isin(dates))
+    (clustered(stored, list(cols)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
