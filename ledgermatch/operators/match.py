@@ -286,12 +286,17 @@ def amount_mismatched(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("recon_status") == AMOUNT_MISMATCH).select(*MISMATCH_COLUMNS)
 
 
-def reconcile(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = ReconConfig()
-              ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def reconcile(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = ReconConfig(),
+              *, materialize: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """``(matched, unmatched, new, amount_mismatched)`` over one classification.
 
-    Each view re-reads the classification; to avoid recomputing the match
-    for every consumer, write ``classify(...)`` once and split the stored rows.
+    The four views prune different columns, so Spark cannot share one match
+    between them: each would run it again. With ``materialize`` (default)
+    the classification is checkpointed once to the shared checkpoint folder
+    and the views read the stored rows; the match runs exactly once.
     """
     c = classify(cash_keyed, rada_keyed, cfg)
+    if materialize:
+        checkpoint_root(c.sparkSession)
+        c = c.checkpoint(eager=True)
     return matched(c), unmatched(c), new(c), amount_mismatched(c)

@@ -107,3 +107,15 @@ def test_statuses_partition_every_record(spark):
     assert out.filter("cash_id IS NOT NULL").select("cash_id").distinct().count() == c.count()
     assert out.filter("rada_id IS NOT NULL").select("rada_id").distinct().count() == r.count()
     assert out.filter("cash_id IS NOT NULL").count() == c.count()
+
+
+def test_reconcile_views_share_one_materialized_match(spark):
+    from ledgermatch.plans import queries as Q
+
+    c, r = Q.keyed_cash(spark, SF001), Q.keyed_rada(spark, SF001)
+    views = match.reconcile(c, r)
+    for v in views:   # read from the checkpoint: no exchange left in the view's plan
+        assert "Exchange" not in v._jdf.queryExecution().executedPlan().toString()
+    full = match.classify(c, r)
+    for v, f in zip(views, (match.matched, match.unmatched, match.new, match.amount_mismatched)):
+        assert v.exceptAll(f(full)).count() == 0 and f(full).exceptAll(v).count() == 0
