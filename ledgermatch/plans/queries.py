@@ -162,11 +162,11 @@ def q_recon_still_unmatched(spark, sf):
 # --- gold ----------------------------------------------------------------
 
 def q_gold_union(spark, sf):
-    """The five class outputs unioned by name, stamped with the run."""
-    c = classified(spark, sf)
-    cleared, still = detect_cleared(c, previous_gold(spark, sf), RUN_DATE, CFG)
-    rows = gold_ops.union_results(match.matched(c), still.select(*match.UNMATCHED_COLUMNS), match.new(c),
-                                  cleared, match.amount_mismatched(c))
+    """The per-class workflow: four class frames from one (materialised)
+    match, CLEARED from the unmatched frame, unioned by name and stamped."""
+    m, u, n, mm = match.reconcile(keyed_cash(spark, sf), keyed_rada(spark, sf), CFG)
+    cleared, still = detect_cleared(u, previous_gold(spark, sf), RUN_DATE, CFG)
+    rows = gold_ops.union_results(m, still.select(*match.UNMATCHED_COLUMNS), n, cleared, mm)
     return rows.withColumns(gold_ops.run_stamps(RUN_TS, RUN_DATE)).select(*GOLD_OUT)
 
 
