@@ -83,3 +83,21 @@ def test_cleared_in_single_pass_equals_standalone(spark):
         assert got.select("business_key", "recon_status").exceptAll(standalone).count() == 0
         assert standalone.exceptAll(got.select("business_key", "recon_status")).count() == 0
         assert folded.filter(F.col("recon_status") != "CLEARED").exceptAll(match.classify(c, r)).count() == 0
+
+
+def test_optimize_layout_gives_files_disjoint_status_ranges(spark, workdir):
+    """After the clustering rewrite, files cover contiguous, non-overlapping
+    ranges of the first clustering column, so a status filter skips files."""
+    from pyspark.sql import functions as F
+
+    path = f"{workdir}/gold"
+    cur = Q.current_gold(spark, SF0001)
+    tables.upsert_gold(spark, cur, path, [Q.RUN_DATE], cluster_by=("recon_status", "settlement_date", "currency"))
+    tables.optimize_layout(spark, path, [Q.RUN_DATE], ("recon_status", "settlement_date", "currency"))
+    stored = spark.read.parquet(path)
+    assert stored.count() == cur.count()
+    ranges = (stored.groupBy(F.input_file_name().alias("f"))
+              .agg(F.min("recon_status").alias("lo"), F.max("recon_status").alias("hi"))
+              .orderBy("lo", "hi").collect())
+    for a, b in zip(ranges, ranges[1:]):
+        assert a["hi"] <= b["lo"]          # ranges do not interleave
