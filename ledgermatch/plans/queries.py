@@ -90,10 +90,12 @@ def dirty_cash(spark: SparkSession, sf: str):
 # --- silver --------------------------------------------------------------
 
 def q_silver_clean(spark, sf):
+    """Dirty cash extract standardised: valid rows, one per id."""
     return dirty_cash(spark, sf).clean.select(*LEDGER_OUT)
 
 
 def q_silver_quarantine(spark, sf):
+    """Dirty cash extract: every rejected row with its reason."""
     return dirty_cash(spark, sf).quarantine.select(*LEDGER_OUT, "_rejection_reason")
 
 
@@ -105,56 +107,68 @@ def q_silver_dedup(spark, sf):
 
 
 def q_silver_counts(spark, sf):
+    """Input, accepted, rejected and clean-id counts of the dirty extract."""
     return standardise_counts(fx.dirty_cash_bronze(spark, sf), CASH)
 
 
 # --- keys and matching ---------------------------------------------------
 
 def q_keyed_cash(spark, sf):
+    """Cash silver ledger with business keys."""
     return keyed_cash(spark, sf)
 
 
 def q_keyed_rada(spark, sf):
+    """RADA silver ledger with business keys."""
     return keyed_rada(spark, sf)
 
 
 def q_recon_classified(spark, sf):
+    """Every record of both ledgers, paired and labelled."""
     return classified(spark, sf)
 
 
 def q_recon_matched(spark, sf):
+    """MATCHED pairs (13 columns)."""
     return match.matched(classified(spark, sf))
 
 
 def q_recon_unmatched(spark, sf):
+    """Cash records without a RADA partner (10 columns)."""
     return match.unmatched(classified(spark, sf))
 
 
 def q_recon_new(spark, sf):
+    """RADA records without a cash partner (4 columns)."""
     return match.new(classified(spark, sf))
 
 
 def q_recon_amount_mismatch(spark, sf):
+    """Pairs outside the tolerance (12 columns)."""
     return match.amount_mismatched(classified(spark, sf))
 
 
 def q_recon_repeated_keys(spark, sf):
+    """Matching where (order, line) keys repeat: pairs one-to-one by amount."""
     cash, rada = fx.repeated_key_ledgers(spark, sf)
     return match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col), CFG)
 
 
 def q_recon_skewed_keys(spark, sf):
+    """Matching where each of three keys holds a third of all rows (hot-key path)."""
     cash, rada = fx.repeated_key_ledgers(spark, sf, skewed=True)
     return match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col),
                           SKEW_CFG)
 
 
 def q_recon_cleared(spark, sf):
+    """Keys open in the earlier run's snapshot and not open today (standalone form)."""
     cleared, _ = detect_cleared(classified(spark, sf), previous_gold(spark, sf), RUN_DATE, CFG)
     return cleared
 
 
 def q_recon_still_unmatched(spark, sf):
+    """Today's unmatched rows without the cleared keys."""
     _, still = detect_cleared(classified(spark, sf), previous_gold(spark, sf), RUN_DATE, CFG)
     return still.select(*match.UNMATCHED_COLUMNS)
 
@@ -187,22 +201,27 @@ def gold_day(spark, sf):
 # --- KPIs and reports ----------------------------------------------------
 
 def q_status_counts(spark, sf):
+    """Records per status for today's run (every status listed)."""
     return kpis.status_counts(gold_day(spark, sf))
 
 
 def q_kpi_daily(spark, sf):
+    """Today's KPI row."""
     return kpis.kpi_daily(gold_history(spark, sf), RUN_DATE)
 
 
 def q_kpi_currency_breakdown(spark, sf):
+    """Count and amount per (currency, status) for today's run."""
     return kpis.currency_breakdown(gold_day(spark, sf), RUN_DATE)
 
 
 def q_kpi_trend(spark, sf):
+    """One KPI row per run date."""
     return kpis.kpi_trend(gold_history(spark, sf))
 
 
 def q_run_summary(spark, sf):
+    """Step counts of the run: input, accepted, rejected, clean, and per status."""
     counts = standardise_counts(fx.cash_bronze(spark, sf), CASH)
     steps = counts.select(*[F.col(c).alias(f"cash_{c}") for c in counts.columns])
     rada_counts = standardise_counts(fx.rada_bronze(spark, sf), RADA)
@@ -213,10 +232,12 @@ def q_run_summary(spark, sf):
 
 
 def q_report_exposure_by_currency(spark, sf):
+    """Open amount and record count per currency, largest first."""
     return kpis.exposure_by_currency(gold_day(spark, sf))
 
 
 def q_report_top_mismatch(spark, sf):
+    """The 50 largest breaks by absolute variance."""
     return kpis.top_mismatches(gold_day(spark, sf), 50)
 
 
@@ -231,15 +252,18 @@ def typed_dirty(spark, sf):
 
 
 def q_dq_completeness(spark, sf):
+    """Completeness check on the typed dirty extract."""
     return quality.check_completeness(typed_dirty(spark, sf), BRONZE_CASH, CASH.required_cols,
                                       CFG.completeness_threshold)
 
 
 def q_dq_duplicate_rate(spark, sf):
+    """Duplicate-rate check on the typed dirty extract."""
     return quality.check_duplicates(typed_dirty(spark, sf), BRONZE_CASH, CASH.id_col, CFG.duplicate_threshold)
 
 
 def q_dq_negative_amounts(spark, sf):
+    """Negative-amount check on the typed dirty extract."""
     return quality.check_negative_amounts(typed_dirty(spark, sf), BRONZE_CASH)
 
 
@@ -249,6 +273,7 @@ def q_dq_schema(spark, sf):
 
 
 def q_dq_suite(spark, sf):
+    """All checks for the typed dirty cash extract and the RADA silver ledger."""
     return quality.run_suite([(typed_dirty(spark, sf), BRONZE_CASH, CASH),
                               (silver_rada(spark, sf), "silver.rada_transactions", RADA)], CFG)
 
@@ -256,20 +281,24 @@ def q_dq_suite(spark, sf):
 # --- measures --------------------------------------------------------------
 
 def q_measure_matched_rate(spark, sf):
+    """Dashboard matched rate over the KPI rows of both runs."""
     return measures.matched_rate(kpis.kpi_trend(gold_history(spark, sf)))
 
 
 def q_measure_exception_flag(spark, sf):
+    """Today's exception rows with their exception flag."""
     return measures.with_exception_flag(measures.exceptions(gold_day(spark, sf)))
 
 
 def q_measure_total_variance(spark, sf):
+    """Total cash minus total RADA over the silver ledgers."""
     return measures.total_variance(silver_cash(spark, sf), silver_rada(spark, sf))
 
 
 # --- IO round trips (written under the session's checkpoint folder) ------
 
 def q_validate_schema(spark, sf):
+    """Post-ingest mandatory-column check of the cash extract."""
     return validate_schema(fx.cash_bronze(spark, sf), BRONZE_CASH, CASH)
 
 
@@ -322,6 +351,7 @@ def q_daily_run_kpis(spark, sf):
 
 
 def q_gold_clustered(spark, sf):
+    """Today's gold rows written sorted, rewritten range-clustered, read back."""
     path = scratch_path(spark, "gold")
     tables.upsert_gold(spark, current_gold(spark, sf), path, [RUN_DATE], cluster_by=CFG.gold_cluster_cols)
     tables.optimize_layout(spark, path, [RUN_DATE], CFG.gold_cluster_cols)
@@ -329,6 +359,7 @@ def q_gold_clustered(spark, sf):
 
 
 def q_export_kpi(spark, sf):
+    """Today's KPI row through a CSV export and back."""
     path = scratch_path(spark, "export-kpi")
     kpi = q_kpi_daily(spark, sf)
     tables.write_csv(kpi, path)
@@ -336,6 +367,7 @@ def q_export_kpi(spark, sf):
 
 
 def q_export_exceptions(spark, sf):
+    """Today's exception rows through a CSV export and back."""
     path = scratch_path(spark, "export-exceptions")
     rows = measures.exceptions(gold_day(spark, sf))
     tables.write_csv(rows, path)
