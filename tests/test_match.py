@@ -95,6 +95,7 @@ def test_hot_keys_found_by_sample(spark):
     # grouping on the key itself (frames without the key fields) finds the same keys
     assert sorted(match.hot_keys(c.select("business_key"), r.select("business_key"), skew_cfg)) == sorted(found)
     assert match.hot_keys(c, r, ReconConfig()) == []   # default threshold: nothing is hot at sf0.01
+    assert match.hot_key_counts(c, r, ReconConfig(hot_key_sample_fraction=0)) == {}   # detection off
 
 
 def test_statuses_partition_every_record(spark):
