@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--optimize", action="store_true",
                      help="afterwards rewrite today's gold partition range-clustered on the filter columns")
     for f in fields(ReconConfig):
-        if f.type in ("float", "int", "bool"):
+        if f.type in ("float", "int", "bool", "str"):
             run.add_argument(f"--{f.name.replace('_', '-')}", type=str, default=None)
     return p
 
@@ -50,7 +50,8 @@ def _config(args: argparse.Namespace) -> ReconConfig:
         raw = getattr(args, f.name, None)
         if raw is None:
             continue
-        values[f.name] = {"float": float, "int": int, "bool": lambda v: v.lower() in ("1", "true", "yes")}[f.type](raw)
+        values[f.name] = {"float": float, "int": int, "str": str,
+                          "bool": lambda v: v.lower() in ("1", "true", "yes")}[f.type](raw)
     return ReconConfig(**values)
 
 
