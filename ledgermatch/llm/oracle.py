@@ -51,4 +51,16 @@ g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from d
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d join g using (text_sha256)
 """
 
-ORACLE = {"op1_secret_scan": OP1, "op10_exact_dedup": OP10}
+OP2 = r"""
+with l as (select doc_id, i, line, translate(trim(line, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, unnest(ls) as line, unnest(generate_series(1, len(ls))) as i
+        from (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))),
+f as (select key, max(doc_id) as last from l where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+m as (select l.*, f.key is not null and doc_id <> last as gone from l left join f using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from m group by doc_id
+"""
+
+ORACLE = {"op2_line_dedup": OP2, "op1_secret_scan": OP1, "op10_exact_dedup": OP10}
