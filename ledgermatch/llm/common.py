@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -39,3 +41,12 @@ def spread_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], salt_
     present = salted.select(*keys, "_salt").distinct()
     near = present.join(lookup, list(keys))
     return salted.join(near, [*keys, "_salt"], "left").drop("_salt")
+
+
+def per_worker(key, make):
+    """``make()`` once per Python worker process and key. Functions are sent by
+    value, so module globals do not outlive a task; ``sys.modules`` does."""
+    held = sys.modules.setdefault("_ledgermatch_worker", types.ModuleType("_ledgermatch_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
