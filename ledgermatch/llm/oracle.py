@@ -63,4 +63,14 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
 from m group by doc_id
 """
 
-ORACLE = {"op2_line_dedup": OP2, "op1_secret_scan": OP1, "op10_exact_dedup": OP10}
+OP3 = """
+with d as (select page_id, coalesce(html, '') as h from pages),
+s as (select page_id, octet_length(encode(h)) as payload_bytes, sha256(h) as payload_digest from d),
+f as (select payload_digest, min(page_id) as first from s where payload_bytes >= 100 group by 1)
+select page_id, payload_bytes, payload_digest,
+       case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+       case when first <> page_id then first end as refers_to
+from s left join f using (payload_digest)
+"""
+
+ORACLE = {"op3_warc_zip": OP3, "op2_line_dedup": OP2, "op1_secret_scan": OP1, "op10_exact_dedup": OP10}

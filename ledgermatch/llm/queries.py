@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, secrets, simhash
+from . import exact_dedup, line_dedup, secrets, simhash, token_store, warc_zip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +24,23 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op8_simhash_near_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_warc_zip, op8_simhash_near_dedup, op9_token_counts,
+                                    op10_exact_dedup)}
