@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, secrets, simhash, token_store, warc_zip
+from . import (
+    decontaminate, exact_dedup, licenses, line_dedup, mixing, secrets, simhash, token_store, toxicity, warc_zip,
+)
+
+from .common import text_or_empty
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +33,48 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+#: production weights of the mix; the documents have no domain, so a hash of the source stands for one
+MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+
+
+def source_domain() -> Column:
+    return F.concat(F.lit("d"), F.conv(F.substring(F.md5(F.coalesce("source", F.lit(""))), 1, 2), 16, 10).cast("int") % 4)
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """Half of all tokens, by the production weights, in at most two epochs."""
+    return mixing.mix(docs, source_domain(), MIX_WEIGHTS, F.floor(F.col("tokens") / 2))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Trained on the labels outside the held-out fifth."""
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out()))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    score = toxicity.score_column(text_or_empty("text"), toxicity_model(spark, docs, sf_dir))
+    return docs.select("doc_id", toxicity.held_out().alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"),
+                        F.size("matches").cast("long").alias("n_items"),
+                        F.concat_ws(",", F.sort_array("matches.item_id").cast("array<string>")).alias("items"),
+                        F.array_min("matches.distance").alias("least_distance"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.concat_ws(",", "licenses").alias("licenses"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -42,5 +88,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_warc_zip, op8_simhash_near_dedup, op9_token_counts,
-                                    op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_line_dedup, op3_warc_zip, op4_source_mix, op5_toxicity, op6_decontaminate, op7_license_scan,
+    op8_simhash_near_dedup, op9_token_counts, op10_exact_dedup)}
