@@ -225,9 +225,10 @@ def near_edges(fps: DataFrame, radius: int, shard_limit: int = 8192, most_hot: i
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3,
                     shard_limit: int = 8192) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``fp`` (signed long) and
+    """One row per row of ``docs``: ``doc_id``, ``fp`` (signed long),
     ``component_id``, the smallest identifier reachable over links of
-    ``radius`` or fewer differing bits."""
+    ``radius`` or fewer differing bits, and ``root``, the component's least
+    fingerprint."""
     prints = cut(docs.select(F.col(id_col).alias("doc_id"),
                              fingerprint_column(text_or_empty(text_col), words).alias("fp")))
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
@@ -235,6 +236,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = spread_lookup(cut(rooted), least, ["root"], ["fp"]).select("fp", "component_id")
+    named = spread_lookup(cut(rooted), least, ["root"], ["fp"]).select("fp", "root", "component_id")
     return spread_lookup(prints.withColumn("_n", F.monotonically_increasing_id()), named, ["fp"], ["_n"]).select(
-        "doc_id", "fp", "component_id")
+        "doc_id", "fp", "component_id", "root")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
+                         radius: int = 3, shard_limit: int = 8192) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns: of each component
+    the row with the smallest identifier, exactly one.
+
+    Rows whose identifier occurs once are decided by it. Repeated and null
+    identifiers are decided by (identifier, fingerprint), on their rows alone.
+    """
+    marks = cut(near_duplicates(docs, id_col, text_col, words, radius, shard_limit).withColumnRenamed("doc_id", "_id"))
+    by_id = marks.groupBy("_id").agg(F.count("*").alias("_n"), F.min("component_id").alias("_first"))
+    several = cut(by_id.filter("_n > 1 or _id is null").select("_id"))
+    gone = by_id.filter("_n > 1 or _id is null or _id != _first").select("_id")
+    winner = F.min(F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("fp").alias("fp")))
+    winners = marks.groupBy("root").agg(winner.alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_of"))
+
+    def same(side: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(side["_id"])
+
+    once = docs.join(gone, same(gone), "left_anti")
+    rows = docs.join(several, same(several), "left_semi").withColumn(
+        "_fp", fingerprint_column(text_or_empty(text_col), words))
+    chosen = rows.join(winners, rows[id_col].eqNullSafe(winners["_id"]) & (rows["_fp"] == winners["_of"]), "left_semi")
+    return once.unionByName(chosen.dropDuplicates([id_col, "_fp"]).drop("_fp"))
