@@ -73,4 +73,47 @@ select page_id, payload_bytes, payload_digest,
 from s left join f using (payload_digest)
 """
 
-ORACLE = {"op3_warc_zip": OP3, "op2_line_dedup": OP2, "op1_secret_scan": OP1, "op10_exact_dedup": OP10}
+def _share(nodes: str, parent: str, name: str, out: str) -> str:
+    """The budget of each parent shared by weight among (name, weight, cap)."""
+    part = f"partition by {parent}" if parent else ""
+    flagged = f"partition by {parent + ', ' if parent else ''}f"
+    order = f"order by cap::double / weight, {name}"
+    path = f"{parent + ', ' if parent else ''}{name}"
+    return f"""
+{out}_a as (select *, coalesce(sum(cap) over ({part} {order} rows between unbounded preceding and 1 preceding), 0) as used,
+    sum(weight) over ({part} {order} rows between current row and unbounded following) as wl from {nodes}),
+{out}_b as (select *, cap::hugeint * wl <= weight::hugeint * (budget - used) as f from {out}_a),
+{out}_c as (select *, budget - coalesce(sum(cap) filter (f) over ({part}), 0) as rest,
+    sum(weight) filter (not f) over ({part}) as ws from {out}_b),
+{out}_d as (select *, case when f then cap else (weight::hugeint * rest::hugeint) // ws::hugeint end as fl from {out}_c),
+{out}_e as (select *, rest - sum(fl) filter (not f) over ({part}) as extra,
+    row_number() over ({flagged} {order}) as place from {out}_d),
+{out} as (select {path}, (case when f then cap else least(cap, fl + (place <= extra)::int) end)::hugeint as budget
+  from {out}_e)"""
+
+
+OP4 = r"""
+with d as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    'd' || (('0x' || substr(md5(coalesce(source, '')), 1, 2))::int % 4) as domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as n_tokens from documents),
+leaf as (select domain, lang, source, sum(n_tokens)::bigint as tokens from d where n_tokens > 0 group by all),
+n1 as (select domain, sum(tokens) * 2 as cap,
+    case domain when 'd0' then 4 when 'd1' then 3 when 'd2' then 2 else 1 end as weight,
+    (select floor(sum(tokens) / 2)::hugeint from leaf) as budget from leaf group by domain),""" + _share(
+    "n1", "", "domain", "s1") + """,
+n2 as (select domain, lang, cap, case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end as weight, budget
+  from (select domain, lang, sum(tokens) * 2 as cap from leaf group by all) join s1 using (domain)),""" + _share(
+    "n2", "domain", "lang", "s2") + """,
+n3 as (select domain, lang, source, tokens * 2 as cap, 1 as weight, budget from leaf join s2 using (domain, lang)),""" + _share(
+    "n3", "domain, lang", "source", "s3") + """,
+e as (select d.*, x.epoch::int as epoch, budget as alloc, (x.epoch - 1) * tokens + coalesce(sum(n_tokens) over (
+        partition by domain, lang, source, x.epoch order by md5('1:' || x.epoch || ':' || doc_id), doc_id, n_tokens
+        rows between unbounded preceding and 1 preceding), 0) as pos
+  from d join leaf using (domain, lang, source) join s3 using (domain, lang, source), (values (1), (2)) x(epoch)
+  where n_tokens > 0)
+select doc_id, domain, lang, source, epoch, n_tokens, least(n_tokens, alloc - pos)::bigint as take_tokens
+from e where pos < alloc
+"""
+
+ORACLE = {"op1_secret_scan": OP1, "op2_line_dedup": OP2, "op3_warc_zip": OP3, "op4_source_mix": OP4,
+          "op10_exact_dedup": OP10}
