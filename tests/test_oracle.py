@@ -21,11 +21,11 @@ def duck():
     return con
 
 
-def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_library_query_has_oracle():
+    assert set(entry.QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
