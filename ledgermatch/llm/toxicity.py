@@ -229,14 +229,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars
     return [t for t, _ in taken], np.array([y for _, y in taken], np.int64)
 
 
-def train(texts: list[str], labels: np.ndarray, dim: int = 4, epochs: int = 8, batch: int = 64, rate: float = 0.03,
-          decay: float = 1e-3, least_texts: int | None = None, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: np.ndarray, dim: int = 4, epochs: int | None = None, batch: int = 64,
+          rate: float = 0.03, decay: float = 1e-3, least_texts: int | None = None, seed: int = 7) -> tuple[np.ndarray, float]:
     """(logit weight per bucket, bias). ``least_texts``: texts that must hold a
-    bucket before it is trained; default one in 300, at least 5."""
+    bucket before it is trained; default one in 300, at least 5. ``epochs``:
+    default 8, more for few texts."""
     if len(np.unique(labels)) < 2:
         share = np.clip(labels.mean() if len(labels) else 0.0, 1e-9, 1 - 1e-9)
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
     least_texts = max(5, len(texts) // 300) if least_texts is None else least_texts
+    epochs = max(8, 40_000 // len(texts)) if epochs is None else epochs
     model = Model(Bags.of(texts), dim, least_texts, seed)
     model.fit(labels, epochs, batch, rate, decay, seed)
     return model.folded()
