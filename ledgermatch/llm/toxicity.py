@@ -238,7 +238,7 @@ def train(texts: list[str], labels: np.ndarray, dim: int = 4, epochs: int | None
         share = np.clip(labels.mean() if len(labels) else 0.0, 1e-9, 1 - 1e-9)
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
     least_texts = max(5, len(texts) // 300) if least_texts is None else least_texts
-    epochs = max(8, 40_000 // len(texts)) if epochs is None else epochs
+    epochs = max(8, 12_000 // len(texts)) if epochs is None else epochs
     model = Model(Bags.of(texts), dim, least_texts, seed)
     model.fit(labels, epochs, batch, rate, decay, seed)
     return model.folded()
