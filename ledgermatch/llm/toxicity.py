@@ -21,7 +21,6 @@ columns are ignored, or kept by ``keep_clean``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
 #: words without a bucket that join every average: a text of few words moves less
 EMPTY_WORDS = 16
-CHUNK_CHARS = 2_000_000  # texts are taken apart in chunks of about this size
+CHUNK_CHARS = 500_000  # texts are taken apart in chunks of about this size
 _PUNCTUATION = ".,;:!?\"'()[]{}<>*_-…«»„“”¡¿"
 
 
@@ -94,41 +93,22 @@ def _tokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(number), np.repeat(np.arange(len(texts)), sizes), np.array(word, np.int64)
 
 
-@dataclass
-class Bags:
-    """Texts as weighted bags of buckets (a CSR matrix)."""
-
-    ptr: np.ndarray
-    bucket: np.ndarray
-    weight: np.ndarray
-
-    @classmethod
-    def of(cls, texts: list[str]) -> Bags:
-        sizes, buckets, weights = [], [], []
-        for chunk in _chunks(texts):
-            words, text, word = _tokens(chunk)
-            pair, times = np.unique(text * len(words) + word, return_counts=True)  # (text, word) and its count
-            text, word = pair // max(len(words), 1), pair % max(len(words), 1)
-            share = times / (np.bincount(text, times, len(chunk))[text] + EMPTY_WORDS)
-            owner, bucket = word_buckets(words)
-            order = np.argsort(owner, kind="stable")
-            n = np.bincount(owner, minlength=len(words))
-            first = np.cumsum(n) - n
-            at = np.arange(n[word].sum()) + np.repeat(first[word] - (np.cumsum(n[word]) - n[word]), n[word])
-            entry = np.repeat(text, n[word]) * BUCKETS + bucket[order][at]
-            cell, place = np.unique(entry, return_inverse=True)
-            buckets.append((cell % BUCKETS).astype(np.int32))
-            weights.append(np.bincount(place, np.repeat(share / n[word], n[word])).astype(np.float32))
-            sizes.append(np.bincount(cell // BUCKETS, minlength=len(chunk)))
-        ptr = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))]).astype(np.int64)
-        return cls(ptr, np.concatenate([np.zeros(0, np.int32), *buckets]),
-                   np.concatenate([np.zeros(0, np.float32), *weights]))
-
-    def rows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row owner 0 .. n - 1, bucket, weight) of the entries of some rows."""
-        at = np.concatenate([np.arange(self.ptr[r], self.ptr[r + 1]) for r in which])
-        owner = np.repeat(np.arange(len(which)), self.ptr[which + 1] - self.ptr[which])
-        return owner, self.bucket[at], self.weight[at][:, None]
+def bags_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, weights) of each text: the weight of a bucket in the average."""
+    for chunk in _chunks(texts):
+        words, text, word = _tokens(chunk)
+        pair, times = np.unique(text * len(words) + word, return_counts=True)  # (text, word) and its count
+        text, word = pair // max(len(words), 1), pair % max(len(words), 1)
+        share = times / (np.bincount(text, times, len(chunk))[text] + EMPTY_WORDS)
+        owner, bucket = word_buckets(words)
+        bucket = bucket[np.argsort(owner, kind="stable")]
+        n = np.bincount(owner, minlength=len(words))
+        at = np.arange(n[word].sum()) + np.repeat((np.cumsum(n) - n)[word] - (np.cumsum(n[word]) - n[word]), n[word])
+        cell, place = np.unique(np.repeat(text, n[word]) * BUCKETS + bucket[at], return_inverse=True)
+        weight = np.bincount(place, np.repeat(share / n[word], n[word])).astype(np.float32)
+        edges = np.searchsorted(cell, np.arange(len(chunk) + 1) * BUCKETS)
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            yield (cell[lo:hi] % BUCKETS).astype(np.int32), weight[lo:hi].copy()
 
 
 class Model:
@@ -138,14 +118,18 @@ class Model:
 
     GAIN = 300.0
 
-    def __init__(self, bags: Bags, dim: int, least_texts: int, seed: int):
+    def __init__(self, bags: list[tuple[np.ndarray, np.ndarray]], dim: int, least_texts: int, seed: int):
         rng = np.random.default_rng(seed)
-        self.used = np.flatnonzero(np.bincount(bags.bucket, minlength=BUCKETS) >= least_texts)
+        held = np.zeros(BUCKETS, np.int64)
+        for bucket, _ in bags:
+            held[bucket] += 1
+        self.used = np.flatnonzero(held >= least_texts)
         place = np.full(BUCKETS, -1, np.int32)
         place[self.used] = np.arange(len(self.used))
-        held = place[bags.bucket] >= 0
-        before = np.concatenate([[0], np.cumsum(held)])
-        self.bags = Bags(before[bags.ptr], place[bags.bucket[held]], bags.weight[held])
+        for i, (bucket, weight) in enumerate(bags):  # in place: the bags are the largest thing in memory
+            keep = place[bucket] >= 0
+            bags[i] = place[bucket[keep]], weight[keep]
+        self.bags = bags
         self.params = [rng.normal(0, 0.01, (len(self.used), dim)), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)]
         self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params]
         self.steps = 0
@@ -160,9 +144,15 @@ class Model:
             order = rng.permutation(len(labels))
             for lo in range(0, len(order), batch):
                 rows = order[lo:lo + batch]
-                self._update(self._gradients(self.bags.rows(rows), labels[rows], decay),
+                self._update(self._gradients(self._entries(rows), labels[rows], decay),
                              rate * (1 - self.steps / total))
 
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row owner 0 .. n - 1, bucket, weight) of the entries of some texts."""
+        chosen = [self.bags[r] for r in rows]
+        return (np.repeat(np.arange(len(rows)), [len(b) for b, _ in chosen]),
+                np.concatenate([b for b, _ in chosen]), np.concatenate([w for _, w in chosen])[:, None])
+
     def _gradients(self, entries, labels: np.ndarray, decay: float) -> list[np.ndarray]:
         owner, bucket, share = entries
         embed, weight, bias = self.params
@@ -239,13 +229,13 @@ def train(texts: list[str], labels: np.ndarray, dim: int = 4, epochs: int | None
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
     least_texts = max(5, len(texts) // 300) if least_texts is None else least_texts
     epochs = max(8, 12_000 // len(texts)) if epochs is None else epochs
-    model = Model(Bags.of(texts), dim, least_texts, seed)
+    model = Model(list(bags_of(texts)), dim, least_texts, seed)
     model.fit(labels, epochs, batch, rate, decay, seed)
     return model.folded()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_rows: int = 12_000, max_chars: int = 60_000_000, **options) -> tuple[np.ndarray, float]:
+        max_rows: int = 8_000, max_chars: int = 40_000_000, **options) -> tuple[np.ndarray, float]:
     """Train on a bounded sample of the labelled rows of ``docs``."""
     return train(*labelled_sample(docs, labels, max_rows, max_chars, id_col, text_col, label_col), **options)
 
