@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--root", required=True, help="shared folder holding every table of the cycle")
     run.add_argument("--cash-landing", required=True)
     run.add_argument("--rada-landing", required=True)
+    run.add_argument("--checkpoint-dir", help="folder shared by driver and executors; default: spark.checkpoint.dir")
     run.add_argument("--run-date", help="yyyy-MM-dd; default: today in the configured time zone")
     run.add_argument("--run-ts", help="yyyy-MM-dd HH:mm:ss; default: now in the session time zone")
     run.add_argument("--rada-format", choices=("delimited", "fixed"), default="delimited")
@@ -59,6 +60,8 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     cfg = _config(args)
     spark = build_session()
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     layout = Layout(args.root)
     rada_options = {"fixed_width": ledger_layout(RADA)} if args.rada_format == "fixed" else None
     summary = run_daily(spark, layout, cash_landing=args.cash_landing, rada_landing=args.rada_landing,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DATE_PATTERN, DEBIT_CREDIT_CODES, MAX_AMOUNT, Ledger
+from ..config import DATE_PATTERN, DEBIT_CREDIT_CODES, Ledger
 
 DATE_COLUMNS = ("settlement_date", "value_date", "transaction_date")
 UPPER_TRIM_COLUMNS = ("account_number", "trade_reference", "currency", "swift_bic", "debit_credit")
@@ -38,15 +38,15 @@ def mandatory_ok(ledger: Ledger) -> Column:
 
     Never NULL: a NULL debit/credit code or amount counts as a failure,
     so every row lands in exactly one of clean or quarantine. Blank-only
-    text (empty after trimming), NaN amounts and amounts too large for the
-    exact money type (infinity included) fail too.
+    text (empty after trimming) and NaN amounts fail too. There is no upper
+    bound on amounts.
     """
     present = [F.col(ledger.id_col).isNotNull()]
     for c in ("account_number", "trade_reference", "currency"):
         present.append(F.col(c).isNotNull() & (F.length(F.col(c)) > 0))
     present.append(F.col("settlement_date").isNotNull())
     amount = F.col("amount")
-    rules = present + [amount.isNotNull(), ~F.isnan(amount), amount >= 0, amount < F.lit(MAX_AMOUNT),
+    rules = present + [amount.isNotNull(), ~F.isnan(amount), amount >= 0,
                        F.col("debit_credit").isin(*DEBIT_CREDIT_CODES)]
     ok = rules[0]
     for r in rules[1:]:

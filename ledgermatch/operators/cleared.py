@@ -1,44 +1,40 @@
 """CLEARED detection against an earlier gold snapshot.
 
-A key is CLEARED when it was UNMATCHED in the gold table as it stood
-``lookback_days`` before the run date and is not UNMATCHED today. The
-snapshot is read from the run stamps (``_run_ts``) instead of table time
-travel: gold rows stamped at or before midnight of (run date - lookback)
-make up the table as it was then, as long as past run-date partitions are
-not rewritten afterwards.
+A key is CLEARED when it was UNMATCHED in the snapshot - the latest run whose
+run date lies before the run date less ``lookback_days`` - and is not UNMATCHED
+today. Only that one run-date partition is read, so a key that was closed by
+then is not cleared again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLEARED, MATCHED, UNMATCHED, ReconConfig
 
 
-def snapshot_cutoff(run_date: str | dt.date, lookback_days: int) -> tuple[Column, Column]:
-    """``(cutoff timestamp, cutoff date)`` for the as-of read."""
+def snapshot_run_date(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> dt.date | None:
+    """The latest stored run date before (run date - lookback); None if there
+    is none. Reads the partition column only."""
     day = F.date_sub(F.lit(str(run_date)).cast("date"), int(lookback_days))
-    return F.to_timestamp(day), day
+    return gold.filter(F.col("_run_date") < day).agg(F.max("_run_date")).first()[0]
 
 
 def snapshot_open_keys(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> DataFrame:
-    """Business keys of the UNMATCHED rows in the as-of snapshot (one row per
-    snapshot row; a key open on several runs repeats).
-
-    The ``_run_date`` bound only prunes partitions: a run is never stamped
-    before its own run date, so no row it drops could pass the ``_run_ts`` test.
-    """
-    cutoff_ts, cutoff_day = snapshot_cutoff(run_date, lookback_days)
-    return (gold.filter((F.col("_run_date") <= cutoff_day) & (F.col("_run_ts") <= cutoff_ts)
-                        & (F.col("recon_status") == UNMATCHED))
-            .select("business_key"))
+    """Business keys of the UNMATCHED rows of the snapshot run (a key repeats
+    for each of its records). Pass a stored table: the run date is looked up
+    when this is called, and the returned frame reads that partition alone."""
+    day = snapshot_run_date(gold, run_date, lookback_days)
+    if day is None:
+        return gold.filter(F.lit(False)).select("business_key")
+    return gold.filter((F.col("_run_date") == F.lit(day)) & (F.col("recon_status") == UNMATCHED)).select("business_key")
 
 
 def previous_unmatched_keys(gold: DataFrame, run_date: str | dt.date, lookback_days: int) -> DataFrame:
-    """Distinct keys UNMATCHED in the as-of snapshot."""
+    """Distinct keys UNMATCHED in the snapshot."""
     return snapshot_open_keys(gold, run_date, lookback_days).distinct()
 
 

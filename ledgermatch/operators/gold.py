@@ -8,19 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import AMOUNT_MISMATCH, NEW, REASON_AMOUNT, REASON_MISSING_IN_CASH, REASON_MISSING_IN_RADA, UNMATCHED
-from .match import RESULT_COLUMNS
+from .match import RESULT_COLUMNS, reason_expr
 
 GOLD_COLUMNS = RESULT_COLUMNS + ("_run_ts", "_run_date")
 GOLD_KEY = ("business_key", "_run_date")
 
 
-def reason_expr(status: Column) -> Column:
-    return (F.when(status == AMOUNT_MISMATCH, F.lit(REASON_AMOUNT))
-            .when(status == UNMATCHED, F.lit(REASON_MISSING_IN_RADA))
-            .when(status == NEW, F.lit(REASON_MISSING_IN_CASH)))
-
-
 def run_stamps(run_ts: str | dt.datetime, run_date: str | dt.date) -> dict[str, Column]:
     return {"_run_ts": F.lit(str(run_ts)).cast("timestamp"), "_run_date": F.lit(str(run_date)).cast("date")}
 

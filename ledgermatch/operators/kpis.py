@@ -29,10 +29,10 @@ def day_summary(gold_day: DataFrame, *by: str) -> DataFrame:
     Its size is bounded by currencies x statuses (x ``by`` values), not by
     the data."""
     s = F.col("recon_status")
-    abs_var = F.when(s.isin(MATCHED, AMOUNT_MISMATCH), F.abs(F.col("amount_variance")).cast(MONEY))
+    abs_var = F.when(s.isin(MATCHED, AMOUNT_MISMATCH), F.abs(F.col("amount_variance")).try_cast(MONEY))
     return gold_day.groupBy(*by, "currency", "recon_status").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("amount").cast(MONEY)).alias("_amount"),
+        F.sum(F.col("amount").try_cast(MONEY)).alias("_amount"),
         F.sum(abs_var).alias("_var_sum"),
         F.count(abs_var).alias("_var_n"),
     )
@@ -83,8 +83,7 @@ def kpi_daily(gold: DataFrame, run_date: str | dt.date) -> DataFrame:
     """Exactly one KPI row for the run date (zeros when the day is empty).
 
     ``avg_amount_variance`` averages |variance| over MATCHED and
-    AMOUNT_MISMATCH rows (each rounded to the cent first), as the KPI
-    definition does. ``unmatched_exposure`` adds amounts across currencies
+    AMOUNT_MISMATCH rows, rounded after the sum. ``unmatched_exposure`` adds amounts across currencies
     as they stand (no FX conversion).
     """
     return kpi_from_summary(day_summary(for_run_date(gold, run_date)), run_date)

@@ -2,50 +2,49 @@
 
 Semantics
 ---------
-Records of both ledgers that share a business key are paired one-to-one:
-within a key, each side is ordered by (amount, record id) and the i-th cash
-record is paired with the i-th RADA record. A pair whose amounts differ by
-at most the tolerance is MATCHED, otherwise AMOUNT_MISMATCH; cash records
-left without a partner are UNMATCHED, RADA records without one are NEW.
-With unique keys (the normal case) this is exactly a full outer equi-join
-on the key. With repeated keys it classifies every record exactly once,
-instead of emitting every cash x RADA combination of the key (whose size
-is the product of the two group sizes).
+Records of both ledgers that share a business key are paired one-to-one, in
+four rounds; each round sees what the one before left unpaired:
+
+1. equal amounts;
+2. amounts in the same tolerance-wide bucket (so within the tolerance);
+3. the same with buckets shifted by half a tolerance;
+4. whatever is left of the key, by rank.
+
+A pair whose amounts differ by at most the tolerance (inclusive, compared as
+decimals) is MATCHED, otherwise AMOUNT_MISMATCH; cash records left without a
+partner are UNMATCHED, RADA records without one are NEW. With unique keys (the
+normal case) this is exactly a full outer equi-join on the key. With repeated
+keys every record is classified exactly once, and no pair of equal amounts is
+given up for another.
 
 Plan
 ----
 Both keyed ledgers are slimmed to the columns the result needs and stacked
-into one frame with a side flag. Ordinary keys take one hash shuffle on the
-key: a per-(key, side) ``row_number`` and a per-(key, pair) aggregate both
-run on that partitioning, so the whole match costs a single exchange.
-
-CLEARED detection rides along: the earlier snapshot's open keys join the
-stack as a third side (pair 0), per-key record counts come from a window
-that reuses the same partitioning and sort, and a key is still open today
-exactly when it has more cash than RADA records.
-
-Keys found hot in a Bernoulli sample (grouped on the raw key fields, a
-bounded list) are ranked on a range-partitioned path instead, so one key
-holding a large share of all rows is spread over many tasks: rows are
-range-partitioned on (key, side, amount, id), numbered in partition order,
-checkpointed, and each (key, side, partition) segment gets its offset from
-a small per-segment table (at most one row per partition plus one per hot
-key) that is broadcast back. Pairs then group on (key, pair), which spreads
-the hot key evenly.
+with a side flag. All keys take the same path, whatever their size. A round
+numbers the rows of each (key, group, side) in slices - by the size class of the
+amount and two hex digits of the id's MD5 - and adds the slice's start, a
+running sum over the slices' counts; rows with the same number pair up. So a
+key, or one amount of a key, that holds a third of all rows is spread over its
+slices and then over its pair numbers. Slice counts are summed map-side. The
+first three rounds' results are checkpointed, as both the next round and the
+final result read them; each later round reads only unpaired rows.
+
+CLEARED detection needs the unpaired cash count per key only: one-to-one
+pairing leaves a cash record unpaired exactly when the key has more cash than
+RADA records. Both counts come from the first round's stored rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, KEY_FIELDS, MATCHED, NEW, RADA, REASON_AMOUNT,
-                      REASON_MISSING_IN_CASH, REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
-from ..functions.keys import business_key
+from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, MATCHED, NEW, RADA, REASON_AMOUNT, REASON_MISSING_IN_CASH,
+                      REASON_MISSING_IN_RADA, UNMATCHED, ReconConfig)
+from ..functions.money import MONEY
 from ..session import checkpoint_root
 
+# --- fixed values: the output contract, columns and their order -----------
 CASH_PAYLOAD = ("account_number", "trade_reference", "settlement_date", "currency", "swift_bic", "debit_credit")
 
 RESULT_COLUMNS = (
@@ -63,209 +62,148 @@ UNMATCHED_COLUMNS = (
 )
 NEW_COLUMNS = ("business_key", "rada_id", "amount", "recon_status")
 MISMATCH_COLUMNS = tuple(c for c in MATCHED_COLUMNS if c != "swift_bic")
-
-_SIDE, _ID, _AMT, _PAIR = "_side", "_rid", "_amt", "_pair"
-
-
-def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str,
-           previous_open: DataFrame | None = None) -> DataFrame:
-    """Both ledgers in one narrow frame: side 0 = cash, 1 = RADA, and
-    optionally 2 = keys that were UNMATCHED in the earlier snapshot."""
-    c = cash.select("business_key", F.lit(0).alias(_SIDE), F.col(cash_id).alias(_ID),
-                    F.col("amount").alias(_AMT), *CASH_PAYLOAD,
-                    F.lit(None).cast("string").alias("rada_status"))
-    null_payload = [F.lit(None).cast(cash.schema[c].dataType).alias(c) for c in CASH_PAYLOAD]
-    r = rada.select("business_key", F.lit(1).alias(_SIDE), F.col(rada_id).alias(_ID),
-                    F.col("amount").alias(_AMT), *null_payload, F.col("status").alias("rada_status"))
-    out = c.unionByName(r)
-    if previous_open is not None:
-        # distinct first (combined map-side), so a key open on many earlier runs is one row
-        keys = previous_open.select("business_key").distinct()
-        out = out.unionByName(keys.select(
-            "business_key", F.lit(2).alias(_SIDE), F.lit(None).cast("string").alias(_ID),
-            F.lit(None).cast("double").alias(_AMT), *null_payload, F.lit(None).cast("string").alias("rada_status")))
-    return out
-
-
-def hot_key_counts(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig,
-                   key_fields: Sequence[str] = KEY_FIELDS) -> dict[str, int]:
-    """Keys whose sampled frequency says they hold at least ``hot_key_rows``
-    rows, with their estimated row counts.
-
-    The sample groups on the fields the key is built from, so no row outside
-    the sample is hashed; only the hot groups (at most ``max_hot_keys``) get
-    their SHA-256 key. Frames without those fields are grouped on the key.
-    The list is bounded, so the collect is small; a key not returned is still
-    matched exactly on the window path.
-    """
-    f = cfg.hot_key_sample_fraction
-    if f <= 0:
-        return {}
-    fields = list(key_fields)
-    by_fields = all(c in cash_keyed.columns and c in rada_keyed.columns for c in fields)
-    cols = fields if by_fields else ["business_key"]
-    min_hits = max(2, int(cfg.hot_key_rows * f))
-    sample = (cash_keyed.select(*cols).unionByName(rada_keyed.select(*cols))
-              .sample(withReplacement=False, fraction=f, seed=7))
-    top = (sample.groupBy(*cols).count()
-           .filter(F.col("count") >= min_hits)
-           .orderBy(F.desc("count"), *cols)
-           .limit(cfg.max_hot_keys))
-    if by_fields:
-        top = top.select(business_key(fields).alias("business_key"), "count")
-    return {r["business_key"]: int(r["count"] / f) for r in top.collect()}
-
-
-def hot_keys(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig,
-             key_fields: Sequence[str] = KEY_FIELDS) -> list[str]:
-    return list(hot_key_counts(cash_keyed, rada_keyed, cfg, key_fields))
-
-
-def _side_count(side: int) -> Column:
-    return F.sum(F.when(F.col(_SIDE) == side, 1).otherwise(0))
-
-
-def _pair_number(rank: Column) -> Column:
-    """Snapshot rows (side 2) all share pair 0; ledger rows are numbered from 1."""
-    return F.when(F.col(_SIDE) == 2, F.lit(0)).otherwise(rank).cast("int")
-
-
-def _still_open(cash_n: Column, rada_n: Column) -> Column:
-    """One-to-one pairing leaves a cash record unpartnered exactly when the
-    key has more cash than RADA records, so the key is UNMATCHED today iff this holds."""
-    return cash_n > rada_n
-
-
-def _rank_by_window(stacked: DataFrame, with_snapshot: bool) -> DataFrame:
-    """Pair number per (key, side); one hash exchange on the key serves this,
-    the per-key counts and the pairing."""
-    w = Window.partitionBy("business_key", _SIDE).orderBy(F.col(_AMT).asc_nulls_first(), F.col(_ID).asc_nulls_first())
-    ranked = stacked.repartition("business_key").withColumn(_PAIR, _pair_number(F.row_number().over(w)))
-    if with_snapshot:
-        # same partitioning and a prefix of the same sort: no further exchange or sort
-        per_key = Window.partitionBy("business_key")
-        ranked = ranked.withColumn("_open_now", _still_open(_side_count(0).over(per_key), _side_count(1).over(per_key)))
-    return ranked
-
-
-def _rank_by_range(stacked: DataFrame, partitions: int, with_snapshot: bool) -> DataFrame:
-    """Same pair numbers as ``_rank_by_window``, for keys too large for one task.
-
-    The numbered rows are read more than once (segment sizes, then the rank),
-    so they are checkpointed to the shared checkpoint folder first: range
-    bounds come from a sample, and a second evaluation (or a recomputation
-    after a lost executor) could otherwise cut the partitions differently.
-    """
-    checkpoint_root(stacked.sparkSession)
-    order = ["business_key", _SIDE, F.col(_AMT).asc_nulls_first(), F.col(_ID).asc_nulls_first()]
-    ranged = (stacked.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_gid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    seg_keys = ["business_key", _SIDE, "_part"]
-    before = Window.partitionBy("business_key", _SIDE).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    segments = (ranged.groupBy(*seg_keys)
-                .agg(F.min("_gid").alias("_g0"), F.count(F.lit(1)).alias("_n"))
-                .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))))
-    # one row per (hot key, side, partition) it touches: bounded by partitions + hot keys
-    ranked = (ranged.join(F.broadcast(segments.select(*seg_keys, "_g0", "_off")), seg_keys)
-              .withColumn(_PAIR, _pair_number(F.col("_off") + F.col("_gid") - F.col("_g0") + 1))
-              .drop("_part", "_gid", "_g0", "_off"))
-    if with_snapshot:
-        # one row per hot key: bounded by the hot-key list
-        counts = ranged.groupBy("business_key").agg(_side_count(0).alias("_cn"), _side_count(1).alias("_rn"))
-        ranked = (ranked.join(F.broadcast(counts), "business_key")
-                  .withColumn("_open_now", _still_open(F.col("_cn"), F.col("_rn"))).drop("_cn", "_rn"))
-    return ranked
-
-
-def _pairs(ranked: DataFrame, with_snapshot: bool) -> DataFrame:
-    """Fold each (key, pair) group into one row: one cash and/or one RADA
-    record, or (pair 0) the key's snapshot rows."""
-    is_cash = F.col(_SIDE) == 0
-    is_rada = F.col(_SIDE) == 1
-    extra = [F.max("_open_now").alias("_open_now")] if with_snapshot else []
-    return ranked.groupBy("business_key", _PAIR).agg(
-        F.max(is_cash.cast("int")).alias("_in_cash"),
-        F.max(is_rada.cast("int")).alias("_in_rada"),
-        F.max(F.when(is_cash, F.col(_ID))).alias("cash_id"),
-        F.max(F.when(is_rada, F.col(_ID))).alias("rada_id"),
-        F.max(F.when(is_cash, F.col(_AMT))).alias("_cash_amount"),
-        F.max(F.when(is_rada, F.col(_AMT))).alias("_rada_amount"),
+# ---------------------------------------------------------------------------
+
+_ROW = ("business_key", "_side", "_rid", "_amt", *CASH_PAYLOAD)
+_IN_CASH, _IN_RADA, _BOTH = "_in_cash = 1", "_in_rada = 1", "_in_cash = 1 and _in_rada = 1"
+
+
+def exact(amount: Column) -> Column:
+    """Amount as a decimal; NULL where a double has none (NaN, infinity, beyond 32 digits)."""
+    return amount.try_cast(MONEY)
+
+
+def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str) -> DataFrame:
+    """Both ledgers in one narrow frame: side 0 = cash, 1 = RADA."""
+    c = cash.select("business_key", F.lit(0).alias("_side"), F.col(cash_id).alias("_rid"),
+                    F.col("amount").alias("_amt"), *CASH_PAYLOAD)
+    none = [F.lit(None).cast(cash.schema[x].dataType).alias(x) for x in CASH_PAYLOAD]
+    r = rada.select("business_key", F.lit(1).alias("_side"), F.col(rada_id).alias("_rid"),
+                    F.col("amount").alias("_amt"), *none)
+    return c.unionByName(r)
+
+
+def _numbered(rows: DataFrame, group: Column) -> DataFrame:
+    """Adds ``_group`` and ``_pair``, the number 1, 2, ... of each row within
+    its (key, group, side): by size class of the amount, slice, amount, id."""
+    whole = F.substring_index(F.abs(exact(F.col("_amt"))).cast("string"), ".", 1)
+    size_class = F.coalesce(F.concat(F.lpad(F.length(whole).cast("string"), 2, "0"), F.substring(whole, 1, 2)), F.lit(""))
+    sliced = rows.withColumns({"_group": group, "_class": size_class, "_slice": F.coalesce(
+        F.substring(F.md5(F.col("_rid")), 1, 2), F.lit(""))})
+    side = ["business_key", "_group", "_side"]
+    part = [*side, "_class", "_slice"]
+    earlier = Window.partitionBy(*side).orderBy("_class", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (sliced.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_start", F.sum("_n").over(earlier)).filter(F.col("_start").isNotNull()).drop("_n"))
+    own = Window.partitionBy(*part).orderBy(F.col("_amt").asc_nulls_first(), F.col("_rid").asc_nulls_first())
+    return (sliced.withColumn("_own", F.row_number().over(own)).join(starts, part, "left")
+            .withColumn("_pair", F.col("_own") + F.coalesce("_start", F.lit(0))))
+
+
+def _paired(rows: DataFrame, group: Column) -> DataFrame:
+    """One row per (key, group, number): a cash record, a RADA record, or both."""
+    cash, rada = F.col("_side") == 0, F.col("_side") == 1
+    return _numbered(rows, group).groupBy("business_key", "_group", "_pair").agg(
+        F.max(cash.cast("int")).alias("_in_cash"),
+        F.max(rada.cast("int")).alias("_in_rada"),
+        F.max(F.when(cash, F.col("_rid"))).alias("cash_id"),
+        F.max(F.when(rada, F.col("_rid"))).alias("rada_id"),
+        F.max(F.when(cash, F.col("_amt"))).alias("_cash_amount"),
+        F.max(F.when(rada, F.col("_amt"))).alias("_rada_amount"),
         *[F.max(c).alias(c) for c in CASH_PAYLOAD],
-        F.max("rada_status").alias("rada_status"),
-        *extra,
-    )
+    ).drop("_group", "_pair")
+
+
+def _unpaired(pairs: DataFrame) -> DataFrame:
+    """The one-sided rows, as ledger rows again."""
+    return pairs.filter(f"not ({_BOTH})").select(
+        "business_key", (1 - F.col("_in_cash")).alias("_side"), F.coalesce("cash_id", "rada_id").alias("_rid"),
+        F.coalesce("_cash_amount", "_rada_amount").alias("_amt"), *CASH_PAYLOAD)
+
+
+def _rounds(rows: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """(every record in exactly one row, the checkpointed first round)."""
+    checkpoint_root(rows.sparkSession)
+    known = exact(F.col("_amt")).isNotNull()
+    step = F.lit(repr(float(tolerance))).cast(MONEY)
+    # amounts that cannot be compared wait for the last round
+    first = _paired(rows.filter(known), exact(F.col("_amt")).cast("string")).checkpoint(eager=True)
+    done, left = first.filter(_BOTH), _unpaired(first)
+    if tolerance > 0:
+        for shift in (0.0, 0.5):
+            bucket = F.floor(exact(F.col("_amt")) / step + F.lit(shift).cast(MONEY)).cast("string")
+            pairs = _paired(left, bucket).checkpoint(eager=True)
+            done, left = done.unionByName(pairs.filter(_BOTH)), _unpaired(pairs)
+    unknown = rows.filter(~known).select(*_ROW)
+    return done.unionByName(_paired(left.select(*_ROW).unionByName(unknown), F.lit(""))), first
 
 
 def status_expr(in_cash: Column, in_rada: Column, cash_amount: Column, rada_amount: Column,
                 tolerance: float) -> Column:
-    """One label per pair. The tolerance is inclusive; a NULL amount on a
-    paired row cannot be shown to agree, so it is a mismatch."""
+    """One label per pair. The tolerance is inclusive, compared in decimals; an
+    amount that is unknown cannot be shown to agree, so it is a mismatch."""
+    apart = F.abs(exact(cash_amount) - exact(rada_amount))
     return (F.when(~in_cash, F.lit(NEW))
             .when(~in_rada, F.lit(UNMATCHED))
-            .when(F.abs(cash_amount - rada_amount) <= F.lit(float(tolerance)), F.lit(MATCHED))
+            .when(apart <= F.lit(repr(float(tolerance))).cast(MONEY), F.lit(MATCHED))
             .otherwise(F.lit(AMOUNT_MISMATCH)))
 
 
-def _label(pairs: DataFrame, tolerance: float, with_snapshot: bool) -> DataFrame:
-    in_cash = F.col("_in_cash") == 1
-    in_rada = F.col("_in_rada") == 1
-    status = status_expr(in_cash, in_rada, F.col("_cash_amount"), F.col("_rada_amount"), tolerance)
-    if with_snapshot:
-        # a snapshot key is CLEARED unless it is still UNMATCHED today
-        pairs = pairs.filter((F.col(_PAIR) != 0) | ~F.coalesce(F.col("_open_now"), F.lit(False)))
-        status = F.when(F.col(_PAIR) == 0, F.lit(CLEARED)).otherwise(status)
-    both = in_cash & in_rada
-    s = F.col("recon_status")
-    return (pairs.withColumn("recon_status", status)
+def reason_expr(status: Column) -> Column:
+    """Why a record is an exception; NULL for MATCHED and CLEARED."""
+    return (F.when(status == AMOUNT_MISMATCH, F.lit(REASON_AMOUNT))
+            .when(status == UNMATCHED, F.lit(REASON_MISSING_IN_RADA))
+            .when(status == NEW, F.lit(REASON_MISSING_IN_CASH)))
+
+
+def _label(pairs: DataFrame, tolerance: float) -> DataFrame:
+    s, in_cash, in_rada = F.col("recon_status"), F.expr(_IN_CASH), F.expr(_IN_RADA)
+    variance = F.coalesce((exact(F.col("_cash_amount")) - exact(F.col("_rada_amount"))).cast("double"),
+                          F.col("_cash_amount") - F.col("_rada_amount"))
+    return (pairs.withColumn("recon_status", status_expr(in_cash, in_rada, F.col("_cash_amount"),
+                                                         F.col("_rada_amount"), tolerance))
             .select(
                 "business_key", "cash_id", "rada_id", "account_number", "trade_reference",
                 "settlement_date", "currency",
                 F.when(in_cash, F.col("_cash_amount")).otherwise(F.col("_rada_amount")).alias("amount"),
-                F.when(both, F.col("_rada_amount")).alias("rada_amount"),
-                F.when(both, F.col("_cash_amount") - F.col("_rada_amount")).alias("amount_variance"),
+                F.when(in_cash & in_rada, F.col("_rada_amount")).alias("rada_amount"),
+                F.when(in_cash & in_rada, variance).alias("amount_variance"),
                 F.when(s != AMOUNT_MISMATCH, F.col("swift_bic")).alias("swift_bic"),
-                "debit_credit",
-                "recon_status",
-                F.when(s == AMOUNT_MISMATCH, F.lit(REASON_AMOUNT))
-                 .when(s == UNMATCHED, F.lit(REASON_MISSING_IN_RADA))
-                 .when(s == NEW, F.lit(REASON_MISSING_IN_CASH)).alias("mismatch_reason"),
+                "debit_credit", "recon_status", reason_expr(s).alias("mismatch_reason"),
             ))
 
 
+def _cleared_rows(first: DataFrame, unknown: DataFrame, previous_open: DataFrame, like: DataFrame) -> DataFrame:
+    """One CLEARED row per key of the snapshot that has no unpaired cash record now."""
+    def tally(df: DataFrame, cash: Column, rada: Column, before: Column) -> DataFrame:
+        return df.select("business_key", cash.alias("_c"), rada.alias("_r"), before.alias("_b"))
+
+    zero = F.lit(0)
+    counts = (tally(first, F.col("_in_cash"), F.col("_in_rada"), zero)
+              .unionByName(tally(unknown, 1 - F.col("_side"), F.col("_side"), zero))
+              .unionByName(tally(previous_open, zero, zero, F.lit(1)))
+              .groupBy("business_key").agg(F.sum("_c").alias("_c"), F.sum("_r").alias("_r"), F.max("_b").alias("_b")))
+    return counts.filter("_b = 1 and _c <= _r").select("business_key", *(
+        (F.lit(CLEARED) if f.name == "recon_status" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in like.schema.fields if f.name != "business_key"))
+
+
 def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = ReconConfig(),
              *, cash_id: str = CASH.id_col, rada_id: str = RADA.id_col,
-             previous_open: DataFrame | None = None, hot: list[str] | None = None,
-             key_fields: Sequence[str] = KEY_FIELDS) -> DataFrame:
+             previous_open: DataFrame | None = None) -> DataFrame:
     """Every record of both keyed ledgers, paired and labelled, in the gold row shape.
 
     ``previous_open``: business keys UNMATCHED in the earlier snapshot
-    (repeats are fine; they are made distinct). When given, the same single pass
-    also emits one CLEARED row per such key that is not UNMATCHED today, so
-    CLEARED detection costs no second pass over the classification.
-    ``hot`` overrides hot-key detection (tests use it to force either path).
-    ``key_fields``: the fields the business keys were built from; hot-key
-    detection groups its sample on them instead of hashing every row.
+    (repeats are fine). When given, one CLEARED row per such key that is not
+    UNMATCHED today is added.
     """
-    snap = previous_open is not None
-    stacked = _stack(cash_keyed, rada_keyed, cash_id, rada_id, previous_open)
-    if hot is None:
-        # snapshot keys are distinct, so only the ledgers can make a key hot
-        estimates = hot_key_counts(cash_keyed, rada_keyed, cfg, key_fields)
-        hot = list(estimates)
-    else:
-        estimates = {}
-    if not hot:
-        return _label(_pairs(_rank_by_window(stacked, snap), snap), cfg.amount_tolerance, snap)
-    spark = stacked.sparkSession
-    # as many range partitions as the sampled hot rows need, never fewer than the session's default
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                     -(-sum(estimates.values()) // max(1, cfg.hot_rows_per_partition)))
-    is_hot = F.col("business_key").isin(hot)
-    cold = _pairs(_rank_by_window(stacked.filter(~is_hot), snap), snap)
-    warm = _pairs(_rank_by_range(stacked.filter(is_hot), partitions, snap), snap)
-    return _label(cold.unionByName(warm), cfg.amount_tolerance, snap)
+    rows = _stack(cash_keyed, rada_keyed, cash_id, rada_id)
+    pairs, first = _rounds(rows, cfg.amount_tolerance)
+    out = _label(pairs, cfg.amount_tolerance)
+    if previous_open is None:
+        return out
+    unknown = rows.filter(exact(F.col("_amt")).isNull())
+    return out.unionByName(_cleared_rows(first, unknown, previous_open.select("business_key"), out))
 
 
 # --- per-class views (the public four-way split) -------------------------

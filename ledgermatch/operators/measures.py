@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MATCHED
+from ..config import AMOUNT_MISMATCH, NEW, UNMATCHED
 from ..functions.money import MONEY
 
 EXCEPTION_COLUMNS = ("business_key", "cash_id", "rada_id", "currency", "amount", "rada_amount",
@@ -25,8 +25,9 @@ def matched_rate(kpis: DataFrame) -> DataFrame:
 
 
 def exceptions(gold_day: DataFrame) -> DataFrame:
-    """Every row that is not MATCHED: the exception report."""
-    return gold_day.filter(F.col("recon_status") != MATCHED).select(*EXCEPTION_COLUMNS)
+    """The open items: UNMATCHED, NEW and AMOUNT_MISMATCH rows. CLEARED rows
+    are resolved and stay out."""
+    return gold_day.filter(F.col("recon_status").isin(UNMATCHED, NEW, AMOUNT_MISMATCH)).select(*EXCEPTION_COLUMNS)
 
 
 def with_exception_flag(exception_rows: DataFrame) -> DataFrame:
@@ -36,10 +37,10 @@ def with_exception_flag(exception_rows: DataFrame) -> DataFrame:
 
 
 def total_variance(cash: DataFrame, rada: DataFrame) -> DataFrame:
-    """Total cash amount minus total RADA amount, exact to the cent, in one
+    """Total cash amount minus total RADA amount, exact, in one
     aggregate over both ledgers' amounts stacked with a side flag."""
-    amounts = (cash.select(F.lit(0).alias("_side"), F.col("amount").cast(MONEY).alias("_amt"))
-               .unionByName(rada.select(F.lit(1).alias("_side"), F.col("amount").cast(MONEY).alias("_amt"))))
+    amounts = (cash.select(F.lit(0).alias("_side"), F.col("amount").try_cast(MONEY).alias("_amt"))
+               .unionByName(rada.select(F.lit(1).alias("_side"), F.col("amount").try_cast(MONEY).alias("_amt"))))
     agg = amounts.agg(F.sum(F.when(F.col("_side") == 0, F.col("_amt"))).alias("c"),
                       F.sum(F.when(F.col("_side") == 1, F.col("_amt"))).alias("r"))
     diff = F.coalesce(F.col("c"), F.lit(0)) - F.coalesce(F.col("r"), F.lit(0))

@@ -65,21 +65,21 @@ def _completeness_row(table: str, threshold: float) -> list[Column]:
     score = _rate(F.col("_complete"), F.col("_total"))
     return _row(CHECK_COMPLETENESS, table, F.when(score >= threshold, PASS).otherwise(FAIL), score, threshold,
                 F.concat(_fmt(F.col("_complete")), F.lit("/"), _fmt(F.col("_total")),
-                         F.lit(" rows have all required fields populated")))
+                         F.lit(" rows complete")))
 
 
 def _duplicates_row(table: str, key_col: str, threshold: float) -> list[Column]:
     dups = F.col("_total") - F.coalesce(F.col("_unique"), F.lit(0))
     rate = _rate(dups, F.col("_total"))
     return _row(CHECK_DUPLICATES, table, F.when(rate <= threshold, PASS).otherwise(FAIL), rate, threshold,
-                F.concat(_fmt(dups), F.lit(f" duplicate {key_col} values out of "), _fmt(F.col("_total")),
-                         F.lit(" records")))
+                F.concat(F.lit(f"{key_col} repeated in "), _fmt(dups), F.lit(" of "), _fmt(F.col("_total")),
+                         F.lit(" rows")))
 
 
 def _negative_row(table: str) -> list[Column]:
     rate = _rate(F.col("_negative"), F.col("_total"))
     return _row(CHECK_NEGATIVE, table, F.when(F.col("_negative") == 0, PASS).otherwise(FAIL), rate, 0.0,
-                F.concat(_fmt(F.col("_negative")), F.lit(" records with negative amount values")))
+                F.concat(_fmt(F.col("_negative")), F.lit(" amounts below zero")))
 
 
 def _schema_problems(df: DataFrame, expected: Sequence[str] | Mapping[str, str]) -> tuple[list[str], list[str]]:
@@ -92,23 +92,26 @@ def _schema_problems(df: DataFrame, expected: Sequence[str] | Mapping[str, str])
     return missing, wrong
 
 
+def _conversion_counts(df: DataFrame, wrong: Sequence[str], expected: Mapping[str, str]) -> list[Column]:
+    """Per mistyped column, the values that do not convert to the contract's type."""
+    return [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(expected[c]).isNull()).alias(f"_bad_{i}")
+            for i, c in enumerate(wrong)]
+
+
 def _schema_row(df: DataFrame, table: str, expected: Sequence[str] | Mapping[str, str]) -> list[Column]:
+    """From an aggregate with ``_total`` and the conversion counts."""
     missing, wrong = _schema_problems(df, expected)
-    if not missing and not wrong:
-        detail = "All expected columns present"
-    else:
-        parts = []
-        if missing or not wrong:
-            parts.append(f"Missing columns: {missing}")
-        if wrong:
-            parts.append(f"Wrong types: {wrong}")
-        detail = "; ".join(parts)
-    status = PASS if not (missing or wrong) else FAIL
-    return _row(CHECK_SCHEMA, table, F.lit(status), F.lit(float(len(missing) + len(wrong))), 0.0, F.lit(detail))
+    parts = [F.concat(F.lit("rows read: "), _fmt(F.col("_total")))]
+    if missing:
+        parts.append(F.lit(f"absent: {', '.join(missing)}"))
+    for i, c in enumerate(wrong):
+        parts.append(F.concat(F.lit(f"{c} is not {expected[c]}, does not convert: "), _fmt(F.col(f"_bad_{i}"))))
+    bad = len(missing) + len(wrong)
+    return _row(CHECK_SCHEMA, table, F.lit(FAIL if bad else PASS), F.lit(float(bad)), 0.0, F.concat_ws("; ", *parts))
 
 
-def _one_row(df: DataFrame, cols: list[Column]) -> DataFrame:
-    return df.sparkSession.range(1).select(*cols)
+def _schema_aggs(df: DataFrame, expected: Sequence[str] | Mapping[str, str]) -> list[Column]:
+    return _conversion_counts(df, _schema_problems(df, expected)[1], expected)
 
 
 # --- single checks -------------------------------------------------------
@@ -134,40 +137,39 @@ def check_negative_amounts(df: DataFrame, table: str) -> DataFrame:
 
 
 def check_schema(df: DataFrame, table: str, expected: Sequence[str] | Mapping[str, str]) -> DataFrame:
-    """Metric is the number of missing (or, given a name->type map, mistyped) columns."""
-    return _one_row(df, _schema_row(df, table, expected))
-
+    """Metric is the number of missing (or, given a name->type map, mistyped)
+    columns; the detail tells how many rows were read and, per mistyped column,
+    how many values do not convert."""
+    agg = df.agg(F.count(F.lit(1)).alias("_total"), *_schema_aggs(df, expected))
+    return agg.select(*_schema_row(df, table, expected))
 
-# --- suite and gate ------------------------------------------------------
 
 def table_checks(df: DataFrame, table: str, ledger: Ledger, cfg: ReconConfig = ReconConfig(),
                  expected: Sequence[str] | Mapping[str, str] | None = None) -> DataFrame:
     """The four checks of one table from one aggregate pass.
 
-    The schema check runs first on metadata; if a column the other checks
-    need is missing, they are reported as FAIL instead of raising.
+    If a column that the other checks need is missing, they are reported as
+    FAIL instead of raising.
     """
     required = list(ledger.required_cols)
     expected = required if expected is None else expected
-    schema_row = _one_row(df, _schema_row(df, table, expected))
-    needed = set(required) | {ledger.id_col, "amount"}
-    if not needed.issubset(df.columns):
-        absent = sorted(needed - set(df.columns))
-        failed = [_one_row(df, _row(name, table, F.lit(FAIL), F.lit(None), thr,
-                                    F.lit(f"Not computed: missing columns {absent}")))
-                  for name, thr in ((CHECK_COMPLETENESS, cfg.completeness_threshold),
-                                    (CHECK_DUPLICATES, cfg.duplicate_threshold), (CHECK_NEGATIVE, 0.0))]
-        return failed[0].unionByName(failed[1]).unionByName(failed[2]).unionByName(schema_row)
-    agg = df.agg(*_metrics(df, required, ledger.id_col))
-    rows = F.array(
-        F.struct(*_completeness_row(table, cfg.completeness_threshold)),
-        F.struct(*_duplicates_row(table, ledger.id_col, cfg.duplicate_threshold)),
-        F.struct(*_negative_row(table)),
-    )
-    computed = agg.select(F.explode(rows).alias("r")).select("r.*")
-    return computed.unionByName(schema_row)
+    absent = sorted((set(required) | {ledger.id_col, "amount"}) - set(df.columns))
+    if absent:
+        agg = df.agg(F.count(F.lit(1)).alias("_total"), *_schema_aggs(df, expected))
+        checks = [F.struct(*_row(name, table, F.lit(FAIL), F.lit(None), threshold,
+                                 F.lit(f"not computed, absent: {', '.join(absent)}")))
+                  for name, threshold in ((CHECK_COMPLETENESS, cfg.completeness_threshold),
+                                          (CHECK_DUPLICATES, cfg.duplicate_threshold), (CHECK_NEGATIVE, 0.0))]
+    else:
+        agg = df.agg(*_metrics(df, required, ledger.id_col), *_schema_aggs(df, expected))
+        checks = [F.struct(*_completeness_row(table, cfg.completeness_threshold)),
+                  F.struct(*_duplicates_row(table, ledger.id_col, cfg.duplicate_threshold)),
+                  F.struct(*_negative_row(table))]
+    return agg.select(F.explode(F.array(*checks, F.struct(*_schema_row(df, table, expected)))).alias("r")).select("r.*")
 
 
+# --- suite and gate ------------------------------------------------------
+
 def run_suite(tables: Sequence[tuple[DataFrame, str, Ledger]], cfg: ReconConfig = ReconConfig()) -> DataFrame:
     """All checks for every (frame, table name, ledger) given."""
     out = None

@@ -9,7 +9,7 @@ run dates), not code.
 
 from __future__ import annotations
 
-from .queries import PREV_RUN_DATE, PREV_RUN_TS, RUN_DATE, RUN_TS
+from .queries import LATER_RUN_TS, PREV_RUN_DATE, PREV_RUN_TS, RUN_DATE, RUN_TS
 
 TOL = "1.0"
 LOOKBACK = 5
@@ -22,10 +22,10 @@ def _orders_ledger(id_col: str, prefix: str, amount: str, status: str, where: st
                    extra: str = "") -> str:
     amt = f"CAST({amount} AS VARCHAR)" if amount_text else amount
     return f"""
-    SELECT '{prefix}' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS {id_col},
-           'ACC' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS account_number,
-           'TRD' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS trade_reference,
-           'SWF' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') || 'ZAJJ' AS swift_bic,
+    SELECT '{prefix}' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS {id_col},
+           'ACC' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(8, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS account_number,
+           'TRD' || lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS trade_reference,
+           'SWF' || lpad(CAST(o_custkey % 1000 AS VARCHAR), CAST(greatest(3, length(CAST(o_custkey % 1000 AS VARCHAR))) AS INTEGER), '0') || 'ZAJJ' AS swift_bic,
            CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 3 AS INTEGER) AS VARCHAR) AS transaction_date,
            CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 3 AS INTEGER) AS VARCHAR) AS value_date,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS settlement_date,
@@ -44,6 +44,8 @@ _RADA_AMOUNT = """CASE WHEN o_orderkey % 23 = 3 THEN o_totalprice
       WHEN o_orderkey % 23 = 4 THEN o_totalprice + CAST(0.5 AS DOUBLE)
       ELSE o_totalprice END"""
 
+CASH_WHOLE = _orders_ledger("cash_id", "CSH", "o_totalprice", "SETTLED", "TRUE")
+RADA_WHOLE = _orders_ledger("rada_id", "RADA", _RADA_AMOUNT, "CONFIRMED", "TRUE")
 CASH_BRONZE = _orders_ledger("cash_id", "CSH", "o_totalprice", "SETTLED", "o_orderkey % 17 <> 7")
 RADA_BRONZE = _orders_ledger("rada_id", "RADA", _RADA_AMOUNT, "CONFIRMED", "o_orderkey % 19 <> 5")
 RADA_BRONZE_EARLIER = _orders_ledger("rada_id", "RADA", _RADA_AMOUNT, "CONFIRMED",
@@ -99,7 +101,7 @@ def _flagged(src: str, id_col: str) -> str:
            AND trade_reference IS NOT NULL AND length(trade_reference) > 0
            AND currency IS NOT NULL AND length(currency) > 0
            AND settlement_date IS NOT NULL
-           AND amount IS NOT NULL AND NOT isnan(amount) AND amount >= 0 AND amount < CAST(1e16 AS DOUBLE)
+           AND amount IS NOT NULL AND NOT isnan(amount) AND amount >= 0
            AND debit_credit IN ('D', 'C'), FALSE) AS ok
     FROM {src}"""
 
@@ -129,9 +131,39 @@ def _keyed(src: str, id_col: str) -> str:
     FROM {src}"""
 
 
+_ROW = "business_key, side, rid, amt, account_number, trade_reference, settlement_date, currency, swift_bic, debit_credit"
+
+
+def _round(name: str, src: str, grp: str) -> list[tuple[str, str]]:
+    """Pair the i-th cash with the i-th RADA record of each (key, group):
+    ``{name}`` pairs and single records, ``{name}_left`` the single ones."""
+    return [
+        (f"{name}_num", f"""
+    SELECT *, row_number() OVER (PARTITION BY business_key, grp, side ORDER BY class, slice,
+                                 amt ASC NULLS FIRST, rid ASC NULLS FIRST) AS pair
+    FROM (SELECT {_ROW}, {grp} AS grp, substr(md5(rid), 1, 2) AS slice,
+                 coalesce(lpad(CAST(length(whole) AS VARCHAR), 2, '0') || substr(whole, 1, 2), '') AS class
+          FROM (SELECT *, split_part(CAST(abs(CAST(amt AS DECIMAL(38,6))) AS VARCHAR), '.', 1) AS whole FROM {src}))"""),
+        (name, f"""
+    SELECT business_key, count(*) FILTER (WHERE side = 0) AS in_cash, count(*) FILTER (WHERE side = 1) AS in_rada,
+           max(rid) FILTER (WHERE side = 0) AS cash_id, max(rid) FILTER (WHERE side = 1) AS rada_id,
+           max(amt) FILTER (WHERE side = 0) AS ca, max(amt) FILTER (WHERE side = 1) AS ra,
+           max(account_number) AS account_number, max(trade_reference) AS trade_reference,
+           max(settlement_date) AS settlement_date, max(currency) AS currency,
+           max(swift_bic) AS swift_bic, max(debit_credit) AS debit_credit
+    FROM {name}_num GROUP BY business_key, grp, pair"""),
+        (f"{name}_left", f"""
+    SELECT business_key, 1 - in_cash AS side, coalesce(cash_id, rada_id) AS rid, coalesce(ca, ra) AS amt,
+           account_number, trade_reference, settlement_date, currency, swift_bic, debit_credit
+    FROM {name} WHERE in_cash + in_rada = 1"""),
+    ]
+
+
 def _classified(cash: str, rada: str) -> list[tuple[str, str]]:
-    """CTEs ending in ``{cash}_{rada}_cls`` (one-to-one pairing by amount, id)."""
+    """CTEs ending in ``{cash}_{rada}_cls``: one-to-one pairing by equal
+    amounts, tolerance buckets, shifted buckets, then rank."""
     p = f"{cash}_{rada}"
+    amt = "CAST(amt AS DECIMAL(38,6))"
     return [
         (f"{p}_stack", f"""
     SELECT business_key, 0 AS side, cash_id AS rid, amount AS amt, account_number, trade_reference,
@@ -139,31 +171,22 @@ def _classified(cash: str, rada: str) -> list[tuple[str, str]]:
     UNION ALL
     SELECT business_key, 1 AS side, rada_id AS rid, amount AS amt, NULL, NULL, NULL, NULL, NULL, NULL
     FROM {rada}"""),
-        (f"{p}_ranked", f"""
-    SELECT *, row_number() OVER (PARTITION BY business_key, side
-                                 ORDER BY amt ASC NULLS FIRST, rid ASC NULLS FIRST) AS pair
-    FROM {p}_stack"""),
-        (f"{p}_pairs", f"""
-    SELECT business_key, pair,
-           max(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS in_cash,
-           max(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS in_rada,
-           max(CASE WHEN side = 0 THEN rid END) AS cash_id,
-           max(CASE WHEN side = 1 THEN rid END) AS rada_id,
-           max(CASE WHEN side = 0 THEN amt END) AS ca,
-           max(CASE WHEN side = 1 THEN amt END) AS ra,
-           max(account_number) AS account_number, max(trade_reference) AS trade_reference,
-           max(settlement_date) AS settlement_date, max(currency) AS currency,
-           max(swift_bic) AS swift_bic, max(debit_credit) AS debit_credit
-    FROM {p}_ranked GROUP BY business_key, pair"""),
+        *_round(f"{p}_r1", f"{p}_stack", f"CAST({amt} AS VARCHAR)"),
+        *_round(f"{p}_r2", f"{p}_r1_left", f"CAST(CAST(floor({amt} / {TOL}) AS HUGEINT) AS VARCHAR)"),
+        *_round(f"{p}_r3", f"{p}_r2_left", f"CAST(CAST(floor({amt} / {TOL} + 0.5) AS HUGEINT) AS VARCHAR)"),
+        *_round(f"{p}_r4", f"{p}_r3_left", "''"),
         (f"{p}_lab", f"""
     SELECT *, CASE WHEN in_cash = 0 THEN 'NEW' WHEN in_rada = 0 THEN 'UNMATCHED'
-                   WHEN abs(ca - ra) <= {TOL} THEN 'MATCHED' ELSE 'AMOUNT_MISMATCH' END AS recon_status
-    FROM {p}_pairs"""),
+                   WHEN abs(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6))) <= {TOL} THEN 'MATCHED'
+                   ELSE 'AMOUNT_MISMATCH' END AS recon_status
+    FROM (SELECT * FROM {p}_r1 WHERE in_cash + in_rada = 2 UNION ALL SELECT * FROM {p}_r2 WHERE in_cash + in_rada = 2
+          UNION ALL SELECT * FROM {p}_r3 WHERE in_cash + in_rada = 2 UNION ALL SELECT * FROM {p}_r4)"""),
         (f"{p}_cls", f"""
     SELECT business_key, cash_id, rada_id, account_number, trade_reference, settlement_date, currency,
            CASE WHEN in_cash = 1 THEN ca ELSE ra END AS amount,
            CASE WHEN in_cash = 1 AND in_rada = 1 THEN ra END AS rada_amount,
-           CASE WHEN in_cash = 1 AND in_rada = 1 THEN ca - ra END AS amount_variance,
+           CASE WHEN in_cash = 1 AND in_rada = 1
+                THEN CAST(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6)) AS DOUBLE) END AS amount_variance,
            CASE WHEN recon_status <> 'AMOUNT_MISMATCH' THEN swift_bic END AS swift_bic,
            debit_credit, recon_status,
            CASE recon_status WHEN 'AMOUNT_MISMATCH' THEN 'AMOUNT' WHEN 'UNMATCHED' THEN 'MISSING_IN_RADA'
@@ -172,6 +195,14 @@ def _classified(cash: str, rada: str) -> list[tuple[str, str]]:
     ]
 
 
+# the whole extracts: silver and keyed ledgers
+WHOLE_CTES: list[tuple[str, str]] = [
+    ("cash_w", CASH_WHOLE), ("rada_w", RADA_WHOLE),
+    ("cash_norm_w", _normalise("cash_w", "cash_id")), ("rada_norm_w", _normalise("rada_w", "rada_id")),
+    ("cash_flag_w", _flagged("cash_norm_w", "cash_id")), ("rada_flag_w", _flagged("rada_norm_w", "rada_id")),
+    ("cash_silver_w", _dedup("cash_flag_w", "cash_id")), ("rada_silver_w", _dedup("rada_flag_w", "rada_id")),
+    ("cash_keyed_w", _keyed("cash_silver_w", "cash_id")), ("rada_keyed_w", _keyed("rada_silver_w", "rada_id")),
+]
 # silver and keyed ledgers from the clean extracts
 BASE_CTES: list[tuple[str, str]] = [
     ("cash_bronze", CASH_BRONZE),
@@ -203,8 +234,8 @@ GOLD_CTES: list[tuple[str, str]] = BASE_CTES + [
     SELECT {GOLD_COLS}, TIMESTAMP '{PREV_RUN_TS}' AS _run_ts, DATE '{PREV_RUN_DATE}' AS _run_date FROM {PREV}"""),
     ("prev_open", f"""
     SELECT DISTINCT business_key FROM prev_gold
-    WHERE recon_status = 'UNMATCHED' AND _run_date <= DATE '{RUN_DATE}' - {LOOKBACK}
-      AND _run_ts <= CAST(DATE '{RUN_DATE}' - {LOOKBACK} AS TIMESTAMP)"""),
+    WHERE recon_status = 'UNMATCHED' AND _run_date = (SELECT max(_run_date) FROM prev_gold
+      WHERE _run_date < DATE '{RUN_DATE}' - {LOOKBACK})"""),
     ("cleared", f"""
     SELECT business_key, 'CLEARED' AS recon_status FROM prev_open
     WHERE business_key NOT IN (SELECT business_key FROM {CUR} WHERE recon_status = 'UNMATCHED')"""),
@@ -244,8 +275,8 @@ def _repeated_ctes(skewed: bool) -> list[tuple[str, str]]:
     if skewed:
         account, trade, group = "'ACC' || l_returnflag", "'TRD0000000'", "0"
     else:
-        account = "'ACC' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0')"
-        trade = "'TRD' || lpad(CAST(l_linenumber AS VARCHAR), 7, '0')"
+        account = "'ACC' || lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(l_orderkey AS VARCHAR))) AS INTEGER), '0')"
+        trade = "'TRD' || lpad(CAST(l_linenumber AS VARCHAR), CAST(greatest(7, length(CAST(l_linenumber AS VARCHAR))) AS INTEGER), '0')"
         group = "l_orderkey"
     rada_amt = ("CASE WHEN l_partkey % 7 = 1 THEN l_extendedprice + CAST(5.0 AS DOUBLE) "
                 "ELSE l_extendedprice END")
@@ -271,11 +302,11 @@ _KPI_SELECT = """
     count(*) FILTER (WHERE recon_status = 'NEW') AS new,
     count(*) FILTER (WHERE recon_status = 'CLEARED') AS cleared,
     count(*) FILTER (WHERE recon_status = 'AMOUNT_MISMATCH') AS amount_mismatch,
-    round(coalesce(CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE recon_status = 'UNMATCHED') AS DOUBLE),
+    round(coalesce(CAST(sum(CAST(amount AS DECIMAL(38,6))) FILTER (WHERE recon_status = 'UNMATCHED') AS DOUBLE),
                    0.0), 2) AS unmatched_exposure,
-    CAST(sum(CAST(abs(amount_variance) AS DECIMAL(18,2)))
+    CAST(sum(CAST(abs(amount_variance) AS DECIMAL(38,6)))
          FILTER (WHERE recon_status IN ('MATCHED', 'AMOUNT_MISMATCH')) AS DOUBLE) AS var_sum,
-    count(CAST(abs(amount_variance) AS DECIMAL(18,2)))
+    count(CAST(abs(amount_variance) AS DECIMAL(38,6)))
          FILTER (WHERE recon_status IN ('MATCHED', 'AMOUNT_MISMATCH')) AS var_n"""
 
 
@@ -294,7 +325,7 @@ KPI_TREND_CTES = GOLD_CTES + [("k", f"SELECT _run_date, {_KPI_SELECT} FROM gold
 KPI_TREND = _with(KPI_TREND_CTES, _kpi_finish("k", "_run_date") + " ORDER BY run_date")
 
 EXCEPTIONS = ("SELECT business_key, cash_id, rada_id, currency, amount, rada_amount, amount_variance, "
-              "recon_status, mismatch_reason FROM gold_day WHERE recon_status <> 'MATCHED'")
+              "recon_status, mismatch_reason FROM gold_day WHERE recon_status IN ('UNMATCHED', 'NEW', 'AMOUNT_MISMATCH')")
 
 _STATUS_COUNTS = """
     SELECT s.recon_status, count(g.recon_status) AS records
@@ -312,7 +343,7 @@ def _dq_rows(src: str, table: str, id_col: str, which: tuple[str, ...]) -> str:
                 THEN 'PASS' ELSE 'FAIL' END AS status,
            CASE WHEN total > 0 THEN round(CAST(complete AS DOUBLE) / CAST(total AS DOUBLE), 4) ELSE 0.0 END AS metric_value,
            CAST(0.98 AS DOUBLE) AS threshold,
-           format('{{:,}}/{{:,}} rows have all required fields populated', CAST(complete AS BIGINT), CAST(total AS BIGINT)) AS detail
+           format('{{:,}}/{{:,}} rows complete', CAST(complete AS BIGINT), CAST(total AS BIGINT)) AS detail
     FROM {src}""",
         "duplicate_rate": f"""
     SELECT 'duplicate_rate' AS check_name, '{table}' AS "table",
@@ -320,14 +351,14 @@ def _dq_rows(src: str, table: str, id_col: str, which: tuple[str, ...]) -> str:
                 THEN 'PASS' ELSE 'FAIL' END AS status,
            CASE WHEN total > 0 THEN round(CAST(total - uniq AS DOUBLE) / CAST(total AS DOUBLE), 4) ELSE 0.0 END AS metric_value,
            CAST(0.005 AS DOUBLE) AS threshold,
-           format('{{:,}} duplicate {id_col} values out of {{:,}} records', CAST(total - uniq AS BIGINT), CAST(total AS BIGINT)) AS detail
+           format('{id_col} repeated in {{:,}} of {{:,}} rows', CAST(total - uniq AS BIGINT), CAST(total AS BIGINT)) AS detail
     FROM {src}""",
         "negative_amounts": f"""
     SELECT 'negative_amounts' AS check_name, '{table}' AS "table",
            CASE WHEN negative = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
            CASE WHEN total > 0 THEN round(CAST(negative AS DOUBLE) / CAST(total AS DOUBLE), 4) ELSE 0.0 END AS metric_value,
            CAST(0.0 AS DOUBLE) AS threshold,
-           format('{{:,}} records with negative amount values', CAST(negative AS BIGINT)) AS detail
+           format('{{:,}} amounts below zero', CAST(negative AS BIGINT)) AS detail
     FROM {src}""",
     }
     return "\nUNION ALL".join(parts[w] for w in which)
@@ -345,9 +376,13 @@ def _dq_metrics(src: str, id_col: str) -> str:
 
 
 BRONZE_CASH = "bronze.cash_transactions"
-_SCHEMA_OK = (f"SELECT 'schema_enforcement' AS check_name, '{{t}}' AS \"table\", 'PASS' AS status, "
-              "CAST(0.0 AS DOUBLE) AS metric_value, CAST(0.0 AS DOUBLE) AS threshold, "
-              "'All expected columns present' AS detail")
+
+
+def _schema_ok(table: str, metrics: str) -> str:
+    return f"""SELECT 'schema_enforcement' AS check_name, '{table}' AS "table", 'PASS' AS status,
+        CAST(0.0 AS DOUBLE) AS metric_value, CAST(0.0 AS DOUBLE) AS threshold,
+        format('rows read: {{:,}}', CAST(total AS BIGINT)) AS detail FROM {metrics}"""
+
 
 _UNMATCHED_COLS = ("business_key, cash_id, account_number, trade_reference, settlement_date, currency, amount, "
                    "swift_bic, debit_credit, recon_status")
@@ -361,8 +396,16 @@ def _typed_dirty_ctes() -> list[tuple[str, str]]:
     return DIRTY_CTES + [("m", _dq_metrics("dirty_norm", "cash_id"))]
 
 
+def _dq_all(metrics: str, table: str, id_col: str) -> str:
+    checks = _dq_rows(metrics, table, id_col, ("completeness", "duplicate_rate", "negative_amounts"))
+    return f"{checks}\nUNION ALL {_schema_ok(table, metrics)}"
+
+
+_LANDING_DAY = "CASE WHEN CAST(right(cash_id, 1) AS INTEGER) % 2 = 1 THEN 'day2' ELSE 'day1' END"
+
+
 def _sum_money(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 ORACLE: dict[str, str] = {
@@ -374,8 +417,8 @@ ORACLE: dict[str, str] = {
     "silver_counts": _with(DIRTY_CTES, """SELECT count(*) AS input_rows,
         count(*) FILTER (WHERE ok) AS accepted_rows, count(*) FILTER (WHERE NOT ok) AS quarantine_rows,
         count(DISTINCT CASE WHEN ok THEN cash_id END) AS clean_rows FROM dirty_flag"""),
-    "keyed_cash": _with(BASE_CTES, "SELECT * FROM cash_keyed"),
-    "keyed_rada": _with(BASE_CTES, "SELECT * FROM rada_keyed"),
+    "keyed_cash": _with(WHOLE_CTES, "SELECT * FROM cash_keyed_w"),
+    "keyed_rada": _with(WHOLE_CTES, "SELECT * FROM rada_keyed_w"),
     "recon_classified": _with(BASE_CTES, f"SELECT * FROM {CUR}"),
     "recon_matched": _with(BASE_CTES, f"SELECT {_MATCHED_COLS} FROM {CUR} WHERE recon_status = 'MATCHED'"),
     "recon_unmatched": _with(BASE_CTES, f"SELECT {_UNMATCHED_COLS} FROM {CUR} WHERE recon_status = 'UNMATCHED'"),
@@ -425,33 +468,57 @@ ORACLE: dict[str, str] = {
     "dq_duplicate_rate": _with(_typed_dirty_ctes(), _dq_rows("m", BRONZE_CASH, "cash_id", ("duplicate_rate",))),
     "dq_negative_amounts": _with(_typed_dirty_ctes(),
                                  _dq_rows("m", BRONZE_CASH, "cash_id", ("negative_amounts",))),
-    "dq_schema": f"""SELECT 'schema_enforcement' AS check_name, '{BRONZE_CASH}' AS "table", 'FAIL' AS status,
-        CAST(2.0 AS DOUBLE) AS metric_value, CAST(0.0 AS DOUBLE) AS threshold,
-        'Wrong types: [''settlement_date'', ''amount'']' AS detail""",
-    "dq_suite": _with(_typed_dirty_ctes() + BASE_CTES + [("mr", _dq_metrics("rada_silver", "rada_id"))],
-                      _dq_rows("m", BRONZE_CASH, "cash_id", ("completeness", "duplicate_rate", "negative_amounts"))
-                      + "\nUNION ALL " + _SCHEMA_OK.format(t=BRONZE_CASH) + "\nUNION ALL"
-                      + _dq_rows("mr", "silver.rada_transactions", "rada_id",
-                                 ("completeness", "duplicate_rate", "negative_amounts"))
-                      + "\nUNION ALL " + _SCHEMA_OK.format(t="silver.rada_transactions")),
+    "dq_schema": _with(DIRTY_CTES, f"""SELECT 'schema_enforcement' AS check_name, '{BRONZE_CASH}' AS "table",
+        'FAIL' AS status, CAST(2.0 AS DOUBLE) AS metric_value, CAST(0.0 AS DOUBLE) AS threshold,
+        format('rows read: {{:,}}; settlement_date is not date, does not convert: {{:,}}; amount is not double, '
+               || 'does not convert: {{:,}}', count(*),
+               count(*) FILTER (WHERE settlement_date IS NOT NULL AND TRY_CAST(settlement_date AS DATE) IS NULL),
+               count(*) FILTER (WHERE amount IS NOT NULL AND TRY_CAST(amount AS DOUBLE) IS NULL)) AS detail
+        FROM dirty"""),
+    "dq_suite": _with(_typed_dirty_ctes() + WHOLE_CTES + [("mr", _dq_metrics("rada_silver_w", "rada_id"))],
+                      _dq_all("m", BRONZE_CASH, "cash_id") + "\nUNION ALL " + _dq_all(
+                          "mr", "silver.rada_transactions", "rada_id")),
+    "dq_stored": _with(WHOLE_CTES + [("mc", _dq_metrics("cash_silver_w", "cash_id")),
+                                     ("mr", _dq_metrics("rada_silver_w", "rada_id"))], f"""
+        SELECT *, TIMESTAMP '{RUN_TS}' AS run_ts, DATE '{RUN_DATE}' AS _run_date FROM (
+        {_dq_all("mc", "cash", "cash_id")} UNION ALL {_dq_all("mr", "rada", "rada_id")})"""),
+    "kpi_breakdown_stored": _with(GOLD_CTES, f"""SELECT currency, recon_status, count(*) AS count,
+        round({_sum_money('amount')}, 2) AS total_amount, DATE '{RUN_DATE}' AS _run_date
+        FROM gold_day GROUP BY currency, recon_status"""),
+    "recon_cleared_three_runs": _with(GOLD_CTES, f"SELECT DATE '{RUN_DATE}' AS _run_date, business_key FROM cleared"),
+    "validate_schema_rada": _with([("rada_w", RADA_WHOLE)], """SELECT 'bronze.rada_transactions' AS "table",
+        count(*) AS row_count, '' AS missing_mandatory_columns, TRUE AS schema_valid FROM rada_w"""),
+    "silver_by_name": _with(WHOLE_CTES, f"SELECT {LEDGER_OUT} FROM cash_silver_w"),
+    "silver_stamped": _with(WHOLE_CTES, f"SELECT cash_id, TIMESTAMP '{RUN_TS}' AS _standardised_ts FROM cash_silver_w"),
+    "quarantine_stored": _with(DIRTY_CTES, f"""SELECT 'twice' AS runs, {LEDGER_OUT},
+        'mandatory_field_or_value_check_failed' AS _rejection_reason, DATE '{RUN_DATE}' AS _batch_date
+        FROM dirty_flag WHERE NOT ok"""),
+    "run_audit": _with(DIRTY_CTES, f"""SELECT DATE '{RUN_DATE}' AS run_date, run_ts, count(*) AS input_rows,
+        count(*) FILTER (WHERE ok) AS accepted_rows, count(*) FILTER (WHERE NOT ok) AS quarantine_rows,
+        count(DISTINCT CASE WHEN ok THEN cash_id END) AS clean_rows
+        FROM dirty_flag, (VALUES (TIMESTAMP '{RUN_TS}'), (TIMESTAMP '{LATER_RUN_TS}')) AS t(run_ts) GROUP BY run_ts"""),
+    "ingest_lineage": _with([("cash_w", CASH_WHOLE)], f"""SELECT cash_id, {_LANDING_DAY} AS batch, TRUE AS same_day
+        FROM cash_w"""),
+    "ingest_counts": _with([("cash_w", CASH_WHOLE)], f"""SELECT {_LANDING_DAY} AS batch, count(*) AS rows
+        FROM cash_w GROUP BY 1"""),
     "measure_matched_rate": _with(KPI_TREND_CTES, """SELECT CASE WHEN sum(matched) + sum(unmatched) > 0
         THEN CAST(sum(matched) AS DOUBLE) / CAST(sum(matched) + sum(unmatched) AS DOUBLE) ELSE 0.0 END
         AS matched_rate FROM k"""),
     "measure_exception_flag": _with(GOLD_CTES, f"""SELECT *,
         CASE WHEN coalesce(trim(mismatch_reason), '') <> '' THEN 1 ELSE 0 END AS exception_flag
         FROM ({EXCEPTIONS})"""),
-    "measure_total_variance": _with(BASE_CTES, f"""SELECT
-        (SELECT {_sum_money('amount')} FROM cash_silver) AS total_cash,
-        (SELECT {_sum_money('amount')} FROM rada_silver) AS total_rada,
-        CAST((SELECT sum(CAST(amount AS DECIMAL(18,2))) FROM cash_silver)
-             - (SELECT sum(CAST(amount AS DECIMAL(18,2))) FROM rada_silver) AS DOUBLE) AS total_variance"""),
-    "validate_schema": _with([("cash_bronze", CASH_BRONZE)], f"""SELECT '{BRONZE_CASH}' AS "table",
-        count(*) AS row_count, '' AS missing_mandatory_columns, TRUE AS schema_valid FROM cash_bronze"""),
-    "ingest_stream": _with([("cash_bronze", CASH_BRONZE)], f"SELECT {LEDGER_OUT} FROM cash_bronze"),
+    "measure_total_variance": _with(WHOLE_CTES, f"""SELECT
+        (SELECT {_sum_money('amount')} FROM cash_silver_w) AS total_cash,
+        (SELECT {_sum_money('amount')} FROM rada_silver_w) AS total_rada,
+        CAST((SELECT sum(CAST(amount AS DECIMAL(38,6))) FROM cash_silver_w)
+             - (SELECT sum(CAST(amount AS DECIMAL(38,6))) FROM rada_silver_w) AS DOUBLE) AS total_variance"""),
+    "validate_schema": _with([("cash_w", CASH_WHOLE)], f"""SELECT '{BRONZE_CASH}' AS "table",
+        count(*) AS row_count, '' AS missing_mandatory_columns, TRUE AS schema_valid FROM cash_w"""),
+    "ingest_stream": _with([("cash_w", CASH_WHOLE)], f"SELECT {LEDGER_OUT} FROM cash_w"),
     # the extract carries whole cents, so the expected amount is cents / 100
-    "ingest_rada_fixed_width": _with(BASE_CTES, "SELECT rada_id, " + LEDGER_COLS.replace(
+    "ingest_rada_fixed_width": _with(WHOLE_CTES, "SELECT rada_id, " + LEDGER_COLS.replace(
         "amount,", "CAST(CAST(round(amount * CAST(100 AS DOUBLE)) AS BIGINT) AS DOUBLE) / CAST(100 AS DOUBLE) "
-                   "AS amount,") + " FROM rada_silver"),
+                   "AS amount,") + " FROM rada_silver_w"),
     "gold_clustered": _with(GOLD_CTES, f"SELECT {GOLD_OUT} FROM cur_gold"),
     "export_kpi": KPI_DAILY,
     "daily_run_kpis": KPI_TREND,

@@ -9,6 +9,7 @@ the current run (RUN) a week later.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,17 @@ from ..operators.cleared import detect_cleared, snapshot_open_keys
 from ..operators.standardise import latest_per_id, normalise, standardise, standardise_counts
 from ..schemas import landing_schema, type_contract
 from ..session import scratch_path
-from ..sinks import tables
+from ..sinks import catalog, tables
 from ..sources import fixed_width
 from ..sources import fixtures as fx
 from ..streaming.ingest import ingest, validate_schema
+from . import steps
 
 PREV_RUN_DATE, PREV_RUN_TS = "2026-01-01", "2026-01-01 01:00:00"
 RUN_DATE, RUN_TS = "2026-01-08", "2026-01-08 01:00:00"
+LATER_RUN_TS = "2026-01-08 05:30:00"
+THIRD_RUN_DATE, THIRD_RUN_TS = "2026-01-15", "2026-01-15 01:00:00"
 CFG = ReconConfig()
-# The skew drill puts a third of all rows on each of three keys; the hot-key
-# threshold is set so those keys take the range-partitioned path.
-SKEW_CFG = ReconConfig(hot_key_rows=1000, hot_key_sample_fraction=0.05)
 
 LEDGER_OUT = (CASH.id_col, "account_number", "trade_reference", "swift_bic", "transaction_date", "value_date",
               "settlement_date", "currency", "amount", "debit_credit", "narrative", "status")
@@ -62,25 +63,48 @@ def classified(spark: SparkSession, sf: str, *, earlier: bool = False,
                           previous_open=previous_open)
 
 
-def previous_gold(spark: SparkSession, sf: str, early: DataFrame | None = None) -> DataFrame:
+def whole_cash(spark: SparkSession, sf: str) -> DataFrame:
+    """Cash silver of every order."""
+    return standardise(fx.cash_bronze(spark, sf, whole=True), CASH).clean
+
+
+def whole_rada(spark: SparkSession, sf: str) -> DataFrame:
+    """RADA silver of every order."""
+    return standardise(fx.rada_bronze(spark, sf, whole=True), RADA, amount_scale=CFG.rada_amount_scale).clean
+
+
+def previous_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Gold rows of the earlier run (its first run: nothing to clear)."""
-    current = classified(spark, sf, earlier=True) if early is None else early
-    cleared, _ = detect_cleared(current, None, PREV_RUN_DATE, CFG)
-    return gold_ops.assemble(current, cleared, PREV_RUN_TS, PREV_RUN_DATE)
+    return gold_ops.assemble(classified(spark, sf, earlier=True), None, PREV_RUN_TS, PREV_RUN_DATE)
+
+
+def stored_previous(spark: SparkSession, sf: str) -> str:
+    """The earlier run, matched once and stored; its path."""
+    path = scratch_path(spark, "gold")
+    tables.overwrite_partitions(previous_gold(spark, sf), path)
+    return path
+
 
+def next_gold(spark: SparkSession, sf: str, history: str, run_ts: str = RUN_TS, run_date: str = RUN_DATE) -> DataFrame:
+    """A later run's gold rows, CLEARED against the stored history."""
+    before = snapshot_open_keys(spark.read.parquet(history), run_date, CFG.lookback_days)
+    return gold_ops.assemble(classified(spark, sf, previous_open=before), None, run_ts, run_date)
 
-def current_gold(spark: SparkSession, sf: str, prev: DataFrame | None = None) -> DataFrame:
-    """Today's gold rows, CLEARED detected against the earlier run inside the
-    matching pass."""
-    prev = previous_gold(spark, sf) if prev is None else prev
-    current = classified(spark, sf, previous_open=snapshot_open_keys(prev, RUN_DATE, CFG.lookback_days))
-    return gold_ops.assemble(current, None, RUN_TS, RUN_DATE)
+
+def current_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Today's gold rows."""
+    return next_gold(spark, sf, stored_previous(spark, sf))
+
+
+def stored_history(spark: SparkSession, sf: str) -> str:
+    """Both runs, each matched once and stored in its run-date partition; the path."""
+    path = stored_previous(spark, sf)
+    tables.overwrite_partitions(next_gold(spark, sf, path), path)
+    return path
 
 
 def gold_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Both runs' gold rows; the earlier run is built once and feeds both."""
-    prev = previous_gold(spark, sf)
-    return prev.unionByName(current_gold(spark, sf, prev=prev))
+    return spark.read.parquet(stored_history(spark, sf))
 
 
 def dirty_cash(spark: SparkSession, sf: str):
@@ -114,13 +138,13 @@ def q_silver_counts(spark, sf):
 # --- keys and matching ---------------------------------------------------
 
 def q_keyed_cash(spark, sf):
-    """Cash silver ledger with business keys."""
-    return keyed_cash(spark, sf)
+    """Cash silver ledger with business keys, every order."""
+    return prepare_for_matching(whole_cash(spark, sf), CASH.id_col)
 
 
 def q_keyed_rada(spark, sf):
-    """RADA silver ledger with business keys."""
-    return keyed_rada(spark, sf)
+    """RADA silver ledger with business keys, every order."""
+    return prepare_for_matching(whole_rada(spark, sf), RADA.id_col)
 
 
 def q_recon_classified(spark, sf):
@@ -155,21 +179,32 @@ def q_recon_repeated_keys(spark, sf):
 
 
 def q_recon_skewed_keys(spark, sf):
-    """Matching where each of three keys holds a third of all rows (hot-key path)."""
+    """Matching where each of three keys holds a third of all rows."""
     cash, rada = fx.repeated_key_ledgers(spark, sf, skewed=True)
-    return match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col),
-                          SKEW_CFG)
+    return match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col), CFG)
 
 
 def q_recon_cleared(spark, sf):
     """Keys open in the earlier run's snapshot and not open today (standalone form)."""
-    cleared, _ = detect_cleared(classified(spark, sf), previous_gold(spark, sf), RUN_DATE, CFG)
+    history = spark.read.parquet(stored_previous(spark, sf))
+    cleared, _ = detect_cleared(classified(spark, sf), history, RUN_DATE, CFG)
     return cleared
 
 
+def q_recon_cleared_three_runs(spark, sf):
+    """Three weekly runs: keys open in the first and closed in the second are
+    CLEARED by the second alone. The CLEARED rows of all runs."""
+    path = stored_history(spark, sf)
+    tables.overwrite_partitions(next_gold(spark, sf, path, THIRD_RUN_TS, THIRD_RUN_DATE), path)
+    return (spark.read.parquet(path).filter(F.col("recon_status") == "CLEARED")
+            .select("_run_date", "business_key"))
+
+
 def q_recon_still_unmatched(spark, sf):
     """Today's unmatched rows without the cleared keys."""
-    _, still = detect_cleared(classified(spark, sf), previous_gold(spark, sf), RUN_DATE, CFG)
+    history = spark.read.parquet(stored_previous(spark, sf))
+    _, unmatched, _, _ = match.reconcile(keyed_cash(spark, sf), keyed_rada(spark, sf), CFG)
+    _, still = detect_cleared(unmatched, history, RUN_DATE, CFG)
     return still.select(*match.UNMATCHED_COLUMNS)
 
 
@@ -179,7 +214,7 @@ def q_gold_union(spark, sf):
     """The per-class workflow: four class frames from one (materialised)
     match, CLEARED from the unmatched frame, unioned by name and stamped."""
     m, u, n, mm = match.reconcile(keyed_cash(spark, sf), keyed_rada(spark, sf), CFG)
-    cleared, still = detect_cleared(u, previous_gold(spark, sf), RUN_DATE, CFG)
+    cleared, still = detect_cleared(u, spark.read.parquet(stored_previous(spark, sf)), RUN_DATE, CFG)
     rows = gold_ops.union_results(m, still.select(*match.UNMATCHED_COLUMNS), n, cleared, mm)
     return rows.withColumns(gold_ops.run_stamps(RUN_TS, RUN_DATE)).select(*GOLD_OUT)
 
@@ -187,11 +222,12 @@ def q_gold_union(spark, sf):
 def q_gold_upsert(spark, sf):
     """Target: the earlier run plus a first attempt of today's run made with
     the earlier RADA extract; source: today's final rows."""
-    early = classified(spark, sf, earlier=True)
-    prev = previous_gold(spark, sf, early)
-    attempt = gold_ops.assemble(early, None, RUN_TS, RUN_DATE)
-    target = prev.unionByName(attempt)
-    return gold_ops.replace_groups(target, current_gold(spark, sf, prev=prev)).select(*GOLD_OUT)
+    history = stored_previous(spark, sf)
+    prev = spark.read.parquet(history)
+    first_attempt = prev.drop("_run_ts", "_run_date").withColumns(gold_ops.run_stamps(RUN_TS, RUN_DATE))
+    source = scratch_path(spark, "source")
+    tables.overwrite(next_gold(spark, sf, history), source)  # read for its keys and for its rows
+    return gold_ops.replace_groups(prev.unionByName(first_attempt), spark.read.parquet(source)).select(*GOLD_OUT)
 
 
 def gold_day(spark, sf):
@@ -275,7 +311,7 @@ def q_dq_schema(spark, sf):
 def q_dq_suite(spark, sf):
     """All checks for the typed dirty cash extract and the RADA silver ledger."""
     return quality.run_suite([(typed_dirty(spark, sf), BRONZE_CASH, CASH),
-                              (silver_rada(spark, sf), "silver.rada_transactions", RADA)], CFG)
+                              (whole_rada(spark, sf), "silver.rada_transactions", RADA)], CFG)
 
 
 # --- measures --------------------------------------------------------------
@@ -292,22 +328,107 @@ def q_measure_exception_flag(spark, sf):
 
 def q_measure_total_variance(spark, sf):
     """Total cash minus total RADA over the silver ledgers."""
-    return measures.total_variance(silver_cash(spark, sf), silver_rada(spark, sf))
+    return measures.total_variance(whole_cash(spark, sf), whole_rada(spark, sf))
 
 
 # --- IO round trips (written under the session's checkpoint folder) ------
 
 def q_validate_schema(spark, sf):
     """Post-ingest mandatory-column check of the cash extract."""
-    return validate_schema(fx.cash_bronze(spark, sf), BRONZE_CASH, CASH)
-
+    return validate_schema(fx.cash_bronze(spark, sf, whole=True), BRONZE_CASH, CASH)
+
+
+def q_validate_schema_rada(spark, sf):
+    """Post-ingest mandatory-column check of the RADA extract."""
+    return validate_schema(fx.rada_bronze(spark, sf, whole=True), "bronze.rada_transactions", RADA)
+
+
+def q_silver_by_name(spark, sf):
+    """Cash silver stored, registered in the catalog and read by its name."""
+    path = scratch_path(spark, "silver")
+    tables.overwrite(whole_cash(spark, sf), path)
+    name = catalog.register(spark, [("silver", f"cash_{path.rsplit('-', 1)[1]}", path)], prefix="lm_")[0]
+    return tables.read(spark, name).select(*LEDGER_OUT)
+
+
+def q_silver_stamped(spark, sf):
+    """Each cash id with the stamp of the run that standardised it."""
+    stamped = standardise(fx.cash_bronze(spark, sf, whole=True), CASH, standardised_ts=F.lit(RUN_TS).cast("timestamp"))
+    return stamped.clean.select(CASH.id_col, "_standardised_ts")
+
+
+def q_quarantine_stored(spark, sf):
+    """The stored quarantine: after two runs over the dirty extract (each
+    reject once), and after a dirty and then a clean extract (nothing left)."""
+    root = scratch_path(spark, "quarantine")
+    batch = F.lit(RUN_DATE).cast("date")
+    dirty, clean = f"{root}/bronze_dirty", f"{root}/bronze_clean"
+    tables.overwrite(fx.dirty_cash_bronze(spark, sf).withColumn("_batch_date", batch), dirty)
+    tables.overwrite(fx.cash_bronze(spark, sf, whole=True).withColumn("_batch_date", batch), clean)
+    for case, second in (("twice", dirty), ("then_clean", clean)):
+        for bronze in (dirty, second):
+            steps.standardise_ledger(spark, CASH, bronze, f"{root}/{case}/silver", f"{root}/{case}/quarantine",
+                                     RUN_DATE, RUN_TS, CFG)
+    left = [df.withColumn("runs", F.lit(case)) for case in ("twice", "then_clean")
+            if (df := tables.read_if_exists(spark, f"{root}/{case}/quarantine")) is not None]
+    return reduce(DataFrame.unionByName, left).select("runs", *LEDGER_OUT, "_rejection_reason", "_batch_date")
+
+
+def q_dq_stored(spark, sf):
+    """The stored results of the check suite over both silver ledgers."""
+    root = scratch_path(spark, "dq")
+    tables.overwrite(whole_cash(spark, sf), f"{root}/cash")
+    tables.overwrite(whole_rada(spark, sf), f"{root}/rada")
+    steps.run_dq_suite(spark, [(f"{root}/cash", CASH), (f"{root}/rada", RADA)], f"{root}/results", RUN_DATE, RUN_TS, CFG,
+                       fail_on_error=False)
+    return spark.read.parquet(f"{root}/results").withColumn("table", F.element_at(F.split("table", "/"), -1))
+
+
+def q_kpi_breakdown_stored(spark, sf):
+    """The stored currency breakdown of today's run."""
+    root = scratch_path(spark, "kpis")
+    steps.compute_kpis(spark, stored_history(spark, sf), f"{root}/kpis", f"{root}/breakdown", RUN_DATE)
+    return spark.read.parquet(f"{root}/breakdown")
+
+
+def q_run_audit(spark, sf):
+    """The stored audit of two attempts at one run date."""
+    path = scratch_path(spark, "audit")
+    counts = standardise_counts(fx.dirty_cash_bronze(spark, sf), CASH).first().asDict()
+    for run_ts in (RUN_TS, LATER_RUN_TS):
+        steps.record_run(spark, path, RUN_DATE, run_ts, counts)
+    return spark.read.parquet(path).drop("_run_date", "_attempt")
+
+
+def q_ingest_lineage(spark, sf):
+    """Two landing days ingested one after the other: where each row came
+    from, and whether its lineage stamps agree."""
+    root = scratch_path(spark, "lineage")
+    extract = fx.cash_bronze(spark, sf, whole=True).drop("_ingested_ts")
+    second = F.substring(CASH.id_col, -1, 1).isin("1", "3", "5", "7", "9")
+    bronze = f"{root}/bronze"
+    total = 0
+    for day, rows in (("day1", extract.filter(~second)), ("day2", extract.filter(second))):
+        tables.write_csv(rows, f"{root}/landing/{day}")
+        result = ingest(spark, f"{root}/landing/*", bronze, f"{root}/checkpoint", CASH)
+        total += result.new_rows
+        if result.total_rows != total:
+            raise RuntimeError(f"ingest counts do not add up: {result}")
+    return spark.read.parquet(bronze).select(
+        CASH.id_col, F.regexp_extract("_source_file", "/landing/([^/]+)/", 1).alias("batch"),
+        (F.col("_batch_date") == F.col("_ingested_ts").cast("date")).alias("same_day"))
+
+
+def q_ingest_counts(spark, sf):
+    """Rows per landing day as the ingest counted them, against the stored rows."""
+    return q_ingest_lineage(spark, sf).groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
 
 def q_ingest_stream(spark, sf):
     """Land the cash extract as CSV files, stream-ingest it twice (the second
     run finds nothing new), return the bronze rows without lineage columns."""
     root = scratch_path(spark, "ingest")
     landing, bronze, ckpt = f"{root}/landing/cash", f"{root}/bronze/cash", f"{root}/checkpoints/cash"
-    extract = fx.cash_bronze(spark, sf).drop("_ingested_ts")
+    extract = fx.cash_bronze(spark, sf, whole=True).drop("_ingested_ts")
     tables.write_csv(extract, landing)
     first = ingest(spark, landing, bronze, ckpt, CASH)
     again = ingest(spark, landing, bronze, ckpt, CASH)
@@ -389,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_repeated_keys": q_recon_repeated_keys,
     "recon_skewed_keys": q_recon_skewed_keys,
     "recon_cleared": q_recon_cleared,
+    "recon_cleared_three_runs": q_recon_cleared_three_runs,
     "recon_still_unmatched": q_recon_still_unmatched,
     "gold_union": q_gold_union,
     "gold_upsert": q_gold_upsert,
@@ -408,6 +530,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measure_exception_flag": q_measure_exception_flag,
     "measure_total_variance": q_measure_total_variance,
     "validate_schema": q_validate_schema,
+    "validate_schema_rada": q_validate_schema_rada,
+    "silver_by_name": q_silver_by_name,
+    "silver_stamped": q_silver_stamped,
+    "quarantine_stored": q_quarantine_stored,
+    "dq_stored": q_dq_stored,
+    "kpi_breakdown_stored": q_kpi_breakdown_stored,
+    "run_audit": q_run_audit,
+    "ingest_lineage": q_ingest_lineage,
+    "ingest_counts": q_ingest_counts,
     "ingest_stream": q_ingest_stream,
     "ingest_rada_fixed_width": q_ingest_rada_fixed_width,
     "gold_clustered": q_gold_clustered,

@@ -42,26 +42,30 @@ def ingest_ledger(spark: SparkSession, ledger: Ledger, source_path: str, bronze_
 
 def validate_bronze(spark: SparkSession, ledger: Ledger, bronze_path: str) -> dict:
     """Mandatory columns present, with the row count (one small job)."""
-    return validate_schema(spark.read.parquet(bronze_path), bronze_path, ledger).first().asDict()
+    return validate_schema(tables.read(spark, bronze_path), bronze_path, ledger).first().asDict()
 
 
 def standardise_ledger(spark: SparkSession, ledger: Ledger, bronze_path: str, silver_path: str,
                        quarantine_path: str, run_date: str | dt.date, run_ts: str,
                        cfg: ReconConfig = ReconConfig()) -> dict:
-    """Rebuild silver from all of bronze; replace this run date's quarantine.
+    """Rebuild silver and quarantine from all of bronze.
 
-    Returns the clean and quarantine counts, read back from what was stored.
+    A reject is stored once, in the partition of the batch that brought it
+    (``_batch_date``; the run date where bronze has none). Returns the clean
+    count and the number of stored rejects.
     """
     scale = cfg.rada_amount_scale if ledger == RADA else 1.0
-    std = standardise(spark.read.parquet(bronze_path), ledger, amount_scale=scale,
+    bronze = tables.read(spark, bronze_path)
+    if "_batch_date" not in bronze.columns:
+        bronze = bronze.withColumn("_batch_date", _day(run_date))
+    std = standardise(bronze, ledger, amount_scale=scale,
                       standardised_ts=F.lit(run_ts).cast("timestamp"))
     # silver is counted while it is written (no extra pass)
     clean_obs = Observation(f"{ledger.name}_clean")
     tables.overwrite(std.clean.observe(clean_obs, F.count(F.lit(1)).alias("rows")), silver_path)
-    tables.overwrite_partitions(_stamp(std.quarantine, run_date), quarantine_path)
-    # the rebalanced quarantine write may be skipped when empty: count what was stored
+    tables.overwrite(std.quarantine.hint("rebalance", "_batch_date"), quarantine_path, ["_batch_date"])
     stored = tables.read_if_exists(spark, quarantine_path)
-    rejected = 0 if stored is None else stored.filter(F.col("_run_date") == _day(run_date)).count()
+    rejected = 0 if stored is None else stored.count()
     return {"silver_table": silver_path, "clean_count": int(clean_obs.get["rows"]), "quarantine_count": rejected}
 
 
@@ -70,7 +74,7 @@ def run_dq_suite(spark: SparkSession, tables_to_check: Sequence[tuple[str, Ledge
                  fail_on_error: bool = True) -> list[dict]:
     """All checks for each (silver path, ledger); results stored per run date,
     then the gate: raises ``DataQualityError`` when a check failed."""
-    dq = quality.run_suite([(spark.read.parquet(p), p, ledger) for p, ledger in tables_to_check], cfg)
+    dq = quality.run_suite([(tables.read(spark, p), p, ledger) for p, ledger in tables_to_check], cfg)
     tables.overwrite_partitions(_stamp(dq.withColumn("run_ts", F.lit(run_ts).cast("timestamp")), run_date),
                                 results_path)
     stored = spark.read.parquet(results_path).filter(F.col("_run_date") == _day(run_date)).drop("_run_date")
@@ -81,15 +85,16 @@ def reconcile_to_gold(spark: SparkSession, cash_silver: str, rada_silver: str, g
                       run_date: str | dt.date, run_ts: str, cfg: ReconConfig = ReconConfig()) -> None:
     """Key both ledgers, classify, detect CLEARED against the stored history,
     and upsert today's partition of gold."""
-    cash_k = prepare_for_matching(spark.read.parquet(cash_silver), CASH.id_col)
-    rada_k = prepare_for_matching(spark.read.parquet(rada_silver), RADA.id_col)
+    cash_k = prepare_for_matching(tables.read(spark, cash_silver), CASH.id_col)
+    rada_k = prepare_for_matching(tables.read(spark, rada_silver), RADA.id_col)
     history = tables.read_if_exists(spark, gold_path)
     if history is not None and not cfg.cleared_requires_match:
         # one pass: the snapshot's open keys ride along with the match
         current = classify(cash_k, rada_k, cfg, previous_open=snapshot_open_keys(history, run_date, cfg.lookback_days))
         rows = gold_ops.assemble(current, None, run_ts, run_date)
     else:
-        current = classify(cash_k, rada_k, cfg)
+        checkpoint_root(spark)
+        current = classify(cash_k, rada_k, cfg).checkpoint(eager=True)  # read for its rows and for its keys
         cleared, _ = detect_cleared(current, history, run_date, cfg)
         rows = gold_ops.assemble(current, cleared, run_ts, run_date)
     tables.upsert_gold(spark, rows, gold_path, [str(run_date)], cluster_by=cfg.gold_cluster_cols)
@@ -115,21 +120,28 @@ def compute_kpis(spark: SparkSession, gold_path: str, kpi_path: str, breakdown_p
                  run_date: str | dt.date) -> dict:
     """KPI row and currency breakdown of one run date, stored per run date;
     returns the KPI row."""
-    gold = spark.read.parquet(gold_path)
+    gold = tables.read(spark, gold_path)
     # one scan of the day's partition; the tiny summary (currencies x statuses
     # rows) is checkpointed and both outputs are written from it
     checkpoint_root(spark)
     summary = kpis.day_summary(kpis.for_run_date(gold, run_date)).checkpoint(eager=True)
     tables.overwrite_partitions(_stamp(kpis.kpi_from_summary(summary, run_date), run_date), kpi_path)
-    tables.overwrite_partitions(kpis.breakdown_from_summary(summary, run_date), breakdown_path)
+    tables.overwrite_partitions(kpis.breakdown_from_summary(summary, run_date), breakdown_path,
+                                replace=[str(run_date)])
     row = spark.read.parquet(kpi_path).filter(F.col("_run_date") == _day(run_date)).drop("_run_date").first()
     return row.asDict()
 
 
 def record_run(spark: SparkSession, audit_path: str, run_date: str | dt.date, run_ts: str,
                facts: Mapping[str, int | float]) -> None:
-    """One audit row per run date: when it ran and what it read and produced."""
+    """One audit row per attempt (run date and run time): what it read and
+    produced. Counts are whole numbers. A repeated attempt at the same run time
+    replaces its row; others stay."""
     names = sorted(facts)
-    row = spark.createDataFrame([tuple(float(facts[n]) for n in names)], ", ".join(f"{n} double" for n in names))
-    audit = row.select(_day(run_date).alias("run_date"), F.lit(run_ts).cast("timestamp").alias("run_ts"), *names)
-    tables.overwrite_partitions(_stamp(audit, run_date), audit_path)
+    kinds = ", ".join(f"{n} {'double' if isinstance(facts[n], float) else 'bigint'}" for n in names)
+    row = spark.createDataFrame([tuple(facts[n] for n in names)], kinds)
+    stamp = F.lit(run_ts).cast("timestamp")
+    audit = row.select(_day(run_date).alias("run_date"), stamp.alias("run_ts"), *names,
+                       _day(run_date).alias("_run_date"), F.date_format(stamp, "yyyyMMddHHmmss").alias("_attempt"))
+    (audit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_run_date", "_attempt").parquet(audit_path))

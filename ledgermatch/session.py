@@ -50,8 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) do we create a folder of our
-    own and register it, so every later call agrees on it.
+    Where it is unset, a local session gets a folder of its own, registered so
+    that every later call agrees on it; a cluster session is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,7 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgermatch-ckpt-")
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="ledgermatch-ckpt-")  # one machine: nobody else reads it
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
 

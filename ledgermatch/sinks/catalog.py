@@ -27,7 +27,7 @@ def register(spark: SparkSession, datasets: Iterable[tuple[str, str, str]], pref
             spark.sql(f"REFRESH TABLE {name}")
         else:
             spark.catalog.createTable(f"{db}.{table}", path=path, source="parquet")
-        if "_run_date" in spark.read.parquet(path).columns:
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{db}.{table}")):
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         names.append(f"{db}.{table}")
     return names

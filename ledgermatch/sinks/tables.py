@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,26 +16,23 @@ from ..operators.gold import replace_groups
 from ..session import checkpoint_root
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a dataset: a data file or a partition folder.
-
-    Asked of the file system (with the session's Hadoop settings) instead of
-    by a read that fails, so no query is expected to fail.
-    """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    for status in fs.listStatus(hpath):
-        name = status.getPath().getName()
-        if "=" in name or not name.startswith(("_", ".")):
-            return True
-    return False
+def read(spark: SparkSession, source: str) -> DataFrame:
+    """A dataset by path, or by catalog name (a name has no slash)."""
+    return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if exists(spark, path) else None
+    """The dataset, or None before its first file is written."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return read_if_exists(spark, path) is not None
 
 
 def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -49,9 +47,12 @@ def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "_run_date",
-                         cluster_by: Sequence[str] | None = None) -> None:
+                         cluster_by: Sequence[str] | None = None, replace: Sequence[str] = ()) -> None:
     """Replace exactly the partitions present in ``df``; others are untouched.
 
+    ``replace`` names partitions that are replaced even if ``df`` has no row
+    for them: a stored one is then emptied.
+
     The partition mode is set on the write itself, not on the session.
     ``cluster_by``: each written file is sorted by these columns (no extra
     shuffle), so row-group statistics prune filters on them. Without it, a
@@ -59,6 +60,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "_run_da
     from a scan (e.g. a few rejected rows per scan task) land in a few files
     of the advisory size instead of one per task.
     """
+    stored = read_if_exists(df.sparkSession, path) if replace else None
+    for value in replace if stored is not None else ():
+        same = F.col(partition_col) == F.lit(str(value)).cast(df.schema[partition_col].dataType)
+        if df.filter(same).isEmpty() and not stored.filter(same).isEmpty():
+            df.drop(partition_col).limit(0).write.mode("overwrite").parquet(f"{path}/{partition_col}={value}")
     if cluster_by:
         out = df.sortWithinPartitions(partition_col, *cluster_by)
     else:
@@ -79,8 +85,9 @@ def optimize_layout(spark: SparkSession, path: str, run_dates: Sequence[str], co
      .partitionBy(partition_col).parquet(path))
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the whole dataset, partitions that ``df`` no longer has included."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def upsert_gold(spark: SparkSession, rows: DataFrame, path: str, run_dates: Sequence[str] | None = None,

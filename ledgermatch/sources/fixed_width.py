@@ -35,7 +35,13 @@ def parse(lines: DataFrame, layout: FieldSpec, value_col: str = "value") -> Data
 def render(df: DataFrame, layout: FieldSpec) -> DataFrame:
     """One ``value`` line per row, each field left-aligned and blank-padded.
 
-    Values longer than their width are cut, as a fixed-width writer must.
+    A value that does not fit its field stops the write with its field and
+    length: nothing is cut.
     """
-    parts = [F.rpad(F.coalesce(F.col(name).cast("string"), F.lit("")), width, " ") for name, width in layout]
+    parts = []
+    for name, width in layout:
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        too_long = F.raise_error(F.concat(F.lit(f"{name} does not fit its {width} characters: length "),
+                                          F.length(text).cast("string")))
+        parts.append(F.when(F.length(text) > width, too_long.cast("string")).otherwise(F.rpad(text, width, " ")))
     return df.select(F.concat(*parts).alias("value"))

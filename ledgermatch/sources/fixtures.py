@@ -23,7 +23,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pad(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+    """Zero-padded to at least ``width`` digits; longer numbers keep all of theirs."""
+    digits = c.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
 
 
 def _ledger_columns(key: Column, cust: Column, odate: Column, priority: Column) -> dict[str, Column]:
@@ -74,20 +76,26 @@ def _ledger(orders: DataFrame, ledger_id: str, id_prefix: str, amount: Column, s
     )
 
 
-def cash_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cash extract: every order except those with key % 17 = 7 (missing in cash)."""
-    orders = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 17 != 7)
+def cash_bronze(spark: SparkSession, sf_dir: str, *, whole: bool = False) -> DataFrame:
+    """Cash extract: every order except those with key % 17 = 7 (missing in
+    cash, which is what matching looks for); ``whole=True``: every order."""
+    orders = read_table(spark, sf_dir, "orders")
+    if not whole:
+        orders = orders.filter(F.col("o_orderkey") % 17 != 7)
     return _ledger(orders, CASH.id_col, "CSH", F.col("o_totalprice"), CASH.settled_status)
 
 
-def rada_bronze(spark: SparkSession, sf_dir: str, *, earlier: bool = False) -> DataFrame:
-    """RADA extract: every order except key % 19 = 5 (missing in RADA).
+def rada_bronze(spark: SparkSession, sf_dir: str, *, earlier: bool = False, whole: bool = False) -> DataFrame:
+    """RADA extract: every order except key % 19 = 5 (missing in RADA);
+    ``whole=True``: every order.
 
     ``earlier=True`` gives the extract of an earlier day, which also lacked
     the orders with key % 13 = 9 (they arrived later, which clears them).
     """
     k = F.col("o_orderkey")
-    orders = read_table(spark, sf_dir, "orders").filter(k % 19 != 5)
+    orders = read_table(spark, sf_dir, "orders")
+    if not whole:
+        orders = orders.filter(k % 19 != 5)
     if earlier:
         orders = orders.filter(k % 13 != 9)
     return _ledger(orders, RADA.id_col, "RADA", rada_amount(k, F.col("o_totalprice")), RADA.settled_status)
@@ -179,6 +187,6 @@ def repeated_key_ledgers(spark: SparkSession, sf_dir: str, *, skewed: bool = Fal
 
 
 def rada_minor_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The RADA extract with amounts in minor units (whole cents, as text)."""
-    rada = rada_bronze(spark, sf_dir)
+    """The whole RADA extract with amounts in minor units (whole cents, as text)."""
+    rada = rada_bronze(spark, sf_dir, whole=True)
     return rada.withColumn("amount", F.round(F.col("amount") * F.lit(100.0)).cast("bigint").cast("string"))

@@ -63,26 +63,28 @@ def test_kpi_row_always_present(spark):
         day["amount_mismatch"]
 
 
-def test_cleared_in_single_pass_equals_standalone(spark):
-    """CLEARED rows folded into the match equal the standalone anti-join form,
-    on the window path and on the forced hot-key path."""
+def test_cleared_in_one_pass_equals_standalone(spark):
     from pyspark.sql import functions as F
 
     from ledgermatch.operators import match
     from ledgermatch.operators.cleared import snapshot_open_keys
 
-    prev = Q.previous_gold(spark, SF0001)
+    prev = spark.read.parquet(Q.stored_previous(spark, SF0001))
     c, r = Q.keyed_cash(spark, SF0001), Q.keyed_rada(spark, SF0001)
-    standalone, _ = detect_cleared(match.classify(c, r), prev, Q.RUN_DATE)
-    snap = snapshot_open_keys(prev, Q.RUN_DATE, 5)
-    hot = [x[0] for x in snap.distinct().limit(40).collect()] + \
-          [x[0] for x in c.select("business_key").limit(40).collect()]
-    for forced in ([], hot):
-        folded = match.classify(c, r, previous_open=snap, hot=forced)
-        got = folded.filter(F.col("recon_status") == "CLEARED")
-        assert got.select("business_key", "recon_status").exceptAll(standalone).count() == 0
-        assert standalone.exceptAll(got.select("business_key", "recon_status")).count() == 0
-        assert folded.filter(F.col("recon_status") != "CLEARED").exceptAll(match.classify(c, r)).count() == 0
+    plain = match.classify(c, r).checkpoint()
+    standalone, _ = detect_cleared(plain, prev, Q.RUN_DATE)
+    folded = match.classify(c, r, previous_open=snapshot_open_keys(prev, Q.RUN_DATE, 5)).checkpoint()
+    got = folded.filter(F.col("recon_status") == "CLEARED").select("business_key", "recon_status")
+    assert got.exceptAll(standalone).count() == 0 and standalone.exceptAll(got).count() == 0
+    assert folded.filter(F.col("recon_status") != "CLEARED").exceptAll(plain).count() == 0
+
+
+def test_partition_named_for_replacement_is_emptied(spark, workdir):
+    rows = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-02")], "v int, d string").selectExpr(
+        "v", "cast(d as date) as _run_date")
+    tables.overwrite_partitions(rows, f"{workdir}/t")
+    tables.overwrite_partitions(rows.limit(0), f"{workdir}/t", replace=["2026-01-01", "2026-01-03"])
+    assert [r["v"] for r in spark.read.parquet(f"{workdir}/t").collect()] == [2]
 
 
 def test_optimize_layout_gives_files_disjoint_status_ranges(spark, workdir):

@@ -2,7 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from ledgermatch.functions.keys import add_business_keys, prepare_for_matching
+from ledgermatch.functions.keys import key_text, prepare_for_matching
 
 
 def _key(spark, **fields):
@@ -11,8 +11,8 @@ def _key(spark, **fields):
     base.update(fields)
     df = spark.createDataFrame([base], ", ".join(f"{k} string" for k in base))
     df = df.withColumn("settlement_date", F.col("settlement_date").cast("date"))
-    row = add_business_keys(df).select("business_key", "key_input").first()
-    return row["business_key"], row["key_input"]
+    row = df.select(F.sha2(key_text(), 256).alias("k"), key_text().alias("t")).first()
+    return row["k"], row["t"]
 
 
 def test_key_is_sha256_of_pipe_joined_fields(spark):

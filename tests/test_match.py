@@ -7,10 +7,10 @@ from ledgermatch.functions.keys import prepare_for_matching
 from ledgermatch.operators import match
 
 
-def _classify(spark, cash_rows, rada_rows, hot=None, cfg=ReconConfig()):
+def _classify(spark, cash_rows, rada_rows, cfg=ReconConfig()):
     cash = prepare_for_matching(ledger_rows(spark, "cash_id", cash_rows), "cash_id")
     rada = prepare_for_matching(ledger_rows(spark, "rada_id", rada_rows), "rada_id")
-    return match.classify(cash, rada, cfg, hot=hot)
+    return match.classify(cash, rada, cfg)
 
 
 def _one(spark, cash_amount, rada_amount):
@@ -30,6 +30,8 @@ def _one(spark, cash_amount, rada_amount):
     (None, 75000.0, "NEW"),
     (100000.00, 100001.00, "MATCHED"),          # tolerance is inclusive
     (100000.00, 100001.01, "AMOUNT_MISMATCH"),
+    (1.20, 2.20, "MATCHED"),                    # also where doubles cannot tell
+    (2.20, 1.20, "MATCHED"),
 ])
 def test_classification_table(spark, cash, rada, status):
     assert _one(spark, cash, rada)["recon_status"] == status
@@ -69,33 +71,45 @@ def test_repeated_keys_pair_one_to_one(spark):
     assert rows == {("C2", "R2", "MATCHED"), ("C3", "R1", "MATCHED"), ("C1", None, "UNMATCHED")}
 
 
-def test_hot_path_equals_window_path(spark):
-    from ledgermatch.sources import fixtures as fx
-
-    cash, rada = fx.repeated_key_ledgers(spark, SF001, skewed=True)
-    c, r = prepare_for_matching(cash, "cash_id"), prepare_for_matching(rada, "rada_id")
-    cold = match.classify(c, r, hot=[])
-    hot_list = [x[0] for x in c.select("business_key").distinct().collect()]
-    assert len(hot_list) == 3
-    warm = match.classify(c, r, hot=hot_list)
-    assert cold.count() == warm.count() == c.count() + r.count() - warm.filter(
-        F.col("cash_id").isNotNull() & F.col("rada_id").isNotNull()).count()
-    assert warm.exceptAll(cold).count() == 0 and cold.exceptAll(warm).count() == 0
+def test_equal_amounts_are_paired_first(spark):
+    """An absent record must not shift the others: the equal amounts pair."""
+    k = ("ACC1", "TRD1", "2026-05-05", "ZAR")
+    cash = [("C1", *k, 100.0, "D"), ("C2", *k, 200.0, "D"), ("C3", *k, 300.2, "D"), ("C4", *k, 900.0, "D")]
+    rada = [("R1", *k, 200.0, "D"), ("R2", *k, 299.9, "D"), ("R3", *k, 950.0, "D")]
+    rows = {(r["cash_id"], r["rada_id"], r["recon_status"]) for r in _classify(spark, cash, rada).collect()}
+    assert {("C2", "R1", "MATCHED"), ("C3", "R2", "MATCHED")} <= rows
+    assert sum(status == "AMOUNT_MISMATCH" for _, _, status in rows) == 1
+    assert sum(status == "UNMATCHED" for _, _, status in rows) == 1 and len(rows) == 4
 
 
-def test_hot_keys_found_by_sample(spark):
+def test_skewed_keys_keep_every_equal_pair(spark):
+    """Three keys with a third of all rows each: as many MATCHED as pairs of
+    equal amounts exist, every record in exactly one row."""
     from ledgermatch.sources import fixtures as fx
 
     cash, rada = fx.repeated_key_ledgers(spark, SF001, skewed=True)
     c, r = prepare_for_matching(cash, "cash_id"), prepare_for_matching(rada, "rada_id")
-    skew_cfg = ReconConfig(hot_key_rows=1000, hot_key_sample_fraction=0.05)
-    found = match.hot_key_counts(c, r, skew_cfg)
-    assert sorted(found) == sorted(x[0] for x in c.select("business_key").distinct().collect())
-    assert all(30000 < n < 45000 for n in found.values())     # about 38k rows per key
-    # grouping on the key itself (frames without the key fields) finds the same keys
-    assert sorted(match.hot_keys(c.select("business_key"), r.select("business_key"), skew_cfg)) == sorted(found)
-    assert match.hot_keys(c, r, ReconConfig()) == []   # default threshold: nothing is hot at sf0.01
-    assert match.hot_key_counts(c, r, ReconConfig(hot_key_sample_fraction=0)) == {}   # detection off
+    out = match.classify(c, r).checkpoint()
+    counts = c.groupBy("business_key", "amount").agg(F.count("*").alias("n")).join(
+        r.groupBy("business_key", "amount").agg(F.count("*").alias("m")), ["business_key", "amount"])
+    equal = counts.agg(F.sum(F.least("n", "m"))).first()[0]
+    assert equal == 46_702
+    assert out.filter("amount = rada_amount and recon_status = 'MATCHED'").count() == equal
+    for ledger, column in ((c, "cash_id"), (r, "rada_id")):
+        seen = out.filter(F.col(column).isNotNull())
+        assert seen.count() == seen.select(column).distinct().count() == ledger.count()
+
+
+def test_one_amount_of_one_key_repeated_very_often(spark):
+    """Numbers run on across slices: n cash and m RADA records of one amount give min(n, m) pairs."""
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("i"))
+    row = [F.lit(x).alias(n) for n, x in (("business_key", "k"), ("account_number", "a"), ("trade_reference", "t"),
+           ("currency", "ZAR"), ("swift_bic", "s"), ("debit_credit", "D"), ("status", "S"))]
+    frame = ids.select("i", *row, F.lit("2026-01-01").cast("date").alias("settlement_date"), F.lit(5.0).alias("amount"))
+    out = match.classify(frame.withColumnRenamed("i", "cash_id"), frame.filter("cast(i as int) % 3 > 0")
+                         .withColumnRenamed("i", "rada_id"))
+    assert {r["recon_status"]: r["count"] for r in out.groupBy("recon_status").count().collect()} == {
+        "MATCHED": 2000, "UNMATCHED": 1000}
 
 
 def test_statuses_partition_every_record(spark):

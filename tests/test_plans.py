@@ -29,21 +29,20 @@ def stored(spark, tmp_path_factory):
     return {k: spark.read.parquet(f"{root}/{k}") for k in ("cash", "rada", "gold")}
 
 
-def test_match_is_one_exchange_on_the_key(stored):
-    plan = _plan(match.classify(stored["cash"], stored["rada"], hot=[]))
-    assert _exchanges(plan) == ["hashpartitioning(business_key"]
-
-
-def test_folded_cleared_adds_only_the_snapshot_distinct(stored):
-    snap = snapshot_open_keys(stored["gold"], Q.RUN_DATE, 5)
-    plan = _plan(match.classify(stored["cash"], stored["rada"], previous_open=snap, hot=[]))
-    # the stacked ledgers' exchange plus the snapshot keys' distinct
-    assert _exchanges(plan) == ["hashpartitioning(business_key"] * 2
-    # the snapshot read is pruned to old partitions and pushes the status filter
-    scan = _plan(snap)
-    assert re.search(r"PartitionFilters: \[.*_run_date#\d+ <= 2026-01-03", scan)
+def test_matching_has_no_forced_broadcast_and_no_whole_key_window(stored):
+    """Rank windows run per slice of a key; only the slices' small counts are
+    ordered per whole (key, group, side)."""
+    plan = _plan(match.classify(stored["cash"], stored["rada"]))
+    assert "BroadcastExchange" not in plan and "CartesianProduct" not in plan
+    ranks = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)
+    assert ranks and all("_slice" in r and "_class" in r for r in ranks)
+
+
+def test_snapshot_reads_one_partition(stored):
+    scan = _plan(snapshot_open_keys(stored["gold"], Q.RUN_DATE, 5))
+    assert re.search(r"PartitionFilters: \[.*_run_date#\d+ = 2026-01-01", scan)
     assert "EqualTo(recon_status,UNMATCHED)" in scan
-    assert "ReadSchema: struct<business_key:string,recon_status:string,_run_ts:timestamp>" in scan
+    assert "ReadSchema: struct<business_key:string,recon_status:string>" in scan
 
 
 def test_kpis_read_one_partition_and_few_columns(stored):

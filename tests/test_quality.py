@@ -20,7 +20,7 @@ def test_completeness_threshold(spark):
     rows = [_good(i) for i in range(98)] + [(f"C{i}", None, "T", None, "ZAR", 1.0) for i in range(98, 100)]
     r = quality.check_completeness(_df(spark, rows), "t", CASH.required_cols).first()
     assert (r["status"], r["metric_value"]) == ("PASS", 0.98)
-    assert r["detail"] == "98/100 rows have all required fields populated"
+    assert r["detail"] == "98/100 rows complete"
     rows[0] = ("C0", None, "T", None, "ZAR", 1.0)
     assert quality.check_completeness(_df(spark, rows), "t", CASH.required_cols).first()["status"] == "FAIL"
 
@@ -35,10 +35,10 @@ def test_empty_table(spark):
 def test_duplicates_count_null_as_one_value(spark):
     rows = [_good(i) for i in range(1000)] + [_good(1), _good(2)]
     r = quality.check_duplicates(_df(spark, rows), "t", "cash_id").first()
-    assert r["detail"] == "2 duplicate cash_id values out of 1,002 records" and r["status"] == "PASS"
+    assert r["detail"] == "cash_id repeated in 2 of 1,002 rows" and r["status"] == "PASS"
     rows += [(None, "A", "T", None, "ZAR", 1.0)] * 6
     r = quality.check_duplicates(_df(spark, rows), "t", "cash_id").first()
-    assert r["detail"].startswith("7 duplicate") and r["status"] == "FAIL"
+    assert r["detail"].startswith("cash_id repeated in 7 ") and r["status"] == "FAIL"
 
 
 def test_negative_amounts(spark):

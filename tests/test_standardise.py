@@ -63,10 +63,41 @@ def test_nan_and_blank_rejected(spark):
     assert not clean and len(rejected) == 3
 
 
-def test_amounts_beyond_money_type_rejected(spark):
-    clean, rejected = _split(spark, [_row(cid="C1", amount="1e20"), _row(cid="C2", amount="Infinity"),
+def test_no_upper_bound_on_amounts(spark):
+    clean, rejected = _split(spark, [_row(cid="C1", amount="1e20"), _row(cid="C2", amount="0.125"),
                                      _row(cid="C3", amount="9999999999999.99")])
-    assert [r["cash_id"] for r in clean] == ["C3"] and len(rejected) == 2
+    assert len(clean) == 3 and not rejected
+
+
+def test_sums_keep_fractions_and_large_amounts(spark):
+    from ledgermatch.functions.money import money_sum
+
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.002,), (1e16,)], "amount double")
+    assert df.filter("amount < 1").agg(F.round(money_sum(F.col("amount")), 2)).first()[0] == 0.01
+    assert df.agg(money_sum(F.col("amount"))).first()[0] == 1e16 + 0.01
+
+
+def test_keys_of_any_length_stay_apart(spark):
+    """Orders with 7 to 10 digit keys: none is cut, all survive de-duplication."""
+    keys = [1, 1234567, 12345678, 123456789, 1234567890, 123456780, 10**9]
+    orders = spark.createDataFrame([(k, k, 1.5, "2026-01-01", "1-URGENT") for k in keys],
+                                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string, o_orderpriority string")
+    bronze = fx._ledger(orders, "cash_id", "CSH", F.col("o_totalprice"), "SETTLED")
+    clean = standardise(bronze, CASH).clean.collect()
+    assert len({r["cash_id"] for r in clean}) == len({r["trade_reference"] for r in clean}) == len(keys)
+    assert {len(r["trade_reference"]) for r in clean} == {3 + max(7, len(str(k))) for k in keys}
+
+
+def test_fixed_width_refuses_values_that_do_not_fit(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from ledgermatch.sources import fixed_width
+
+    df = spark.createDataFrame([("abc", "de")], "a string, b string")
+    assert fixed_width.render(df, [("a", 4), ("b", 2)]).first()[0] == "abc de"
+    with pytest.raises(PySparkException, match="does not fit"):
+        fixed_width.render(df, [("a", 2), ("b", 2)]).collect()
 
 
 def test_latest_copy_survives(spark):
