@@ -83,12 +83,14 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     marks = cut(exact_duplicates(docs, id_col, text_col, **options).filter("group_size > 1")
                 .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept").alias("_kept")))
     keys = marks.groupBy("_id", "_sha").agg(F.max("_kept").alias("_kept"), F.count("*").alias("_n"))
-    lose, tied = keys.filter("not _kept or _n > 1"), keys.filter("_kept and _n > 1")
+    lose, tied = keys.filter("not _kept or _n > 1"), cut(keys.filter("_kept and _n > 1"))
     rows = docs.withColumn("_text_sha", F.sha2(normalised(text_col).cast("binary"), 256))
 
     def same(side: DataFrame) -> Column:
         return rows[id_col].eqNullSafe(side["_id"]) & (rows["_text_sha"] == side["_sha"])
 
     stay = rows.join(lose, same(lose), "left_anti")
+    if tied.isEmpty():  # as a rule: identifiers are unique
+        return stay.drop("_text_sha")
     one_of = rows.join(tied, same(tied), "left_semi").dropDuplicates([id_col, "_text_sha"])
     return stay.unionByName(one_of).drop("_text_sha")

@@ -253,13 +253,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     by_id = marks.groupBy("_id").agg(F.count("*").alias("_n"), F.min("component_id").alias("_first"))
     several = cut(by_id.filter("_n > 1 or _id is null").select("_id"))
     gone = by_id.filter("_n > 1 or _id is null or _id != _first").select("_id")
-    winner = F.min(F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("fp").alias("fp")))
-    winners = marks.groupBy("root").agg(winner.alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_of"))
 
     def same(side: DataFrame) -> Column:
         return docs[id_col].eqNullSafe(side["_id"])
 
     once = docs.join(gone, same(gone), "left_anti")
+    if several.isEmpty():  # as a rule: identifiers are unique
+        return once
+    winner = F.min(F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("fp").alias("fp")))
+    winners = marks.groupBy("root").agg(winner.alias("w")).select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_of"))
     rows = docs.join(several, same(several), "left_semi").withColumn(
         "_fp", fingerprint_column(text_or_empty(text_col), words))
     chosen = rows.join(winners, rows[id_col].eqNullSafe(winners["_id"]) & (rows["_fp"] == winners["_of"]), "left_semi")
