@@ -27,7 +27,8 @@ running sum over the slices' counts; rows with the same number pair up. So a
 key, or one amount of a key, that holds a third of all rows is spread over its
 slices and then over its pair numbers. Slice counts are summed map-side. The
 first three rounds' results are checkpointed, as both the next round and the
-final result read them; each later round reads only unpaired rows.
+final result read them; each later round reads only unpaired rows. Rounds 2 and
+3 are left out where no key has several unpaired records on a side.
 
 CLEARED detection needs the unpaired cash count per key only: one-to-one
 pairing leaves a cash record unpaired exactly when the key has more cash than
@@ -129,7 +130,9 @@ def _rounds(rows: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
     # amounts that cannot be compared wait for the last round
     first = _paired(rows.filter(known), exact(F.col("_amt")).cast("string")).checkpoint(eager=True)
     done, left = first.filter(_BOTH), _unpaired(first)
-    if tolerance > 0:
+    # with at most one record a side, the last round pairs a key as these two would
+    several = left.groupBy("business_key", "_side").count().filter("count > 1")
+    if tolerance > 0 and not several.isEmpty():
         for shift in (0.0, 0.5):
             bucket = F.floor(exact(F.col("_amt")) / step + F.lit(shift).cast(MONEY)).cast("string")
             pairs = _paired(left, bucket).checkpoint(eager=True)
