@@ -10,30 +10,41 @@ the chance to miss is at most 2^-12. Retrieved segments are verified by exact
 containment of their shingles in the window; a template is found if its
 segments' best windows hold at least ``least`` of its shingles.
 
+Statements (``STATEMENTS``, forms of names that follow a lead, and templates of
+fewer than five words) are one shingle of their own length and are found word
+for word: positions whose first words begin a statement are looked up by the
+hash of as many words as a statement has; of statements that begin at one
+position the longest counts, so version 3 is not also "no version". One share
+cannot do for them, as one word of ten is the version number.
+
 All of it is DataFrame expressions. A band can only agree if the window holds
 the shingle that is minimal for the segment in that band, so windows without
 any such shingle are passed over before the bands are computed; the bands'
 result is the same.
 
-Defined results: null, empty and short texts (fewer than five words) have no
-license; rows that share an identifier share the result of all their texts;
-extra columns are ignored; templates with fewer than five words are refused.
+``TEMPLATES`` are the functions' default; the registered query looks for all
+of ``license_texts``.
+
+Defined results: null and empty texts have no license; rows that share an
+identifier share the result of all their texts; extra columns are ignored;
+templates and statements without a word are refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import license_texts
 from .common import text_or_empty
 
 WORDS, SEGMENT, BANDS, LEAST = 5, 9, 12, 0.8
 _MASK = (1 << 31) - 1
 
-# fixed values: the statements to look for
+# fixed values: the statements that the functions look for by default
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -52,12 +63,15 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def shingles(text: Column) -> Column:
-    """Hashes of all runs of five words, in order (word: a run of ASCII
-    letters and digits, lower-cased)."""
+def word_hashes(text: Column) -> Column:
+    """Hashes of all words, in order (word: a run of ASCII letters and digits, lower-cased)."""
     words = F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return _let(hashes, lambda h: F.when(F.size(h) >= WORDS, F.transform(
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def shingles(text: Column) -> Column:
+    """Hashes of all runs of five words, in order."""
+    return _let(word_hashes(text), lambda h: F.when(F.size(h) >= WORDS, F.transform(
         F.sequence(F.lit(0), F.size(h) - WORDS), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(WORDS)))))
         .otherwise(F.array().cast("array<bigint>")))
 
@@ -77,25 +91,79 @@ def _permuted(hashed: Column, multiplier: Column) -> Column:
     return (hashed.bitwiseAND(mask) * multiplier).bitwiseAND(mask)
 
 
+def _wordings(templates: Mapping[str, str | Sequence[str]]) -> list[tuple[str, str]]:
+    return [(name, x) for name, texts in templates.items() for x in ([texts] if isinstance(texts, str) else texts)]
+
+
+class Statements:
+    """What is found word for word: (name, text) pairs, and pairs that count after a lead only."""
+
+    def __init__(self, spark: SparkSession, free: Sequence[tuple[str, str]], led: Sequence[tuple[str, str]],
+                 leads: Sequence[str]):
+        given = [*((n, t, "free") for n, t in free), *((n, t, "led") for n, t in led), *(("", t, "lead") for t in leads)]
+        rows = spark.createDataFrame(given, "name string, text string, kind string").select(
+            "name", "text", "kind", word_hashes(F.col("text")).alias("h")).select(
+            "*", F.xxhash64("h").alias("whole"), *(
+                F.xxhash64(F.slice("h", 1, k)).alias(f"first{k}") for k in (1, 2, 3))).collect()  # a fixed list
+        if empty := [r["text"] for r in rows if not r["h"]]:
+            raise ValueError(f"statements without a word: {empty}")
+        self.leads = {r["whole"] for r in rows if r["kind"] == "lead"}
+        self.lead_sizes = sorted({len(r["h"]) for r in rows if r["kind"] == "lead"})
+        found = [r for r in rows if r["kind"] != "lead"]
+        self.free = {r["whole"] for r in found if r["kind"] == "free"}
+        self.led = {r["whole"] for r in found if r["kind"] == "led"}
+        self.sizes = sorted({len(r["h"]) for r in found}, reverse=True)
+        self.words = {r["h"][0] for r in found}
+        self.begins: dict[int, set[int]] = {}
+        self.names: dict[int, set[str]] = {}
+        for r in found:
+            k = min(3, len(r["h"]))
+            self.begins.setdefault(k, set()).add(r[f"first{k}"])
+            self.names.setdefault(r["whole"], set()).add(r["name"])
+
+    def begin_at(self, h: Column, i: Column) -> Column:
+        """Whether the words at place ``i`` (from 1) begin a statement."""
+        tests = [F.xxhash64(*(F.get(h, i + j) for j in range(-1, k - 1))).isin(begins) for k, begins in self.begins.items()]
+        return F.get(h, i - 1).isin(self.words) & reduce(lambda a, b: a | b, tests)
+
+    def longest_at(self, h: Column, i: Column) -> Column:
+        """The hash of the longest statement at place ``i``, or null."""
+        led_by = F.exists(F.array(*map(F.lit, self.lead_sizes)), lambda k: (i > k) & F.xxhash64(
+            F.slice(h, F.greatest(i - k, F.lit(1)), k)).isin(self.leads)) if self.led and self.leads else F.lit(False)
+        wholes = F.transform(F.array(*map(F.lit, self.sizes)), lambda k: F.xxhash64(F.slice(h, i, k)))
+        return F.get(F.filter(wholes, lambda v: v.isin(self.free) | (v.isin(self.led) & led_by)), F.lit(0))
+
+    def find(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """(doc_id, license, containment) of the statements found."""
+        # bound by _let: in a filter of its own the hashes would be computed anew for each place
+        wholes = _let(word_hashes(text_or_empty(text_col)), lambda h: F.transform(F.filter(
+            F.when(F.size(h) > 0, F.sequence(F.lit(1), F.size(h))), lambda i: self.begin_at(h, i)),
+            lambda i: self.longest_at(h, i)))
+        found = docs.select(F.col(id_col).alias("doc_id"), F.explode(wholes).alias("whole")).filter("whole is not null")
+        names = sorted({n for ns in self.names.values() for n in ns})
+        owners = F.expr("map({})".format(", ".join(  # parsed at once: building each literal takes longer
+            f"{x}L, array({', '.join(str(names.index(n)) for n in sorted(ns))})" for x, ns in self.names.items())))
+        return found.select("doc_id", F.explode(F.try_element_at(owners, F.col("whole"))).alias("n")).select(
+            "doc_id", F.get(F.array(*map(F.lit, names)), F.col("n")).alias("license"), F.lit(1.0).alias("containment"))
+
+
 class Segments:
     """Segments of the templates, with their shingle hashes and MinHash values."""
 
-    def __init__(self, spark: SparkSession, templates: Mapping[str, str]):
-        rows = spark.createDataFrame(list(templates.items()), "name string, text string").select(
-            "name", shingles(F.col("text")).alias("h")).collect()  # the templates, a fixed list
-        short = [r["name"] for r in rows if not r["h"]]
-        if short:
-            raise ValueError(f"templates of fewer than {WORDS} words: {short}")
-        self.names, self.hashes, self.totals = [], [], {}
+    def __init__(self, spark: SparkSession, templates: Sequence[tuple[str, str]]):
+        rows = spark.createDataFrame(list(enumerate(x for _, x in templates)), "t int, text string").select(
+            "t", shingles(F.col("text")).alias("h")).collect()  # the templates, a fixed list
+        self.templates, self.hashes, self.totals = [], [], {}
+        self.names = {t: name for t, (name, _) in enumerate(templates)}
         for r in rows:
-            self.totals[r["name"]] = len(r["h"])
+            self.totals[r["t"]] = len(r["h"])
             pieces = -(-len(r["h"]) // SEGMENT)
             edges = [len(r["h"]) * i // pieces for i in range(pieces + 1)]
             for lo, hi in zip(edges, edges[1:], strict=False):
-                self.names.append(r["name"])
+                self.templates.append(r["t"])
                 self.hashes.append(r["h"][lo:hi])
 
-        self.numbers = range(len(self.names))
+        self.numbers = range(len(self.hashes))
         self.widest = max(map(self.window, self.numbers))
 
     def window(self, n: int) -> int:
@@ -131,10 +199,8 @@ def _retrieved(window: Column, multiplier: Column, segments: Segments) -> tuple[
     return reduce(lambda a, b: a | b, tests), F.concat(*numbers)
 
 
-def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id",
-                  text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """(doc_id, license, containment) of every license found."""
-    segments = Segments(docs.sparkSession, templates)
+def _by_bands(docs: DataFrame, segments: Segments, id_col: str, text_col: str, least: float) -> DataFrame:
+    """(doc_id, license, containment) of the templates found."""
     hashed = docs.select(F.col(id_col).alias("doc_id"), shingles(text_or_empty(text_col)).alias("h"))
     minimal = segments.minimal()
 
@@ -148,23 +214,56 @@ def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
     hit, hits = _retrieved(F.col("w"), F.col("m"), segments)
     found = bands.filter(hit).select("doc_id", "w", hits.alias("hits"))
     known = F.create_map(*(x for n in segments.numbers for x in (
-        F.lit(n), F.struct(F.lit(segments.names[n]).alias("name"), F.lit(segments.window(n)).alias("width"),
+        F.lit(n), F.struct(F.lit(segments.templates[n]).alias("t"), F.lit(segments.window(n)).alias("width"),
                            F.array(*(F.lit(h).cast("long") for h in set(segments.hashes[n]))).alias("h")))))
     verified = found.select("doc_id", "w", F.explode("hits").alias("n")).withColumn("s", known[F.col("n")]).select(
-        "doc_id", "n", F.col("s.name").alias("license"),
+        "doc_id", "n", F.col("s.t").alias("t"),
         F.size(F.array_intersect(F.slice("w", F.lit(1), F.col("s.width")), F.col("s.h"))).alias("held"))
-    best = verified.groupBy("doc_id", "license", "n").agg(F.max("held").alias("held"))
+    best = verified.groupBy("doc_id", "t", "n").agg(F.max("held").alias("held"))
     totals = F.create_map(*(F.lit(x) for kv in segments.totals.items() for x in kv))
-    return best.groupBy("doc_id", "license").agg(F.sum("held").alias("held")).select(
-        "doc_id", "license", (F.col("held") / totals[F.col("license")]).alias("containment")).filter(
+    names = F.create_map(*(F.lit(x) for kv in segments.names.items() for x in kv))
+    return best.groupBy("doc_id", "t").agg(F.sum("held").alias("held")).select(
+        "doc_id", names[F.col("t")].alias("license"), (F.col("held") / totals[F.col("t")]).alias("containment")).filter(
         F.col("containment") >= least)
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id",
-                  text_col: str = "text", least: float = LEAST) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``licenses`` (array of names, sorted)."""
-    per_doc = find_licenses(docs, templates, id_col, text_col, least).groupBy(F.col("doc_id").alias("_id")).agg(
+Wordings = Mapping[str, str | Sequence[str]]
+
+
+def find_licenses(docs: DataFrame, templates: Wordings = TEMPLATES, id_col: str = "doc_id", text_col: str = "text",
+                  least: float = LEAST, *, statements: Wordings = {}, names: Wordings = {},
+                  leads: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, license, containment) of every license found: ``templates`` by
+    the share ``least`` of their shingles, ``statements`` word for word, and
+    ``names`` word for word after one of ``leads``."""
+    spark = docs.sparkSession
+    given = _wordings(templates)
+    counts = spark.createDataFrame(list(enumerate(x for _, x in given)), "t int, text string").select(
+        "t", F.size(word_hashes(F.col("text"))).alias("n")).collect() if given else []  # the templates, a fixed list
+    short = {r["t"] for r in counts if r["n"] < WORDS}
+    exact = [given[t] for t in sorted(short)] + _wordings(statements)
+    found = []
+    if long := [x for t, x in enumerate(given) if t not in short]:
+        found.append(_by_bands(docs, Segments(spark, long), id_col, text_col, least))
+    if exact or names:
+        found.append(Statements(spark, exact, _wordings(names), leads).find(docs, id_col, text_col))
+    if not found:
+        raise ValueError("nothing to look for")
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"))
+
+
+def scan_licenses(docs: DataFrame, templates: Wordings = TEMPLATES, id_col: str = "doc_id", text_col: str = "text",
+                  least: float = LEAST, **also) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``licenses`` (array of names, sorted).
+    ``also``: the statements, names and leads of ``find_licenses``."""
+    per_doc = find_licenses(docs, templates, id_col, text_col, least, **also).groupBy(F.col("doc_id").alias("_id")).agg(
         F.sort_array(F.collect_list("license")).alias("licenses"))
     ids = docs.select(F.col(id_col).alias("doc_id"))
     return ids.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
         "doc_id", F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"))
+
+
+def scan_all_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``scan_licenses`` for all of ``license_texts``."""
+    return scan_licenses(docs, license_texts.TEXTS, id_col, text_col, statements=license_texts.STATEMENTS,
+                         names=license_texts.NAMES, leads=license_texts.LEADS)

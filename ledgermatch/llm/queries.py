@@ -71,7 +71,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents")).select(
+    return licenses.scan_all_licenses(table(spark, sf_dir, "documents")).select(
         "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.concat_ws(",", "licenses").alias("licenses"))
 
 

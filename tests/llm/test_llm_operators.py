@@ -310,6 +310,52 @@ def test_licenses(spark):
     assert got == {i: _found(t) for i, t in enumerate(texts)}
 
 
+# texts not taken from the list; wordings, versions, notices and whole license texts
+STATED = {
+    "(c) 2021 Example Ltd. All rights reserved.": ["All-rights-reserved"],
+    "ALL RIGHTS\nRESERVED": ["All-rights-reserved"],
+    "© 2020 Exemple SA. Tous droits réservés.": ["All-rights-reserved"],
+    "Licensed under the MIT License": ["MIT"],
+    "This project is distributed under the terms of the MIT license, see LICENSE.": ["MIT"],
+    "// SPDX-License-Identifier: MIT": ["MIT"],
+    '"license": "MIT",': ["MIT"],
+    "This library is made available under Apache License v2.0.": ["Apache-2.0"],
+    "# SPDX-License-Identifier: Apache-2.0": ["Apache-2.0"],
+    "This work is licensed under the GNU General Public License, version 2.": ["GPL-2.0"],
+    "You may use it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+    "either version 3 of the License, or (at your option) any later version.": ["GPL-3.0"],
+    "It is free software under the GNU Lesser General Public License, version 2.1.": ["LGPL-2.1"],
+    "Released under the GNU Affero General Public License v3.0": ["AGPL-3.0"],
+    "SPDX-License-Identifier: ISC": ["ISC"],
+    "The photos are licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["CC-BY-SA-4.0"],
+    "text under CC BY-SA 3.0": ["CC-BY-SA-3.0"],
+    "see https://creativecommons.org/licenses/by-nc/4.0/": ["CC-BY-NC-4.0"],
+    "You can redistribute it under the 3-clause BSD license.": ["BSD-3-Clause"],
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies.": ["ISC"],
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    "Program.": ["MIT-grant"],
+    "the rights of all are reserved for members; a license is needed, and the terms of the contract hold": [],
+    "Copyright and other rights, all reserved": [],
+    "": [],
+}
+
+
+def test_statements_outside_the_templates(spark):
+    rng = random.Random(12)
+    texts = [f"{prose(rng, n)} {t} {prose(rng, n)}" for t in STATED for n in (0, 7)]
+    got = {r.doc_id: r.licenses for r in licenses.scan_all_licenses(documents(spark, texts)).collect()}
+    assert got == {i: STATED[t] for i, t in enumerate(t for t in STATED for _ in range(2))}
+
+
+def test_templates_of_fewer_than_five_words(spark):
+    rows = licenses.scan_licenses(documents(spark, ["x All rights reserved. y", "all rights are reserved", "rights reserved"]), {
+        "short": "All rights reserved.", "one": ["Unlicense", "rights are reserved"]}).collect()
+    assert {r.doc_id: r.licenses for r in rows} == {0: ["short"], 1: ["one"], 2: []}
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(documents(spark, ["x"]), {"none": "..."})
+
+
 # ---- 8 SimHash ------------------------------------------------------------
 
 def _fingerprint(text, n=3):
