@@ -1,10 +1,11 @@
-"""Exact de-duplication by a tree-merge of sorted digest runs.
+"""Exact de-duplication by a tree-merge of digest runs.
 
-Every row gets a 64-bit digest of its normalised text (the sort key of a run)
+Every row gets a 64-bit digest of its normalised text (the grouping key of a run)
 and a verifier (SHA-256 and length of the same text). Rows are dealt to
 ``runs`` leaf runs by their row number, so copies of one text are spread over
-all leaves whatever their number. Each leaf run is sorted and reduced to one
-entry per verified text: its smallest identifier and its count. Then rounds
+all leaves whatever their number. Each leaf run is reduced to one entry
+per verified text: its smallest identifier and its count, a grouped minimum per
+(run, digest, verifier); runs are not kept sorted, order is left to the planner. Then rounds
 follow in which ``fan_in`` neighbouring runs (r // fan_in) exchange and merge
 their entries, until one run is left. A round shuffles on (run, digest,
 verifier), hence no task receives more than ``fan_in`` entries of one text,
