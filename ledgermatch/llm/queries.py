@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, exact_dedup, licenses, line_dedup, mixing, secrets, simhash, token_store, toxicity, warc_zip,
+    alignment, byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, mixing, secrets, simhash, token_store, toxicity,
+    warc_zip,
 )
 
 from .common import text_or_empty
@@ -88,6 +89,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_line_dedup, op3_warc_zip, op4_source_mix, op5_toxicity, op6_decontaminate, op7_license_scan,
-    op8_simhash_near_dedup, op9_token_counts, op10_exact_dedup)}
+    op8_simhash_near_dedup, op9_token_counts, op10_exact_dedup, op12_cross_tokenizer_alignment, op13_byte_bpe)}

@@ -1,7 +1,7 @@
 """Awkward and empty inputs have their defined results and never crash."""
 
 import pytest
-from helpers import awkward
+from llm_helpers import awkward
 from pyspark.sql import functions as F
 
 import corpus_pipeline

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from helpers import Groups, documents, prose, words
+from llm_helpers import Groups, documents, prose, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
