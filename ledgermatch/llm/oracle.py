@@ -115,5 +115,69 @@ select doc_id, domain, lang, source, epoch, n_tokens, least(n_tokens, alloc - po
 from e where pos < alloc
 """
 
+_FAR = "{'c': 1000000000000, 'e': '', 't': ''}"
+
+
+def _edit(front: str, cost: str, initial: str, line: str = "") -> str:
+    """The prefix ``front`` with one edit more, as (cost, initials, repaired text)."""
+    text = f"case when {front}.t = '' then {line} else {front}.t || chr(10) || {line} end" if line else f"{front}.t"
+    return f"{{'c': {front}.c + {cost}, 'e': {front}.e || '{initial}', 't': {text}}}"
+
+
+def _kept(first: str, front: str) -> str:
+    """The prefix with the row kept, where its initial is ``first`` and it need not go."""
+    return f"case when not must and left(role, 1) = '{first}' then {_edit(front, '5 * cut', 'K', LINE)} else {_FAR} end"
+
+
+def _reroled(role: str, front: str) -> str:
+    return f"case when not must then {_edit(front, '1 + 5 * cut', 'R', _said(role, 'text'))} else {_FAR} end"
+
+
+def _said(role: str, text: str) -> str:
+    return f"'{role}:' || {text}"
+
+
+LINE = "role || ':' || text"
+_USER, _ASSISTANT = _said("user", "''"), _said("assistant", "''")
+
+# forward: per conversation the least (cost, initials) that leaves the text so far empty (f0) or ending in s, u, a (f1, f2, f3)
+OP11 = f"""
+with recursive
+table256 as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc),
+original as (select dense_rank() over (order by conv_id nulls first) as g, conv_id, turn, coalesce(role, ' ') as role,
+    coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+hits as (select * exclude (name), xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 as hit from original, table256),
+damaged as (select g, turn, case hit when 4 then 'user' else role end as role,
+    case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from hits, range(2) as copies(n) where hit <> 0 and (n = 0 or hit = 3)),
+placed as (select *, row_number() over (partition by g order by turn nulls first, sha256(length(role) || ':' || role || text)) as i,
+    right(rtrim(text, chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 1) as final from damaged),
+seen as (select *, row_number() over (partition by g, role, text order by i) > 1 as again,
+    left(lag(role) over (partition by g order by i), 1) || left(role, 1) as step from placed),
+judged as (select *, final = '' or again as must, (final <> '' and not again and final not in ('.', '!', '?'))::int as cut from seen),
+walk as (
+  select distinct g, 0::bigint as i, {{'c': 0::bigint, 'e': '', 't': ''}} as f0, {_FAR} as f1,
+    {{'c': 5::bigint, 'e': 'I', 't': 'user:'}} as f2,
+    {{'c': 10::bigint, 'e': 'II', 't': 'user:' || chr(10) || 'assistant:'}} as f3 from original
+  union all
+  select g, i, z0, z1, y2, list_min([z3, {_edit('y2', '5', 'I', _ASSISTANT)}]) from (
+    select *, list_min([z2, {', '.join(_edit(z, '5', 'I', _USER) for z in ('z0', 'z1', 'z3'))}]) as y2 from (
+      select w.g, j.i, {_edit('f0', '2', 'D')} as z0,
+        list_min([{_edit('f1', '2', 'D')}, {_kept('s', 'f0')}]) as z1,
+        list_min([{_edit('f2', '2', 'D')}, {', '.join(f"{_kept('u', f)}, {_reroled('user', f)}" for f in ('f0', 'f1', 'f3'))}]) as z2,
+        list_min([{_edit('f3', '2', 'D')}, {_kept('a', 'f2')}, {_reroled('assistant', 'f2')}]) as z3
+      from walk w join judged j on j.g = w.g and j.i = w.i + 1))),
+ends as (select g, arg_max(list_min([f0, f3]), i) as best from walk group by g),
+counts as (select g, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (final = '') as blank,
+    count(*) filter (final <> '' and again) as duplicate, sum(cut) as truncated,
+    count(*) filter (step not in ('su', 'ua', 'au')) as illegal from judged group by g)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0) as illegal, best.c as cost, best.e as audit,
+       sha256(best.t) as repaired_sha256
+from (select distinct g, conv_id from original) join ends using (g) left join counts using (g)
+"""
+
 ORACLE = {"op1_secret_scan": OP1, "op2_line_dedup": OP2, "op3_warc_zip": OP3, "op4_source_mix": OP4,
-          "op10_exact_dedup": OP10}
+          "op10_exact_dedup": OP10, "op11_conversation_repair": OP11}

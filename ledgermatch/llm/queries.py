@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    alignment, byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, mixing, secrets, simhash, token_store, toxicity,
-    warc_zip,
+    alignment, byte_bpe, conversation_repair, decontaminate, exact_dedup, licenses, line_dedup, mixing, secrets, simhash,
+    token_store, toxicity, warc_zip,
 )
 
 from .common import text_or_empty
@@ -89,6 +89,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"))
 
@@ -101,4 +105,5 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_line_dedup, op3_warc_zip, op4_source_mix, op5_toxicity, op6_decontaminate, op7_license_scan,
-    op8_simhash_near_dedup, op9_token_counts, op10_exact_dedup, op12_cross_tokenizer_alignment, op13_byte_bpe)}
+    op8_simhash_near_dedup, op9_token_counts, op10_exact_dedup, op11_conversation_repair, op12_cross_tokenizer_alignment,
+    op13_byte_bpe)}
