@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: how often do tokens of two vocabularies meet?
 
-Each text is encoded by tokenizer A (byte-level BPE, over a space and the text) and
-by tokenizer B (pieces with byte fallback, which adds that space itself). Byte offsets
+Each text is encoded by tokenizer A (byte-level BPE, over a space and the text; see
+``byte_bpe``) and by tokenizer B (pieces with byte fallback, which adds that space itself). Byte offsets
 at which tokens of both end cut a document into groups; every A token of a
 group is linked to every B token of it. A pair of identifiers is scored by the number of
 documents that hold it linked.
@@ -37,7 +37,7 @@ Vocabulary files are read by the driver and sent to the workers (2 MB).
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Iterator
 
@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import byte_bpe
 from .common import per_worker
 
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
@@ -78,20 +79,24 @@ class Vocabulary:
         self.pieces, self.encode = pieces, encode
         self.lengths = np.array([len(p) for p in pieces], np.int64)
 
+    def text(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
-def byte_level_vocabulary(file: bytes) -> Vocabulary:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(file.decode())
-    tokenizer.encode_special_tokens = True
+def byte_level_vocabulary(file: bytes) -> Vocabulary:
+    """Tokenizer A: its merges follow the order of its identifiers, so these are the ranks."""
     alphabet = byte_level_alphabet()
-    pieces = [b""] * tokenizer.get_vocab_size()
-    for piece, i in tokenizer.get_vocab().items():
-        pieces[i] = bytes(alphabet[c] for c in piece) if all(c in alphabet for c in piece) else piece.encode()
+    vocabulary = json.loads(file)["model"]["vocab"]
+    pieces = [b""] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        pieces[i] = bytes(map(alphabet.__getitem__, piece)) if all(c in alphabet for c in piece) else piece.encode()
+    ranks = {pieces[i]: i for piece, i in vocabulary.items() if all(c in alphabet for c in piece)}
+    for special in json.loads(file).get("added_tokens", ()):
+        ranks.pop(special["content"].encode(), None)
+    split, encoder = byte_bpe.splitter(), byte_bpe.Encoder(ranks)
 
     def encode(texts):
-        return [x.ids for x in tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [np.frombuffer(ids, "<u4").astype(np.int64) for ids in encoder.encode([split(" " + t) for t in texts])]
     return Vocabulary(pieces, encode)
 
 
@@ -106,7 +111,7 @@ def piece_vocabulary(file: bytes) -> Vocabulary:
             return bytes([int(re.fullmatch("<0x(..)>", text)[1], 16)])
         return text.replace("▁", " ").encode()
     return Vocabulary([piece(i) for i in range(processor.get_piece_size())],
-                      lambda texts: processor.encode(list(texts), num_threads=1))
+                      lambda texts: [np.array(ids, np.int64) for ids in processor.encode(list(texts), num_threads=1)])
 
 
 class Aligned:
@@ -121,13 +126,12 @@ class Aligned:
         full = [i for i, t in enumerate(texts) if t]
         whole = [texts[i] for i in full]
         kept = [(i, x, y) for i, t, x, y in zip(full, whole, a.encode(whole), b.encode(whole), strict=True)
-                if (raw := b" " + t.encode()) == b"".join(map(a.pieces.__getitem__, x))
-                and raw == b"".join(map(b.pieces.__getitem__, y))]
+                if (raw := b" " + t.encode()) == b.text(y) and raw == a.text(x)]
         if kept:
             self._align(np.array([i for i, _, _ in kept]), [x for _, x, _ in kept], [y for _, _, y in kept], a, b, strings)
 
     def _align(self, which, ids_a, ids_b, a, b, strings):
-        flat_a, flat_b = (np.concatenate([np.asarray(x, np.int64) for x in ids]) for ids in (ids_a, ids_b))
+        flat_a, flat_b = np.concatenate(ids_a), np.concatenate(ids_b)
         ends_a, ends_b = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)  # a text's end is one, so no group spans two texts
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)

@@ -20,9 +20,10 @@ run of one kind of character may be longer) goes round again with windows and
 overlaps four times as long, at last in one window: no document is given up.
 
 Merging takes the pair of least rank, the leftmost of equal ones, until no pair
-has a rank; long pre-tokens keep their pairs in a heap. Each worker remembers
-the identifiers of the last ``REMEMBERED`` distinct pre-tokens at most. Decoding
-joins the bytes of the identifiers.
+has a rank. A batch's distinct new pre-tokens are merged at once, a row each of a matrix
+that loses one column per step; long pre-tokens keep their pairs in a heap. Each
+worker remembers the identifiers of ``REMEMBERED`` distinct pre-tokens at most.
+Decoding joins the bytes of the identifiers.
 
 Defined results: a null or empty text has no identifiers; special-token
 strings in a text are ordinary text; repeated rows and null identifiers each give a
@@ -61,13 +62,14 @@ NEWER = (
     "\U0001e6c0-\U0001e6de \U0001e6e0-\U0001e6e2 \U0001e6e4-\U0001e6e5 \U0001e6e7-\U0001e6ed \U0001e6f0-\U0001e6f4 "
     "\U0001e6fe-\U0001e6ff \U0002b73a-\U0002b73f \U0002b81e \U0002cea2-\U0002cead \U000323b0-\U00033479 "
     "\U0003d000-\U0003fc3f").replace(" ", "")
-#: distinct pre-tokens whose identifiers a worker remembers
+#: distinct pre-tokens whose identifiers a worker remembers, and characters that it encodes at once
 REMEMBERED = 400_000
+BATCH_CHARS = 1 << 20
 _NO_RANK = 1 << 60
-_HEAP_FROM = 80
+_MATRIX_TO, _HEAP_FROM = 32, 80
 
 
-def _splitter() -> Callable[[str, int], list[str]]:
+def splitter() -> Callable[[str, int], list[str]]:
     """``split(text, start)``: the pre-tokens of ``text`` from ``start`` on."""
     def make():
         import regex
@@ -126,22 +128,103 @@ def _merge_by_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Memo(dict):
-    """Pre-token -> its identifiers as bytes, made when first asked for."""
+class Merger:
+    """Merges many short pre-tokens at once. Identifiers are the ranks."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        pairs = {ranks[p[:i]] << 32 | ranks[p[i:]]: rank for p, rank in ranks.items()
+                 for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.merged = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; of none where a side is missing (-1) or the pair has none."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (right >= 0), self.merged[at], _NO_RANK)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The identifiers of each piece, little-endian 32-bit."""
+        out = [b""] * len(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        order = np.argsort(sizes, kind="stable")
+        at = np.searchsorted(sizes[order], [0, 5, 9, 13, 19, _MATRIX_TO + 1])  # rows of like length share a matrix
+        for start, stop in zip(at, at[1:], strict=False):
+            if stop > start:
+                self._merge_rows([pieces[i] for i in order[start:stop]], order[start:stop], out)
+        for i in order[at[-1]:].tolist():
+            out[i] = np.array(merge(pieces[i], self.ranks), "<u4").tobytes()
+        return out
+
+    def _merge_rows(self, pieces: list[bytes], number: np.ndarray, out: list[bytes]) -> None:
+        sizes = np.array([len(p) for p in pieces])
+        there = np.arange(sizes.max()) < sizes[:, None]
+        tokens = np.full(there.shape, -1, np.int64)
+        tokens[there] = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = self._rank(tokens[:, :-1], tokens[:, 1:])
+        while ranks.shape[1]:
+            i = ranks.argmin(1)
+            least = ranks[np.arange(len(i)), i]
+            go = least < _NO_RANK
+            self._done(tokens[~go], number[~go], out)
+            tokens, ranks, number, i, least = tokens[go], ranks[go], number[go], i[go, None], least[go]
+            row = np.arange(len(number))
+            tokens[row, i[:, 0]] = least  # parts i and i + 1 become one, and every row a column shorter
+            column = np.arange(tokens.shape[1] - 1)
+            tokens = np.take_along_axis(tokens, column + (column > i), 1)
+            ranks = np.take_along_axis(ranks, column[:-1] + (column[:-1] >= i), 1)
+            i = i[:, 0]
+            for on, side in ((i < ranks.shape[1], i), (i > 0, i - 1)):  # the pairs with the new part
+                r, c = row[on], side[on]
+                ranks[r, c] = self._rank(tokens[r, c], tokens[r, c + 1])
+        self._done(tokens, number, out)
+
+    def _done(self, tokens: np.ndarray, number: np.ndarray, out: list[bytes]) -> None:
+        there = tokens >= 0
+        ids, stops = tokens[there].astype("<u4").tobytes(), np.cumsum(4 * there.sum(1)).tolist()
+        for i, start, stop in zip(number.tolist(), [0, *stops], stops, strict=False):
+            out[i] = ids[start:stop]
+
+
+class Encoder:
+    """Identifiers of lists of pre-tokens, remembered by pre-token."""
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) < _HEAP_FROM:
-            self[piece] = ids
-        return ids
-
-    def encode(self, pieces: list[str]) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return b"".join(map(self.__getitem__, pieces))
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.merger, self.known = ranks, Merger(ranks), {}
+
+    def encode(self, lists: list[list[str]]) -> list[bytes]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
+        new = list(set().union(*lists).difference(known))
+        known.update(zip(new, self._new(new), strict=True))
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in lists]
+        for piece in new:
+            if len(piece) > _MATRIX_TO:
+                del known[piece]
+        return out
+
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        raw = [p.encode() for p in pieces]
+        out = [None if (r := self.ranks.get(p)) is None else np.uint32(r).tobytes() for p in raw]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self.merger.merge([raw[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+
+def in_parts(sizes: list[int], most: int) -> Iterator[slice]:
+    """Slices of neighbours of at most ``most`` in all, or of one."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > most:
+            yield slice(start, i)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
 class Ranks:
@@ -156,8 +239,8 @@ class Ranks:
         return per_worker(("byte_bpe ranks", self.key), lambda: {
             base64.b64decode(a): int(b) for a, b in map(bytes.split, self.sent.value.splitlines()) if a})
 
-    def memo(self) -> _Memo:
-        return per_worker(("byte_bpe memo", self.key), lambda: _Memo(self.table()))
+    def encoder(self) -> Encoder:
+        return per_worker(("byte_bpe encoder", self.key), lambda: Encoder(self.table()))
 
     def pieces(self) -> list[bytes]:
         def by_id():
@@ -173,9 +256,11 @@ Batches = Iterator[pa.RecordBatch]
 
 def _encode_whole(ranks: Ranks):
     def run(batches: Batches) -> Batches:
-        split, memo = _splitter(), ranks.memo()
+        split, encoder = splitter(), ranks.encoder()
         for batch in batches:
-            ids = [memo.encode(split(text.as_py())) for text in batch.column(1)]
+            texts, ids = batch.column(1).to_pylist(), []
+            for part in in_parts([len(t) for t in texts], BATCH_CHARS):
+                ids += encoder.encode([split(t) for t in texts[part]])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
     return run
 
@@ -197,7 +282,7 @@ def _boundaries(chunk: int, overlap: int):
     """Adds the boundaries behind the window's first character (``head``) and
     behind the next window's (``tail``), each counted from that character."""
     def run(batches: Batches) -> Batches:
-        split = _splitter()
+        split = splitter()
         for batch in batches:
             heads, tails = [], []
             for value, last in zip(batch.column("window"), batch.column("last").to_pylist(), strict=True):
@@ -215,13 +300,13 @@ def _boundaries(chunk: int, overlap: int):
 def _encode_windows(ranks: Ranks):
     """(_row, k, window, start, stop) -> the identifiers of its pre-tokens from start to stop."""
     def run(batches: Batches) -> Batches:
-        split, memo = _splitter(), ranks.memo()
+        split, encoder = splitter(), ranks.encoder()
         for batch in batches:
             out = []
             for value, start, stop in zip(*(batch.column(c) for c in ("window", "start", "stop")), strict=True):
                 pieces = split(value.as_py(), start.as_py())
                 ends = start.as_py() + np.cumsum([0, *map(len, pieces)])
-                out.append(memo.encode(pieces[:int(np.searchsorted(ends, stop.as_py()))]))
+                out += encoder.encode([pieces[:int(np.searchsorted(ends, stop.as_py()))]])
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("k"), pa.array(out, pa.binary())],
                                              names=["_row", "k", "ids"])
     return run

@@ -69,9 +69,31 @@ def test_every_merge_order_agrees(library):
         assert byte_bpe.merge(piece, ranks) == ([ranks[piece]] if piece in ranks else want)
 
 
+def test_merging_many_equals_merging_one():
+    with open(byte_bpe.RANKS, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    rng = random.Random(6)
+    pieces = [bytes(rng.choice(b"aeinst \xc3\xa9") for _ in range(rng.choice([1, 2, 3, 7, 12, 20, 32, 33, 90]))) for _ in range(900)]
+    pieces += [text.encode()[:31] for text in mixed(8, 200, 10) if text]
+    for piece, ids_ in zip(pieces, byte_bpe.Merger(ranks).merge(pieces), strict=True):
+        whole = byte_bpe._merge_by_heap(piece, ranks) if len(piece) > 1 else [ranks[piece]]
+        assert np.frombuffer(ids_, "<u4").tolist() == whole
+
+
+def test_remembering_little_changes_nothing(spark, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    texts = mixed(9, 40, 30)
+    with open(byte_bpe.RANKS, "rb") as file:
+        encoder = byte_bpe.Encoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, file)})
+    split = byte_bpe.splitter()
+    for i in range(0, 40, 5):
+        found = encoder.encode([split(t) for t in texts[i:i + 5]])
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library.encode_ordinary(t) for t in texts[i:i + 5]]
+
+
 def test_split_classes_are_the_librarys(library):
     """Characters that newer tables call letters or digits split as in the library."""
-    split = byte_bpe._splitter()
+    split = byte_bpe.splitter()
     for first, last in zip(byte_bpe.NEWER[::1], byte_bpe.NEWER[1:], strict=False):
         for c in {first, last, chr(ord(first) + 1), chr(ord(last) - 1)} - {"-"}:
             text = f"a{c}1{c} {c}!"
@@ -104,11 +126,22 @@ def vocabularies():
         return alignment.byte_level_vocabulary(a.read()), alignment.piece_vocabulary(b.read())
 
 
+def test_vocabulary_a_encodes_as_the_library(vocabularies):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(alignment.VOCABULARY_A)
+    tokenizer.encode_special_tokens = True
+    newer = [f"a{c}1{c} {c}!" for c in byte_bpe.NEWER if c != "-"]
+    texts = [*mixed(4, 300, 60), *newer, "x" * 3000, "ab " * 500, "<|endoftext|> <|endoftext|>", "\u200b\u00ad\u2028 \u3000x"]
+    want = [x.ids for x in tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in vocabularies[0].encode(texts)] == want
+
+
 def brute_alignment(texts, a, b):
     """Token by token, pair by pair."""
     found, holders = [], defaultdict(set)
     for d, text in enumerate(texts):
-        raw, x, y = (" " + (text or "")).encode(), *(v.encode([text])[0] if text else [] for v in (a, b))
+        raw, x, y = (" " + (text or "")).encode(), *(v.encode([text])[0].tolist() if text else [] for v in (a, b))
         if not text or any(b"".join(v.pieces[i] for i in z) != raw for v, z in ((a, x), (b, y))):
             found.append(None)
             continue
