@@ -2,41 +2,48 @@
 
 Semantics
 ---------
-Records of both ledgers that share a business key are paired one-to-one, in
-four rounds; each round sees what the one before left unpaired:
-
-1. equal amounts;
-2. amounts in the same tolerance-wide bucket (so within the tolerance);
-3. the same with buckets shifted by half a tolerance;
-4. whatever is left of the key, by rank.
-
-A pair whose amounts differ by at most the tolerance (inclusive, compared as
-decimals) is MATCHED, otherwise AMOUNT_MISMATCH; cash records left without a
-partner are UNMATCHED, RADA records without one are NEW. With unique keys (the
-normal case) this is exactly a full outer equi-join on the key. With repeated
-keys every record is classified exactly once, and no pair of equal amounts is
-given up for another.
+Records of both ledgers that share a business key are paired one-to-one:
+
+1. as many pairs as possible have amounts within the tolerance (inclusive,
+   compared as decimals). Amounts of a key fall into runs, neighbours within
+   a run at most the tolerance apart. Equal amounts are paired first, then a sweep
+   up the run pairs the least amounts left; where the sweep alone
+   gives more pairs in a run, the sweep alone stands;
+2. what is left of the key is paired by rank: i-th least cash amount with the i-th
+   least RADA amount, unknown amounts last.
+
+Pairs of step 1 are MATCHED, those of step 2 AMOUNT_MISMATCH; cash records left
+without a partner are UNMATCHED, RADA records without one are NEW. With unique
+keys (the normal case) this is exactly a full outer equi-join on the key.
+Which amounts pair depends on the key's amounts alone; identifiers (by MD5 prefix,
+then value) only tell records of one amount apart. A null key pairs with nothing.
 
 Plan
 ----
-Both keyed ledgers are slimmed to the columns the result needs and stacked
-with a side flag. All keys take the same path, whatever their size. A round
-numbers the rows of each (key, group, side) in slices - by the size class of the
-amount and two hex digits of the id's MD5 - and adds the slice's start, a
-running sum over the slices' counts; rows with the same number pair up. So a
-key, or one amount of a key, that holds a third of all rows is spread over its
-slices and then over its pair numbers. Slice counts are summed map-side. The
-first three rounds' results are checkpointed, as both the next round and the
-final result read them; each later round reads only unpaired rows. Rounds 2 and
-3 are left out where no key has several unpaired records on a side.
-
-CLEARED detection needs the unpaired cash count per key only: one-to-one
-pairing leaves a cash record unpaired exactly when the key has more cash than
-RADA records. Both counts come from the first round's stored rows.
+Counts per key, combined map-side, tell the keys that have records on both
+sides and several on one. All other keys take one hash-partitioned full outer
+join. Rows of the repeated keys are checkpointed and reduced to one
+row per distinct amount and counts. Runs are found in buckets of a thousand tolerances,
+and the open end of a bucket is carried to the next over one row per
+bucket, so no window holds a whole key's records. The sweep (a task walks
+sorted distinct amounts, one run in memory) tells how many records of an amount
+pair with which other amount. Records are numbered per (key, amount, side) in slices of
+the identifier's MD5, each number becomes a pair token, and a full outer join on (key,
+token) pairs them. So a key, or one amount of a key, that holds a third of all
+rows is spread over its slices and then over its tokens.
+
+CLEARED detection needs the counts per key only: one-to-one pairing leaves a
+cash record unpaired exactly when the key has more cash than RADA records.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from decimal import Decimal
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +52,9 @@ from ..config import (AMOUNT_MISMATCH, CASH, CLEARED, MATCHED, NEW, RADA, REASON
 from ..functions.money import MONEY
 from ..session import checkpoint_root
 
+# the sweep runs in Python workers and is sent by value: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # --- fixed values: the output contract, columns and their order -----------
 CASH_PAYLOAD = ("account_number", "trade_reference", "settlement_date", "currency", "swift_bic", "debit_credit")
 
@@ -65,8 +75,9 @@ NEW_COLUMNS = ("business_key", "rada_id", "amount", "recon_status")
 MISMATCH_COLUMNS = tuple(c for c in MATCHED_COLUMNS if c != "swift_bic")
 # ---------------------------------------------------------------------------
 
-_ROW = ("business_key", "_side", "_rid", "_amt", *CASH_PAYLOAD)
-_IN_CASH, _IN_RADA, _BOTH = "_in_cash = 1", "_in_rada = 1", "_in_cash = 1 and _in_rada = 1"
+_IN_CASH, _IN_RADA = "_in_cash is not null", "_in_rada is not null"
+#: buckets in which runs of amounts are found: so many tolerances (or units) wide
+_BUCKET = 1000
 
 
 def exact(amount: Column) -> Column:
@@ -74,71 +85,207 @@ def exact(amount: Column) -> Column:
     return amount.try_cast(MONEY)
 
 
-def _stack(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str) -> DataFrame:
-    """Both ledgers in one narrow frame: side 0 = cash, 1 = RADA."""
-    c = cash.select("business_key", F.lit(0).alias("_side"), F.col(cash_id).alias("_rid"),
-                    F.col("amount").alias("_amt"), *CASH_PAYLOAD)
-    none = [F.lit(None).cast(cash.schema[x].dataType).alias(x) for x in CASH_PAYLOAD]
-    r = rada.select("business_key", F.lit(1).alias("_side"), F.col(rada_id).alias("_rid"),
-                    F.col("amount").alias("_amt"), *none)
-    return c.unionByName(r)
-
-
-def _numbered(rows: DataFrame, group: Column) -> DataFrame:
-    """Adds ``_group`` and ``_pair``, the number 1, 2, ... of each row within
-    its (key, group, side): by size class of the amount, slice, amount, id."""
-    whole = F.substring_index(F.abs(exact(F.col("_amt"))).cast("string"), ".", 1)
-    size_class = F.coalesce(F.concat(F.lpad(F.length(whole).cast("string"), 2, "0"), F.substring(whole, 1, 2)), F.lit(""))
-    sliced = rows.withColumns({"_group": group, "_class": size_class, "_slice": F.coalesce(
-        F.substring(F.md5(F.col("_rid")), 1, 2), F.lit(""))})
-    side = ["business_key", "_group", "_side"]
-    part = [*side, "_class", "_slice"]
-    earlier = Window.partitionBy(*side).orderBy("_class", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (sliced.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_start", F.sum("_n").over(earlier)).filter(F.col("_start").isNotNull()).drop("_n"))
-    own = Window.partitionBy(*part).orderBy(F.col("_amt").asc_nulls_first(), F.col("_rid").asc_nulls_first())
-    return (sliced.withColumn("_own", F.row_number().over(own)).join(starts, part, "left")
-            .withColumn("_pair", F.col("_own") + F.coalesce("_start", F.lit(0))))
-
-
-def _paired(rows: DataFrame, group: Column) -> DataFrame:
-    """One row per (key, group, number): a cash record, a RADA record, or both."""
-    cash, rada = F.col("_side") == 0, F.col("_side") == 1
-    return _numbered(rows, group).groupBy("business_key", "_group", "_pair").agg(
-        F.max(cash.cast("int")).alias("_in_cash"),
-        F.max(rada.cast("int")).alias("_in_rada"),
-        F.max(F.when(cash, F.col("_rid"))).alias("cash_id"),
-        F.max(F.when(rada, F.col("_rid"))).alias("rada_id"),
-        F.max(F.when(cash, F.col("_amt"))).alias("_cash_amount"),
-        F.max(F.when(rada, F.col("_amt"))).alias("_rada_amount"),
-        *[F.max(c).alias(c) for c in CASH_PAYLOAD],
-    ).drop("_group", "_pair")
-
-
-def _unpaired(pairs: DataFrame) -> DataFrame:
-    """The one-sided rows, as ledger rows again."""
-    return pairs.filter(f"not ({_BOTH})").select(
-        "business_key", (1 - F.col("_in_cash")).alias("_side"), F.coalesce("cash_id", "rada_id").alias("_rid"),
-        F.coalesce("_cash_amount", "_rada_amount").alias("_amt"), *CASH_PAYLOAD)
-
-
-def _rounds(rows: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
-    """(every record in exactly one row, the checkpointed first round)."""
-    checkpoint_root(rows.sparkSession)
-    known = exact(F.col("_amt")).isNotNull()
+def _sides(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str) -> tuple[DataFrame, DataFrame]:
+    """Both ledgers, slimmed to what the result needs."""
+    return (cash.select("business_key", F.col(cash_id).alias("cash_id"), F.col("amount").alias("_cash_amount"),
+                        *CASH_PAYLOAD, F.lit(1).alias("_in_cash")),
+            rada.select("business_key", F.col(rada_id).alias("rada_id"), F.col("amount").alias("_rada_amount"),
+                        F.lit(1).alias("_in_rada")))
+
+
+def _counts(cash: DataFrame, rada: DataFrame) -> DataFrame:
+    """(business_key, _c, _r): records of each key."""
+    zero, one = F.lit(0), F.lit(1)
+    return (cash.select("business_key", one.alias("_c"), zero.alias("_r"))
+            .unionByName(rada.select("business_key", zero.alias("_c"), one.alias("_r")))
+            .groupBy("business_key").agg(F.sum("_c").alias("_c"), F.sum("_r").alias("_r")))
+
+
+# --- runs of amounts -------------------------------------------------------
+
+def _pairs_up(cash: list, rada: list, tolerance: Decimal) -> list[tuple]:
+    """The sweep: (cash amount, RADA amount, n) over two ascending lists of
+    [amount, n]. Pairing the least amounts within the tolerance first gives a largest pairing."""
+    out, i, j = [], 0, 0
+    cash, rada = [list(x) for x in cash], [list(x) for x in rada]
+    while i < len(cash) and j < len(rada):
+        (a, n), (b, m) = cash[i], rada[j]
+        if abs(a - b) <= tolerance:
+            pairs = min(n, m)
+            out.append((a, b, pairs))
+            cash[i][1] -= pairs
+            rada[j][1] -= pairs
+            i, j = i + (n == pairs), j + (m == pairs)
+        elif a < b:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def allot(run: list[tuple], tolerance: Decimal) -> list[dict]:
+    """What pairs with what in a run of (amount, cash records, RADA records)."""
+    equal = [min(c, r) for _, c, r in run]
+    swept = _pairs_up([(a, c) for a, c, _ in run if c], [(a, r) for a, _, r in run if r], tolerance)
+    rest = _pairs_up([(a, c - e) for (a, c, _), e in zip(run, equal, strict=True) if c > e],
+                     [(a, r - e) for (a, _, r), e in zip(run, equal, strict=True) if r > e], tolerance)
+    if sum(equal) + sum(n for *_, n in rest) == sum(n for *_, n in swept):
+        swept = rest
+    else:
+        equal = [0] * len(run)
+    out = {a: {"equal": e, "cash_paired": e, "rada_paired": e, "cash_to": [], "rada_to": []}
+           for (a, _, _), e in zip(run, equal, strict=True)}
+    for a, b, n in swept:
+        for amount, other, side in ((a, b, "cash"), (b, a, "rada")):
+            fact = out[amount]
+            fact[f"{side}_to"].append({"other": other, "after": fact[f"{side}_paired"], "n": n})
+            fact[f"{side}_paired"] += n
+    return [{"_at": a, **fact} for a, fact in out.items()]
+
+
+_DECIMAL = pa.decimal128(38, 6)
+_TO = pa.list_(pa.struct({"other": _DECIMAL, "after": pa.int64(), "n": pa.int64()}))
+_TO_DDL = f"array<struct<other:{MONEY},after:bigint,n:bigint>>"
+_FACTS = {"business_key": pa.string(), "_at": _DECIMAL, "_bucket": pa.int64(), "_c": pa.int64(), "_r": pa.int64(),
+          "equal": pa.int64(), "cash_paired": pa.int64(), "rada_paired": pa.int64(), "cash_to": _TO, "rada_to": _TO}
+_FACTS_DDL = (f"business_key string, _at {MONEY}, _bucket long, _c long, _r long, equal long, cash_paired long, "
+              f"rada_paired long, cash_to {_TO_DDL}, rada_to {_TO_DDL}")
+
+
+def _sweep(tolerance: Decimal):
+    """Sorted (business_key, _run, _at, _bucket, _c, _r) -> the facts of every amount."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def facts(rows: list[tuple]) -> list[dict]:
+            found = allot([(at, c, r) for _, _, at, _, c, r in rows], tolerance)
+            return [{"business_key": key, "_bucket": bucket, "_c": c, "_r": r, **fact}
+                    for (key, _, _, bucket, c, r), fact in zip(rows, found, strict=True)]
+
+        def batch(rows: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], t) for c, t in _FACTS.items()], names=list(_FACTS))
+
+        now, out = [], []
+        for part in batches:
+            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if now and now[0][:2] != row[:2]:
+                    out += facts(now)
+                    now = []
+                    if len(out) >= 10_000:
+                        yield batch(out)
+                        out = []
+                now.append(row)
+        out += facts(now)
+        if out:
+            yield batch(out)
+    return run
+
+
+def _runs(amounts: DataFrame, tolerance: float) -> DataFrame:
+    """Adds ``_run``, the least amount of the run that an amount belongs to."""
     step = F.lit(repr(float(tolerance))).cast(MONEY)
-    # amounts that cannot be compared wait for the last round
-    first = _paired(rows.filter(known), exact(F.col("_amt")).cast("string")).checkpoint(eager=True)
-    done, left = first.filter(_BOTH), _unpaired(first)
-    # with at most one record a side, the last round pairs a key as these two would
-    several = left.groupBy("business_key", "_side").count().filter("count > 1")
-    if tolerance > 0 and not several.isEmpty():
-        for shift in (0.0, 0.5):
-            bucket = F.floor(exact(F.col("_amt")) / step + F.lit(shift).cast(MONEY)).cast("string")
-            pairs = _paired(left, bucket).checkpoint(eager=True)
-            done, left = done.unionByName(pairs.filter(_BOTH)), _unpaired(pairs)
-    unknown = rows.filter(~known).select(*_ROW)
-    return done.unionByName(_paired(left.select(*_ROW).unionByName(unknown), F.lit(""))), first
+    wide = F.lit(repr(float(max(tolerance, 1.0) * _BUCKET))).cast(MONEY)
+    in_bucket = Window.partitionBy("business_key", "_bucket").orderBy("_at")
+    placed = (amounts.withColumn("_bucket", F.floor(F.col("_at") / wide))
+              .withColumn("_start", F.when(F.col("_at") - F.lag("_at").over(in_bucket) > step, F.col("_at")))
+              .withColumn("_inner", F.max("_start").over(in_bucket)))
+    by_bucket = Window.partitionBy("business_key").orderBy("_bucket")
+    ends = placed.groupBy("business_key", "_bucket").agg(
+        F.min("_at").alias("_low"), F.max("_at").alias("_high"), F.max("_start").alias("_last"))
+    before = F.lag("_high").over(by_bucket)
+    opened = ends.withColumn("_opens", F.when(before.isNull() | (F.col("_low") - before > step), F.col("_low")))
+    # the run in which a bucket begins: its own, or the latest that began before it
+    carried = F.max(F.coalesce("_last", "_opens")).over(by_bucket.rowsBetween(Window.unboundedPreceding, -1))
+    opened = opened.select("business_key", "_bucket", F.coalesce("_opens", carried).alias("_carried"))
+    return placed.join(opened, ["business_key", "_bucket"]).select(
+        "business_key", F.coalesce("_inner", "_carried").alias("_run"), "_at", "_bucket", "_c", "_r")
+
+
+def _facts(rows: DataFrame, tolerance: float) -> DataFrame:
+    """Per (key, amount): what pairs with what, and ``_cash_from`` and ``_rada_from``,
+    the ranks at which its left-over records begin. ``_at`` is NULL for unknown amounts."""
+    amounts = rows.groupBy("business_key", "_at").agg(F.count_if(F.col("_side") == 0).alias("_c"), F.count_if(F.col("_side") == 1).alias("_r"))
+    known = (_runs(amounts.filter("_at is not null"), tolerance).repartition("business_key", "_run")
+             .sortWithinPartitions("business_key", "_run", "_at")
+             .mapInArrow(_sweep(Decimal(repr(float(tolerance)))), _FACTS_DDL))
+    zero, none = F.lit(0).cast("long"), F.array().cast(_TO_DDL)
+    unknown = amounts.filter("_at is null").select(
+        "business_key", "_at", zero.alias("_bucket"), "_c", "_r", *[zero.alias(c) for c in ("equal", "cash_paired", "rada_paired")],
+        none.alias("cash_to"), none.alias("rada_to"))
+    facts = known.unionByName(unknown).withColumns({
+        "_known": F.col("_at").isNotNull(), "_cash_left": F.col("_c") - F.col("cash_paired"),
+        "_rada_left": F.col("_r") - F.col("rada_paired")})
+    # running sums over a key's amounts: within a bucket, plus the sums of the buckets before
+    bucket = ["business_key", "_known", "_bucket"]
+    within = Window.partitionBy(*bucket).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (Window.partitionBy("business_key").orderBy(F.col("_known").desc(), "_bucket")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    sums = facts.groupBy(*bucket).agg(*[F.sum(f"{s}_left").alias(s) for s in ("_cash", "_rada")])
+    sums = sums.select(*bucket, *[F.coalesce(F.sum(s).over(earlier), zero).alias(f"{s}_sum") for s in ("_cash", "_rada")])
+    facts = facts.withColumns({f"{s}_from": F.coalesce(F.sum(f"{s}_left").over(within), zero) for s in ("_cash", "_rada")})
+    return facts.join(sums, bucket).select(
+        "business_key", "_at", "equal", "cash_paired", "rada_paired", "cash_to", "rada_to",
+        *[(F.col(f"{s}_from") + F.col(f"{s}_sum")).alias(f"{s}_from") for s in ("_cash", "_rada")])
+
+
+def _token(side: str) -> Column:
+    """What a record's number ``_k`` within (key, amount, side) stands for: the
+    same on both records of a pair."""
+    k, at = F.col("_k"), F.col("_at")
+    to = F.filter(F.col(f"{side}_to"), lambda x: (x["after"] < k) & (k <= x["after"] + x["n"]))[0]
+    ends = (at, to["other"]) if side == "cash" else (to["other"], at)
+    return (F.when(k <= F.col("equal"), F.concat_ws("|", at, at, k))
+            .when(k <= F.col(f"{side}_paired"), F.concat_ws("|", *ends, k - to["after"]))
+            .otherwise((F.col(f"_{side}_from") + k - F.col(f"{side}_paired")).cast("string")))
+
+
+def _paired_in_keys(cash: DataFrame, rada: DataFrame, tolerance: float) -> DataFrame:
+    """The pairs and single records of repeated keys."""
+    none = [F.lit(None).cast(cash.schema[c].dataType).alias(c) for c in CASH_PAYLOAD]
+    rows = cash.select("business_key", F.lit(0).alias("_side"), F.col("cash_id").alias("_rid"), F.col("_cash_amount").alias("_amt"),
+                       *CASH_PAYLOAD).unionByName(
+        rada.select("business_key", F.lit(1).alias("_side"), F.col("rada_id").alias("_rid"), F.col("_rada_amount").alias("_amt"), *none))
+    rows = rows.withColumns({"_at": exact(F.col("_amt")), "_slice": F.coalesce(F.substring(F.md5("_rid"), 1, 2), F.lit(""))})
+    rows = rows.checkpoint(eager=True)
+    group, part = ["business_key", "_side", "_at"], ["business_key", "_side", "_at", "_slice"]
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).select(
+        *part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    facts = _facts(rows, tolerance)
+
+    def same(a: DataFrame, b: DataFrame, names: list[str]) -> Column:
+        """Equal in ``names``; unknown amounts are equal."""
+        test = a["_at"].eqNullSafe(b["_at"])
+        for name in names:
+            test = test & (a[name] == b[name])
+        return test
+    told = slices.join(facts, same(slices, facts, ["business_key"])).drop(facts["business_key"], facts["_at"])
+    own = rows.withColumn("_own", F.row_number().over(Window.partitionBy(*part).orderBy(F.col("_rid").asc_nulls_first())))
+    names = ["business_key", "_side", "_slice"]
+    numbered = own.join(told, same(own, told, names)).drop(*[told[c] for c in (*names, "_at")]).withColumn(
+        "_k", F.col("_own") + F.col("_before"))
+    numbered = numbered.select("business_key", "_side", "_rid", "_amt", *CASH_PAYLOAD, F.when(
+        F.col("_side") == 0, _token("cash")).otherwise(_token("rada")).alias("_token"))
+    return _joined(
+        numbered.filter("_side = 0").select("business_key", "_token", F.col("_rid").alias("cash_id"),
+                                            F.col("_amt").alias("_cash_amount"), *CASH_PAYLOAD, F.lit(1).alias("_in_cash")),
+        numbered.filter("_side = 1").select("business_key", "_token", F.col("_rid").alias("rada_id"),
+                                            F.col("_amt").alias("_rada_amount"), F.lit(1).alias("_in_rada")),
+        ["business_key", "_token"]).drop("_token")
+
+
+def _joined(cash: DataFrame, rada: DataFrame, on: list[str]) -> DataFrame:
+    return cash.join(rada, on, "full_outer")
+
+
+def _pairs(cash: DataFrame, rada: DataFrame, tolerance: float) -> DataFrame:
+    """Every record of both sides in exactly one row."""
+    checkpoint_root(cash.sparkSession)
+    repeated = (_counts(cash, rada).filter("_c > 0 and _r > 0 and _c + _r > 2").select("business_key")
+                .checkpoint(eager=True))
+    if repeated.isEmpty():
+        return _joined(cash, rada, ["business_key"])
+    single = [side.join(repeated, "business_key", "left_anti") for side in (cash, rada)]
+    several = [side.join(repeated, "business_key", "left_semi") for side in (cash, rada)]
+    return _joined(*single, ["business_key"]).unionByName(_paired_in_keys(*several, tolerance))
 
 
 def status_expr(in_cash: Column, in_rada: Column, cash_amount: Column, rada_amount: Column,
@@ -176,17 +323,12 @@ def _label(pairs: DataFrame, tolerance: float) -> DataFrame:
             ))
 
 
-def _cleared_rows(first: DataFrame, unknown: DataFrame, previous_open: DataFrame, like: DataFrame) -> DataFrame:
+def _cleared_rows(counts: DataFrame, previous_open: DataFrame, like: DataFrame) -> DataFrame:
     """One CLEARED row per key of the snapshot that has no unpaired cash record now."""
-    def tally(df: DataFrame, cash: Column, rada: Column, before: Column) -> DataFrame:
-        return df.select("business_key", cash.alias("_c"), rada.alias("_r"), before.alias("_b"))
-
-    zero = F.lit(0)
-    counts = (tally(first, F.col("_in_cash"), F.col("_in_rada"), zero)
-              .unionByName(tally(unknown, 1 - F.col("_side"), F.col("_side"), zero))
-              .unionByName(tally(previous_open, zero, zero, F.lit(1)))
-              .groupBy("business_key").agg(F.sum("_c").alias("_c"), F.sum("_r").alias("_r"), F.max("_b").alias("_b")))
-    return counts.filter("_b = 1 and _c <= _r").select("business_key", *(
+    before = previous_open.select("business_key", F.lit(0).alias("_c"), F.lit(0).alias("_r"), F.lit(1).alias("_b"))
+    now = (counts.withColumn("_b", F.lit(0)).unionByName(before).groupBy("business_key")
+           .agg(F.sum("_c").alias("_c"), F.sum("_r").alias("_r"), F.max("_b").alias("_b")))
+    return now.filter("_b = 1 and _c <= _r").select("business_key", *(
         (F.lit(CLEARED) if f.name == "recon_status" else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in like.schema.fields if f.name != "business_key"))
 
@@ -200,13 +342,11 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
     (repeats are fine). When given, one CLEARED row per such key that is not
     UNMATCHED today is added.
     """
-    rows = _stack(cash_keyed, rada_keyed, cash_id, rada_id)
-    pairs, first = _rounds(rows, cfg.amount_tolerance)
-    out = _label(pairs, cfg.amount_tolerance)
+    cash, rada = _sides(cash_keyed, rada_keyed, cash_id, rada_id)
+    out = _label(_pairs(cash, rada, cfg.amount_tolerance), cfg.amount_tolerance)
     if previous_open is None:
         return out
-    unknown = rows.filter(exact(F.col("_amt")).isNull())
-    return out.unionByName(_cleared_rows(first, unknown, previous_open.select("business_key"), out))
+    return out.unionByName(_cleared_rows(_counts(cash, rada), previous_open.select("business_key"), out))
 
 
 # --- per-class views (the public four-way split) -------------------------

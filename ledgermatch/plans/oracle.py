@@ -131,61 +131,94 @@ def _keyed(src: str, id_col: str) -> str:
     FROM {src}"""
 
 
-_ROW = "business_key, side, rid, amt, account_number, trade_reference, settlement_date, currency, swift_bic, debit_credit"
-
-
-def _round(name: str, src: str, grp: str) -> list[tuple[str, str]]:
-    """Pair the i-th cash with the i-th RADA record of each (key, group):
-    ``{name}`` pairs and single records, ``{name}_left`` the single ones."""
-    return [
-        (f"{name}_num", f"""
-    SELECT *, row_number() OVER (PARTITION BY business_key, grp, side ORDER BY class, slice,
-                                 amt ASC NULLS FIRST, rid ASC NULLS FIRST) AS pair
-    FROM (SELECT {_ROW}, {grp} AS grp, substr(md5(rid), 1, 2) AS slice,
-                 coalesce(lpad(CAST(length(whole) AS VARCHAR), 2, '0') || substr(whole, 1, 2), '') AS class
-          FROM (SELECT *, split_part(CAST(abs(CAST(amt AS DECIMAL(38,6))) AS VARCHAR), '.', 1) AS whole FROM {src}))"""),
-        (name, f"""
-    SELECT business_key, count(*) FILTER (WHERE side = 0) AS in_cash, count(*) FILTER (WHERE side = 1) AS in_rada,
-           max(rid) FILTER (WHERE side = 0) AS cash_id, max(rid) FILTER (WHERE side = 1) AS rada_id,
-           max(amt) FILTER (WHERE side = 0) AS ca, max(amt) FILTER (WHERE side = 1) AS ra,
-           max(account_number) AS account_number, max(trade_reference) AS trade_reference,
-           max(settlement_date) AS settlement_date, max(currency) AS currency,
-           max(swift_bic) AS swift_bic, max(debit_credit) AS debit_credit
-    FROM {name}_num GROUP BY business_key, grp, pair"""),
-        (f"{name}_left", f"""
-    SELECT business_key, 1 - in_cash AS side, coalesce(cash_id, rada_id) AS rid, coalesce(ca, ra) AS amt,
-           account_number, trade_reference, settlement_date, currency, swift_bic, debit_credit
-    FROM {name} WHERE in_cash + in_rada = 1"""),
-    ]
+_PAYLOAD = "account_number, trade_reference, settlement_date, currency, swift_bic, debit_credit"
 
 
 def _classified(cash: str, rada: str) -> list[tuple[str, str]]:
-    """CTEs ending in ``{cash}_{rada}_cls``: one-to-one pairing by equal
-    amounts, tolerance buckets, shifted buckets, then rank."""
+    """CTEs ending in ``{cash}_{rada}_cls``. Keys without a choice are joined. In
+    the others the sweep goes up each run of amounts (neighbours at most the tolerance
+    apart) and pairs a record with the oldest of the other side that waits within the
+    tolerance, once over all records (v = 1) and once over those that no equal
+    amount takes (v = 2); a run keeps equal amounts first (v = 2) unless that loses
+    pairs. The rest of a key pairs by rank."""
     p = f"{cash}_{rada}"
-    amt = "CAST(amt AS DECIMAL(38,6))"
     return [
-        (f"{p}_stack", f"""
-    SELECT business_key, 0 AS side, cash_id AS rid, amount AS amt, account_number, trade_reference,
-           settlement_date, currency, swift_bic, debit_credit FROM {cash}
+        (f"{p}_rows", f"""
+    SELECT business_key, 0 AS side, cash_id AS rid, amount AS amt, CAST(amount AS DECIMAL(38,6)) AS x FROM {cash}
+    UNION ALL SELECT business_key, 1, rada_id, amount, CAST(amount AS DECIMAL(38,6)) FROM {rada}"""),
+        (f"{p}_many", f"""
+    SELECT business_key FROM {p}_rows GROUP BY business_key
+    HAVING count(*) FILTER (WHERE side = 0) > 0 AND count(*) FILTER (WHERE side = 1) > 0 AND count(*) > 2"""),
+        (f"{p}_num", f"""
+    SELECT *, row_number() OVER (PARTITION BY business_key, side, x ORDER BY substr(md5(rid), 1, 2), rid) AS k
+    FROM {p}_rows WHERE business_key IN (SELECT business_key FROM {p}_many)"""),
+        (f"{p}_amounts", f"""
+    SELECT business_key, x, count(*) FILTER (WHERE side = 0) AS nc, count(*) FILTER (WHERE side = 1) AS nr
+    FROM {p}_num GROUP BY business_key, x"""),
+        (f"{p}_runs", f"""
+    SELECT *, sum(opens) OVER (ORDER BY business_key, x) AS run FROM (
+      SELECT *, CASE WHEN x - lag(x) OVER (PARTITION BY business_key ORDER BY x) <= {TOL} THEN 0 ELSE 1 END AS opens
+      FROM {p}_amounts)"""),
+        (f"{p}_lists", f"""
+    SELECT v, run, business_key, list({{'side': side, 'x': x, 'k': k, 'pend': [{{'x': x, 'k': k}}],
+      'met': CAST([] AS STRUCT(cx DECIMAL(38,6), ck BIGINT, rx DECIMAL(38,6), rk BIGINT)[])}} ORDER BY x, k) AS records
+    FROM {p}_num JOIN {p}_runs USING (business_key, x), (VALUES (1), (2)) AS variants(v)
+    WHERE v = 1 OR k > least(nc, nr) GROUP BY v, run, business_key"""),
+        # the records of one side that wait, oldest first, and the pairs so far
+        (f"{p}_walk", f"""
+    SELECT v, run, business_key, list_reduce(records, lambda acc, e: CASE
+      WHEN acc.side <> e.side AND len(list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})) > 0 THEN
+        {{'side': acc.side, 'x': e.x, 'k': e.k, 'pend': list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})[2:],
+          'met': list_append(acc.met, {{
+            'cx': CASE WHEN e.side = 0 THEN e.x ELSE list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})[1].x END,
+            'ck': CASE WHEN e.side = 0 THEN e.k ELSE list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})[1].k END,
+            'rx': CASE WHEN e.side = 1 THEN e.x ELSE list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})[1].x END,
+            'rk': CASE WHEN e.side = 1 THEN e.k ELSE list_filter(acc.pend, lambda q: q.x >= e.x - {TOL})[1].k END}})}}
+      ELSE {{'side': e.side, 'x': e.x, 'k': e.k, 'pend': CASE WHEN acc.side = e.side
+          THEN list_concat(list_filter(acc.pend, lambda q: q.x >= e.x - {TOL}), e.pend) ELSE e.pend END, 'met': acc.met}}
+      END).met AS met FROM {p}_lists"""),
+        (f"{p}_met", f"SELECT v, run, business_key, unnest(met, recursive := true) FROM {p}_walk"),
+        (f"{p}_choice", f"""
+    SELECT run, CASE WHEN eq + coalesce(n2, 0) = coalesce(n1, 0) THEN 2 ELSE 1 END AS v
+    FROM (SELECT run, sum(least(nc, nr)) AS eq FROM {p}_runs GROUP BY run)
+    LEFT JOIN (SELECT run, count(*) FILTER (WHERE v = 1) AS n1, count(*) FILTER (WHERE v = 2) AS n2
+               FROM {p}_met GROUP BY run) USING (run)"""),
+        (f"{p}_close", f"""
+    SELECT business_key, cx, ck, rx, rk FROM {p}_met JOIN {p}_choice USING (run, v)
+    UNION ALL
+    SELECT business_key, x, k, x, k FROM {p}_num JOIN {p}_runs USING (business_key, x) JOIN {p}_choice USING (run)
+    WHERE v = 2 AND side = 0 AND k <= least(nc, nr)"""),
+        (f"{p}_c", f"SELECT * FROM {p}_num WHERE side = 0"),
+        (f"{p}_r", f"SELECT * FROM {p}_num WHERE side = 1"),
+        (f"{p}_left", f"""
+    SELECT *, row_number() OVER (PARTITION BY business_key, side ORDER BY x NULLS LAST, k) AS i FROM (
+      SELECT * FROM {p}_c ANTI JOIN {p}_close cl ON cl.business_key = {p}_c.business_key AND cl.cx = x AND cl.ck = k
+      UNION ALL
+      SELECT * FROM {p}_r ANTI JOIN {p}_close cl ON cl.business_key = {p}_r.business_key AND cl.rx = x AND cl.rk = k)"""),
+        (f"{p}_pairs", f"""
+    SELECT c.business_key, c.rid AS cash_id, r.rid AS rada_id, c.amt AS ca, r.amt AS ra
+    FROM {p}_close cl JOIN {p}_c c ON c.business_key = cl.business_key AND c.x = cl.cx AND c.k = cl.ck
+                      JOIN {p}_r r ON r.business_key = cl.business_key AND r.x = cl.rx AND r.k = cl.rk
+    UNION ALL
+    SELECT coalesce(c.business_key, r.business_key), c.rid, r.rid, c.amt, r.amt
+    FROM (SELECT * FROM {p}_left WHERE side = 0) c FULL JOIN (SELECT * FROM {p}_left WHERE side = 1) r
+      ON c.business_key = r.business_key AND c.i = r.i
     UNION ALL
-    SELECT business_key, 1 AS side, rada_id AS rid, amount AS amt, NULL, NULL, NULL, NULL, NULL, NULL
-    FROM {rada}"""),
-        *_round(f"{p}_r1", f"{p}_stack", f"CAST({amt} AS VARCHAR)"),
-        *_round(f"{p}_r2", f"{p}_r1_left", f"CAST(CAST(floor({amt} / {TOL}) AS HUGEINT) AS VARCHAR)"),
-        *_round(f"{p}_r3", f"{p}_r2_left", f"CAST(CAST(floor({amt} / {TOL} + 0.5) AS HUGEINT) AS VARCHAR)"),
-        *_round(f"{p}_r4", f"{p}_r3_left", "''"),
+    SELECT coalesce(c.business_key, r.business_key), c.rid, r.rid, c.amt, r.amt
+    FROM (SELECT * FROM {p}_rows WHERE side = 0 AND business_key NOT IN (SELECT business_key FROM {p}_many)) c
+    FULL JOIN (SELECT * FROM {p}_rows WHERE side = 1 AND business_key NOT IN (SELECT business_key FROM {p}_many)) r
+      ON c.business_key = r.business_key"""),
         (f"{p}_lab", f"""
-    SELECT *, CASE WHEN in_cash = 0 THEN 'NEW' WHEN in_rada = 0 THEN 'UNMATCHED'
-                   WHEN abs(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6))) <= {TOL} THEN 'MATCHED'
-                   ELSE 'AMOUNT_MISMATCH' END AS recon_status
-    FROM (SELECT * FROM {p}_r1 WHERE in_cash + in_rada = 2 UNION ALL SELECT * FROM {p}_r2 WHERE in_cash + in_rada = 2
-          UNION ALL SELECT * FROM {p}_r3 WHERE in_cash + in_rada = 2 UNION ALL SELECT * FROM {p}_r4)"""),
+    SELECT q.business_key, q.cash_id, q.rada_id, ca, ra, {_PAYLOAD},
+           CASE WHEN q.cash_id IS NULL THEN 'NEW' WHEN q.rada_id IS NULL THEN 'UNMATCHED'
+                WHEN abs(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6))) <= {TOL} THEN 'MATCHED'
+                ELSE 'AMOUNT_MISMATCH' END AS recon_status
+    FROM {p}_pairs q LEFT JOIN {cash} USING (cash_id)"""),
         (f"{p}_cls", f"""
     SELECT business_key, cash_id, rada_id, account_number, trade_reference, settlement_date, currency,
-           CASE WHEN in_cash = 1 THEN ca ELSE ra END AS amount,
-           CASE WHEN in_cash = 1 AND in_rada = 1 THEN ra END AS rada_amount,
-           CASE WHEN in_cash = 1 AND in_rada = 1
+           CASE WHEN cash_id IS NOT NULL THEN ca ELSE ra END AS amount,
+           CASE WHEN cash_id IS NOT NULL THEN ra END AS rada_amount,
+           CASE WHEN cash_id IS NOT NULL AND rada_id IS NOT NULL
                 THEN CAST(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6)) AS DOUBLE) END AS amount_variance,
            CASE WHEN recon_status <> 'AMOUNT_MISMATCH' THEN swift_bic END AS swift_bic,
            debit_credit, recon_status,
@@ -289,7 +322,7 @@ def _repeated_ctes(skewed: bool) -> list[tuple[str, str]]:
 
 
 def _with(ctes: list[tuple[str, str]], final: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes)
+    body = ",\n".join(f"{name} AS MATERIALIZED ({sql}\n)" for name, sql in ctes)
     return f"WITH {body}\n{final}"
 
 

@@ -1,6 +1,6 @@
 """Two cycles end to end, from landing CSV files to KPIs, plus a re-run."""
 
-from conftest import SF0001
+from ledger_helpers import SF0001
 from pyspark.sql import functions as F
 
 from ledgermatch.plans import queries as Q

@@ -1,4 +1,4 @@
-from conftest import SF0001
+from ledger_helpers import SF0001
 
 from ledgermatch.config import ReconConfig
 from ledgermatch.operators import gold as gold_ops

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import SF0001
+from ledger_helpers import SF0001
 from pyspark.errors import StreamingQueryException
 
 from ledgermatch.config import CASH, RADA

@@ -41,7 +41,7 @@ def test_null_becomes_token_and_is_consistent(spark):
 
 
 def test_prepare_prunes_to_matching_columns(spark):
-    from conftest import ledger_rows
+    from ledger_helpers import ledger_rows
 
     df = ledger_rows(spark, "cash_id", [("C1", "A", "T", "2026-01-01", "ZAR", 1.0, "D")])
     cols = prepare_for_matching(df, "cash_id").columns

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF001, ledger_rows
+from ledger_helpers import SF001, ledger_rows
 from pyspark.sql import functions as F
 
 from ledgermatch.config import ReconConfig
@@ -82,24 +82,84 @@ def test_equal_amounts_are_paired_first(spark):
     assert sum(status == "UNMATCHED" for _, _, status in rows) == 1 and len(rows) == 4
 
 
-def test_skewed_keys_keep_every_equal_pair(spark):
-    """Three keys with a third of all rows each: as many MATCHED as pairs of
-    equal amounts exist, every record in exactly one row."""
+def test_skewed_keys_make_the_most_pairs(spark):
+    """Three keys with a third of all rows each: as many MATCHED as a sweep over the whole key
+    in memory finds (46,702 pairs of equal amounts exist; a few of these make way), every record in exactly one row."""
+    from collections import defaultdict
+    from decimal import Decimal
+
     from ledgermatch.sources import fixtures as fx
 
     cash, rada = fx.repeated_key_ledgers(spark, SF001, skewed=True)
     c, r = prepare_for_matching(cash, "cash_id"), prepare_for_matching(rada, "rada_id")
     out = match.classify(c, r).checkpoint()
-    counts = c.groupBy("business_key", "amount").agg(F.count("*").alias("n")).join(
-        r.groupBy("business_key", "amount").agg(F.count("*").alias("m")), ["business_key", "amount"])
-    equal = counts.agg(F.sum(F.least("n", "m"))).first()[0]
-    assert equal == 46_702
-    assert out.filter("amount = rada_amount and recon_status = 'MATCHED'").count() == equal
+    amounts = defaultdict(lambda: ([], []))
+    for side, ledger in enumerate((c, r)):
+        for key, amount in ledger.select("business_key", "amount").collect():
+            amounts[key][side].append(Decimal(str(amount)))
+    most = 0
+    for xs, ys in amounts.values():
+        xs, ys, i, j = sorted(xs), sorted(ys), 0, 0
+        while i < len(xs) and j < len(ys):
+            near = abs(xs[i] - ys[j]) <= 1
+            most += near
+            i, j = i + (near or xs[i] < ys[j]), j + (near or ys[j] < xs[i])
+    assert out.filter("recon_status = 'MATCHED'").count() == most > 46_702
     for ledger, column in ((c, "cash_id"), (r, "rada_id")):
         seen = out.filter(F.col(column).isNotNull())
         assert seen.count() == seen.select(column).distinct().count() == ledger.count()
 
 
+def test_no_pair_within_the_tolerance_is_left(spark):
+    """On three keys with all rows, no cash and RADA amount that could match are both left over."""
+    from ledgermatch.sources import fixtures as fx
+
+    cash, rada = fx.repeated_key_ledgers(spark, SF001, skewed=True)
+    out = match.classify(prepare_for_matching(cash, "cash_id"), prepare_for_matching(rada, "rada_id"))
+    left = out.filter("recon_status <> 'MATCHED'").select("business_key", "recon_status", "amount", "rada_amount").checkpoint()
+    c = left.filter("recon_status <> 'NEW'").select("business_key", F.col("amount").alias("x"))
+    r = left.filter("recon_status <> 'UNMATCHED'").select("business_key", F.coalesce("rada_amount", "amount").alias("y"))
+    near = F.explode(F.sequence(F.floor("y") - 1, F.floor("y") + 1))
+    assert c.count() > 1000 and r.count() > 1000
+    assert c.withColumn("b", F.floor("x")).join(r.withColumn("b", near), ["business_key", "b"]).filter(
+        "abs(cast(x as decimal(38,6)) - cast(y as decimal(38,6))) <= 1").count() == 0
+
+
+@pytest.mark.parametrize("ids", [("c0", "d0", "r0", "s0"), ("c1", "d1", "r1", "s1"), ("d", "c", "s", "r")])
+def test_pairs_do_not_depend_on_identifiers(spark, ids):
+    k = ("ACC1", "TRD1", "2026-05-05", "ZAR")
+    cash = [(ids[0], *k, 1000.40, "D"), (ids[1], *k, 1010.40, "D")]
+    rada = [(ids[2], *k, 1001.20, "D"), (ids[3], *k, 1011.20, "D")]
+    rows = {(r["cash_id"], r["rada_id"], r["recon_status"]) for r in _classify(spark, cash, rada).collect()}
+    assert rows == {(ids[0], ids[2], "MATCHED"), (ids[1], ids[3], "MATCHED")}
+
+
+def test_a_key_does_not_depend_on_other_keys(spark):
+    """Unknown amounts come last in a key, whatever other keys hold."""
+    k = ("TRD1", "2026-05-05", "ZAR")
+    cash = [("C1", "A", *k, float("inf"), "D"), ("C2", "A", *k, 5.0, "D")]
+    rada = [("R1", "A", *k, 5.5, "D")]
+    other = [("C3", "B", *k, 1.0, "D"), ("C4", "B", *k, 9.0, "D")], [("R2", "B", *k, 70.0, "D"), ("R3", "B", *k, 80.0, "D")]
+    want = {("C2", "R1", "MATCHED"), ("C1", None, "UNMATCHED")}
+    for more_cash, more_rada in (([], []), other):
+        rows = {(r["cash_id"], r["rada_id"], r["recon_status"]) for r in
+                _classify(spark, cash + more_cash, rada + more_rada).collect()}
+        assert want <= rows and len(rows) == 2 + len(more_rada)
+
+
+def test_runs_go_on_across_buckets(spark):
+    """A run of amounts a tolerance apart, much longer than a bucket, shifted by half a tolerance."""
+    n = 2500
+    row = [F.lit(x).alias(c) for c, x in (("business_key", "k"), ("account_number", "a"), ("trade_reference", "t"),
+           ("currency", "ZAR"), ("swift_bic", "s"), ("debit_credit", "D"), ("status", "S"))]
+    base = spark.range(n).select(F.col("id").cast("string").alias("i"), *row, F.col("id").cast("double").alias("amount"),
+                                 F.lit("2026-01-01").cast("date").alias("settlement_date"))
+    out = match.classify(base.withColumnRenamed("i", "cash_id"), base.withColumnRenamed("i", "rada_id").withColumn(
+        "amount", F.col("amount") + 1.0)).collect()
+    assert len(out) == n and all(r["recon_status"] == "MATCHED" for r in out)
+    assert {r["amount"] - r["rada_amount"] for r in out} == {-1.0}
+
+
 def test_one_amount_of_one_key_repeated_very_often(spark):
     """Numbers run on across slices: n cash and m RADA records of one amount give min(n, m) pairs."""
     ids = spark.range(3000).select(F.col("id").cast("string").alias("i"))

@@ -5,7 +5,7 @@ import sys
 
 import duckdb
 import pytest
-from conftest import SF0001
+from ledger_helpers import SF0001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

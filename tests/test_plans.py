@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF0001
+from ledger_helpers import SF0001
 
 from ledgermatch.operators import kpis, match
 from ledgermatch.operators.cleared import snapshot_open_keys
@@ -29,13 +29,24 @@ def stored(spark, tmp_path_factory):
     return {k: spark.read.parquet(f"{root}/{k}") for k in ("cash", "rada", "gold")}
 
 
-def test_matching_has_no_forced_broadcast_and_no_whole_key_window(stored):
-    """Rank windows run per slice of a key; only the slices' small counts are
-    ordered per whole (key, group, side)."""
+def test_matching_unique_keys_is_one_join(stored):
+    """Keys without repeats: one full outer join, two exchanges, no window, no forced broadcast."""
     plan = _plan(match.classify(stored["cash"], stored["rada"]))
-    assert "BroadcastExchange" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastExchange" not in plan and "CartesianProduct" not in plan and "Window" not in plan
+    assert plan.count("FullOuter") == 1 or len(re.findall(r"Join type: FullOuter", plan)) == 1
+    assert len(_exchanges(plan)) == 2
+
+
+def test_windows_of_repeated_keys_are_per_slice_or_bucket(spark):
+    """Rows are numbered per slice of one amount; windows over a whole key see one row per bucket or slice."""
+    from ledgermatch.functions.keys import prepare_for_matching
+    from ledgermatch.sources import fixtures as fx
+
+    cash, rada = fx.repeated_key_ledgers(spark, SF0001, skewed=True)
+    plan = _plan(match.classify(prepare_for_matching(cash, "cash_id"), prepare_for_matching(rada, "rada_id")))
+    assert "CartesianProduct" not in plan and "BroadcastExchange" not in plan
     ranks = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)
-    assert ranks and all("_slice" in r and "_class" in r for r in ranks)
+    assert ranks and all("_slice" in r and "_at" in r for r in ranks)
 
 
 def test_snapshot_reads_one_partition(stored):

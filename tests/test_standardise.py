@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import SF001
+from ledger_helpers import SF001
 from pyspark.sql import functions as F
 
 from ledgermatch.config import CASH
