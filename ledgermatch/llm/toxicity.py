@@ -4,9 +4,12 @@ A word is itself plus its character n-grams, each hashed to a bucket with an
 embedding; a text is the average over its words (and a few empty ones, which
 steady short texts) of their averaged buckets, and a linear softmax over that average gives two class probabilities. Embeddings
 and softmax are trained jointly, by Adam in numpy, on a bounded sample of
-labelled rows: at most ``max_rows`` of them, the first by a hash of their
-identifier, so the sample does not depend on file order. The bound is a
-parameter; scoring covers every whole text.
+labelled rows: at most ``max_rows`` of them and ``max_chars`` characters, the first by a
+hash of their identifier, so the sample does not depend on file order. The bounds
+are parameters; scoring covers every whole text. Training runs in one Spark task: the sample
+and its bags never pass through the driver, which receives the folded weights (half
+a megabyte). Steps, batch, rate, decay and the least number of texts that hold a trained
+bucket are fixed values, the same for every size of sample.
 
 The class scores are linear in the average, so the trained model folds into
 one number per bucket (the logit's weight); only these are sent to the tasks.
@@ -118,34 +121,33 @@ class Model:
 
     GAIN = 300.0
 
-    def __init__(self, bags: list[tuple[np.ndarray, np.ndarray]], dim: int, least_texts: int, seed: int):
+    def __init__(self, texts: list[str], dim: int, least_texts: int, seed: int):
         rng = np.random.default_rng(seed)
         held = np.zeros(BUCKETS, np.int64)
-        for bucket, _ in bags:
+        for bucket, _ in bags_of(texts):
             held[bucket] += 1
         self.used = np.flatnonzero(held >= least_texts)
         place = np.full(BUCKETS, -1, np.int32)
         place[self.used] = np.arange(len(self.used))
-        for i, (bucket, weight) in enumerate(bags):  # in place: the bags are the largest thing in memory
+        self.bags = []
+        for bucket, weight in bags_of(texts):  # a second pass, so that only trained buckets are held
             keep = place[bucket] >= 0
-            bags[i] = place[bucket[keep]], weight[keep]
-        self.bags = bags
+            self.bags.append((place[bucket[keep]], weight[keep]))
         self.params = [rng.normal(0, 0.01, (len(self.used), dim)), rng.normal(0, 0.5, (dim, 2)), np.zeros(2)]
         self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params]
         self.steps = 0
 
-    def fit(self, labels: np.ndarray, epochs: int, batch: int, rate: float, decay: float, seed: int) -> None:
+    def fit(self, labels: np.ndarray, steps: int, batch: int, rate: float, decay: float, seed: int) -> None:
         """Adam on the cross entropy, with a linearly falling rate. The bias
         starts at the share of each class, the score of a text without words."""
         rng = np.random.default_rng(seed)
         self.params[2] += np.log(np.bincount(labels, minlength=2) / len(labels))
-        total = epochs * -(-len(labels) // batch)
-        for _ in range(epochs):
-            order = rng.permutation(len(labels))
-            for lo in range(0, len(order), batch):
-                rows = order[lo:lo + batch]
-                self._update(self._gradients(self._entries(rows), labels[rows], decay),
-                             rate * (1 - self.steps / total))
+        waiting = np.zeros(0, np.int64)
+        for step in range(steps):
+            while len(waiting) < batch:  # the next epoch begins
+                waiting = np.concatenate([waiting, rng.permutation(len(labels))])
+            rows, waiting = waiting[:batch], waiting[batch:]
+            self._update(self._gradients(self._entries(rows), labels[rows], decay), rate * (1 - step / steps))
 
     def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row owner 0 .. n - 1, bucket, weight) of the entries of some texts."""
@@ -201,43 +203,53 @@ def score_texts(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarra
 
 # ---- on Spark -------------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int, id_col: str, text_col: str,
-                    label_col: str) -> tuple[list[str], np.ndarray]:
-    """At most ``max_rows`` labelled texts, the first by a hash of their
-    identifier; texts that would pass ``max_chars`` in all are left out."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str,
+                    label_col: str) -> DataFrame:
+    """(_h, _n, _t, _y) of at most ``max_rows`` labelled rows, the first by a hash of their identifier."""
     want = labels.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     texts = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_t"))
     known = want.join(texts.select("_id"), "_id", "left_semi").withColumn("_h", F.md5(F.col("_id").cast("string")))
     chosen = known.orderBy("_h", "_id", "_y").limit(max_rows)
     rows = texts.join(F.broadcast(chosen), "_id")  # at most max_rows rows
-    taken, size = [], 0
-    for row in rows.select("_h", "_y", F.length("_t").alias("_n"), "_t").orderBy("_h", "_n", "_t", "_y").toLocalIterator():
-        if size + row["_n"] <= max_chars:
-            taken.append((row["_t"], row["_y"]))
-            size += row["_n"]
-    return [t for t, _ in taken], np.array([y for _, y in taken], np.int64)
+    return rows.select("_h", F.length("_t").alias("_n"), "_t", "_y")
 
 
-def train(texts: list[str], labels: np.ndarray, dim: int = 4, epochs: int | None = None, batch: int = 64,
-          rate: float = 0.03, decay: float = 1e-3, least_texts: int | None = None, seed: int = 7) -> tuple[np.ndarray, float]:
+def within(batches: Iterator[pa.RecordBatch], max_chars: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels in order, without those that would pass ``max_chars`` in all."""
+    texts, labels, size = [], [], 0
+    for batch in batches:
+        for n, text, label in zip(batch.column("_n").to_pylist(), batch.column("_t"), batch.column("_y").to_pylist(), strict=True):
+            if size + n <= max_chars:
+                texts.append(text.as_py())
+                labels.append(label)
+                size += n
+    return texts, np.array(labels, np.int64)
+
+
+def train(texts: list[str], labels: np.ndarray, dim: int = 4, steps: int = 1_000, batch: int = 64,
+          rate: float = 0.03, decay: float = 1e-3, least_texts: int = 5, seed: int = 7) -> tuple[np.ndarray, float]:
     """(logit weight per bucket, bias). ``least_texts``: texts that must hold a
-    bucket before it is trained; default one in 300, at least 5. ``epochs``:
-    default 8, more for few texts."""
+    bucket before it is trained."""
     if len(np.unique(labels)) < 2:
         share = np.clip(labels.mean() if len(labels) else 0.0, 1e-9, 1 - 1e-9)
         return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
-    least_texts = max(5, len(texts) // 300) if least_texts is None else least_texts
-    epochs = max(8, 12_000 // len(texts)) if epochs is None else epochs
-    model = Model(list(bags_of(texts)), dim, least_texts, seed)
-    model.fit(labels, epochs, batch, rate, decay, seed)
+    model = Model(texts, dim, least_texts, seed)
+    model.fit(labels, steps, batch, rate, decay, seed)
     return model.folded()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_rows: int = 8_000, max_chars: int = 40_000_000, **options) -> tuple[np.ndarray, float]:
-    """Train on a bounded sample of the labelled rows of ``docs``."""
-    return train(*labelled_sample(docs, labels, max_rows, max_chars, id_col, text_col, label_col), **options)
+    """Train, in one task, on a bounded sample of the labelled rows of ``docs``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = train(*within(batches, max_chars), **options)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"])
+
+    rows = labelled_sample(docs, labels, max_rows, id_col, text_col, label_col)
+    order = ["_h", "_n", "_t", "_y"]  # the same sample gives the same model
+    trained = rows.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "weights binary, bias double").collect()
+    return (np.frombuffer(bytes(trained[0]["weights"]), np.float32), trained[0]["bias"]) if trained else train([], np.zeros(0, np.int64))
 
 
 def score_column(text: Column, model: tuple[np.ndarray, float]) -> Column:

@@ -225,9 +225,65 @@ def test_held_out_accuracy(spark):
 def test_sample_is_bounded(spark):
     docs = documents(spark, [f"text {i}" for i in range(50)])
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
-    texts, y = toxicity.labelled_sample(docs, labels, 20, 10**6, "doc_id", "text", "toxic")
+    rows = toxicity.labelled_sample(docs, labels, 20, "doc_id", "text", "toxic").orderBy("_h").toArrow().to_batches()
+    texts, y = toxicity.within(iter(rows), 10**6)
     assert len(texts) == len(y) == 20 and all(int(t.split()[1]) % 2 == v for t, v in zip(texts, y, strict=True))
-    assert toxicity.labelled_sample(docs, labels, 20, 30, "doc_id", "text", "toxic")[0].__len__() <= 5
+    assert 0 < len(toxicity.within(iter(rows), 30)[0]) <= 5
+
+
+def _naive_bag(text):
+    """Buckets of every word and n-gram one at a time, averaged per word, then over words and the empty ones."""
+    def mixed(h):
+        h = ((h ^ h >> 29) * 0xBF58476D1CE4E5B9) % 2**64
+        return (h ^ h >> 32) % toxicity.BUCKETS
+    found, bag = toxicity.words_of(text), {}
+    for word in found:
+        marked = f"<{word}>"
+        whole = sum(ord(c) * 1_000_003**i for i, c in enumerate(marked)) % 2**64
+        buckets = [mixed(whole)]
+        for n in toxicity.GRAMS:
+            for i in range(len(marked) - n + 1):
+                h = n
+                for c in marked[i:i + n]:
+                    h = (h * 1_000_003 + ord(c)) % 2**64
+                buckets.append(mixed(h))
+        for b in buckets:
+            bag[b] = bag.get(b, 0) + 1 / len(buckets) / (len(found) + toxicity.EMPTY_WORDS)
+    return bag
+
+
+def test_bags_equal_a_naive_version():
+    texts = ["One two, two THREE!", "", "été \U0001f600 ß-x a", "x" * 50, "... !", " ".join(f"w{i % 7}" for i in range(60))]
+    for text, (bucket, weight) in zip(texts, toxicity.bags_of(texts), strict=True):
+        want = _naive_bag(text)
+        assert dict(zip(bucket.tolist(), weight.tolist(), strict=True)) == pytest.approx(want, rel=1e-5)
+
+
+def test_gradients_equal_finite_differences():
+    rng = random.Random(3)
+    texts = [prose(rng, 12, 20) for _ in range(10)]
+    model = toxicity.Model(texts, dim=3, least_texts=1, seed=1)
+    model.params[0] += np.random.default_rng(2).normal(0, 0.05, model.params[0].shape)
+    labels, rows = np.array([0, 1] * 5), np.arange(10)
+
+    def loss():
+        owner, bucket, share = model._entries(rows)
+        embed, weight, bias = model.params
+        mean = np.zeros((10, 3))
+        np.add.at(mean, owner, embed[bucket] * share)
+        logits = mean * model.GAIN @ weight + bias
+        p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        return -np.log(p[rows, labels]).mean() + 0.5 * 1e-3 * (embed**2).sum()
+    gradients = model._gradients(model._entries(rows), labels, 1e-3)
+    for param, gradient in zip(model.params, gradients, strict=True):
+        for at in list(np.ndindex(param.shape))[:12]:
+            kept = param[at]
+            param[at] = kept + 1e-5
+            up = loss()
+            param[at] = kept - 1e-5
+            down = loss()
+            param[at] = kept
+            assert gradient[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)
 
 
 # ---- 6 decontamination ----------------------------------------------------
