@@ -239,7 +239,7 @@ def _naive_bag(text):
     found, bag = toxicity.words_of(text), {}
     for word in found:
         marked = f"<{word}>"
-        whole = sum(ord(c) * 1_000_003**i for i, c in enumerate(marked)) % 2**64
+        whole = sum(ord(c) * 1_000_003 ** (i + 1) for i, c in enumerate(marked)) % 2**64
         buckets = [mixed(whole)]
         for n in toxicity.GRAMS:
             for i in range(len(marked) - n + 1):
