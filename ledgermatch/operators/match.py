@@ -85,12 +85,13 @@ def exact(amount: Column) -> Column:
     return amount.try_cast(MONEY)
 
 
-def _sides(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str) -> tuple[DataFrame, DataFrame]:
+def _sides(cash: DataFrame, rada: DataFrame, cash_id: str, rada_id: str, payload=CASH_PAYLOAD,
+           rada_payload=()) -> tuple[DataFrame, DataFrame]:
     """Both ledgers, slimmed to what the result needs."""
     return (cash.select("business_key", F.col(cash_id).alias("cash_id"), F.col("amount").alias("_cash_amount"),
-                        *CASH_PAYLOAD, F.lit(1).alias("_in_cash")),
+                        *payload, F.lit(1).alias("_in_cash")),
             rada.select("business_key", F.col(rada_id).alias("rada_id"), F.col("amount").alias("_rada_amount"),
-                        F.lit(1).alias("_in_rada")))
+                        *rada_payload, F.lit(1).alias("_in_rada")))
 
 
 def _counts(cash: DataFrame, rada: DataFrame) -> DataFrame:
@@ -239,10 +240,14 @@ def _token(side: str) -> Column:
 
 def _paired_in_keys(cash: DataFrame, rada: DataFrame, tolerance: float) -> DataFrame:
     """The pairs and single records of repeated keys."""
-    none = [F.lit(None).cast(cash.schema[c].dataType).alias(c) for c in CASH_PAYLOAD]
-    rows = cash.select("business_key", F.lit(0).alias("_side"), F.col("cash_id").alias("_rid"), F.col("_cash_amount").alias("_amt"),
-                       *CASH_PAYLOAD).unionByName(
-        rada.select("business_key", F.lit(1).alias("_side"), F.col("rada_id").alias("_rid"), F.col("_rada_amount").alias("_amt"), *none))
+    mine, theirs = cash.columns[3:-1], rada.columns[3:-1]  # what rides along on each side
+
+    def side(ledger: DataFrame, number: int, id_col: str, amount: str) -> DataFrame:
+        others = {c: d.schema[c].dataType for d, names in ((cash, mine), (rada, theirs)) for c in names}
+        return ledger.select(
+            "business_key", F.lit(number).alias("_side"), F.col(id_col).alias("_rid"), F.col(amount).alias("_amt"),
+            *[F.col(c) if c in ledger.columns else F.lit(None).cast(t).alias(c) for c, t in others.items()])
+    rows = side(cash, 0, "cash_id", "_cash_amount").unionByName(side(rada, 1, "rada_id", "_rada_amount"))
     rows = rows.withColumns({"_at": exact(F.col("_amt")), "_slice": F.coalesce(F.substring(F.md5("_rid"), 1, 2), F.lit(""))})
     rows = rows.checkpoint(eager=True)
     group, part = ["business_key", "_side", "_at"], ["business_key", "_side", "_at", "_slice"]
@@ -262,13 +267,13 @@ def _paired_in_keys(cash: DataFrame, rada: DataFrame, tolerance: float) -> DataF
     names = ["business_key", "_side", "_slice"]
     numbered = own.join(told, same(own, told, names)).drop(*[told[c] for c in (*names, "_at")]).withColumn(
         "_k", F.col("_own") + F.col("_before"))
-    numbered = numbered.select("business_key", "_side", "_rid", "_amt", *CASH_PAYLOAD, F.when(
+    numbered = numbered.select("business_key", "_side", "_rid", "_amt", *mine, *theirs, F.when(
         F.col("_side") == 0, _token("cash")).otherwise(_token("rada")).alias("_token"))
     return _joined(
         numbered.filter("_side = 0").select("business_key", "_token", F.col("_rid").alias("cash_id"),
-                                            F.col("_amt").alias("_cash_amount"), *CASH_PAYLOAD, F.lit(1).alias("_in_cash")),
+                                            F.col("_amt").alias("_cash_amount"), *mine, F.lit(1).alias("_in_cash")),
         numbered.filter("_side = 1").select("business_key", "_token", F.col("_rid").alias("rada_id"),
-                                            F.col("_amt").alias("_rada_amount"), F.lit(1).alias("_in_rada")),
+                                            F.col("_amt").alias("_rada_amount"), *theirs, F.lit(1).alias("_in_rada")),
         ["business_key", "_token"]).drop("_token")
 
 
@@ -288,6 +293,14 @@ def _pairs(cash: DataFrame, rada: DataFrame, tolerance: float) -> DataFrame:
     return _joined(*single, ["business_key"]).unionByName(_paired_in_keys(*several, tolerance))
 
 
+def pair_records(cash: DataFrame, rada: DataFrame, tolerance: float, *, cash_id: str = CASH.id_col,
+                 rada_id: str = RADA.id_col, payload=(), rada_payload=()) -> DataFrame:
+    """Records of equal ``business_key`` paired one-to-one by ``amount``: columns
+    ``cash_id``, ``rada_id``, ``_cash_amount``, ``_rada_amount`` and the payloads."""
+    pairs = _pairs(*_sides(cash, rada, cash_id, rada_id, payload, rada_payload), tolerance)
+    return pairs.filter(f"{_IN_CASH} and {_IN_RADA}").drop("_in_cash", "_in_rada")
+
+
 def status_expr(in_cash: Column, in_rada: Column, cash_amount: Column, rada_amount: Column,
                 tolerance: float) -> Column:
     """One label per pair. The tolerance is inclusive, compared in decimals; an

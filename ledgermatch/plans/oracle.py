@@ -326,6 +326,62 @@ def _with(ctes: list[tuple[str, str]], final: str) -> str:
     return f"WITH {body}\n{final}"
 
 
+_KEY_PARTS = ("account_number", "trade_reference", "settlement_date", "currency", "debit_credit")
+
+
+def _four_of_five(src: str, id_col: str) -> str:
+    """Each record under each key field that may differ."""
+    return "\nUNION ALL".join(f"""
+    SELECT '{f}:' || sha256(concat_ws('|', {', '.join(f"coalesce(CAST({g} AS VARCHAR), 'NULL')" for g in _KEY_PARTS if g != f)}))
+           AS business_key, {id_col}, amount, CAST({f} AS VARCHAR) AS value FROM {src}""" for f in _KEY_PARTS)
+
+
+def _mutual_best(rounds: int) -> list[tuple[str, str]]:
+    """Candidates that are the best of both their records, round by round."""
+    out, order = [], "ORDER BY gap, place, cash_id, rada_id"
+    for i in range(rounds):
+        out += [(f"fb_t{i}", f"""
+    SELECT * EXCLUDE (c, r) FROM (SELECT *, row_number() OVER (PARTITION BY cash_id {order}) AS c,
+      row_number() OVER (PARTITION BY rada_id {order}) AS r FROM fb_e{i}) WHERE c = 1 AND r = 1"""),
+                (f"fb_e{i + 1}", f"""
+    SELECT * FROM fb_e{i} WHERE cash_id NOT IN (SELECT cash_id FROM fb_t{i}) AND rada_id NOT IN (SELECT rada_id FROM fb_t{i})""")]
+    return out
+
+
+_FAULT_FIELDS = ", o_orderkey % 29 AS fault, 'ACC' || lpad(CAST(o_custkey + 1 AS VARCHAR), CAST(greatest(8, length(CAST(o_custkey + 1 AS VARCHAR))) AS INTEGER), '0') AS next_account"
+FIELD_BREAK_CTES: list[tuple[str, str]] = [
+    *[c for c in BASE_CTES if c[0] in ("cash_bronze", "cash_norm", "cash_flag", "cash_silver", "cash_keyed")],
+    ("rada_f", _orders_ledger("rada_id", "RADA", _RADA_AMOUNT, "CONFIRMED", "o_orderkey % 19 <> 5", extra=_FAULT_FIELDS)),
+    ("rada_bronze_f", """
+    SELECT * EXCLUDE (fault, next_account) REPLACE (
+      CASE WHEN fault IN (1, 6) THEN next_account ELSE account_number END AS account_number,
+      CASE WHEN fault = 2 THEN trade_reference || '-1' ELSE trade_reference END AS trade_reference,
+      CASE WHEN fault = 3 THEN CAST(CAST(settlement_date AS DATE) + 1 AS VARCHAR) ELSE settlement_date END AS settlement_date,
+      CASE WHEN fault IN (4, 6) THEN 'JPY' ELSE currency END AS currency,
+      CASE WHEN fault = 5 THEN CASE debit_credit WHEN 'D' THEN 'C' ELSE 'D' END ELSE debit_credit END AS debit_credit)
+    FROM rada_f"""),
+    ("rada_norm_f", _normalise("rada_bronze_f", "rada_id")), ("rada_flag_f", _flagged("rada_norm_f", "rada_id")),
+    ("rada_silver_f", _dedup("rada_flag_f", "rada_id")), ("rada_keyed_f", _keyed("rada_silver_f", "rada_id")),
+    *_classified("cash_keyed", "rada_keyed_f"),
+    ("open_cash", "SELECT * FROM cash_silver WHERE cash_id IN (SELECT cash_id FROM cash_keyed_rada_keyed_f_cls WHERE recon_status = 'UNMATCHED')"),
+    ("open_rada", "SELECT * FROM rada_silver_f WHERE rada_id IN (SELECT rada_id FROM cash_keyed_rada_keyed_f_cls WHERE recon_status = 'NEW')"),
+    ("fb_cash", _four_of_five("open_cash", "cash_id")), ("fb_rada", _four_of_five("open_rada", "rada_id")),
+    *_classified("fb_cash", "fb_rada")[:-2],  # the pairs alone
+    ("fb_e0", f"""
+    SELECT q.cash_id, q.rada_id, split_part(q.business_key, ':', 1) AS field, c.value AS cash_value, r.value AS rada_value,
+           q.ca AS amount, q.ra AS rada_amount, abs(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6))) AS gap,
+           list_position([{', '.join(f"'{f}'" for f in _KEY_PARTS)}], split_part(q.business_key, ':', 1)) AS place
+    FROM fb_cash_fb_rada_pairs q JOIN fb_cash c ON c.business_key = q.business_key AND c.cash_id = q.cash_id
+                                 JOIN fb_rada r ON r.business_key = q.business_key AND r.rada_id = q.rada_id
+    WHERE abs(CAST(ca AS DECIMAL(38,6)) - CAST(ra AS DECIMAL(38,6))) <= {TOL} AND c.value IS DISTINCT FROM r.value"""),
+    *_mutual_best(6),
+]
+_BREAK = "cash_id, rada_id, field, cash_value, rada_value, amount, rada_amount"
+FIELD_BREAKS = _with(FIELD_BREAK_CTES, "\nUNION ALL ".join(f"SELECT {_BREAK} FROM fb_t{i}" for i in range(6)) + """
+UNION ALL SELECT cash_id, rada_id, 'amount', CAST(CAST(amount AS DECIMAL(38,6)) AS VARCHAR),
+  CAST(CAST(rada_amount AS DECIMAL(38,6)) AS VARCHAR), amount, rada_amount
+FROM cash_keyed_rada_keyed_f_cls WHERE recon_status = 'AMOUNT_MISMATCH'""")
+
 LEDGER_OUT = "cash_id, " + LEDGER_COLS
 
 _KPI_SELECT = """
@@ -461,6 +517,7 @@ ORACLE: dict[str, str] = {
                                               "WHERE recon_status = 'AMOUNT_MISMATCH'"),
     "recon_repeated_keys": _with(_repeated_ctes(False), "SELECT * FROM li_cash_k_li_rada_k_cls"),
     "recon_skewed_keys": _with(_repeated_ctes(True), "SELECT * FROM li_cash_k_li_rada_k_cls"),
+    "recon_field_breaks": FIELD_BREAKS,
     "recon_cleared": _with(GOLD_CTES, "SELECT * FROM cleared"),
     "recon_still_unmatched": _with(GOLD_CTES, f"""SELECT {_UNMATCHED_COLS} FROM {CUR}
         WHERE recon_status = 'UNMATCHED' AND business_key NOT IN (SELECT business_key FROM cleared)"""),

@@ -19,6 +19,7 @@ from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
 from ..operators import kpis, match, measures, quality
 from ..operators.cleared import detect_cleared, snapshot_open_keys
+from ..operators.field_breaks import field_breaks
 from ..operators.standardise import latest_per_id, normalise, standardise, standardise_counts
 from ..schemas import landing_schema, type_contract
 from ..session import scratch_path
@@ -184,6 +185,18 @@ def q_recon_skewed_keys(spark, sf):
     return match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col), CFG)
 
 
+def q_recon_field_breaks(spark, sf):
+    """Which field keeps open records apart, with both values."""
+    rada = standardise(fx.rada_field_faults(spark, sf), RADA, amount_scale=CFG.rada_amount_scale).clean
+    path = scratch_path(spark, "breaks")
+    for name, ledger in (("cash", silver_cash(spark, sf)), ("rada", rada)):
+        tables.overwrite(ledger, f"{path}/{name}")
+    cash, rada = (spark.read.parquet(f"{path}/{name}") for name in ("cash", "rada"))
+    tables.overwrite(match.classify(prepare_for_matching(cash, CASH.id_col), prepare_for_matching(rada, RADA.id_col), CFG),
+                     f"{path}/classified")
+    return field_breaks(spark.read.parquet(f"{path}/classified"), cash, rada, CFG)
+
+
 def q_recon_cleared(spark, sf):
     """Keys open in the earlier run's snapshot and not open today (standalone form)."""
     history = spark.read.parquet(stored_previous(spark, sf))
@@ -509,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_amount_mismatch": q_recon_amount_mismatch,
     "recon_repeated_keys": q_recon_repeated_keys,
     "recon_skewed_keys": q_recon_skewed_keys,
+    "recon_field_breaks": q_recon_field_breaks,
     "recon_cleared": q_recon_cleared,
     "recon_cleared_three_runs": q_recon_cleared_three_runs,
     "recon_still_unmatched": q_recon_still_unmatched,

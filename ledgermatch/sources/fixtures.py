@@ -101,6 +101,26 @@ def rada_bronze(spark: SparkSession, sf_dir: str, *, earlier: bool = False, whol
     return _ledger(orders, RADA.id_col, "RADA", rada_amount(k, F.col("o_totalprice")), RADA.settled_status)
 
 
+def rada_field_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The RADA extract with one field wrong, by o_orderkey % 29: 1 account of the
+    next customer, 2 trade reference with a suffix, 3 settled a day later, 4 currency JPY,
+    5 the other debit/credit code, 6 two fields at once (account and currency)."""
+    k = F.col("o_orderkey")
+    rada = _ledger(read_table(spark, sf_dir, "orders").filter(k % 19 != 5), RADA.id_col, "RADA",
+                   rada_amount(k, F.col("o_totalprice")), RADA.settled_status, (k % 29).alias("_fault"),
+                   F.concat(F.lit("ACC"), _pad(F.col("o_custkey") + 1, 8)).alias("_next"))
+    m = F.col("_fault")
+    return rada.withColumns({
+        "account_number": F.when(m.isin(1, 6), F.col("_next")).otherwise(F.col("account_number")),
+        "trade_reference": F.when(m == 2, F.concat("trade_reference", F.lit("-1"))).otherwise(F.col("trade_reference")),
+        "settlement_date": F.when(m == 3, F.date_add(F.col("settlement_date").cast("date"), 1).cast("string"))
+        .otherwise(F.col("settlement_date")),
+        "currency": F.when(m.isin(4, 6), F.lit("JPY")).otherwise(F.col("currency")),
+        "debit_credit": F.when(m == 5, F.when(F.col("debit_credit") == "D", "C").otherwise("D"))
+        .otherwise(F.col("debit_credit")),
+    }).drop("_fault", "_next")
+
+
 def dirty_cash_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cash extract as raw text with faults, chosen by o_orderkey % 50:
 
