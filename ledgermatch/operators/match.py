@@ -362,6 +362,38 @@ def classify(cash_keyed: DataFrame, rada_keyed: DataFrame, cfg: ReconConfig = Re
     return out.unionByName(_cleared_rows(_counts(cash, rada), previous_open.select("business_key"), out))
 
 
+# --- new records against open ones -----------------------------------------
+
+def open_sides(open_pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records of stored open pairs, as the two sides that ``match_open`` takes."""
+    cash = open_pairs.filter(_IN_CASH).select("business_key", "cash_id", "_cash_amount", *CASH_PAYLOAD, "_in_cash")
+    return cash, open_pairs.filter(_IN_RADA).select("business_key", "rada_id", "_rada_amount", "_in_rada")
+
+
+def match_open(cash_new: DataFrame, rada_new: DataFrame, open_pairs: DataFrame | None,
+               cfg: ReconConfig = ReconConfig()) -> tuple[DataFrame, DataFrame]:
+    """(closed rows, open pairs) of new keyed records matched with what an earlier run left open.
+
+    Closed are the MATCHED pairs, in the gold row shape; they are not looked at again. All
+    other records stay open, AMOUNT_MISMATCH pairs included: ``label_open`` classifies them,
+    and the next run matches them again. A new copy of an open record takes its
+    place. Nothing but the arguments is read, and the pairs are checkpointed once.
+    """
+    cash, rada = _sides(cash_new, rada_new, CASH.id_col, RADA.id_col)
+    if open_pairs is not None:
+        old_cash, old_rada = open_sides(open_pairs)
+        cash = old_cash.join(cash.select("cash_id"), "cash_id", "left_anti").select(*cash.columns).unionByName(cash)
+        rada = old_rada.join(rada.select("rada_id"), "rada_id", "left_anti").select(*rada.columns).unionByName(rada)
+    pairs = _pairs(cash, rada, cfg.amount_tolerance).checkpoint(eager=True)
+    near = status_expr(F.expr(_IN_CASH), F.expr(_IN_RADA), F.col("_cash_amount"), F.col("_rada_amount"), cfg.amount_tolerance)
+    return _label(pairs.filter(near == MATCHED), cfg.amount_tolerance), pairs.filter(near != MATCHED)
+
+
+def label_open(open_pairs: DataFrame, cfg: ReconConfig = ReconConfig()) -> DataFrame:
+    """Stored open pairs in the gold row shape."""
+    return _label(open_pairs, cfg.amount_tolerance)
+
+
 # --- per-class views (the public four-way split) -------------------------
 
 def matched(classified: DataFrame) -> DataFrame:

@@ -499,6 +499,9 @@ def _sum_money(expr: str) -> str:
 
 ORACLE: dict[str, str] = {
     "silver_clean": _with(DIRTY_CTES, f"SELECT {LEDGER_OUT} FROM dirty_clean"),
+    # by days or at once, the survivors are the same
+    "silver_incremental": _with(DIRTY_CTES, f"SELECT {LEDGER_OUT} FROM dirty_clean"),
+    "recon_incremental": _with(BASE_CTES, f"SELECT * FROM {CUR}"),
     "silver_quarantine": _with(DIRTY_CTES, f"""SELECT {LEDGER_OUT},
         'mandatory_field_or_value_check_failed' AS _rejection_reason FROM dirty_flag WHERE NOT ok"""),
     "silver_dedup": _with(DIRTY_CTES, f"""SELECT {LEDGER_OUT} FROM dirty_clean WHERE cash_id IN (

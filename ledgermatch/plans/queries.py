@@ -27,6 +27,7 @@ from ..sinks import catalog, tables
 from ..sources import fixed_width
 from ..sources import fixtures as fx
 from ..streaming.ingest import ingest, validate_schema
+from ..streaming.silver import apply_batch
 from . import steps
 
 PREV_RUN_DATE, PREV_RUN_TS = "2026-01-01", "2026-01-01 01:00:00"
@@ -136,6 +137,19 @@ def q_silver_counts(spark, sf):
     return standardise_counts(fx.dirty_cash_bronze(spark, sf), CASH)
 
 
+def q_silver_incremental(spark, sf):
+    """Three landing days, the third with ids sent again, each upserted as it
+    comes; the last day's rows are then applied a second time."""
+    root = scratch_path(spark, "incremental")
+    bronze, silver, quarantine = f"{root}/bronze", f"{root}/silver", f"{root}/quarantine"
+    days = fx.dirty_cash_days(spark, sf)
+    for day in days:
+        day.write.mode("append").parquet(bronze)
+        steps.standardise_increment(spark, CASH, bronze, silver, quarantine, f"{root}/checkpoint", CFG, buckets=16)
+    apply_batch(days[-1], len(days) - 1, CASH, silver, quarantine, buckets=16, cfg=CFG)
+    return spark.read.parquet(silver).select(*LEDGER_OUT)
+
+
 # --- keys and matching ---------------------------------------------------
 
 def q_keyed_cash(spark, sf):
@@ -153,6 +167,22 @@ def q_recon_classified(spark, sf):
     return classified(spark, sf)
 
 
+INCREMENT_DAYS = ("2026-01-06", "2026-01-07", "2026-01-08")
+
+
+def q_recon_incremental(spark, sf):
+    """Both ledgers over three days, most pairs with their records on two of them:
+    each day matches its new records with the open ones. All records after the third."""
+    root = scratch_path(spark, "increment")
+    number = F.regexp_extract(F.col("trade_reference"), "([0-9]+)$", 1).cast("long")
+    for name, ledger, shift in (("cash", silver_cash(spark, sf), 0), ("rada", silver_rada(spark, sf), 1)):
+        tables.overwrite(ledger.withColumn("_day", ((number + shift) % 3).cast("int")), f"{root}/{name}", ["_day"])
+    for i, day in enumerate(INCREMENT_DAYS):
+        new = [spark.read.parquet(f"{root}/{name}").filter(F.col("_day") == i) for name in ("cash", "rada")]
+        steps.reconcile_increment(spark, *new, f"{root}/closed", f"{root}/open", day, CFG)
+    return steps.incremental_classification(spark, f"{root}/closed", f"{root}/open", INCREMENT_DAYS[-1], CFG)
+
+
 def q_recon_matched(spark, sf):
     """MATCHED pairs (13 columns)."""
     return match.matched(classified(spark, sf))
@@ -523,6 +553,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_repeated_keys": q_recon_repeated_keys,
     "recon_skewed_keys": q_recon_skewed_keys,
     "recon_field_breaks": q_recon_field_breaks,
+    "recon_incremental": q_recon_incremental,
+    "silver_incremental": q_silver_incremental,
     "recon_cleared": q_recon_cleared,
     "recon_cleared_three_runs": q_recon_cleared_three_runs,
     "recon_still_unmatched": q_recon_still_unmatched,

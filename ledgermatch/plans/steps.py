@@ -18,11 +18,12 @@ from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
 from ..operators import kpis, quality
 from ..operators.cleared import detect_cleared, snapshot_open_keys
-from ..operators.match import classify
+from ..operators.match import classify, label_open, match_open
 from ..operators.standardise import standardise
 from ..session import checkpoint_root
 from ..sinks import tables
 from ..streaming.ingest import IngestResult, ingest, validate_schema
+from ..streaming.silver import standardise_new
 
 
 def _day(run_date: str | dt.date):
@@ -69,6 +70,46 @@ def standardise_ledger(spark: SparkSession, ledger: Ledger, bronze_path: str, si
     return {"silver_table": silver_path, "clean_count": int(clean_obs.get["rows"]), "quarantine_count": rejected}
 
 
+def standardise_increment(spark: SparkSession, ledger: Ledger, bronze_path: str, silver_path: str, quarantine_path: str,
+                          checkpoint_path: str, cfg: ReconConfig = ReconConfig(), **options) -> None:
+    """Upsert the bronze files that came since the last run into silver (see ``streaming.silver``)."""
+    standardise_new(spark, ledger, bronze_path, silver_path, quarantine_path, checkpoint_path, cfg=cfg, **options)
+
+
+def latest_open(spark: SparkSession, open_path: str, run_date: str | dt.date) -> DataFrame | None:
+    """The open pairs that the last run before ``run_date`` stored: one partition."""
+    stored = tables.read_if_exists(spark, open_path)
+    if stored is None:
+        return None
+    day = stored.filter(F.col("_run_date") < _day(run_date)).agg(F.max("_run_date")).first()[0]
+    return None if day is None else stored.filter(F.col("_run_date") == F.lit(day)).drop("_run_date")
+
+
+def reconcile_increment(spark: SparkSession, cash_new: DataFrame, rada_new: DataFrame, closed_path: str, open_path: str,
+                        run_date: str | dt.date, cfg: ReconConfig = ReconConfig()) -> None:
+    """Match a day's new silver records with what is still open; store the day's
+    closed pairs and the open pairs. Reads the new records and one partition of open
+    pairs, never the closed ones; running a day again replaces its partitions."""
+    keyed = (prepare_for_matching(cash_new, CASH.id_col), prepare_for_matching(rada_new, RADA.id_col))
+    closed, still_open = match_open(*keyed, latest_open(spark, open_path, run_date), cfg)
+    for rows, path in ((closed, closed_path), (still_open, open_path)):
+        tables.overwrite_partitions(_stamp(rows, run_date), path, replace=[str(run_date)])
+
+
+def incremental_classification(spark: SparkSession, closed_path: str, open_path: str, run_date: str | dt.date,
+                               cfg: ReconConfig = ReconConfig()) -> DataFrame:
+    """All records up to a run date: the pairs closed by then and what that run left open."""
+    closed, left = (tables.read_if_exists(spark, path) for path in (closed_path, open_path))
+    parts = []
+    if closed is not None:  # a table without a row has no file yet
+        parts.append(closed.filter(F.col("_run_date") <= _day(run_date)).drop("_run_date"))
+    if left is not None:
+        parts.append(label_open(left.filter(F.col("_run_date") == _day(run_date)).drop("_run_date"), cfg))
+    if not parts:
+        raise ValueError(f"no run is stored at {closed_path} and {open_path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def run_dq_suite(spark: SparkSession, tables_to_check: Sequence[tuple[str, Ledger]], results_path: str,
                  run_date: str | dt.date, run_ts: str, cfg: ReconConfig = ReconConfig(),
                  fail_on_error: bool = True) -> list[dict]:

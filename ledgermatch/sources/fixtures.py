@@ -155,6 +155,15 @@ def dirty_cash_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty.unionByName(resent).drop("_fault")
 
 
+def dirty_cash_days(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The dirty cash extract over three landing days: ids that end in an even
+    digit, the other ids, and the copies that are sent again."""
+    rows = dirty_cash_bronze(spark, sf_dir)
+    odd = F.substring(CASH.id_col, -1, 1).isin("1", "3", "5", "7", "9")
+    again = F.col("narrative") == "RESENT"
+    return [rows.filter(~again & ~odd), rows.filter(~again & odd), rows.filter(again)]
+
+
 def _lineitem_ledger(lineitem: DataFrame, ledger_id: str, prefix: str, account: Column,
                      trade: Column, group: Column, amount: Column) -> DataFrame:
     ok = F.col("l_orderkey")
