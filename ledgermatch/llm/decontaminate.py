@@ -8,14 +8,15 @@ whole text by one Aho-Corasick automaton. A hit climbs the tree of pieces:
 neighbouring pieces are joined pairwise, and a join of n pieces must occur
 around the hit with fewer than n edits (if both halves had more than their
 share, so had the whole). The root is the whole item with its whole budget.
-Distances come from Myers' bit-parallel algorithm.
+Distances come from Myers' bit-parallel algorithm. An item too short for a budget
+of one edit is one piece and must stand as whole words.
 
 The test set is read in blocks of bounded text size; each block is sent to the
 tasks and applied to all rows, so a larger test set means more blocks, not a
 larger broadcast. No shuffle is needed.
 
 Defined results: a null text is empty and has no match; items that are null or
-shorter than ``min_chars`` normalised characters are not searched; items with
+blank occur nowhere; items of every other length are searched; items with
 equal text are all reported; repeated rows each give a row; extra columns are
 ignored, or kept by ``decontaminate``.
 """
@@ -99,6 +100,11 @@ def piece_tree(text: str, budget: int) -> list[Node]:
     return leaves
 
 
+def whole_words(text: str, start: int, stop: int) -> bool:
+    """Whether no word goes on at either end of the span."""
+    return not (text[start - 1:start].isalnum() or text[stop:stop + 1].isalnum())
+
+
 class Matcher:
     """The automaton over all pieces of a block of items."""
 
@@ -107,7 +113,7 @@ class Matcher:
 
         by_piece: dict[str, list[tuple[int, Node]]] = {}
         for number, (_, text) in enumerate(items):
-            for leaf in piece_tree(text, int(len(text) * error_rate)):
+            for leaf in piece_tree(text, int(len(text) * error_rate)) if text else ():
                 by_piece.setdefault(leaf.text, []).append((number, leaf))
         self.items, self.automaton = items, None
         if by_piece:
@@ -126,6 +132,8 @@ class Matcher:
             for number, leaf in owners:
                 if number in best and best[number][0] == 0:
                     continue
+                if leaf.parent is None and not whole_words(text, last + 1 - length, last + 1):
+                    continue
                 start = last + 1 - length - leaf.lo  # where the item would begin
                 node, found = leaf, (0, last + 1 - length, last + 1)
                 while node.parent is not None and found is not None:
@@ -143,14 +151,13 @@ class Matcher:
                 for n, (d, s, e) in sorted(best.items())]
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, min_chars: int,
-                block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The normalised test items in blocks of at most ``block_chars`` characters."""
     block, size = [], 0
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter("t is not null")
     for row in rows.toLocalIterator():
         text = normalise(row["t"])
-        if len(text) < min_chars:
+        if not text:
             continue
         if block and size + len(text) > block_chars:
             yield block
@@ -173,12 +180,12 @@ def _match_column(text: Column, items: list[tuple[int, str]], error_rate: float)
 
 
 def match_column(text: Column, items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                 error_rate: float = 0.1, min_chars: int = 40, block_chars: int = 4_000_000) -> Column:
+                 error_rate: float = 0.1, block_chars: int = 4_000_000) -> Column:
     """Array of (item, distance, start, stop) per text: the closest occurrence
     of every item found within its budget. ``start`` is a lower bound of the
     place, ``stop`` its end, in the normalised text."""
     blocks = [_match_column(text, block, error_rate)
-              for block in item_blocks(items, id_col, text_col, min_chars, block_chars)]
+              for block in item_blocks(items, id_col, text_col, block_chars)]
     return F.concat(*blocks) if blocks else F.array().cast(MATCH)
 
 

@@ -21,6 +21,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
+def tasks_for(size: int | None, task_bytes: int = 32 << 20) -> int:
+    """Tasks that read ``size`` bytes of files. Rows that only name a range of a
+    file are small, so the number is given where they are dealt out: AQE would
+    join partitions by the size of the names."""
+    return max(1, -(-(size or 0) // task_bytes))
+
+
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, per_worker, text_or_empty
-from .files import new_file, open_for_ranges, shared_folder
+from .files import new_file, open_for_ranges, shared_folder, tasks_for
 
 # fixed values: the public tokenizer's split pattern and its free identifier
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -121,7 +121,8 @@ def scan_token_files(files: DataFrame, separator: int = END_OF_DOCUMENT, block_t
     """(path, ordinal, n_tokens) of every document in the files named in column ``path``."""
     blocks = cut(files.select("path").mapInArrow(
         _blocks(block_tokens), "path string, start long, stop long, last boolean"))
-    found = cut(blocks.repartition("path", "start").mapInArrow(
+    size = blocks.agg(F.sum(2 * (F.col("stop") - F.col("start")))).first()[0]
+    found = cut(blocks.repartition(tasks_for(size), "path", "start").mapInArrow(
         _scan(separator), "path string, start long, found long, last long, at array<long>"))
     earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     stitched = found.select("path", "start", F.coalesce(F.sum("found").over(earlier), F.lit(0)).alias("before"),

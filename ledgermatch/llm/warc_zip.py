@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, spread_lookup, text_or_empty
-from .files import new_file, open_for_ranges, shared_folder
+from .files import new_file, open_for_ranges, shared_folder, tasks_for
 
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 _DATE = "2024-01-01T00:00:00Z"  # pages carry no time; a fixed one keeps archives reproducible
@@ -292,7 +292,8 @@ def read_packages(packages: DataFrame, range_bytes: int = 4 << 20) -> DataFrame:
     has no payload of its own; size and digest are those of the full one."""
     ranges = cut(packages.select("path").mapInArrow(
         _plan_ranges(range_bytes), "path string, at long, ends array<long>"))
-    return ranges.repartition("path", "at").mapInArrow(
+    size = ranges.agg(F.sum(F.element_at("ends", -1))).first()[0]
+    return ranges.repartition(tasks_for(size), "path", "at").mapInArrow(
         _fetch, "page_id long, url string, record_type string, refers_to long, payload binary, "
                 "payload_bytes long, payload_digest string")
 

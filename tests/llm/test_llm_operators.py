@@ -321,7 +321,34 @@ def test_matches_equal_dynamic_programming():
             d = _least_distance(t, text)
             assert (n in got) == (d <= int(len(t) * 0.1)), (n, d)
             if n in got:
-                assert got[n] >= d
+                assert got[n] == d
+
+
+def test_short_items_are_searched():
+    """Items of every length: by their budget, or as whole words where they have none."""
+    rng = random.Random(16)
+    items = [(0, "yes"), (1, "42"), (2, "a b c d e"), (3, "ten or so chars"), (4, "exactly twenty char"), (5, "thirty nine characters are one too few!")]
+    matcher = decontaminate.Matcher(items, 0.1)
+    for _ in range(300):
+        i, item = rng.choice(items)
+        glue = rng.choice(["", " ", "x", "-"])
+        text = decontaminate.normalise(f"{prose(rng, 4, 9)}{glue}{_edits(rng, item, rng.randrange(4)) if len(item) > 9 else item}{glue}{prose(rng, 3, 9)}")
+        got = {m["item_id"]: m["distance"] for m in matcher.matches(text)}
+        for n, t in items:
+            if len(t) < 10:
+                want = 0 if re.search(rf"(?<![^\W_]){re.escape(t)}(?![^\W_])", text) else 1
+            else:
+                want = _least_distance(t, text)
+            assert (n in got) == (want <= int(len(t) * 0.1)), (t, text)
+            assert got.get(n, want) == want
+    assert decontaminate.Matcher([(0, "")], 0.1).matches("some text") == []
+
+
+def test_range_reads_are_dealt_by_bytes(spark):
+    """Names of ranges are few bytes; the tasks follow the bytes behind them."""
+    from ledgermatch.llm import files
+
+    assert [files.tasks_for(n) for n in (None, 0, 1, 32 << 20, (32 << 20) + 1, 10 << 30)] == [1, 1, 1, 1, 2, 320]
 
 
 def test_blocks_find_the_same(spark):
@@ -529,7 +556,7 @@ def test_pipeline_equals_its_stages_by_hand(spark):
                 groups.join(i, j)
     stay = {i for i in stay if groups.find(i) == i}
     items = [decontaminate.normalise(t) for (t,) in duckdb.sql(f"select text from '{SF0001}/benchmark.parquet'").fetchall()]
-    matcher = decontaminate.Matcher(list(enumerate(t for t in items if len(t) >= 40)), 0.1)
+    matcher = decontaminate.Matcher(list(enumerate(t for t in items if t)), 0.1)
     stay = {i for i in stay if not matcher.matches(decontaminate.normalise(docs[i]))}
     kept = frame.filter(F.col("doc_id").isin(*stay))
     expected = sorted(map(tuple, queries.mix_documents(kept).collect()))
