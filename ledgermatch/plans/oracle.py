@@ -9,7 +9,7 @@ run dates), not code.
 
 from __future__ import annotations
 
-from .queries import LATER_RUN_TS, PREV_RUN_DATE, PREV_RUN_TS, RUN_DATE, RUN_TS
+from .queries import LATER_RUN_TS, PREV_RUN_DATE, PREV_RUN_TS, RUN_DATE, RUN_TS, THIRD_RUN_DATE
 
 TOL = "1.0"
 LOOKBACK = 5
@@ -382,6 +382,23 @@ UNION ALL SELECT cash_id, rada_id, 'amount', CAST(CAST(amount AS DECIMAL(38,6))
   CAST(CAST(rada_amount AS DECIMAL(38,6)) AS VARCHAR), amount, rada_amount
 FROM cash_keyed_rada_keyed_f_cls WHERE recon_status = 'AMOUNT_MISMATCH'""")
 
+# gaps and islands over the runs; the third run sees the second's ledgers
+OPEN_ITEM_AGEING = _with(BASE_CTES + [
+    ("opened", "\nUNION ALL".join(f"""
+    SELECT business_key, DATE '{day}' AS run_date, {number} AS run FROM {src}
+    WHERE recon_status IN ('UNMATCHED', 'NEW', 'AMOUNT_MISMATCH')"""
+        for number, (day, src) in enumerate(((PREV_RUN_DATE, PREV), (RUN_DATE, CUR), (THIRD_RUN_DATE, CUR)), 1))),
+    ("open_runs", "SELECT business_key, run_date, run, count(*) AS open_records FROM opened GROUP BY ALL"),
+    ("islands", "SELECT *, run - row_number() OVER (PARTITION BY business_key ORDER BY run) AS island FROM open_runs"),
+    ("spans", """
+    SELECT business_key, min(run_date) AS first_open, count(*) AS runs_open, max(run) AS last_run,
+           arg_max(open_records, run) AS open_records FROM islands GROUP BY business_key, island"""),
+], f"""SELECT business_key, open_records, first_open, runs_open, CAST(DATE '{THIRD_RUN_DATE}' - first_open AS INTEGER) AS days_open,
+       CASE WHEN DATE '{THIRD_RUN_DATE}' - first_open >= 30 THEN '30 days and more'
+            WHEN DATE '{THIRD_RUN_DATE}' - first_open >= 14 THEN '14 to 29 days'
+            WHEN DATE '{THIRD_RUN_DATE}' - first_open >= 7 THEN '7 to 13 days' ELSE 'under 7 days' END AS age_class
+FROM spans WHERE last_run = 3""")
+
 LEDGER_OUT = "cash_id, " + LEDGER_COLS
 
 _KPI_SELECT = """
@@ -521,6 +538,7 @@ ORACLE: dict[str, str] = {
     "recon_repeated_keys": _with(_repeated_ctes(False), "SELECT * FROM li_cash_k_li_rada_k_cls"),
     "recon_skewed_keys": _with(_repeated_ctes(True), "SELECT * FROM li_cash_k_li_rada_k_cls"),
     "recon_field_breaks": FIELD_BREAKS,
+    "open_item_ageing": OPEN_ITEM_AGEING,
     "recon_cleared": _with(GOLD_CTES, "SELECT * FROM cleared"),
     "recon_still_unmatched": _with(GOLD_CTES, f"""SELECT {_UNMATCHED_COLS} FROM {CUR}
         WHERE recon_status = 'UNMATCHED' AND business_key NOT IN (SELECT business_key FROM cleared)"""),

@@ -243,6 +243,17 @@ def q_recon_cleared_three_runs(spark, sf):
             .select("_run_date", "business_key"))
 
 
+def q_open_item_ageing(spark, sf):
+    """Open keys of the third weekly run: since when, over how many runs in a row, and the
+    age class, carried forward run by run."""
+    path = stored_history(spark, sf)
+    tables.overwrite_partitions(next_gold(spark, sf, path, THIRD_RUN_TS, THIRD_RUN_DATE), path)
+    aged = scratch_path(spark, "ageing")
+    for day in (PREV_RUN_DATE, RUN_DATE, THIRD_RUN_DATE):
+        steps.age_open_items(spark, path, aged, day)
+    return spark.read.parquet(aged).filter(F.col("_run_date") == F.lit(THIRD_RUN_DATE).cast("date")).drop("_run_date")
+
+
 def q_recon_still_unmatched(spark, sf):
     """Today's unmatched rows without the cleared keys."""
     history = spark.read.parquet(stored_previous(spark, sf))
@@ -553,6 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_repeated_keys": q_recon_repeated_keys,
     "recon_skewed_keys": q_recon_skewed_keys,
     "recon_field_breaks": q_recon_field_breaks,
+    "open_item_ageing": q_open_item_ageing,
     "recon_incremental": q_recon_incremental,
     "silver_incremental": q_silver_incremental,
     "recon_cleared": q_recon_cleared,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import CASH, RADA, Ledger, ReconConfig
 from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
-from ..operators import kpis, quality
+from ..operators import ageing, kpis, quality
 from ..operators.cleared import detect_cleared, snapshot_open_keys
 from ..operators.match import classify, label_open, match_open
 from ..operators.standardise import standardise
@@ -76,9 +76,9 @@ def standardise_increment(spark: SparkSession, ledger: Ledger, bronze_path: str,
     standardise_new(spark, ledger, bronze_path, silver_path, quarantine_path, checkpoint_path, cfg=cfg, **options)
 
 
-def latest_open(spark: SparkSession, open_path: str, run_date: str | dt.date) -> DataFrame | None:
-    """The open pairs that the last run before ``run_date`` stored: one partition."""
-    stored = tables.read_if_exists(spark, open_path)
+def latest_before(spark: SparkSession, path: str, run_date: str | dt.date) -> DataFrame | None:
+    """What the last run before ``run_date`` stored: one partition."""
+    stored = tables.read_if_exists(spark, path)
     if stored is None:
         return None
     day = stored.filter(F.col("_run_date") < _day(run_date)).agg(F.max("_run_date")).first()[0]
@@ -91,7 +91,7 @@ def reconcile_increment(spark: SparkSession, cash_new: DataFrame, rada_new: Data
     closed pairs and the open pairs. Reads the new records and one partition of open
     pairs, never the closed ones; running a day again replaces its partitions."""
     keyed = (prepare_for_matching(cash_new, CASH.id_col), prepare_for_matching(rada_new, RADA.id_col))
-    closed, still_open = match_open(*keyed, latest_open(spark, open_path, run_date), cfg)
+    closed, still_open = match_open(*keyed, latest_before(spark, open_path, run_date), cfg)
     for rows, path in ((closed, closed_path), (still_open, open_path)):
         tables.overwrite_partitions(_stamp(rows, run_date), path, replace=[str(run_date)])
 
@@ -157,6 +157,18 @@ def optimize_gold(spark: SparkSession, gold_path: str, run_date: str | dt.date,
     tables.optimize_layout(spark, gold_path, [str(run_date)], cfg.gold_cluster_cols)
 
 
+def age_open_items(spark: SparkSession, gold_path: str, ageing_path: str, run_date: str | dt.date) -> None:
+    """Ageing of a run's open keys, stored per run date, from its gold partition and
+    the ageing of the run before. A run without open keys stores none, and the next starts anew."""
+    gold = tables.read(spark, gold_path)
+    runs = gold.filter(F.col("_run_date") < _day(run_date)).agg(F.max("_run_date")).first()[0]
+    before = None if runs is None else tables.read_if_exists(spark, ageing_path)
+    if before is not None:  # of the gold run just before: an older one would bridge a gap
+        before = before.filter(F.col("_run_date") == F.lit(runs)).drop("_run_date")
+    aged = ageing.carry_forward(before, kpis.for_run_date(gold, run_date), run_date)
+    tables.overwrite_partitions(_stamp(aged, run_date), ageing_path, replace=[str(run_date)])
+
+
 def compute_kpis(spark: SparkSession, gold_path: str, kpi_path: str, breakdown_path: str,
                  run_date: str | dt.date) -> dict:
     """KPI row and currency breakdown of one run date, stored per run date;

@@ -113,11 +113,11 @@ def test_a_run_reads_new_records_and_one_partition_of_open_pairs(spark, workdir)
     for day in (1, 2):
         steps.reconcile_increment(spark, *frames(spark, [(f"C{day}", f"A{day}", *k, 1.0, "D")], [(f"R{day}", f"B{day}", *k, 1.0, "D")]),
                                   *paths, f"2026-01-0{day}")
-    read = steps.latest_open(spark, paths[1], "2026-01-03")
+    read = steps.latest_before(spark, paths[1], "2026-01-03")
     plan = spark._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "formatted")
     assert re.search(r"PartitionFilters: \[.*_run_date#\d+ = 2026-01-02", plan)
     match_plan = spark._jvm.PythonSQLUtils.explainString(
         match.open_sides(read)[0]._jdf.queryExecution(), "formatted")
     assert set(re.findall(r"Location: \w+ \[file:([^\]]*)\]", match_plan)) == {paths[1]}
-    assert RADA.id_col in steps.latest_open(spark, paths[1], "2026-01-03").columns
-    assert steps.latest_open(spark, paths[1], "2026-01-01") is None
+    assert RADA.id_col in steps.latest_before(spark, paths[1], "2026-01-03").columns
+    assert steps.latest_before(spark, paths[1], "2026-01-01") is None
