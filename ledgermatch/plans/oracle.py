@@ -631,6 +631,7 @@ ORACLE: dict[str, str] = {
         "amount,", "CAST(CAST(round(amount * CAST(100 AS DOUBLE)) AS BIGINT) AS DOUBLE) / CAST(100 AS DOUBLE) "
                    "AS amount,") + " FROM rada_silver_w"),
     "gold_clustered": _with(GOLD_CTES, f"SELECT {GOLD_OUT} FROM cur_gold"),
+    "gold_z_ordered": _with(GOLD_CTES, f"SELECT {GOLD_OUT} FROM cur_gold"),
     "export_kpi": KPI_DAILY,
     "daily_run_kpis": KPI_TREND,
     "export_exceptions": _with(GOLD_CTES, EXCEPTIONS),

@@ -533,6 +533,14 @@ def q_gold_clustered(spark, sf):
     return spark.read.parquet(path).select(*GOLD_OUT)
 
 
+def q_gold_z_ordered(spark, sf):
+    """Today's gold rows rewritten in Z-order of the BI filter columns, read back."""
+    path = scratch_path(spark, "gold")
+    tables.upsert_gold(spark, current_gold(spark, sf), path, [RUN_DATE])
+    tables.optimize_layout(spark, path, [RUN_DATE], CFG.gold_cluster_cols, z_order=True)
+    return spark.read.parquet(path).select(*GOLD_OUT)
+
+
 def q_export_kpi(spark, sf):
     """Today's KPI row through a CSV export and back."""
     path = scratch_path(spark, "export-kpi")
@@ -600,6 +608,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_stream": q_ingest_stream,
     "ingest_rada_fixed_width": q_ingest_rada_fixed_width,
     "gold_clustered": q_gold_clustered,
+    "gold_z_ordered": q_gold_z_ordered,
     "daily_run_kpis": q_daily_run_kpis,
     "export_kpi": q_export_kpi,
     "export_exceptions": q_export_exceptions,

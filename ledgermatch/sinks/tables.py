@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.zorder import quantiles, z_code
 from ..operators.gold import replace_groups
 from ..session import checkpoint_root
 
@@ -73,15 +74,26 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str = "_run_da
      .partitionBy(partition_col).parquet(path))
 
 
+def z_ordered(df: DataFrame, cols: Sequence[str], files: int | None = None) -> DataFrame:
+    """Lay rows out by the Z-order of ``cols``: files cover small boxes, so a filter on any one of the
+    columns skips files. Reads ``df`` for its quantiles and for the range bounds: pass stored data."""
+    code = z_code(df, quantiles(df, cols))
+    ranged = df.withColumn("_z", code)
+    ranged = ranged.repartitionByRange(files, "_z") if files else ranged.repartitionByRange("_z")
+    return ranged.sortWithinPartitions("_z", *cols).drop("_z")
+
+
 def optimize_layout(spark: SparkSession, path: str, run_dates: Sequence[str], cols: Sequence[str],
-                    partition_col: str = "_run_date") -> None:
-    """Rewrite stored partitions range-clustered on ``cols`` (a maintenance
-    step, like a clustering compaction): files then cover disjoint ranges, so
-    filters skip whole files. Reads only the given partitions; the rewrite
-    replaces them after the job has succeeded."""
+                    partition_col: str = "_run_date", *, z_order: bool = False, files: int | None = None) -> None:
+    """Rewrite stored partitions clustered on ``cols`` (a maintenance step, like a
+    clustering compaction): by range, the first column first, or with ``z_order`` alike for all
+    columns. Filters then skip whole files. Reads only the given partitions; the rewrite
+    replaces them after the job has succeeded. ``files``: how many to write per call with
+    ``z_order`` (default: sized by AQE)."""
     dates = [F.lit(str(d)).cast("date") for d in run_dates]
     stored = spark.read.parquet(path).filter(F.col(partition_col).isin(dates))
-    (clustered(stored, list(cols)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    laid_out = z_ordered(stored, list(cols), files) if z_order else clustered(stored, list(cols))
+    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
