@@ -204,6 +204,7 @@ def _facts(rows: DataFrame, tolerance: float) -> DataFrame:
     """Per (key, amount): what pairs with what, and ``_cash_from`` and ``_rada_from``,
     the ranks at which its left-over records begin. ``_at`` is NULL for unknown amounts."""
     amounts = rows.groupBy("business_key", "_at").agg(F.count_if(F.col("_side") == 0).alias("_c"), F.count_if(F.col("_side") == 1).alias("_r"))
+    amounts = amounts.checkpoint(eager=True)  # one row per distinct amount, read for the runs' ends and for the runs
     known = (_runs(amounts.filter("_at is not null"), tolerance).repartition("business_key", "_run")
              .sortWithinPartitions("business_key", "_run", "_at")
              .mapInArrow(_sweep(Decimal(repr(float(tolerance)))), _FACTS_DDL))
@@ -211,7 +212,8 @@ def _facts(rows: DataFrame, tolerance: float) -> DataFrame:
     unknown = amounts.filter("_at is null").select(
         "business_key", "_at", zero.alias("_bucket"), "_c", "_r", *[zero.alias(c) for c in ("equal", "cash_paired", "rada_paired")],
         none.alias("cash_to"), none.alias("rada_to"))
-    facts = known.unionByName(unknown).withColumns({
+    # read twice below: without the checkpoint the sweep would run twice
+    facts = known.unionByName(unknown).checkpoint(eager=True).withColumns({
         "_known": F.col("_at").isNotNull(), "_cash_left": F.col("_c") - F.col("cash_paired"),
         "_rada_left": F.col("_r") - F.col("rada_paired")})
     # running sums over a key's amounts: within a bucket, plus the sums of the buckets before
