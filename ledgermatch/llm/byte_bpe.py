@@ -63,7 +63,7 @@ NEWER = (
     "\U0001e6fe-\U0001e6ff \U0002b73a-\U0002b73f \U0002b81e \U0002cea2-\U0002cead \U000323b0-\U00033479 "
     "\U0003d000-\U0003fc3f").replace(" ", "")
 #: distinct pre-tokens whose identifiers a worker remembers, and characters that it encodes at once
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 BATCH_CHARS = 1 << 20
 _NO_RANK = 1 << 60
 _MATRIX_TO, _HEAP_FROM = 32, 80
