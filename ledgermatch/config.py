@@ -24,6 +24,7 @@ KEY_NULL_TOKEN = "NULL"
 DEBIT_CREDIT_CODES = ("D", "C")
 DATE_PATTERN = "yyyy-MM-dd"
 REJECTION_REASON = "mandatory_field_or_value_check_failed"
+RESCUED = "_rescued_line"  # a landing line that does not fit its header, whole
 
 CHECK_COMPLETENESS = "completeness"
 CHECK_DUPLICATES = "duplicate_rate"

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import REJECTION_REASON, Ledger
+from ..config import REJECTION_REASON, RESCUED, Ledger
 from ..functions.clean import mandatory_ok, normalised_columns
 
 _OK = "_mandatory_ok"
@@ -21,8 +21,12 @@ class Standardised:
 
 
 def normalise(bronze: DataFrame, ledger: Ledger, amount_scale: float = 1.0) -> DataFrame:
-    """Typed and normalised extract plus a never-NULL validity flag."""
-    return bronze.withColumns(normalised_columns(amount_scale)).withColumn(_OK, mandatory_ok(ledger))
+    """Typed and normalised extract plus a never-NULL validity flag. A row
+    whose landing line had to be rescued (where bronze keeps them) is not valid."""
+    ok = mandatory_ok(ledger)
+    if RESCUED in bronze.columns:
+        ok = ok & F.col(RESCUED).isNull()
+    return bronze.withColumns(normalised_columns(amount_scale)).withColumn(_OK, ok)
 
 
 def latest_per_id(df: DataFrame, id_col: str, order_cols: list[str] | None = None) -> DataFrame:
@@ -48,7 +52,7 @@ def standardise(bronze: DataFrame, ledger: Ledger, *, amount_scale: float = 1.0,
     Every input row ends in exactly one of ``accepted`` or ``quarantine``.
     """
     norm = normalise(bronze, ledger, amount_scale)
-    accepted = norm.filter(F.col(_OK)).drop(_OK)
+    accepted = norm.filter(F.col(_OK)).drop(_OK, RESCUED)
     quarantine = (norm.filter(~F.col(_OK)).drop(_OK)
                   .withColumn("_rejection_reason", F.lit(REJECTION_REASON)))
     clean = latest_per_id(accepted, ledger.id_col)

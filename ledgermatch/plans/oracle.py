@@ -74,6 +74,12 @@ DIRTY = """
            'RESENT' AS narrative, _ingested_ts + INTERVAL 1 HOUR AS _ingested_ts
     FROM dirty_faults WHERE fault = 16"""
 
+EVOLVING = _orders_ledger("cash_id", "CSH", "o_totalprice", "SETTLED", "TRUE", extra=""",
+           o_orderkey % 3 AS day, o_orderkey % 50 = 18 AS bad, 'CH' || CAST(o_orderkey % 5 AS VARCHAR) AS channel""")
+EVOLVING_LINE = ("cash_id, account_number, trade_reference, swift_bic, transaction_date, value_date, settlement_date, "
+                 "currency, 'abc', debit_credit, narrative, status")
+EVOLVING_REVERSED = ", ".join(reversed(EVOLVING_LINE.split(", ")))
+
 LEDGER_COLS = ("account_number, trade_reference, swift_bic, transaction_date, value_date, settlement_date, "
                "currency, amount, debit_credit, narrative, status")
 
@@ -626,6 +632,15 @@ ORACLE: dict[str, str] = {
     "validate_schema": _with([("cash_w", CASH_WHOLE)], f"""SELECT '{BRONZE_CASH}' AS "table",
         count(*) AS row_count, '' AS missing_mandatory_columns, TRUE AS schema_valid FROM cash_w"""),
     "ingest_stream": _with([("cash_w", CASH_WHOLE)], f"SELECT {LEDGER_OUT} FROM cash_w"),
+    "ingest_evolving": _with([("evolving", EVOLVING)], f"""SELECT {LEDGER_OUT.replace("amount", "CASE WHEN bad THEN NULL ELSE amount END AS amount")},
+        CASE WHEN day > 0 THEN channel END AS channel, 'day' || CAST(day + 1 AS VARCHAR) AS day FROM evolving"""),
+    "quarantine_rescued": _with([("evolving", EVOLVING)], f"""SELECT cash_id, CAST(NULL AS DOUBLE) AS amount,
+        'mandatory_field_or_value_check_failed' AS _rejection_reason,
+        concat_ws(',', {EVOLVING_LINE}) AS rescued_line FROM evolving WHERE bad AND day = 0
+        UNION ALL SELECT cash_id, NULL, 'mandatory_field_or_value_check_failed', concat_ws(',', {EVOLVING_LINE}, channel)
+        FROM evolving WHERE bad AND day = 1
+        UNION ALL SELECT cash_id, NULL, 'mandatory_field_or_value_check_failed', concat_ws(',', channel, {EVOLVING_REVERSED})
+        FROM evolving WHERE bad AND day = 2"""),
     # the extract carries whole cents, so the expected amount is cents / 100
     "ingest_rada_fixed_width": _with(WHOLE_CTES, "SELECT rada_id, " + LEDGER_COLS.replace(
         "amount,", "CAST(CAST(round(amount * CAST(100 AS DOUBLE)) AS BIGINT) AS DOUBLE) / CAST(100 AS DOUBLE) "

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CASH, RADA, ReconConfig
+from ..config import CASH, RADA, RESCUED, ReconConfig
 from ..functions.keys import prepare_for_matching
 from ..operators import gold as gold_ops
 from ..operators import kpis, match, measures, quality
@@ -26,6 +26,7 @@ from ..session import scratch_path
 from ..sinks import catalog, tables
 from ..sources import fixed_width
 from ..sources import fixtures as fx
+from ..streaming.evolving import ingest_evolving, read_bronze
 from ..streaming.ingest import ingest, validate_schema
 from ..streaming.silver import apply_batch
 from . import steps
@@ -491,6 +492,28 @@ def q_ingest_stream(spark, sf):
     return spark.read.parquet(bronze).select(*[f.name for f in landing_schema(CASH).fields])
 
 
+def evolved_bronze(spark, sf):
+    """Bronze after three landing days with a new column and reordered headers, ingested day by day."""
+    root = scratch_path(spark, "evolving")
+    bronze, schema = f"{root}/bronze", f"{root}/schema"
+    for day, rows in enumerate(fx.evolving_cash_days(spark, sf), 1):
+        tables.write_csv(rows, f"{root}/landing/day{day}")
+        ingest_evolving(spark, f"{root}/landing/*", bronze, f"{root}/checkpoint", schema, CASH)
+    return read_bronze(spark, bronze, schema)
+
+
+def q_ingest_evolving(spark, sf):
+    """Every landed row of the three days, with the column that came on the second."""
+    return evolved_bronze(spark, sf).select(*[f.name for f in landing_schema(CASH).fields], "channel",
+                                            F.regexp_extract("_source_file", "/landing/([^/]+)/", 1).alias("day"))
+
+
+def q_quarantine_rescued(spark, sf):
+    """Rejected rows of the three days, with the landing lines that did not fit."""
+    return standardise(evolved_bronze(spark, sf), CASH).quarantine.select(
+        CASH.id_col, "amount", "_rejection_reason", F.col(RESCUED).alias("rescued_line"))
+
+
 def q_ingest_rada_fixed_width(spark, sf):
     """RADA delivered as fixed-width text with amounts in cents: land it,
     stream-ingest it, standardise with the minor-unit scale; the result must
@@ -606,6 +629,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_lineage": q_ingest_lineage,
     "ingest_counts": q_ingest_counts,
     "ingest_stream": q_ingest_stream,
+    "ingest_evolving": q_ingest_evolving,
+    "quarantine_rescued": q_quarantine_rescued,
     "ingest_rada_fixed_width": q_ingest_rada_fixed_width,
     "gold_clustered": q_gold_clustered,
     "gold_z_ordered": q_gold_z_ordered,

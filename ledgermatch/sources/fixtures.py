@@ -164,6 +164,20 @@ def dirty_cash_days(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [rows.filter(~again & ~odd), rows.filter(~again & odd), rows.filter(again)]
 
 
+def evolving_cash_days(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The whole cash extract as text over three landing days, by o_orderkey % 3:
+    the plain columns; a channel column more; that column first and the others in
+    reverse. The amount is 'abc' where o_orderkey % 50 = 18."""
+    k = F.col("o_orderkey")
+    cash = _ledger(read_table(spark, sf_dir, "orders"), CASH.id_col, "CSH",
+                   F.when(k % 50 == 18, F.lit("abc")).otherwise(F.col("o_totalprice").cast("string")),
+                   CASH.settled_status, (k % 3).alias("_day"), F.concat(F.lit("CH"), (k % 5).cast("string")).alias("channel"))
+    cash = cash.drop("_ingested_ts")
+    plain = [c for c in cash.columns if c not in ("_day", "channel")]
+    return [cash.filter("_day = 0").select(*plain), cash.filter("_day = 1").select(*plain, "channel"),
+            cash.filter("_day = 2").select("channel", *reversed(plain))]
+
+
 def _lineitem_ledger(lineitem: DataFrame, ledger_id: str, prefix: str, account: Column,
                      trade: Column, group: Column, amount: Column) -> DataFrame:
     ok = F.col("l_orderkey")
