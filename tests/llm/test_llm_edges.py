@@ -25,6 +25,7 @@ OPERATORS = {
     "toxicity": lambda s, d: d.select("doc_id", toxicity.score_column(F.col("text"), MODEL).alias("p")),
     "decontaminate": lambda s, d: decontaminate.find_items(d, items(s)),
     "licenses": lambda s, d: licenses.scan_licenses(d),
+    "all licenses": lambda s, d: licenses.scan_all_licenses(d),
     "simhash": lambda s, d: simhash.near_duplicates(d),
     "token_store": lambda s, d: token_store.token_counts(d),
     "exact_dedup": lambda s, d: exact_dedup.exact_duplicates(d),

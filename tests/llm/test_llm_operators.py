@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgermatch.llm import (
-    components, decontaminate, exact_dedup, licenses, line_dedup, mixing, queries, secrets, simhash, token_store, toxicity,
-    warc_zip,
+    components, decontaminate, exact_dedup, license_texts, licenses, line_dedup, mixing, queries, secrets, simhash,
+    token_store, toxicity, warc_zip,
 )
 
 SF0001 = "/root/testdata/sf0.001"
@@ -439,6 +439,65 @@ def test_templates_of_fewer_than_five_words(spark):
         licenses.scan_licenses(documents(spark, ["x"]), {"none": "..."})
 
 
+def _found_in_lists(text):
+    """All of the registered lists by brute force: every place, every statement, every window."""
+    def cut(t):
+        return re.sub("[^a-z0-9]+", " ", t.lower()).split()
+    w = cut(text)
+    leads = {tuple(cut(x)) for x in license_texts.LEADS}
+    free, led = {}, {}
+    for of, lists in ((free, license_texts.STATEMENTS), (led, license_texts.NAMES)):
+        for name, forms in lists.items():
+            for f in forms:
+                of.setdefault(tuple(cut(f)), set()).add(name)
+    out = set()
+    for i in range(len(w)):
+        after_lead = any(tuple(w[i - k:i]) in leads for k in range(1, min(i, 5) + 1))
+        for k in range(min(20, len(w) - i), 0, -1):
+            x = tuple(w[i:i + k])
+            if x in free or (x in led and after_lead):
+                out |= free.get(x, set()) | led.get(x, set())
+                break
+    s = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    for name, texts in license_texts.TEXTS.items():
+        for t in texts:
+            c = cut(t)
+            h = [tuple(c[i:i + 5]) for i in range(len(c) - 4)]
+            pieces = -(-len(h) // licenses.SEGMENT)
+            edges = [len(h) * i // pieces for i in range(pieces + 1)]
+            held = sum(max((len(set(h[lo:hi]) & set(s[j:j + hi - lo + 1 + (hi - lo + 1) % 2])) for j in range(0, len(s), 2)),
+                           default=0) for lo, hi in zip(edges, edges[1:], strict=False))
+            if held >= 0.8 * len(h):
+                out.add(name)
+    return sorted(out)
+
+
+def test_registered_lists_against_brute_force(spark):
+    rng = random.Random(31)
+    stated = [f for forms in license_texts.STATEMENTS.values() for f in forms]
+    named = [f"{rng.choice(license_texts.LEADS)} {f}" for forms in license_texts.NAMES.values() for f in forms]
+    whole = [t for texts in license_texts.TEXTS.values() for t in texts]
+    texts = []
+    for t in [*rng.sample(stated, 60), *rng.sample(named, 120), *whole, *whole]:
+        w = t.split()
+        if rng.random() < 0.4:
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice([[], ["changed"], [w[at], "more"], w[:1]])
+        texts.append(f"{prose(rng, rng.randrange(9))} {' '.join(w)} {prose(rng, rng.randrange(9))}")
+    texts += ["under the", "gpl", "under gpl", "version 3 of the gpl"]
+    got = {r.doc_id: r.licenses for r in licenses.scan_all_licenses(documents(spark, texts)).collect()}
+    assert got == {i: _found_in_lists(t) for i, t in enumerate(texts)}
+
+
+def test_licenses_by_row(spark):
+    rows = [(7, "Released under the MIT License."), (7, "Licensed under CC BY-NC 4.0."), (None, "All rights reserved."), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scanned = licenses.scan_all_licenses(docs)
+    assert sorted((str(r.doc_id), r.licenses) for r in scanned.collect()) == [
+        ("7", ["CC-BY-NC-4.0"]), ("7", ["MIT"]), ("None", []), ("None", ["All-rights-reserved"])]
+    assert "Exchange" not in scanned._jdf.queryExecution().executedPlan().toString()
+
+
 # ---- 8 SimHash ------------------------------------------------------------
 
 def _fingerprint(text, n=3):
