@@ -74,11 +74,16 @@ def _range(lo: Column, hi: Column, step: int = 1) -> Column:
     return F.when(hi >= lo, F.sequence(lo, hi, F.lit(step))).otherwise(F.array().cast("array<int>"))
 
 
+def _fixed(values: Sequence[str]) -> Column:
+    """An array of SQL literals, parsed at once: building each literal takes longer."""
+    return F.expr(f"array({', '.join(values)})")
+
+
 def _numbers(entries: Mapping[int, Sequence[int]], key: Column) -> Column:
     """The numbers that ``entries`` gives for ``key``; none for another key."""
-    known = F.expr("map({})".format(", ".join(  # parsed at once: building each literal takes longer
+    known = F.expr("map({})".format(", ".join(
         f"{k}L, array({', '.join(map(str, sorted(set(ns))))})" for k, ns in entries.items())))
-    return F.when(key.isin(*entries), F.try_element_at(known, key)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(F.try_element_at(known, key), F.array().cast("array<int>"))
 
 
 def word_hashes(text: Column) -> Column:
@@ -178,7 +183,7 @@ class Statements:
 
     def windows(self, h: Column) -> Column:
         """(start, size) of the windows that hold a minimal shingle at its place in some statement."""
-        shapes = F.array(*(F.struct(F.lit(at).alias("at"), F.lit(size).alias("size")) for at, size in self.shapes))
+        shapes = _fixed([f"named_struct('at', {at}, 'size', {size})" for at, size in self.shapes])
 
         def shingle(p: Column, k: int) -> Column:
             return F.xxhash64(*(F.get(h, p + j) for j in range(-1, k - 1)))
@@ -194,8 +199,8 @@ class Statements:
 
     def verified(self, h: Column, w: Column) -> Column:
         """(start, size, n) of the statements that the bands retrieve for a window and that it holds."""
-        wholes = F.array(*map(F.lit, self.wholes))
-        free = F.array(*(F.lit(n in self.free) for n in range(len(self.wholes))))
+        wholes = _fixed([f"{x}L" for x in self.wholes])
+        free = _fixed([str(n in self.free) for n in range(len(self.wholes))])
         led = F.exists(F.array(*map(F.lit, self.lead_sizes)), lambda k: (w["start"] > k) & F.xxhash64(
             F.slice(h, F.greatest(w["start"] - k, F.lit(1)), k)).isin(self.leads)) if self.leads else F.lit(False)
 
@@ -212,7 +217,7 @@ class Statements:
         longest = _let(hits, lambda xs: F.filter(xs, lambda x: ~F.exists(
             xs, lambda y: (y["start"] == x["start"]) & (y["size"] > x["size"]))))
         names = sorted({n for ns in self.names for n in ns})
-        owners = F.array(*(F.array(*(F.lit(names.index(n)) for n in sorted(ns))) for ns in self.names))
+        owners = _fixed([f"array({', '.join(str(names.index(n)) for n in sorted(ns))})" for ns in self.names])
         found = F.array_distinct(F.flatten(F.transform(longest, lambda x: F.get(owners, x["n"]))))
         return F.transform(found, lambda n: F.struct(
             F.get(F.array(*map(F.lit, names)), n).alias("license"), F.lit(1.0).alias("containment")))
@@ -268,10 +273,9 @@ def _retrieved(window: Column, multiplier: Column, segments: Segments) -> Column
 def _by_bands(s: Column, segments: Segments, least: float) -> Column:
     """Array of (license, containment) of the templates found in a text's shingles."""
     widest, minimal = segments.widest, segments.minimal()
-    multipliers = F.array(*(F.lit(m).cast("long") for m in _multipliers()))
-    known = F.array(*(F.struct(
-        F.lit(segments.templates[n]).alias("t"), F.lit(segments.window(n)).alias("width"),
-        F.array(*(F.lit(h).cast("long") for h in sorted(set(segments.hashes[n])))).alias("h")) for n in segments.numbers))
+    multipliers = _fixed([f"{m}L" for m in _multipliers()])
+    known = _fixed([f"named_struct('t', {segments.templates[n]}, 'width', {segments.window(n)}, "
+                    f"'h', array({', '.join(f'{h}L' for h in sorted(set(segments.hashes[n])))}))" for n in segments.numbers])
 
     def starts(q: Column) -> Column:
         low = F.greatest(q - (widest - 1), F.lit(1))
