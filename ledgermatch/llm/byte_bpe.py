@@ -41,6 +41,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ NEWER = (
     "\U0003d000-\U0003fc3f").replace(" ", "")
 #: distinct pre-tokens whose identifiers a worker remembers, and characters that it encodes at once
 REMEMBERED = 200_000
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 _NO_RANK = 1 << 60
 _MATRIX_TO, _HEAP_FROM = 32, 80
 
@@ -254,14 +255,27 @@ class Ranks:
 Batches = Iterator[pa.RecordBatch]
 
 
-def _encode_whole(ranks: Ranks):
+def _bytes_of(ids: bytes, pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _coded(keys: dict[str, pa.Array], ids: list[bytes], pieces: list[bytes] | None) -> pa.RecordBatch:
+    """``keys``, the identifiers and, given the pieces, the bytes that they stand for."""
+    columns = {**keys, "ids": pa.array(ids, pa.binary())}
+    if pieces is not None:
+        columns["decoded"] = pa.array([_bytes_of(x, pieces) for x in ids], pa.binary())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _encode_whole(ranks: Ranks, decode: bool):
+    """A batch is read, encoded and handed on ``BATCH_CHARS`` characters at a time."""
     def run(batches: Batches) -> Batches:
-        split, encoder = splitter(), ranks.encoder()
+        split, encoder, pieces = splitter(), ranks.encoder(), ranks.pieces() if decode else None
         for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), []
-            for part in in_parts([len(t) for t in texts], BATCH_CHARS):
-                ids += encoder.encode([split(t) for t in texts[part]])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for part in in_parts(pc.utf8_length(batch.column(1)).to_pylist(), BATCH_CHARS):
+                rows = batch.slice(part.start, part.stop - part.start)
+                yield _coded({"doc_id": rows.column(0)}, encoder.encode(
+                    [split(t) for t in rows.column(1).to_pylist()]), pieces)
     return run
 
 
@@ -297,22 +311,21 @@ def _boundaries(chunk: int, overlap: int):
     return run
 
 
-def _encode_windows(ranks: Ranks):
+def _encode_windows(ranks: Ranks, decode: bool):
     """(_row, k, window, start, stop) -> the identifiers of its pre-tokens from start to stop."""
     def run(batches: Batches) -> Batches:
-        split, encoder = splitter(), ranks.encoder()
+        split, encoder, known = splitter(), ranks.encoder(), ranks.pieces() if decode else None
         for batch in batches:
             out = []
             for value, start, stop in zip(*(batch.column(c) for c in ("window", "start", "stop")), strict=True):
                 pieces = split(value.as_py(), start.as_py())
                 ends = start.as_py() + np.cumsum([0, *map(len, pieces)])
                 out += encoder.encode([pieces[:int(np.searchsorted(ends, stop.as_py()))]])
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("k"), pa.array(out, pa.binary())],
-                                             names=["_row", "k", "ids"])
+            yield _coded({"_row": batch.column("_row"), "k": batch.column("k")}, out, known)
     return run
 
 
-def _stitched(texts: DataFrame, ranks: Ranks, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
+def _stitched(texts: DataFrame, ranks: Ranks, chunk: int, overlap: int, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """((_row, ids) of the documents whose windows all resynchronise, the ``_row`` of the others)."""
     parts = (texts.mapInArrow(_windows(chunk, overlap), "_row long, k long, last boolean, window string")
              .repartition("_row", "k"))
@@ -326,38 +339,39 @@ def _stitched(texts: DataFrame, ranks: Ranks, chunk: int, overlap: int) -> tuple
     spans = seams.select("_row", "k", "start", F.when(F.col("last"), F.lit(1 << 62)).otherwise(
         F.col("seam") + chunk).alias("stop")).join(open_rows, "_row", "left_anti")
     ids = split.select("_row", "k", "window").join(spans, ["_row", "k"]).mapInArrow(
-        _encode_windows(ranks), "_row long, k long, ids binary")
-    return ids.groupBy("_row").agg(F.expr("listagg(ids) within group (order by k)").alias("ids")), open_rows
+        _encode_windows(ranks, "decoded" in columns), ", ".join(["_row long, k long", *(f"{c} binary" for c in columns)]))
+    return ids.groupBy("_row").agg(*(F.expr(f"listagg({c}) within group (order by k)").alias(c) for c in columns)), open_rows
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS,
-                     chunk: int = 1 << 15, overlap: int = 1 << 9) -> DataFrame:
+                     chunk: int = 1 << 15, overlap: int = 1 << 9, decode: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``ids`` (identifiers as
-    little-endian unsigned 32-bit integers)."""
-    table = Ranks(docs.sparkSession, ranks)
+    little-endian unsigned 32-bit integers) and, with ``decode``, ``decoded``: the bytes
+    of the identifiers, joined by the task that has them at hand."""
+    table, columns = Ranks(docs.sparkSession, ranks), ["ids", "decoded"] if decode else ["ids"]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     short = F.length("text") <= chunk
-    out = texts.filter(short).mapInArrow(_encode_whole(table), f"doc_id {kind}, ids binary")
+    out = texts.filter(short).mapInArrow(_encode_whole(table, decode), ", ".join(
+        [f"doc_id {kind}", *(f"{c} binary" for c in columns)]))
     long = cut(texts.filter(~short).withColumn("_row", F.monotonically_increasing_id()))
     left = long.select("_row", "text")
     while not left.isEmpty():
-        ids, open_rows = _stitched(left, table, chunk, overlap)
-        out = out.unionByName(long.select("_row", "doc_id").join(ids, "_row").select("doc_id", "ids"))
+        ids, open_rows = _stitched(left, table, chunk, overlap, columns)
+        out = out.unionByName(long.select("_row", "doc_id").join(ids, "_row").select("doc_id", *columns))
         left, chunk, overlap = cut(left.join(open_rows, "_row")), 4 * chunk, 4 * overlap
     return out
 
 
 def decoded(ids: Column, ranks: Ranks) -> Column:
-    """The bytes of identifiers, joined."""
+    """The bytes of stored identifiers, joined."""
     @F.pandas_udf("binary")
     def join(column: pd.Series) -> pd.Series:
-        piece = ranks.pieces().__getitem__
-        return column.map(lambda x: None if x is None else b"".join(map(piece, np.frombuffer(x, "<u4").tolist())))
+        pieces = ranks.pieces()
+        return column.map(lambda x: None if x is None else _bytes_of(x, pieces))
     return join(ids)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS, **options) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded``, the bytes that the identifiers stand for."""
-    encoded = encode_documents(docs, id_col, text_col, ranks, **options)
-    return encoded.withColumn("decoded", decoded(F.col("ids"), Ranks(docs.sparkSession, ranks)))
+    return encode_documents(docs, id_col, text_col, ranks, decode=True, **options)
