@@ -72,15 +72,26 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def joined(column: pa.Array | list[str], places: np.ndarray, n: np.ndarray) -> list[memoryview]:
+    """Values of ``column`` at ``places``, joined for each run of ``n`` places."""
+    column = pa.array(column, pa.large_binary()) if isinstance(column, list) else column
+    taken = column.take(pa.array(places))
+    stops = np.frombuffer(taken.buffers()[1], np.int64)[np.append(0, np.cumsum(n))].tolist()
+    data = memoryview(taken.buffers()[2] or b"").cast("B")
+    return [data[start:stop] for start, stop in zip(stops, stops[1:], strict=False)]
+
+
 class Vocabulary:
     """Bytes of the identifiers of a tokenizer, and its encoder of many texts."""
 
     def __init__(self, pieces: list[bytes], encode):
         self.pieces, self.encode = pieces, encode
         self.lengths = np.array([len(p) for p in pieces], np.int64)
+        self.column = pa.array(pieces, pa.large_binary())
 
-    def text(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+    def texts(self, ids: list[np.ndarray]) -> list[memoryview]:
+        """The bytes of the identifiers of each text."""
+        return joined(self.column, np.concatenate(ids), np.array([len(x) for x in ids]))
 
 
 def byte_level_vocabulary(file: bytes) -> Vocabulary:
@@ -118,15 +129,18 @@ class Aligned:
     """Alignment of a batch of texts; the arrays have one entry per text, but
     ``pair``, ``text`` and ``links`` one per linked pair of a text."""
 
-    def __init__(self, texts: list[str], a: Vocabulary, b: Vocabulary, strings: list[str]):
+    def __init__(self, texts: list[str], a: Vocabulary, b: Vocabulary, strings: pa.Array | list[str]):
         n = len(texts)
         self.n_a, self.n_b, self.n_groups, self.n_links = (np.zeros(n, np.int64) for _ in range(4))
         self.digests = [""] * n
         self.pair = self.text = self.links = np.zeros(0, np.int64)
         full = [i for i, t in enumerate(texts) if t]
         whole = [texts[i] for i in full]
-        kept = [(i, x, y) for i, t, x, y in zip(full, whole, a.encode(whole), b.encode(whole), strict=True)
-                if (raw := b" " + t.encode()) == b.text(y) and raw == a.text(x)]
+        if not full:
+            return
+        ids_a, ids_b = a.encode(whole), b.encode(whole)
+        kept = [(i, x, y) for i, t, x, y, of_x, of_y in zip(full, whole, ids_a, ids_b, a.texts(ids_a), b.texts(ids_b), strict=True)
+                if (raw := b" " + t.encode()) == of_y and raw == of_x]
         if kept:
             self._align(np.array([i for i, _, _ in kept]), [x for _, x, _ in kept], [y for _, _, y in kept], a, b, strings)
 
@@ -155,9 +169,8 @@ class Aligned:
         tokens[at_b] = flat_b + 2 * wide * last_b
         stops = np.cumsum(n)
         tokens[stops - 1] += wide  # nothing follows the last token of a text
-        written = list(map(strings.__getitem__, tokens.tolist()))
-        for i, start, stop in zip(which.tolist(), (stops - n).tolist(), stops.tolist(), strict=True):
-            self.digests[i] = hashlib.sha256("".join(written[start:stop]).encode()).hexdigest()
+        for i, written in zip(which.tolist(), joined(strings, tokens, n), strict=True):
+            self.digests[i] = hashlib.sha256(written).hexdigest()
 
     def _pairs(self, which, flat_a, flat_b, group_a, size_a, size_b, links, text_of):
         first_a, first_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
@@ -293,7 +306,7 @@ def _tokenizers(spark: SparkSession, path_a: str, path_b: str):
         a, b = byte_level_vocabulary(sent.value[0]), piece_vocabulary(sent.value[1])
         wide = max(len(a.pieces), len(b.pieces))
         # token, separator behind it: "," within a side, "|" and ";" at its end, "" at the end of the text
-        return a, b, [f"{i}{s}" for s in _SEPARATORS for i in range(wide)]
+        return a, b, pa.array([f"{i}{s}".encode() for s in _SEPARATORS for i in range(wide)], pa.large_binary())
     return lambda: per_worker(("alignment", path_a, path_b), load)
 
 

@@ -37,6 +37,7 @@ import base64
 import re
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -67,6 +68,7 @@ NEWER = (
 REMEMBERED = 200_000
 BATCH_CHARS = 1 << 18
 _NO_RANK = 1 << 60
+_LOW = 0x250  # Latin letters; none of them is in NEWER
 _MATRIX_TO, _HEAP_FROM = 32, 80
 
 
@@ -75,16 +77,28 @@ def splitter() -> Callable[[str, int], list[str]]:
     def make():
         import regex
 
-        plain = regex.compile(PATTERN).findall
+        plain, low = regex.compile(PATTERN).findall, _low_splitter()
         known = PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\s[\p{L}\p{N}--[@]]]").replace(r" ?\p{L}+", r" ?[\p{L}--[@]]+")
         known = known.replace(r" ?\p{N}+", r" ?[\p{N}--[@]]+").replace("@", NEWER)
         exact = regex.compile("(?V1)" + known).findall
-        low = "".join(c for c in re.findall(r".(?:-.)?", NEWER) if c < "\U00010000")
-        maybe = re.compile(f"[{low}\U00010000-\U0010ffff]").search
-        return lambda text, start=0: (plain if text.isascii() or not maybe(text) else exact)(text, start)
+        newer = "".join(c for c in re.findall(r".(?:-.)?", NEWER) if c < "\U00010000")
+        maybe = re.compile(f"[{newer}\U00010000-\U0010ffff]").search
+        high = re.compile(f"[^\0-{chr(_LOW - 1)}]").search
+        return lambda text, start=0: (low if text.isascii() or not high(text) else plain if not maybe(text) else exact)(text, start)
     return per_worker("byte_bpe split", make)
 
 
+def _low_splitter() -> Callable[[str, int], list[str]]:
+    """The same for texts of characters below ``_LOW`` alone, whose classes are written out for the faster ``re``."""
+    import regex
+
+    letter, digit, space = ("".join(f"\\u{i:04x}" for i in range(_LOW) if regex.fullmatch(kind, chr(i)))
+                            for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    known = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{digit}]").replace(r"\p{L}", f"[{letter}]")
+    known = known.replace(r"\p{N}", f"[{digit}]").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
+    return re.compile(known).findall
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Identifiers of one pre-token."""
     if piece in ranks:
@@ -139,10 +153,13 @@ class Merger:
                  for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks}
         self.pairs = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
+        self.of_bytes = self._rank(self.of_byte[:, None], self.of_byte)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; of none where a side is missing (-1) or the pair has none."""
         pair = left << 32 | right
+        if not len(self.pairs):
+            return np.full(pair.shape, _NO_RANK)
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         return np.where((self.pairs[at] == pair) & (right >= 0), self.merged[at], _NO_RANK)
 
@@ -162,9 +179,10 @@ class Merger:
     def _merge_rows(self, pieces: list[bytes], number: np.ndarray, out: list[bytes]) -> None:
         sizes = np.array([len(p) for p in pieces])
         there = np.arange(sizes.max()) < sizes[:, None]
-        tokens = np.full(there.shape, -1, np.int64)
-        tokens[there] = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
-        ranks = self._rank(tokens[:, :-1], tokens[:, 1:])
+        tokens, raw = np.full(there.shape, -1, np.int64), np.zeros(there.shape, np.uint8)
+        raw[there] = np.frombuffer(b"".join(pieces), np.uint8)
+        tokens[there] = self.of_byte[raw[there]]
+        ranks = np.where(there[:, 1:], self.of_bytes[raw[:, :-1], raw[:, 1:]], _NO_RANK)
         while ranks.shape[1]:
             i = ranks.argmin(1)
             least = ranks[np.arange(len(i)), i]
@@ -198,10 +216,16 @@ class Encoder:
     def encode(self, lists: list[list[str]]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        new = list(set().union(*lists).difference(known))
+        known, n = self.known, [len(pieces) for pieces in lists]
+        coded = pa.array(chain.from_iterable(lists), pa.large_string(), size=sum(n)).dictionary_encode()
+        seen = coded.dictionary.to_pylist()
+        new = [p for p in seen if p not in known]
         known.update(zip(new, self._new(new), strict=True))
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in lists]
+        # each distinct pre-token is looked up once, its identifiers are then taken for every time that it comes
+        ids = pa.array(map(known.__getitem__, seen), pa.large_binary(), size=len(seen)).take(coded.indices)
+        stops = np.frombuffer(ids.buffers()[1], np.int64)[np.cumsum([0, *n])].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        out = [bytes(data[start:stop]) for start, stop in zip(stops, stops[1:], strict=False)]
         for piece in new:
             if len(piece) > _MATRIX_TO:
                 del known[piece]

@@ -225,3 +225,31 @@ def test_alignment_on_awkward_and_empty_tables(spark):
     same = [tuple(r)[1:] for r in rows if r.doc_id in (1, 2)]
     assert len(same) == 3 and len(set(same)) == 1 and same[0][0] > 0
     assert alignment.align_documents(docs.limit(0)).collect() == []
+
+
+def test_low_texts_split_as_the_pattern_says():
+    """op12: texts of Latin letters alone are split by a pattern with its classes written out."""
+    import regex
+
+    dice = random.Random(11)
+    chars = [chr(i) for i in range(byte_bpe._LOW)]
+    texts = ["".join(dice.choices(chars + [" ", "'", "s", "l", "\n"] * 60, k=400)) for _ in range(300)] + ["".join(chars)]
+    low, plain = byte_bpe._low_splitter(), regex.compile(byte_bpe.PATTERN).findall
+    assert [low(t) for t in texts] == [plain(t) for t in texts] == [byte_bpe.splitter()(t) for t in texts]
+    assert [low(t, 3) for t in texts] == [plain(t, 3) for t in texts]
+
+
+def test_a_pre_token_is_looked_up_once_a_batch():
+    """op12: every time that a pre-token came it was looked up among all that are remembered."""
+    class Counted(dict):
+        n = 0
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return super().__getitem__(key)
+    encoder = byte_bpe.Encoder({bytes([i]): i for i in range(256)})
+    encoder.known = Counted()
+    lists = [[" a", "bé", " a"] * 50, [], ["x" * 40, "bé"]]
+    got = encoder.encode(lists)
+    assert got == [b"".join(np.array(list(p.encode()), "<u4").tobytes() for p in pieces) for pieces in lists]
+    assert Counted.n == 3
